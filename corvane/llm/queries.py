@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corvane.llm import exact_dedup as _exact
 from corvane.llm import mixing as _mixing
 from corvane.llm import oracles
+from corvane.llm import secrets as _secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,8 +24,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _secrets.scan_secrets(_table(spark, sf_dir, "documents")).drop("found")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op5_mixing)}
+    return {f.__name__: f for f in (op3_exact_dedup, op5_mixing, op9_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
