@@ -9,13 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from corvane.llm import exact_dedup as _exact
 from corvane.llm import mixing as _mixing
 from corvane.llm import oracles
+from corvane.llm import packing as _packing
 from corvane.llm import secrets as _secrets
+from corvane.llm import token_counts as _counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 4096, 1)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
@@ -28,8 +40,12 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _secrets.scan_secrets(_table(spark, sf_dir, "documents")).drop("found")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts.count_tokens(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), 512)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_exact_dedup, op5_mixing, op9_secrets)}
+    return {f.__name__: f for f in (op2_packing, op3_exact_dedup, op5_mixing, op9_secrets, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
