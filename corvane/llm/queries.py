@@ -11,6 +11,7 @@ from corvane.llm import mixing as _mixing
 from corvane.llm import oracles
 from corvane.llm import packing as _packing
 from corvane.llm import secrets as _secrets
+from corvane.llm import simhash_dedup as _simhash
 from corvane.llm import token_counts as _counts
 
 
@@ -36,6 +37,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _simhash.simhash_dedup(_table(spark, sf_dir, "documents"), words=3, radius=3, seed=42).drop("kept")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _secrets.scan_secrets(_table(spark, sf_dir, "documents")).drop("found")
 
@@ -45,7 +50,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_exact_dedup, op5_mixing, op9_secrets, op10_token_counts)}
+    return {f.__name__: f for f in (op2_packing, op3_exact_dedup, op5_mixing, op8_simhash_dedup, op9_secrets, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
