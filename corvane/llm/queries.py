@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corvane.llm import embed_dedup as _embed
 from corvane.llm import exact_dedup as _exact
 from corvane.llm import mixing as _mixing
 from corvane.llm import oracles
@@ -25,6 +26,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _embed.embedding_dedup(_table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packing.pack_documents(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), 4096, 1)
 
@@ -50,7 +55,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_packing, op3_exact_dedup, op5_mixing, op8_simhash_dedup, op9_secrets, op10_token_counts)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_packing, op3_exact_dedup, op5_mixing, op8_simhash_dedup, op9_secrets, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
