@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -18,10 +19,10 @@ from corvane.llm.common import id_and_text, ship
 # The white space that the tokenizer's pattern knows, and the pattern itself with that white space spelt out.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: A space that another white space or the end follows: only then do parts cut at spaces depend on each other.
-JOINED = re.compile(rf" (?:[{SPACE}]|\Z)")
-PARTS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-CACHE_ENTRIES = 200_000
+#: Entries that a worker's cache of counted pre-tokens holds (some 130 MB at most).
+CACHE_ENTRIES = 1_000_000
+#: Texts whose pre-tokens are merged together.
+TOGETHER = 64
 NEVER = np.int64(1 << 40)
 _OPEN: dict[str, PairCounter] = {}
 
@@ -53,14 +54,26 @@ class PairCounter:
         special = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
         self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.split = regex.compile(PATTERN).findall
-        self.spaced: dict[str, int] = {}  # a part that has a space before it, without that space
-        self.plain: dict[str, int] = {}
+        # the same pattern for texts of characters below U+0180, without the slower module
+        of = {k: "".join(re.escape(chr(c)) for c in range(0x180) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+        white = r"\t-\r \x85\xa0"
+        self.split_latin = re.compile(
+            rf" ?[{of['L']}]+|'(?:s|t|re|ve|m|ll|d)| ?[{of['N']}]+| ?[^{white}{of['L']}{of['N']}]+|[{white}]+(?![^{white}])|[{white}]+"
+        ).findall
+        self.other = re.compile("[^\0-\u017f]").search
+        self.cache: dict[str, int] = {}
         self.most = most
 
+    def _ranks(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+        after = np.minimum(at + 1, len(symbols) - 1)
+        key = symbols[at] * self.size + symbols[after]
+        where = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((owner[after] == owner[at]) & (after > at) & (self.keys[where] == key), self.ranks[where], NEVER)
+
     def merged(self, tokens: list[bytes]) -> np.ndarray:
         """The number of symbols that each token ends as.
 
-        All tokens lie in one array of symbols. Each round looks up the rank of every neighbouring pair, finds each token's lowest
+        All tokens lie in one array of symbols. Each round finds each token's pair of lowest rank
         and merges its occurrences from the left, in all tokens at once; tokens without a pair left drop out.
         """
         counts = np.array([len(t) for t in tokens], np.int64)
@@ -68,16 +81,12 @@ class PairCounter:
             return counts
         symbols = self.first[np.frombuffer(b"".join(tokens), np.uint8)]
         owner = np.repeat(np.arange(len(tokens)), counts)
+        rank = self._ranks(symbols, owner, np.arange(len(symbols)))  # of each symbol with the next
         while len(symbols) > 1:
-            same = owner[1:] == owner[:-1]
-            key = symbols[:-1] * self.size + symbols[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.where(same & (self.keys[at] == key), self.ranks[at], NEVER)
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            lowest = np.minimum.reduceat(np.r_[rank, NEVER], starts)
-            ends = np.r_[starts[1:], len(symbols)]
-            low = np.repeat(lowest, ends - starts)
-            hit = np.r_[(rank == low[:-1]) & (rank < NEVER), False]
+            lowest = np.minimum.reduceat(rank, starts)
+            low = np.repeat(lowest, np.diff(np.r_[starts, len(symbols)]))
+            hit = (rank == low) & (rank < NEVER)
             # of pairs that overlap (one symbol repeated) every other one merges, from the left
             place = np.arange(len(hit))
             run = np.maximum.accumulate(np.where(hit & ~np.r_[False, hit[:-1]], place, 0))
@@ -85,36 +94,28 @@ class PairCounter:
             symbols = np.where(hit, self.made[np.where(hit, low, 0)], symbols)
             keep = ~np.r_[False, hit[:-1]] & (low < NEVER)
             np.subtract.at(counts, owner[hit], 1)
-            symbols, owner = symbols[keep], owner[keep]
+            symbols, owner, rank, new = symbols[keep], owner[keep], rank[keep], hit[keep]
+            if len(symbols):
+                again = np.flatnonzero(new | np.r_[new[1:], False])
+                rank[again] = self._ranks(symbols, owner, again)
         return counts
 
-    def learn(self, parts: set[str], into: dict[str, int], lead: str) -> None:
-        order = sorted(parts)
-        words = [[w.encode() for w in self.split(lead + p)] for p in order]
-        distinct = sorted({w for x in words for w in x})
-        count = dict(zip(distinct, self.merged(distinct).tolist(), strict=True))
-        for p, x in zip(order, words, strict=True):
-            into[p] = sum(map(count.__getitem__, x))
-
-    def known(self, parts: list[str], into: dict[str, int], lead: str) -> int:
-        new = set(parts).difference(into)
-        if len(into) + len(new) > self.most:
-            into.clear()
-            new = set(parts)
-        if new:
-            self.learn(new, into, lead)
-        return sum(map(into.__getitem__, parts))
-
-    def count(self, text: str) -> int:
-        if self.special is not None and "<" in text and self.special.search(text):
-            parts = self.special.split(text)
-            return len(parts) - 1 + sum(map(self.count, parts))
-        if not text:
-            return 0
-        if JOINED.search(text):
-            return self.known(PARTS.findall(text), self.plain, "")
-        head, *rest = text.split(" ")
-        return self.known([head], self.plain, "") * bool(head) + self.known(rest, self.spaced, " ")
+    def count(self, texts: list[str]) -> list[int]:
+        """The number of tokens of each text; a special string is one token."""
+        split, extra = [], []
+        for t in texts:
+            parts = self.special.split(t) if self.special is not None and self.special.search(t) else [t]
+            cut = self.split_latin if t.isascii() or not self.other(t) else self.split
+            split.append(cut(t) if len(parts) == 1 else [w for p in parts for w in cut(p)])
+            extra.append(len(parts) - 1)
+        every = set().union(*split)
+        new = every.difference(self.cache)
+        if len(self.cache) + len(new) > self.most:
+            self.cache.clear()
+            new = every
+        order = sorted(new)
+        self.cache.update(zip(order, self.merged([w.encode() for w in order]).tolist(), strict=True))
+        return [n + sum(map(self.cache.__getitem__, words)) for n, words in zip(extra, split, strict=True)]
 
 
 def _counter(key: str, shared) -> PairCounter:
@@ -138,9 +139,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = _counter(key, shared)
         for batch in batches:
+            texts = batch["text"].tolist()
+            counts = [n for at in range(0, len(texts), TOGETHER) for n in counter.count(texts[at : at + TOGETHER])]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"].astype("Int64"), "n_bytes": batch["n_bytes"].astype("int64"),
-                "n_tokens": np.array([counter.count(t) for t in batch["text"].array], np.int64),
+                "doc_id": batch["doc_id"].astype("Int64"), "n_bytes": batch["n_bytes"].astype("int64"), "n_tokens": np.array(counts, np.int64),
             })
 
     rows = id_and_text(docs, id_col, text_col).withColumn("n_bytes", F.octet_length("text").cast("long"))
