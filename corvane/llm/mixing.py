@@ -51,14 +51,16 @@ def mix(
     A source of size S and target t takes every document floor(t / S) times; what is left of t, r words, is filled by a sample
     without repeats. A document's inclusion probability p is t / S - floor(t / S), times r / size where it is longer than r. The
     documents are ranked by (u / (1 - u)) / (p / (1 - p)) with u from a hash of seed and identifier (Pareto order sampling,
-    Rosen 1997), and taken in this order while the words fit r; then the document outside whose size is nearest to the words
-    still open joins, if that comes nearer to r. The size that's fixed is the number of words, since targets are in words.
+    Rosen 1997), and taken in this order while the words fit r. The size that's fixed is the number of words, since targets are in
+    words: a second pass in the same order fills what a long document at the end left open with those not longer than that, and
+    then the document outside whose size is nearest to the words still open joins, if that comes nearer to r.
 
-    No source is sorted as a whole: its rows are counted in bins of the rank; only the bin that r falls in is sorted. The same
+    No source is sorted as a whole: its rows are counted in bins of the rank; only the bin that the end falls in is sorted. The same
     rows and seed give the same mix whatever the partitions are. keep_columns adds all columns of docs (as a struct, _row).
 
     Null or empty texts have size 0 and take no words (copies: the whole ones). Null sources are one source, the last. Null
-    identifiers hash alike. Repeated rows rank side by side and count each. An empty table gives an empty result.
+    identifiers hash alike. Repeated rows rank side by side and count each. Copies are whole, so a source whose words lie mostly
+    in one document can miss its target by up to half of that. An empty table gives an empty result.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -68,51 +70,61 @@ def mix(
         *([row] if keep_columns else []),
     )
     sized = written(base.select("doc_id", "source", "size", "tie"), "sized")
-    targets = written(source_targets(sized, weights, share, most), "targets")
+    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    targets = source_targets(sized, weights, share, most).withColumn("ratio", ratio).withColumn("whole", F.floor("ratio"))
+    targets = written(targets.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
     n_sources = targets.count()
 
-    def with_source(rows: DataFrame, per: DataFrame) -> DataFrame:
+    def with_source(rows: DataFrame, per: DataFrame, how: str = "inner") -> DataFrame:
         per = per.withColumnRenamed("source", "_source")
         per = F.broadcast(per) if n_sources <= MOST_SOURCES else per
-        return rows.join(per, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+        return rows.join(per, F.col("source").eqNullSafe(F.col("_source")), how).drop("_source")
 
     def drawn(rows: DataFrame) -> DataFrame:
-        ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-        out = with_source(rows, targets).withColumn("ratio", ratio).withColumn("whole", F.floor("ratio"))
-        out = out.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+        out = with_source(rows, targets)
         long = F.when(F.col("size") > F.col("rest"), F.col("rest") / F.col("size")).otherwise(F.lit(1.0))
         out = out.withColumn("p", (F.col("ratio") - F.col("whole")) * long).withColumn("u", _uniform(seed, F.col("doc_id")))
         odds = F.col("u") * (1 - F.col("p")) / ((1 - F.col("u")) * F.col("p"))
         out = out.withColumn("q", F.when((F.col("p") > 0) & (F.col("size") > 0), odds))
         return out.withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * bins))
 
-    able = drawn(sized).filter("q is not null")
-    per_bin = able.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("rest").alias("rest"))
-    up_to = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    per_bin = per_bin.withColumn("upto", F.sum("words").over(up_to))
-    cut = per_bin.filter("upto > rest").groupBy("source").agg(F.min(F.struct("bin", (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
-    cut = written(cut.select("source", F.col("c.bin").alias("cut_bin"), F.col("c.before").alias("before")), "cut")
-    # a source without such a bin takes all that can be drawn
-    edges = targets.select("source").join(cut.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-
-    in_order = Window.partitionBy("source").orderBy("q", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
-    at_cut = with_source(able, cut).filter("bin = cut_bin")
-    at_cut = at_cut.withColumn("upto", F.col("before") + F.sum("size").over(in_order))
-    taken = at_cut.filter("upto <= rest").groupBy("source").agg(F.max(F.struct("upto", "q", "doc_id", "size", "tie")).alias("last"))
-    last = edges.join(taken.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    last = written(last, "last")
     key = F.struct("q", "doc_id", "size", "tie")
-    inside = F.col("cut_bin").isNull() | (F.col("bin") < F.col("cut_bin")) | (
-        (F.col("bin") == F.col("cut_bin")) & F.col("last").isNotNull()
-        & (key <= F.struct("last.q", "last.doc_id", "last.size", "last.tie"))
-    )
-    open_words = F.col("rest") - F.coalesce(F.col("last.upto"), F.col("before"))
-    outside = with_source(able, last).filter(~inside & (F.col("size") < 2 * open_words))
-    nearest = outside.groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - open_words).alias("d"), "q", "doc_id", "size", "tie")).alias("more"))
-    plan = last.join(nearest.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
-    plan = written(plan, "plan")
+
+    def filled(rows: DataFrame, budgets: DataFrame, n: int) -> DataFrame:
+        """budgets (source, rest{n}) with the last row in order that fits and the words taken up to it: cut{n}, last{n}, rest{n+1}."""
+        rest = f"rest{n}"
+        per_bin = with_source(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")), budgets.select("source", rest))
+        up_to = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        per_bin = per_bin.withColumn("upto", F.sum("words").over(up_to))
+        first = F.min(F.when(F.col("upto") > F.col(rest), F.struct("bin", (F.col("upto") - F.col("words")).alias("before"))))
+        cut = per_bin.groupBy("source").agg(first.alias("c"), F.sum("words").alias("all"))
+        cut = written(cut.select("source", F.col("c.bin").alias(f"cut{n}"), F.coalesce("c.before", "all").alias("before")), "cut")
+        at_cut = with_source(with_source(rows.select("source", "bin", "q", "doc_id", "size", "tie"), cut), budgets.select("source", rest))
+        in_order = Window.partitionBy("source").orderBy("q", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
+        at_cut = at_cut.filter(F.col("bin") == F.col(f"cut{n}")).withColumn("upto", F.col("before") + F.sum("size").over(in_order))
+        last = at_cut.filter(F.col("upto") <= F.col(rest)).groupBy("source").agg(F.max(F.struct("upto", "q", "doc_id", "size", "tie")).alias(f"last{n}"))
+        out = with_source(with_source(budgets, cut, "left"), last, "left")
+        used = F.coalesce(F.col(f"last{n}.upto"), F.col("before"), F.lit(0))
+        # a source without candidates has no row in cut: nothing is before its end
+        out = out.withColumn(f"rest{n + 1}", F.col(rest) - used).withColumn(f"none{n}", F.col("before").isNull()).drop("before")
+        return written(out, "filled")
+
+    def inside(n: int):
+        cut, last = F.col(f"cut{n}"), f"last{n}"
+        upto = (F.col("bin") == cut) & F.col(last).isNotNull() & (key <= F.struct(*[f"{last}.{c}" for c in ("q", "doc_id", "size", "tie")]))
+        return ~F.col(f"none{n}") & F.coalesce(cut.isNull() | (F.col("bin") < cut) | upto, F.lit(False))
+
+    able = drawn(sized).filter("q is not null")
+    plan = filled(able, targets.select("source", F.col("rest").alias("rest1")), 1)
+    second = with_source(able, plan).filter(~inside(1) & (F.col("size") <= F.col("rest2")))
+    plan = filled(second.select(able.columns), plan, 2)
+    chosen = inside(1) | ((F.col("size") <= F.col("rest2")) & inside(2))
+    outside = with_source(able, plan).filter(~chosen & (F.col("size") < 2 * F.col("rest3")))
+    distance = F.abs(F.col("size") - F.col("rest3")).alias("d")
+    nearest = outside.groupBy("source").agg(F.min(F.struct(distance, "q", "doc_id", "size", "tie")).alias("more"))
+    plan = written(with_source(plan, nearest, "left"), "plan")
     extra = F.col("more").isNotNull() & key.eqNullSafe(F.struct("more.q", "more.doc_id", "more.size", "more.tie"))
-    sampled = F.when(F.col("q").isNotNull() & (inside | extra), 1).otherwise(0)
+    sampled = F.when(F.col("q").isNotNull() & (chosen | extra), 1).otherwise(0)
     picked = with_source(drawn(base if keep_columns else sized), plan)
     picked = picked.withColumn("copies", (F.col("whole") + sampled).cast("long"))
     return picked.select(

@@ -35,12 +35,20 @@ WITH sized AS (
            sum(CASE WHEN q IS NOT NULL THEN size END) OVER (PARTITION BY source ORDER BY q NULLS LAST, doc_id ROWS UNBOUNDED PRECEDING) END AS upto
   FROM ranked
 ), gaps AS (
-  SELECT *, rest - coalesce(max(CASE WHEN upto <= rest THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM summed
+  SELECT *, coalesce(upto <= rest, false) AS first_pass,
+         rest - coalesce(max(CASE WHEN upto <= rest THEN upto END) OVER (PARTITION BY source), 0) AS gap FROM summed
+), again AS (
+  SELECT *, q IS NOT NULL AND NOT first_pass AND size <= gap AS small,
+         sum(CASE WHEN q IS NOT NULL AND NOT first_pass AND size <= gap THEN size END)
+           OVER (PARTITION BY source ORDER BY q NULLS LAST, doc_id ROWS UNBOUNDED PRECEDING) AS upto2 FROM gaps
+), chosen AS (
+  SELECT *, first_pass OR (small AND upto2 <= gap) AS inside,
+         gap - coalesce(max(CASE WHEN small AND upto2 <= gap THEN upto2 END) OVER (PARTITION BY source), 0) AS gap2 FROM again
 ), fills AS (
-  SELECT source, min({'d': abs(size - gap), 'q': q, 'doc_id': doc_id}) AS more
-  FROM gaps WHERE upto > rest AND size < 2 * gap GROUP BY source
+  SELECT source, min({'d': abs(size - gap2), 'q': q, 'doc_id': doc_id}) AS more
+  FROM chosen WHERE q IS NOT NULL AND NOT inside AND size < 2 * gap2 GROUP BY source
 )
 SELECT g.doc_id, g.size, g.source_size, g.target,
-       CAST(g.size * (whole + CASE WHEN q IS NOT NULL AND (upto <= rest OR (f.more.q = g.q AND f.more.doc_id = g.doc_id)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM gaps g LEFT JOIN fills f ON g.source IS NOT DISTINCT FROM f.source
+       CAST(g.size * (whole + CASE WHEN q IS NOT NULL AND (inside OR (f.more.q = g.q AND f.more.doc_id = g.doc_id)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM chosen g LEFT JOIN fills f ON g.source IS NOT DISTINCT FROM f.source
 """
