@@ -11,9 +11,11 @@ from corvane.llm import exact_dedup as _exact
 from corvane.llm import mixing as _mixing
 from corvane.llm import oracles
 from corvane.llm import packing as _packing
+from corvane.llm import quality as _quality
 from corvane.llm import secrets as _secrets
 from corvane.llm import simhash_dedup as _simhash
 from corvane.llm import token_counts as _counts
+from corvane.llm import toxicity as _toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +44,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _simhash.simhash_dedup(_table(spark, sf_dir, "documents"), words=3, radius=3, seed=42).drop("kept")
 
@@ -55,7 +65,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_packing, op3_exact_dedup, op5_mixing, op8_simhash_dedup, op9_secrets, op10_token_counts)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_packing, op3_exact_dedup, op5_mixing, op6_toxicity, op7_quality, op8_simhash_dedup, op9_secrets, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
