@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corvane.llm import embed_dedup as _embed
 from corvane.llm import exact_dedup as _exact
+from corvane.llm import licenses as _licenses
 from corvane.llm import mixing as _mixing
 from corvane.llm import oracles
 from corvane.llm import packing as _packing
@@ -40,6 +41,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _exact.exact_dedup(_table(spark, sf_dir, "documents"), keep="max")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _licenses.license_scan(_table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
 
@@ -65,7 +70,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_packing, op3_exact_dedup, op5_mixing, op6_toxicity, op7_quality, op8_simhash_dedup, op9_secrets, op10_token_counts)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_packing, op3_exact_dedup, op4_licenses, op5_mixing, op6_toxicity, op7_quality, op8_simhash_dedup, op9_secrets, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
