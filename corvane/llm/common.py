@@ -68,6 +68,37 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+#: A bitmap filter of keys is broadcast up to this size; beyond it, joins deal all rows out by key.
+FILTER_BYTES = 8 << 20
+BITS_PER_KEY = 16
+BITMAP_BITS = 32768  # of one row that bitmap_construct_agg makes
+
+
+def may_match(rows: DataFrame, wanted: DataFrame, keys: list[str], n_wanted: int, limit: int = FILTER_BYTES) -> DataFrame:
+    """rows with a column _may: false only where the keys are surely not among those of wanted, which has n_wanted rows.
+
+    The filter is a bitmap with 16 bits a key, made by aggregation and broadcast if that fits the limit; otherwise _may is true.
+    """
+    buckets = max(1, -(-n_wanted * BITS_PER_KEY // BITMAP_BITS))
+    if buckets * BITMAP_BITS // 8 > limit:
+        return rows.withColumn("_may", F.lit(True))
+    slot = F.pmod(F.xxhash64(*keys), F.lit(buckets * BITMAP_BITS))
+    maps = (
+        wanted.select(slot.alias("s")).groupBy(F.expr("s div 32768").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.expr("s % 32768")).alias("_bits"))
+    )
+    at = rows.withColumn("_slot", slot).withColumn("_bucket", F.expr("_slot div 32768"))
+    byte = "cast(conv(hex(substring(_bits, cast((_slot % 32768) div 8 + 1 as int), 1)), 16, 10) as int)"
+    marked = at.join(F.broadcast(maps), "_bucket", "left")
+    marked = marked.withColumn("_may", F.expr(f"_bits is not null and (shiftright({byte}, cast(_slot % 8 as int)) & 1) = 1"))
+    return marked.drop("_slot", "_bucket", "_bits")
+
+
+def whole_row(df: DataFrame):
+    """All columns as one struct, _row, so that no name can clash; select("_row.*") gives them back."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row")
+
+
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, component) of every node of edges (a, b); the component is its smallest node.
 

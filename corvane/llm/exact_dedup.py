@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.common import fresh_path, id_and_text, written
-
-#: A filter of duplicate digests is broadcast up to this size; beyond it the join deals all rows out by digest.
-FILTER_BYTES = 8 << 20
-BITS_PER_DIGEST = 16
-BITMAP_BITS = 32768  # of one row that bitmap_construct_agg makes
+from corvane.llm.common import FILTER_BYTES, fresh_path, id_and_text, may_match, whole_row, written
 
 
 class DigestIndex:
@@ -60,26 +55,6 @@ class DigestIndex:
         return self.entries().filter(F.col("digest") == F.lit(bytearray(digest)))
 
 
-def _slot(bits: int):
-    return F.pmod(F.xxhash64("digest"), F.lit(bits))
-
-
-def _passing(rows: DataFrame, wanted: DataFrame, n_wanted: int, limit: int) -> DataFrame:
-    """The rows whose digest may be in wanted (no false negatives), by a bitmap filter if that's small enough to broadcast."""
-    buckets = max(1, -(-n_wanted * BITS_PER_DIGEST // BITMAP_BITS))
-    if buckets * BITMAP_BITS // 8 > limit:
-        return rows
-    slot = _slot(buckets * BITMAP_BITS)
-    maps = (
-        wanted.select(slot.alias("s")).groupBy(F.expr("s div 32768").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.expr("s % 32768")).alias("bits"))
-    )
-    at = rows.withColumn("_s", slot).withColumn("_bucket", F.expr("_s div 32768"))
-    hit = at.join(F.broadcast(maps), F.col("_bucket") == F.col("bucket"))
-    byte = "cast(conv(hex(substring(bits, cast((_s % 32768) div 8 + 1 as int), 1)), 16, 10) as int)"
-    return hit.filter(F.expr(f"(shiftright({byte}, cast(_s % 8 as int)) & 1) = 1")).select(rows.columns)
-
-
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max", digest_bytes: int = 32,
     filter_bytes: int = FILTER_BYTES,
@@ -101,8 +76,8 @@ def exact_dedup(
     index.append(texts.select("digest", "doc_id"))
     index.compact()
     repeated = index.entries().filter("n > 1")
-    hits = _passing(texts.select("digest", "doc_id", "text"), repeated, repeated.count(), filter_bytes)
-    hits = hits.join(repeated, "digest")
+    hits = may_match(texts.select("digest", "doc_id", "text"), repeated, ["digest"], repeated.count(), filter_bytes)
+    hits = hits.filter("_may").drop("_may").join(repeated, "digest")
     staying = hits.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
     staying = staying.groupBy("digest").agg(F.min("text").alias("keep_text"))
     differing = hits.join(staying, "digest").filter("text <> keep_text").select("digest").distinct()
@@ -124,3 +99,22 @@ def _judged(rows: DataFrame) -> DataFrame:
         "doc_id", "keep_id", size.alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
+    """The rows of docs that exact_dedup() keeps; of rows that repeat an identifier and its text, one.
+
+    Rows that a filter of the dropped rows' keys clears pass without being dealt out; only the others are joined with the
+    verdicts, by identifier and digest, nulls included.
+    """
+    verdicts = exact_dedup(docs, id_col, text_col, keep).filter("group_size > 1").groupBy("doc_id", "text_sha256")
+    verdicts = written(verdicts.agg(F.max("kept").alias("kept")), "verdicts")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256"), whole_row(docs))
+    rows = may_match(rows, verdicts, ["doc_id", "text_sha256"], verdicts.count())
+    other = verdicts.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
+    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_sha"))
+    judged = rows.filter("_may").join(other, match, "left").filter("kept is null or kept")
+    one = judged.filter("kept").dropDuplicates(["doc_id", "text_sha256"])
+    kept = rows.filter("not _may").select("_row").unionByName(judged.filter("kept is null").select("_row"))
+    return kept.unionByName(one.select("_row")).select("_row.*")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.common import written
+from corvane.llm.common import whole_row, written
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Rows of each source are counted in so many bins of their rank before any are sorted.
@@ -62,12 +62,11 @@ def mix(
     identifiers hash alike. Repeated rows rank side by side and count each. Copies are whole, so a source whose words lie mostly
     in one document can miss its target by up to half of that. An empty table gives an empty result.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORDS)).cast("long").alias("size"), F.xxhash64(text).alias("tie"),
-        *([row] if keep_columns else []),
+        *([whole_row(docs)] if keep_columns else []),
     )
     sized = written(base.select("doc_id", "source", "size", "tie"), "sized")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

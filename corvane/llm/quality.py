@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import id_and_text, ship, written
+from corvane.llm.common import id_and_text, ship, whole_row
 from corvane.llm.labelled import held_out, training_rows
 
 #: The model is fitted on at most so many labelled rows.
@@ -175,38 +175,55 @@ def fit(
     return Gam(base, edges, tables, pair_edges, pairs, pair_tables)
 
 
-def quality_scores(
-    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fit_rows: int = FIT_ROWS, id_col: str = "doc_id",
-    text_col: str = "text", label_col: str = "quality",
-) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row.
-
-    Features are measured on whole texts, once, and written; the model is fitted on those of at most fit_rows labelled rows (the
-    ones with the smallest hashes) outside the held-out fifth, and scores add up table entries. Labels, language, source and
-    identifier are no inputs of a score.
-
-    Null texts count as empty and get the score that the tables give an empty text. Null identifiers are scored, too, and not held
-    out. Repeated rows get equal scores. Without usable labels every score is the share of ones (0.5 without any). An empty
-    table gives no rows.
-    """
-    spark = docs.sparkSession
-    ship(spark)
+def quality_model(
+    docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality"
+) -> Gam:
+    """The model fitted on at most fit_rows labelled rows (the ones with the smallest hashes) outside the held-out fifth."""
+    ship(docs.sparkSession)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = pd.DataFrame([features(t) for t in batch["text"].tolist()], columns=list(FEATURES), dtype=float)
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
+            out.insert(0, "y", batch["y"].array)
             yield out
 
-    schema = "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES)
-    measured = written(id_and_text(docs, id_col, text_col).mapInPandas(measure, schema), "features")
-    known = training_rows(measured, labels, label_col, fit_rows, id_col).limit(2 * fit_rows).toPandas()
-    known = known.sort_values(["doc_id", *FEATURES])
-    model = fit(known[list(FEATURES)].to_numpy(float), known["y"].to_numpy(float))
+    known = training_rows(id_and_text(docs, id_col, text_col), labels, label_col, fit_rows, id_col)
+    schema = "y int, " + ", ".join(f"{f} double" for f in FEATURES)
+    rows = known.select("text", "y").mapInPandas(measure, schema).limit(2 * fit_rows).toPandas()
+    rows = rows.sort_values([*FEATURES, "y"])
+    return fit(rows[list(FEATURES)].to_numpy(float), rows["y"].to_numpy(float))
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "score": model.score(batch[list(FEATURES)].to_numpy(float))})
 
-    scored = measured.mapInPandas(judge, "doc_id long, score double")
+def _scorer(model: Gam):
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            x = np.array([features(t) for t in texts.tolist()], float).reshape(len(texts), len(FEATURES))
+            yield pd.Series(model.score(x))
+
+    return F.pandas_udf(judge, "double")
+
+
+def quality_scores(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **how
+) -> DataFrame:
+    """doc_id, held_out, score, predicted of every row, by quality_model().
+
+    Features are measured on whole texts and scores add up table entries. Labels, language, source and identifier are no inputs
+    of a score.
+
+    Null texts count as empty and get the score that the tables give an empty text. Null identifiers are scored, too, and not held
+    out. Repeated rows get equal scores. Without usable labels every score is the share of ones (0.5 without any). An empty
+    table gives no rows.
+    """
+    model = quality_model(docs, labels, id_col=id_col, text_col=text_col, **how)
+    scored = id_and_text(docs, id_col, text_col).select("doc_id", _scorer(model)("text").alias("score"))
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def good_documents(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **how
+) -> DataFrame:
+    """The rows of docs whose score is at least the threshold; no row is dealt out or joined for that."""
+    model = quality_model(docs, labels, id_col=id_col, text_col=text_col, **how)
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), whole_row(docs))
+    return rows.withColumn("score", _scorer(model)("text")).filter(F.col("score") >= threshold).select("_row.*")

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import connected_components, id_and_text, ship, written
+from corvane.llm.common import connected_components, id_and_text, may_match, ship, whole_row, written
 from corvane.llm.forest import Forest
 
 #: The upper tree is fitted on so many fingerprints, those with the smallest hashes; every fingerprint is indexed.
@@ -211,3 +211,16 @@ def simhash_dedup(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def representative_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """The rows of docs that simhash_dedup() keeps: one document of each component.
+
+    Rows without an identifier can't be told apart, so they all stay. Rows that a filter of the dropped identifiers clears pass
+    without being dealt out.
+    """
+    dropped = written(simhash_dedup(docs, id_col=id_col, text_col=text_col, **how).filter("not kept").select("doc_id").distinct(), "dropped")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_row(docs))
+    rows = may_match(rows, dropped, ["doc_id"], dropped.count())
+    left = rows.filter("_may").join(dropped.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_anti")
+    return rows.filter("not _may").select("_row.*").unionByName(left.select("_row.*"))
