@@ -87,11 +87,12 @@ def resolve_relationships(relationships: DataFrame, filers: DataFrame, companies
     )
     r = update_from(r, placed, [*_KEYS, "year"], "cw_id", {"cw_id": "cw_id"})
     listed = master_names.filter("cik <> 0").select(name_key(F.col("match_name")).alias("name_k"), "cik")
-    named = update_from(r, listed, ["name_k"], "cik", {"cik": "cik"})
-    r = settled(named.withColumn("_had", F.col("cw_id").isNotNull()), "relations-named")
+    named = update_from(r.withColumn("_cik", F.col("cik")), listed, ["name_k"], "cik", {"_cik": "cik"})
+    named = named.withColumn("cik", F.when(F.col("cw_id").isNull(), F.col("_cik")).otherwise(F.col("cik"))).drop("_cik")
+    r = settled(named, "relations-named")
     r = update_from(r, reg.filter("cik is not null").select("cik", "cw_id"), ["cik"], "cw_id", {"cw_id": "cw_id"})
     r = update_from(r, reg.filter("cik is not null").select("cw_id", "cik"), ["cw_id"], "cik", {"cik": "cik"})
-    r = settled(r.drop("_had"), "relations-matched")
+    r = settled(r, "relations-matched")
     matched = r.filter("cw_id is not null").select("cw_id", "cik", "clean_company", "relationship_id")
     matched = first_of_group(matched, ["cw_id"], "relationship_id").join(companies.select("cw_id"), "cw_id", "left_anti")
     columns = ["cw_id", "cik", "company_name", "source_type", "source_id"]

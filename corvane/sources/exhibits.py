@@ -78,32 +78,32 @@ def validate(candidates: DataFrame, company: str, place: str, places: Places, st
     status is ok, bad_location (a plausible company whose place isn't known) or rejected. A company that is itself a place changes
     sides with the place; if both are places the candidate is rejected.
     """
-    d = candidates.withColumn("_c0", clean_contents(F.col(company))).withColumn("_p0", clean_contents(F.col(place)))
-    fine = F.coalesce((F.length("_c0") > 0) & (F.length("_p0") > 0) & (F.length("_c0") < MOST_RAW) & (F.length("_p0") < MOST_RAW), F.lit(False))
-    for c in ("_c", "_p"):
+    d = candidates.withColumn("v_c0", clean_contents(F.col(company))).withColumn("v_p0", clean_contents(F.col(place)))
+    fine = F.coalesce((F.length("v_c0") > 0) & (F.length("v_p0") > 0) & (F.length("v_c0") < MOST_RAW) & (F.length("v_p0") < MOST_RAW), F.lit(False))
+    for c in ("v_c", "v_p"):
         folded = fold_signs(F.col(f"{c}0"))
         fine = fine & ~folded.rlike(r"^\(?[0-9]+\.[)0-9%]*$")
         d = d.withColumn(f"{c}1", apply_steps(folded, CELL_STEPS))
-    fine = fine & ~F.col("_c1").rlike(CAPTIONS) & ~F.col("_c1").rlike("(?i)^combined ownership of ")
-    d = d.withColumn("_c", strip_junk(apply_steps(F.col("_c1"), COMPANY_STEPS))).withColumn("_p", strip_junk(F.col("_p1")))
-    for c in ("_c", "_p"):
+    fine = fine & ~F.col("v_c1").rlike(CAPTIONS) & ~F.col("v_c1").rlike("(?i)^combined ownership of ")
+    d = d.withColumn("v_c", strip_junk(apply_steps(F.col("v_c1"), COMPANY_STEPS))).withColumn("v_p", strip_junk(F.col("v_p1")))
+    for c in ("v_c", "v_p"):
         x = F.col(c)
         fine = fine & x.rlike("[A-Za-z]") & ~x.rlike(r"^\(?[0-9.]+\)?$") & (F.length(x) > 1) & (F.length(x) <= MOST_CLEAN)
     terms = small(stop_terms.select(F.lower("term").alias("_term"), F.lit(True).alias("_stop")).distinct())
-    d = d.withColumn("_fine", fine)
-    for c in ("_c", "_p"):
-        d = d.join(terms.withColumnRenamed("_stop", f"_stop{c}"), F.lower(F.col(c)) == F.col("_term"), "left").drop("_term")
-    d = d.withColumn("_fine", F.col("_fine") & F.col("_stop_c").isNull() & F.col("_stop_p").isNull())
-    own = resolve_places(d, "_p", places).withColumnsRenamed({"place_clean": "_pc", "country_code": "_pcc", "subdiv_code": "_psc"})
-    both = resolve_places(own, "_c", places).withColumnsRenamed({"place_clean": "_cc0", "country_code": "_ccc", "subdiv_code": "_csc"})
-    swap = F.col("_ccc").isNotNull()
+    d = d.withColumn("v_fine", fine)
+    for c in ("v_c", "v_p"):
+        d = d.join(terms.withColumnRenamed("_stop", f"stop_{c}"), F.lower(F.col(c)) == F.col("_term"), "left").drop("_term")
+    d = d.withColumn("v_fine", F.col("v_fine") & F.col("stop_v_c").isNull() & F.col("stop_v_p").isNull())
+    own = resolve_places(d, "v_p", places).withColumnsRenamed({"place_clean": "v_pc", "country_code": "v_pcc", "subdiv_code": "v_psc"})
+    both = resolve_places(own, "v_c", places).withColumnsRenamed({"place_clean": "v_cc0", "country_code": "v_ccc", "subdiv_code": "v_csc"})
+    swap = F.col("v_ccc").isNotNull()
     pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
     status = (
-        F.when(~F.col("_fine") | (swap & F.col("_pcc").isNotNull()), "rejected").when(~swap & F.col("_pcc").isNull(), "bad_location").otherwise("ok")
+        F.when(~F.col("v_fine") | (swap & F.col("v_pcc").isNotNull()), "rejected").when(~swap & F.col("v_pcc").isNull(), "bad_location").otherwise("ok")
     )
     return both.select(
-        *candidates.columns, pick("_p", "_c").alias("company_clean"), pick("_cc0", "_pc").alias("place_clean"), pick("_ccc", "_pcc").alias("country_code"),
-        pick("_csc", "_psc").alias("subdiv_code"), status.alias("status"),
+        *candidates.columns, pick("v_p", "v_c").alias("company_clean"), pick("v_cc0", "v_pc").alias("place_clean"), pick("v_ccc", "v_pcc").alias("country_code"),
+        pick("v_csc", "v_psc").alias("subdiv_code"), status.alias("status"),
     )
 
 

@@ -177,8 +177,9 @@ def header_rows(headers: DataFrame, region_codes: list[str]) -> DataFrame:
             for filing_id, cik, content in zip(batch["filing_id"], batch["cik"], batch["content"], strict=True):
                 got = header_fields(content, int(cik), codes) if pd.notna(cik) else None
                 if got is not None:
-                    rows.append({"filing_id": filing_id, "cik": int(cik)} | got)
-            yield pd.DataFrame(rows, columns=names).astype({"filing_id": "Int64", "cik": "Int64"})
+                    got |= {"filing_id": int(filing_id), "cik": int(cik)}
+                    rows.append([got.get(n) for n in names])
+            yield pd.DataFrame(rows, columns=names, dtype=object)
 
     return headers.select("filing_id", "cik", "content").mapInPandas(run, HEADER)
 
