@@ -62,8 +62,8 @@ def exact_dedup(
     """doc_id, keep_id, group_size, kept, text_sha256 of every row; equal texts share the keep_id.
 
     Runs of SHA-256 digests are flushed and compacted by DigestIndex. The rows whose digest has more than one entry are hits:
-    their texts are compared with the text that stays, byte by byte; a digest under which texts differ is split by text. Only
-    hits move their texts. digest_bytes shortens the index's keys (tests use it to make digests collide).
+    their texts are compared byte by byte, as keys of an aggregation, so that each task moves equal texts once; a digest under
+    which texts differ is split by text. Other rows don't move their texts. digest_bytes shortens the index's keys (tests use it to make digests collide).
 
     Null text counts as empty, and all empty texts are one group. Rows that repeat an identifier and its text count in
     group_size and are all kept if it stays. Null identifiers count in group_size and never stay unless the group has no other;
@@ -76,12 +76,9 @@ def exact_dedup(
     index.append(texts.select("digest", "doc_id"))
     index.compact()
     repeated = index.entries().filter("n > 1")
-    hits = may_match(texts.select("digest", "doc_id", "text"), repeated, ["digest"], repeated.count(), filter_bytes)
-    hits = hits.filter("_may").drop("_may").join(repeated, "digest")
-    staying = hits.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    staying = staying.groupBy("digest").agg(F.min("text").alias("keep_text"))
-    differing = hits.join(staying, "digest").filter("text <> keep_text").select("digest").distinct()
-    differing = written(differing, "differing")
+    hits = may_match(texts.select("digest", "text"), repeated, ["digest"], repeated.count(), filter_bytes).filter("_may")
+    versions = hits.groupBy("digest", "text").agg(F.lit(1).alias("one")).groupBy("digest").agg(F.count("*").alias("versions"))
+    differing = written(versions.filter("versions > 1").select("digest"), "differing")
     plain = texts.select("doc_id", "digest", "sha").join(repeated, "digest", "left")
     if differing.isEmpty():
         return _judged(plain)
@@ -104,17 +101,21 @@ def _judged(rows: DataFrame) -> DataFrame:
 def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
     """The rows of docs that exact_dedup() keeps; of rows that repeat an identifier and its text, one.
 
-    Rows that a filter of the dropped rows' keys clears pass without being dealt out; only the others are joined with the
-    verdicts, by identifier and digest, nulls included.
+    Rows that a filter of the dropped keys (identifier, null included, and digest) clears pass without being dealt out; only the
+    others are joined with these keys.
     """
     verdicts = exact_dedup(docs, id_col, text_col, keep).filter("group_size > 1").groupBy("doc_id", "text_sha256")
-    verdicts = written(verdicts.agg(F.max("kept").alias("kept")), "verdicts")
+    verdicts = written(verdicts.agg(F.max("kept").alias("kept"), F.count("*").alias("n")).filter("not kept or n > 1"), "verdicts")
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha2(text, 256).alias("text_sha256"), whole_row(docs))
     rows = may_match(rows, verdicts, ["doc_id", "text_sha256"], verdicts.count())
     other = verdicts.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
     match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_sha256") == F.col("_sha"))
-    judged = rows.filter("_may").join(other, match, "left").filter("kept is null or kept")
-    one = judged.filter("kept").dropDuplicates(["doc_id", "text_sha256"])
-    kept = rows.filter("not _may").select("_row").unionByName(judged.filter("kept is null").select("_row"))
-    return kept.unionByName(one.select("_row")).select("_row.*")
+    # an outer join, since the optimizer moves an anti join below the filter, where all rows would be dealt out
+    judged = rows.filter("_may").join(other, match, "left").filter("kept is null")
+    kept = rows.filter("not _may").select("_row").unionByName(judged.select("_row"))
+    again = other.filter("kept")
+    if not again.isEmpty():
+        repeats = rows.filter("_may").join(again, match, "left").filter("kept").dropDuplicates(["doc_id", "text_sha256"])
+        kept = kept.unionByName(repeats.select("_row"))
+    return kept.select("_row.*")

@@ -222,5 +222,6 @@ def representative_documents(docs: DataFrame, id_col: str = "doc_id", text_col:
     dropped = written(simhash_dedup(docs, id_col=id_col, text_col=text_col, **how).filter("not kept").select("doc_id").distinct(), "dropped")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_row(docs))
     rows = may_match(rows, dropped, ["doc_id"], dropped.count())
-    left = rows.filter("_may").join(dropped.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left_anti")
+    # an outer join, since the optimizer moves an anti join below the filter, where all rows would be dealt out
+    left = rows.filter("_may").join(dropped.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left").filter("_id is null")
     return rows.filter("not _may").select("_row.*").unionByName(left.select("_row.*"))
