@@ -49,9 +49,8 @@ def _placed(matches: Column, gaps: Column, values: Column, kind: int) -> Column:
         lambda x: F.struct(F.length(x["g"]).alias("gap"), F.length(x["s"]).alias("n"), x["s"].alias("s"), x["v"].alias("v")),
     )
     n_blocks = F.ceil(F.size(matches) / BLOCK).cast("int")
-    blocks = F.transform(
-        F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(item, b * BLOCK + 1, F.lit(BLOCK))
-    )
+    # the array is bound to a variable first, else it would be made again for each block
+    blocks = F.transform(F.array(item), lambda xs: F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda b: F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))[0]
     span = "array<struct<start:int,k:int,end:int,s:string,v:string>>"
 
     def within(acc: Column, x: Column) -> Column:
@@ -80,28 +79,29 @@ def _excess(string: Column) -> Column:
     """
     weights = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)])
     codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    zeros = F.array_repeat(F.lit(0), len(ALPHABET))
-    start = F.struct(zeros.alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("other"), F.lit(-99.0).alias("best"))
+    start = F.struct(
+        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.array().cast("array<int>").alias("window"), F.lit(0.0).alias("sum"),
+        F.lit(0).alias("other"), F.lit(-99.0).alias("best"),
+    )
 
     def weight(n: Column) -> Column:
         return F.element_at(weights, (n + 1).cast("int"))
 
-    def step(acc: Column, i: Column) -> Column:
-        new = F.element_at(codes, i)
-        full = i > WINDOW
-        old = F.when(full, F.element_at(codes, F.greatest(F.lit(1), i - WINDOW))).otherwise(F.lit(-1))
+    def step(acc: Column, new: Column) -> Column:
+        full = F.size(acc["window"]) == WINDOW
+        old = F.when(full, F.element_at(acc["window"], 1)).otherwise(F.lit(-1))
         c_old = F.when(full, F.element_at(acc["counts"], F.greatest(F.lit(1), old + 1))).otherwise(F.lit(0))
         less = F.when(full, weight(c_old) - weight(F.greatest(F.lit(0), c_old - 1))).otherwise(F.lit(0.0))
         c_new = F.element_at(acc["counts"], new + 1) - F.when(new == old, 1).otherwise(0)
         total = acc["sum"] - less + weight(c_new + 1) - weight(c_new)
         counts = F.transform(acc["counts"], lambda c, j: (c + F.when(j == new, 1).otherwise(0) - F.when(j == old, 1).otherwise(0)).cast("int"))
+        window = F.concat(F.when(full, F.slice(acc["window"], 2, WINDOW - 1)).otherwise(acc["window"]), F.array(new))
         other = acc["other"] + F.when(new >= HEX_CHARS, 1).otherwise(0) - F.when(old >= HEX_CHARS, 1).otherwise(0)
-        bits = F.lit(math.log2(WINDOW)) - total / WINDOW
-        over = bits - F.when(other == 0, F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
-        best = F.when(i >= WINDOW, F.greatest(acc["best"], over)).otherwise(acc["best"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), other.cast("int").alias("other"), best.alias("best"))
+        over = F.lit(math.log2(WINDOW)) - total / WINDOW - F.when(other == 0, F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
+        best = F.when(F.size(acc["window"]) >= WINDOW - 1, F.greatest(acc["best"], over)).otherwise(acc["best"])
+        return F.struct(counts.alias("counts"), window.alias("window"), total.alias("sum"), other.cast("int").alias("other"), best.alias("best"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.size(codes)), start, step)["best"]
+    return F.aggregate(codes, start, step)["best"]
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

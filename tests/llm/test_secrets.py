@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -48,6 +49,15 @@ def test_against_brute_force(spark):
     assert any("entropy" in v[4] for v in got.values())
 
 
+def test_very_long_candidates_and_many_matches(spark):
+    r = random.Random(1)
+    long = "".join(r.choice("abcdefghijklmnop0123456789") for _ in range(60_000))
+    many = " ".join(f"{'0123456789abcdef' * 2}{i}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, long), (2, many)], "doc_id long, text string")
+    got = {r.doc_id: r for r in S.scan_secrets(docs).collect()}
+    assert (got[1].n_hex, got[1].spans) == (0, plain(long)[4]) and got[2].n_hex == 20_000 and got[2].base_sha256 == plain(many)[3]
+
+
 def test_repeats_nulls_and_empty(spark):
     docs = spark.createDataFrame([(None, "token=abcdefgh"), (1, "token=abcdefgh"), (1, "token=abcdefgh")], "doc_id long, text string")
     assert [r.n_assign for r in S.scan_secrets(docs).collect()] == [1, 1, 1]
