@@ -20,8 +20,8 @@ from corvane.llm.common import id_and_text, ship, written
 
 #: Pieces that one task packs, about; with sequences several pieces long, a task's last sequences cost well under 0.1 %.
 SHARD_PIECES = 16384
-#: Entries that a worker's cache of encoded words holds (some 180 MB at most).
-CACHE_ENTRIES = 1_000_000
+#: Entries that a worker's cache of encoded words holds (some 80 MB at most).
+CACHE_ENTRIES = 400_000
 #: Texts whose words are looked up together.
 TOGETHER = 64
 _OPEN: dict[str, WordEncoder] = {}

@@ -19,8 +19,8 @@ from corvane.llm.common import id_and_text, ship
 # The white space that the tokenizer's pattern knows, and the pattern itself with that white space spelt out.
 SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-#: Entries that a worker's cache of counted pre-tokens holds (some 130 MB at most).
-CACHE_ENTRIES = 1_000_000
+#: Entries that a worker's cache of counted pre-tokens holds (some 60 MB at most).
+CACHE_ENTRIES = 400_000
 #: Texts whose pre-tokens are merged together.
 TOGETHER = 64
 NEVER = np.int64(1 << 40)
