@@ -139,3 +139,37 @@ def published_filings(filings: DataFrame, lookup: DataFrame, base_url: str) -> D
     """The filings of the lookup, with the address of the form."""
     out = filings.join(lookup.select("filing_id").distinct(), "filing_id", "left_semi")
     return out.select("filing_id", "cik", "year", "quarter", "filing_date", F.concat(F.lit(base_url), "filename").alias("form_url"), "sec_21_url")
+
+
+def filing_fields(relationships: DataFrame, filings: DataFrame) -> DataFrame:
+    """relationships with filer_cik, year and quarter of their filing."""
+    own = filings.select("filing_id", F.col("cik").alias("filer_cik"), "year", "quarter")
+    return relationships.drop("filer_cik", "year", "quarter").join(own, "filing_id", "left")
+
+
+def exhibit_flags(filers: DataFrame, filings: DataFrame) -> DataFrame:
+    """filers with sec_21: some filing of their cik and year has an exhibit."""
+    has = filings.filter("has_sec21").select("cik", "year").distinct().withColumn("_has", F.lit(True))
+    return filers.drop("sec_21").join(has, ["cik", "year"], "left").withColumn("sec_21", F.coalesce("_has", F.lit(False))).drop("_has")
+
+
+def location_weights(locations: DataFrame) -> DataFrame:
+    """(code, count, weight) of countries and of "country:subdivision" pairs: frequencies and their inverse-log weights."""
+    from corvane.functions.text import inverse_log_weight
+
+    codes = F.array_compact(F.array("country_code", F.when(F.col("subdiv_code").isNotNull(), F.concat_ws(":", "country_code", "subdiv_code"))))
+    per = locations.filter("country_code is not null").select(F.explode(codes).alias("code")).groupBy("code").agg(F.count("*").alias("count"))
+    return per.withColumn("weight", inverse_log_weight(F.col("count")))
+
+
+def with_coordinates(locations: DataFrame, gazetteer: DataFrame) -> DataFrame:
+    """locations (country_code, city) with latitude and longitude from a static table (country_code, place, latitude, longitude).
+
+    The first place of a country and name by latitude counts; comparison ignores case and accents.
+    """
+    from corvane.functions.text import name_key
+
+    known = gazetteer.select("country_code", name_key(F.col("place")).alias("_k"), "latitude", "longitude")
+    known = first_of_group(known, ["country_code", "_k"], "latitude")
+    out = locations.withColumn("_k", name_key(F.col("city"))).join(small(known), ["country_code", "_k"], "left")
+    return out.select(*locations.columns, "latitude", "longitude")

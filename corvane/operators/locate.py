@@ -160,11 +160,14 @@ def best_locations(locations: DataFrame, years: DataFrame) -> DataFrame:
     return valid.groupBy("cw_id", "year").agg(F.coalesce(*picks).alias("location_id"))
 
 
-def fill_locations(info: DataFrame, locations: DataFrame) -> DataFrame:
-    """info (cw_id, year, location_id) whose missing place, or place without a country, is any of the company's places that has one."""
+def fill_locations(info: DataFrame, locations: DataFrame, null_location_id: int | None = None) -> DataFrame:
+    """info (cw_id, year, location_id) whose missing place, or place without a country, is any of the company's places that has one.
+
+    Companies without any place get null_location_id, the shared row that stands for no place.
+    """
     coded = locations.filter("country_code is not null")
     any_ = coded.groupBy("cw_id").agg(F.max("location_id").alias("_any"))
     has = coded.select(F.col("location_id").alias("_loc"), F.lit(True).alias("_coded"))
     out = info.join(any_, "cw_id", "left").join(has, F.col("location_id") == F.col("_loc"), "left")
-    out = out.withColumn("location_id", F.when(F.col("_coded"), F.col("location_id")).otherwise(F.coalesce("_any", "location_id")))
+    out = out.withColumn("location_id", F.when(F.col("_coded"), F.col("location_id")).otherwise(F.coalesce("_any", "location_id", F.lit(null_location_id))))
     return out.select(info.columns)

@@ -234,3 +234,49 @@ def random_sample(spark: SparkSession, t: Tables) -> DataFrame:
     """A sample of 20 rows in a reproducible random order (the limit is the feature)."""
     top = t.orders.select(F.col("o_orderkey").alias("id"), F.md5(F.col("o_orderkey").cast("string")).alias("h")).orderBy("h", "id").limit(20)
     return relational.surrogate_ids(top, ["h", "id"], "n").select("id", "n")
+
+
+@query(f"{_ALL} SELECT relationship_id, filer_cik, year, quarter FROM relationships JOIN (SELECT filing_id, quarter FROM filings) USING (filing_id)")
+def relation_filing_fields(spark: SparkSession, t: Tables) -> DataFrame:
+    return facts.filing_fields(S.relationships(t).drop("filer_cik", "year"), S.filings(t)).select("relationship_id", "filer_cik", "year", "quarter")
+
+
+@query(f"{_ALL} SELECT filer_id, EXISTS (SELECT 1 FROM filings g WHERE g.cik = f.cik AND g.year = f.year AND has_sec21) AS sec_21 FROM filers f")
+def exhibit_flags(spark: SparkSession, t: Tables) -> DataFrame:
+    return facts.exhibit_flags(S.filers(t), S.filings(t)).select("filer_id", "sec_21")
+
+
+@query(f"""{_ALL}, c AS (SELECT country_code AS code FROM relationships UNION ALL SELECT country_code || ':' || subdiv_code FROM relationships WHERE subdiv_code IS NOT NULL)
+SELECT code, count(*) AS count, round(1 / (ln(count(*)) + 1), 9) AS weight FROM c GROUP BY 1""")
+def location_weights(spark: SparkSession, t: Tables) -> DataFrame:
+    return facts.location_weights(S.relationships(t)).withColumn("weight", F.round("weight", 9))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey * 1.5::DOUBLE END AS latitude, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey * -2.0::DOUBLE END AS longitude FROM customer""")
+def place_coordinates(spark: SparkSession, t: Tables) -> DataFrame:
+    n = F.col("n_nationkey")
+    gazetteer = t.nation.select(F.lit("XX").alias("country_code"), F.lower("n_name").alias("place"), (n * 1.5).alias("latitude"), (n * -2.0).alias("longitude"))
+    city = F.when(F.col("c_custkey") % 2 == 0, S.text("Nation_{n}", n=F.col("c_nationkey"))).otherwise("nowhere")
+    rows = t.customer.select("c_custkey", F.lit("XX").alias("country_code"), city.alias("city"))
+    return facts.with_coordinates(rows, gazetteer).select("c_custkey", "latitude", "longitude")
+
+
+@query()
+def company_graph(spark: SparkSession, t: Tables) -> DataFrame:
+    """The whole build; its parts have SQL of their own, this query shows that they fit together."""
+    from corvane.plans.build import company_graph as build
+
+    states = spark.range(25).select(S.text("S{i}", i=F.col("id")).alias("code"), F.lit("US").alias("country_code"), S.text("X{i}", i=F.col("id")).alias("subdiv_code"))
+    codes = spark.createDataFrame([(i, f"industry {i}", i % 4) for i in range(15)], "sic_code int, industry_name string, sic_sector int")
+    sectors = spark.createDataFrame([(i, f"sector {i}") for i in range(4)], "sic_sector int, sector_name string")
+    filers = S.filers(t).withColumn("filing_id", F.col("filer_id"))
+    tables = {
+        "filings": S.filings(t), "filers": filers, "relationships": S.relationships(t).drop("clean_company"), "registry": S.registry(t), "master_names": S.master_names(t),
+        "region_codes": states, "sic_codes": codes, "sic_sectors": sectors,
+    }
+    made = build(tables, list(range(1995, 2003)))
+    out = None
+    for name in ("companies", "company_info", "company_names", "company_locations", "company_relations", "company_filings", "filings_lookup", "registry"):
+        one = made[name].agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
