@@ -2,32 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_STACK = "struct<parents: array<struct<h: double, id: bigint>>, level: int, out: array<struct<id: bigint, parent: bigint, level: int>>>"
-
+from corvane.shared import written
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir, else one that is set for the session in the warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else f"{spark.conf.get('spark.sql.warehouse.dir')}/_corvane_work"
-        if not found.isDefined():
-            spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def settled(df: DataFrame, name: str) -> DataFrame:
-    """df's rows, written to the shared folder and read again, which ends its lineage."""
-    path = f"{shared_dir(df.sparkSession)}/corvane/{name}-{uuid.uuid4().hex}"
-    target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_STACK = "struct<parents: array<struct<h: double, id: bigint>>, level: int, out: array<struct<id: bigint, parent: bigint, level: int>>>"
 
 
 def _indent_fold(rows: Column) -> Column:
@@ -94,12 +74,12 @@ def top_parents(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> Dat
     as in the step before, which is none in a graph without cycles, or after most_steps.
     """
     up = edges.groupBy("target", "year").agg(F.min("source").alias("parent")).filter("target <> parent")
-    up = settled(up.withColumnRenamed("target", "_t").withColumnRenamed("year", "_y"), "parents")
+    up = written(up.withColumnRenamed("target", "_t").withColumnRenamed("year", "_y"), "parents")
     now = info.select("cw_id", "year", F.col("cw_id").alias("top_parent_id"))
     before = None
     for _ in range(most_steps):
         joined = now.join(up, (F.col("top_parent_id") == F.col("_t")) & F.col("year").eqNullSafe(F.col("_y")), "left")
-        now = settled(
+        now = written(
             joined.select("cw_id", "year", F.coalesce("parent", "top_parent_id").alias("top_parent_id"), F.col("parent").isNotNull().alias("moved")), "tops"
         )
         moved = now.filter("moved").count()

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.text import name_key
-from corvane.operators.graph import settled
 from corvane.operators.relational import first_of_group, insert_ignore, surrogate_ids, update_from
+from corvane.shared import written
 
 REGISTRY = "cw_id long, company_name string, cik long, country_code string, subdiv_code string, source string"
 _KEYS = ["name_k", "cc", "sc"]
@@ -52,13 +52,13 @@ def resolve_filers(filers: DataFrame, registry: DataFrame) -> tuple[DataFrame, D
     """(filers with cw_id, companies, registry): one company a cik, with its registered identifier or a new one."""
     known = _registry_keys(registry).filter("cik is not null").groupBy("cik").agg(F.min("cw_id").alias("cw_id"))
     entities = first_of_group(filers.filter("cik is not null").select("cik", "filer_id", "match_name"), ["cik"], "filer_id")
-    entities = settled(entities.join(known, "cik", "left"), "filer-entities")
+    entities = written(entities.join(known, "cik", "left"), "filer-entities")
     old, new = entities.filter("cw_id is not null"), entities.filter("cw_id is null").drop("cw_id")
     new = surrogate_ids(new, ["cik"], "cw_id", _max_id((registry, "cw_id")))
     companies = old.unionByName(new.select(old.columns)).select(
         "cw_id", "cik", F.col("match_name").alias("company_name"), F.lit("filers").alias("source_type"), F.col("filer_id").alias("source_id")
     )
-    companies = settled(companies, "filer-companies")
+    companies = written(companies, "filer-companies")
     out = filers.drop("cw_id").join(companies.select("cik", "cw_id"), "cik", "left")
     fresh = companies.join(filers.select("cik", "incorp_country_code", "incorp_subdiv_code").distinct(), "cik").select(
         "cw_id", "company_name", "cik", F.coalesce("incorp_country_code", F.lit("")).alias("country_code"),
@@ -89,10 +89,10 @@ def resolve_relationships(relationships: DataFrame, filers: DataFrame, companies
     listed = master_names.filter("cik <> 0").select(name_key(F.col("match_name")).alias("name_k"), "cik")
     named = update_from(r.withColumn("_cik", F.col("cik")), listed, ["name_k"], "cik", {"_cik": "cik"})
     named = named.withColumn("cik", F.when(F.col("cw_id").isNull(), F.col("_cik")).otherwise(F.col("cik"))).drop("_cik")
-    r = settled(named, "relations-named")
+    r = written(named, "relations-named")
     r = update_from(r, reg.filter("cik is not null").select("cik", "cw_id"), ["cik"], "cw_id", {"cw_id": "cw_id"})
     r = update_from(r, reg.filter("cik is not null").select("cw_id", "cik"), ["cw_id"], "cik", {"cik": "cik"})
-    r = settled(r, "relations-matched")
+    r = written(r, "relations-matched")
     matched = r.filter("cw_id is not null").select("cw_id", "cik", "clean_company", "relationship_id")
     matched = first_of_group(matched, ["cw_id"], "relationship_id").join(companies.select("cw_id"), "cw_id", "left_anti")
     columns = ["cw_id", "cik", "company_name", "source_type", "source_id"]
@@ -101,10 +101,10 @@ def resolve_relationships(relationships: DataFrame, filers: DataFrame, companies
 
     by_cik = companies.filter("cik is not null").groupBy("cik").agg(F.min("cw_id").alias("cw_id"))
     r = update_from(r, by_cik, ["cik"], "cw_id", {"cw_id": "cw_id"})
-    r = settled(r, "relations-by-cik")
+    r = written(r, "relations-by-cik")
     open_ = r.filter("cw_id is null").select(*_KEYS, "cik", "clean_company", "relationship_id")
     new = first_of_group(open_, _KEYS, "relationship_id")
-    new = settled(surrogate_ids(new, _KEYS, "cw_id", _max_id((registry, "cw_id"), (companies, "cw_id"))), "new-companies")
+    new = written(surrogate_ids(new, _KEYS, "cw_id", _max_id((registry, "cw_id"), (companies, "cw_id"))), "new-companies")
     r = update_from(r, new.select(*_KEYS, "cw_id"), _KEYS, "cw_id", {"cw_id": "cw_id"})
     companies = companies.unionByName(as_company(new))
     fresh = new.select(

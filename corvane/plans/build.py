@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.text import match_key
 from corvane.operators import facts, graph, locate, relational, resolve
-from corvane.operators.graph import settled
+from corvane.shared import written
 
 INPUTS = ("filings", "filers", "relationships", "registry", "master_names", "region_codes", "sic_codes", "sic_sectors")
 
@@ -22,30 +22,30 @@ def company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str
     codes = relational.small(regions.select(F.col("code").alias("state_of_incorporation"), F.col("country_code").alias("_cc"), F.col("subdiv_code").alias("_sc")))
     filers = filers.join(codes, "state_of_incorporation", "left")
     filers = filers.withColumn("incorp_country_code", F.coalesce("_cc", "incorp_country_code")).withColumn("incorp_subdiv_code", F.coalesce("_sc", "incorp_subdiv_code")).drop("_cc", "_sc")
-    filers = settled(resolve.hide_suppressed(filers, tables["registry"], filings), "filers")
+    filers = written(resolve.hide_suppressed(filers, tables["registry"], filings), "filers")
     relationships = facts.filing_fields(tables["relationships"], filings).withColumn("clean_company", match_key(F.col("company_name")))
 
     filers, companies, registry = resolve.resolve_filers(filers, tables["registry"])
-    found = resolve.resolve_relationships(relationships, settled(filers, "filers"), companies, registry, tables["master_names"])
-    filers, companies, registry = found.filers, settled(found.companies, "companies"), found.registry
+    found = resolve.resolve_relationships(relationships, written(filers, "filers"), companies, registry, tables["master_names"])
+    filers, companies, registry = found.filers, written(found.companies, "companies"), found.registry
     parents = graph.indent_parents(found.relationships.select("filing_id", "relationship_id", "cw_id", "hierarchy"), "filing_id", "relationship_id", "cw_id", "hierarchy")
     relations = found.relationships.join(parents.withColumnRenamed("parent", "parent_cw_id"), ["filing_id", "cw_id"], "left")
-    relations = settled(resolve.default_parents(relations, filings, companies), "relationships")
-    edges = settled(graph.distinct_edges(relations, "cw_id", "parent_cw_id", "year"), "edges")
+    relations = written(resolve.default_parents(relations, filings, companies), "relationships")
+    edges = written(graph.distinct_edges(relations, "cw_id", "parent_cw_id", "year"), "edges")
 
     info = facts.describe(facts.company_years(edges, filers), filers, relations)
     info = facts.with_sectors(graph.degrees(info, edges), tables["sic_codes"], tables["sic_sectors"])
-    info = settled(relational.with_year_range(info, "cw_id", "year"), "info")
+    info = written(relational.with_year_range(info, "cw_id", "year"), "info")
     names = facts.flag_recent(facts.company_names(filers, relations, filings, info, tables["master_names"]), info)
     places = facts.company_locations(filers, relations, filings, info, regions)
     numbered = relational.surrogate_ids(places, ["cw_id", "type", "raw_address", "country_code", "subdiv_code"], "location_id")
-    places = settled(facts.flag_recent(numbered, info), "locations")
+    places = written(facts.flag_recent(numbered, info), "locations")
     spark = filings.sparkSession
     best = locate.best_locations(places, spark.createDataFrame([(y,) for y in years], "year int"))
     placed = info.select("cw_id", "year").join(best, ["cw_id", "year"], "left")
     placed = locate.fill_locations(placed, places, 0).withColumnRenamed("location_id", "best_location_id")
     tops = graph.merge_mutual(graph.top_parents(info, edges))
-    info = settled(info.join(placed, ["cw_id", "year"]).join(tops, ["cw_id", "year"]), "info")
+    info = written(info.join(placed, ["cw_id", "year"]).join(tops, ["cw_id", "year"]), "info")
     lookup = facts.filings_lookup(filers, filings, relations)
     registry = resolve.register(registry, companies, names, places)
     return {

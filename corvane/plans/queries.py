@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.operators import fuzzy, graph, locate, relational
 from corvane.plans.registry import Tables, duck_steps, query
+from corvane.shared import fresh_path
 from corvane.sources import exhibits, filings
 
 SUFFIXES = (
@@ -535,13 +534,13 @@ def exhibit_urls(spark: SparkSession, t: Tables) -> DataFrame:
     return filings.with_exhibits(rows, "https://example.org/").select("page_id", "has_sec21", "sec_21_url")
 
 
-@query("""SELECT o_orderkey AS cik, o_orderpriority AS company_name, CASE WHEN o_orderkey % 5 = 0 THEN '10-K/A' ELSE '8-K' END AS type, o_orderdate::DATE AS filing_date, 'edgar/' || o_orderkey || '.txt' AS filename
+@query("""SELECT o_orderkey AS cik, o_orderpriority AS company_name, CASE WHEN o_orderkey % 5 = 0 THEN '10-K/A' ELSE '8-K' END AS type, o_orderdate::DATE AS filing_date, 'data/' || o_orderkey || '.txt' AS filename
 FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 5 = 0""")
 def index_scan(spark: SparkSession, t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
     form = F.when(k % 5 == 0, "10-K/A").otherwise("8-K")
     line = F.when(k % 7 == 0, F.lit("CIK|Company Name|Form Type|Date Filed|Filename")).otherwise(
-        F.concat_ws("|", k.cast("string"), "o_orderpriority", form, F.date_format("o_orderdate", "yyyy-MM-dd"), F.concat(F.lit("edgar/"), k, F.lit(".txt")))
+        F.concat_ws("|", k.cast("string"), "o_orderpriority", form, F.date_format("o_orderdate", "yyyy-MM-dd"), F.concat(F.lit("data/"), k, F.lit(".txt")))
     )
     return filings.index_rows(t.orders.select(line.alias("value"))).filter(filings.is_annual(F.col("type")))
 
@@ -564,7 +563,7 @@ def incremental_ingest(spark: SparkSession, t: Tables) -> DataFrame:
     """Distinct (user, type, day) keys of the events, ingested as a stream in two runs of which the second finds nothing new."""
     from corvane.streaming.ingest import append_distinct, read_stream
 
-    base = f"{graph.shared_dir(spark)}/corvane/ingest-{uuid.uuid4().hex}"
+    base = fresh_path(spark, "ingest")
     for _ in range(2):
         stream = read_stream(spark, f"{t._folder}/events.parquet", ["user_id", "event_type", "ts"])
         rows = stream.withColumn("day", F.date_trunc("day", "ts")).drop("ts")

@@ -106,7 +106,7 @@ def test_headers(spark):
 def test_files(spark, tmp_path):
     folder = tmp_path / "in" / "2005" / "2"
     folder.mkdir(parents=True)
-    (folder / "master.idx").write_text("Last Data Received:    June 30, 2005\nCIK|Company Name|Form Type|Date Filed|Filename\n-----\n7|ACME|10-K|2005-04-01|edgar/7.txt\n8|B|8-K|2005-04-02|edgar/8.txt\nbad|line\n")
+    (folder / "master.idx").write_text("Last Data Received:    June 30, 2005\nCIK|Company Name|Form Type|Date Filed|Filename\n-----\n7|ACME|10-K|2005-04-01|data/7.txt\n8|B|8-K|2005-04-02|data/8.txt\nbad|line\n")
     got = filings.read_index(spark, str(tmp_path / "in")).collect()
     assert [(r.cik, r.type, str(r.filing_date), r.year, r.quarter) for r in got] == [(7, "10-K", "2005-04-01", 2005, 2), (8, "8-K", "2005-04-02", 2005, 2)]
     assert str(filings.freshness(spark.read.text(str(folder))).first().update_date) == "2005-06-30"
