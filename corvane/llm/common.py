@@ -1,52 +1,16 @@
-"""What the operators share: the shared folder, written intermediate tables, code shipping, components of a graph."""
+"""What the operators share: code shipping, filters of keys, components of a graph."""
 
 from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables that all executors see.
-
-    It's the one that the cluster names in spark.checkpoint.dir. Where that is unset, a local master gets a folder under the
-    machine's temporary one, since driver and executor are one process there; any other master gets one in the warehouse.
-    """
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        found = sc._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else None
-    if base is None:
-        if sc.master.split("[")[0] == "local":
-            base = f"file://{tempfile.mkdtemp(prefix='corvane-')}"
-        else:
-            base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_corvane_work"
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; the file system removes it when the application ends."""
-    path = f"{shared_dir(spark)}/corvane/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df after they were written to the shared folder: lineage ends there, and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from corvane.shared import written
 
 
 def ship(spark: SparkSession) -> None:

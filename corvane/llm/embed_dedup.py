@@ -9,8 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import connected_components, ship, written
+from corvane.llm.common import connected_components, ship
 from corvane.llm.forest import Forest
+from corvane.shared import written
 
 #: Vectors of one block, about, and so half of what a task holds; a block pair is one task's work.
 BLOCK_ROWS = 4096

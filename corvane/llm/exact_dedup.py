@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm.common import FILTER_BYTES, fresh_path, id_and_text, may_match, whole_row, written
+from corvane.llm.common import FILTER_BYTES, id_and_text, may_match, whole_row
+from corvane.shared import fresh_path, written
 
 
 class DigestIndex:

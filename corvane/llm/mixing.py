@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.llm.common import whole_row, written
+from corvane.llm.common import whole_row
+from corvane.shared import written
 
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Rows of each source are counted in so many bins of their rank before any are sorted.

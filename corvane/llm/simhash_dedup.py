@@ -10,8 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import connected_components, id_and_text, may_match, ship, whole_row, written
+from corvane.llm.common import connected_components, id_and_text, may_match, ship, whole_row
 from corvane.llm.forest import Forest
+from corvane.shared import written
 
 #: The upper tree is fitted on so many fingerprints, those with the smallest hashes; every fingerprint is indexed.
 SAMPLE = 16384
