@@ -1,5 +1,9 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from __future__ import annotations
+
+from corvane.llm import licenses, secrets
+
 EXACT_DEDUP = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -52,3 +56,72 @@ SELECT g.doc_id, g.size, g.source_size, g.target,
        CAST(g.size * (whole + CASE WHEN q IS NOT NULL AND (inside OR (f.more.q = g.q AND f.more.doc_id = g.doc_id)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM chosen g LEFT JOIN fills f ON g.source IS NOT DISTINCT FROM f.source
 """
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), least AS (SELECT a, min(b) AS c FROM reach GROUP BY a), n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(c, vec_id) AS component_id, vec_id = coalesce(c, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least ON least.a = vec_id
+"""
+
+
+def _listed(items) -> str:
+    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in items) + "]"
+
+
+def license_sql() -> str:
+    """Phrases by comparing slices of words; templates by intersecting the words of every block with those of every template."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    cut = lambda x: f"list_filter(string_split_regex({x}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    phrases = ", ".join(f"('{label}', {_listed(p.split())})" for label, p in licenses.PHRASES.items())
+    templates = ", ".join(f"('{label}', {_listed(sorted({w.decode() for w in licenses.words_of(t.lower().encode())}))})" for label, ts in licenses.TEMPLATES.items() for t in ts)
+    size = licenses.BLOCK_WORDS
+    return f"""
+WITH d AS (SELECT doc_id, {lower} AS t FROM documents), w AS (SELECT doc_id, {cut("t")} AS ws, t FROM d),
+p(label, ps) AS (VALUES {phrases}), q(label, ts) AS (VALUES {templates}),
+base AS (SELECT doc_id, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1:i + len(ps)] = ps)) AS place FROM w, p),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d), lw AS (SELECT doc_id, {cut("line")} AS ws FROM lines),
+blocks AS (SELECT doc_id, list_distinct(ws[lo + 1:lo + {size}]) AS b FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {size // 2}), {size // 2})) AS lo FROM lw)),
+found AS (SELECT doc_id, label, max(len(list_intersect(b, ts)) / len(ts)) AS c FROM blocks, q WHERE len(list_intersect(b, ts)) >= ceil({licenses.THRESHOLD}::DOUBLE * len(ts)) GROUP BY 1, 2),
+bl AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list_sort(list_distinct(list(label))) AS labels FROM base GROUP BY 1),
+fl AS (SELECT doc_id, list(label) AS labels, max(c) AS c FROM found GROUP BY 1)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo AS first_word, hi AS last_word, coalesce(array_to_string(bl.labels, ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(bl.labels, []), coalesce(fl.labels, [])))), ',') AS labels, CASE WHEN n > 0 THEN 1.0 ELSE coalesce(c, 0.0) END::DOUBLE AS score
+FROM w LEFT JOIN bl USING (doc_id) LEFT JOIN fl USING (doc_id)
+"""
+
+
+def secret_sql() -> str:
+    """Places are running sums of the lengths of matches and of what lies between them; entropies are taken of every window anew."""
+    quoted = lambda p: p.replace("'", "''")
+    patterns = [secrets.ASSIGN, secrets.ACCESS, r"[0-9a-f]{24,}", r"[A-Za-z0-9+/_=-]{20,}"]
+    same = "|".join(f"{c if c.isalnum() else chr(92) + c}{{8}}" for c in secrets.ALPHABET)
+    allowed = " OR ".join(f"regexp_matches(x.s, '{quoted(same if p.startswith('(.)') else p)}')" for p in secrets.ALLOWED)
+    spans = ", ".join(
+        f"""list_transform(range(1, len(m{k}) + 1), lambda i: {{'a': (list_sum(list_transform(g{k}[:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m{k}[:i - 1], lambda y: length(y))), 0))::BIGINT,
+      'k': {k}, 's': m{k}[i], 'v': v{k}[i]}}) AS r{k}"""
+        for k in range(4)
+    )
+    parts = ", ".join(
+        f"regexp_extract_all(t, '{quoted(p)}') AS m{k}, string_split_regex(t, '{quoted(p)}') AS g{k}, regexp_extract_all(t, '{quoted(p)}', {2 if k == 0 else 0}) AS v{k}" for k, p in enumerate(patterns)
+    )
+    size = secrets.WINDOW
+    windows = f"list_transform(range(1, length(x.s) - {size - 2}), lambda j: x.s[j:j + {size - 1}])"
+    bits = "list_entropy(string_split(u, ''))"
+    high = f"list_bool_or(list_transform({windows}, lambda u: {bits} >= CASE WHEN regexp_full_match(u, '[0-9a-fA-F]+') THEN {secrets.HEX_BITS} ELSE {secrets.OTHER_BITS} END))"
+    show = lambda xs: f"array_to_string(list_transform({xs}, lambda x: {_listed(secrets.KINDS)}[x.k + 1] || ':' || x.a || ':' || (x.a + length(x.s))), ',')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), p AS (SELECT doc_id, {parts} FROM d), r AS (SELECT doc_id, {spans} FROM p),
+s AS (SELECT doc_id, list_filter(r0, lambda x: length(x.v) >= 6) AS s0, r1 AS s1, r2 AS s2, r3 FROM r), b AS (SELECT *, list_sort(list_concat(s0, s1, s2)) AS base FROM s),
+e AS (SELECT *, list_filter(r3, lambda x: regexp_matches(x.s, '[0-9]') AND regexp_matches(x.s, '[A-Za-z]') AND NOT ({allowed})
+  AND len(list_filter(base, lambda y: x.a < y.a + length(y.s) AND y.a < x.a + length(x.s))) = 0 AND {high}) AS s3 FROM b)
+SELECT doc_id, len(s0)::BIGINT AS n_assign, len(s1)::BIGINT AS n_access, len(s2)::BIGINT AS n_hex, sha256({show("base")}) AS base_sha256, {show("list_sort(list_concat(base, s3))")} AS spans FROM e
+"""

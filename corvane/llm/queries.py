@@ -74,4 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": oracles.EXACT_DEDUP, "op5_mixing": oracles.MIXING}
+    return {
+        "op1_embedding_dedup": oracles.EMBEDDING_DEDUP, "op3_exact_dedup": oracles.EXACT_DEDUP, "op4_licenses": oracles.license_sql(), "op5_mixing": oracles.MIXING,
+        "op9_secrets": oracles.secret_sql(),
+    }
