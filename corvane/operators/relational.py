@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corvane.shared import written
+
 #: Lookup tables are broadcast up to so many rows; larger ones are joined by a shuffle.
 MOST_BROADCAST_ROWS = 200_000
 
@@ -74,10 +76,11 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], order
 def surrogate_ids(rows: DataFrame, order: Sequence[str], id_col: str, start: Column | int = 0) -> DataFrame:
     """rows numbered from start + 1 in the order of a natural key.
 
-    Rows are sorted into ranges; each range is numbered by itself and shifted by the sizes of those before it, so that no single
-    task sees all rows. The order must be total for the numbers to be reproducible.
+    Rows are dealt to ranges; each range is numbered by itself and shifted by the sizes of those before it, so that no single
+    task sees all rows. The ranges are written first, since a later run of the plan could cut them elsewhere. The order must be
+    total for the numbers to be reproducible.
     """
-    spread = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
+    spread = written(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
     within = Window.partitionBy("_part").orderBy(*order)
     numbered = spread.withColumn("_nth", F.row_number().over(within))
     sizes = numbered.groupBy("_part").agg(F.max("_nth").alias("_n"))
