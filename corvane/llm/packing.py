@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import id_and_text, ship, written
+from corvane.llm.common import id_and_text, ship
+from corvane.shared import written
 
 #: Pieces that one task packs, about; with sequences several pieces long, a task's last sequences cost well under 0.1 %.
 SHARD_PIECES = 16384
@@ -36,23 +37,28 @@ class WordEncoder:
     never cross white space, and special strings have none.
     """
 
-    def __init__(self, definition: str, most: int = CACHE_ENTRIES):
+    def __init__(self, prepared: tuple[str, np.ndarray, list[str]], most: int = CACHE_ENTRIES):
         from tokenizers import Tokenizer
 
-        spec = json.loads(definition)
+        definition, self.ends, self.special = prepared
         self.tokenizer, self.most = Tokenizer.from_str(definition), most
         self.words: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        suffix = spec["model"].get("end_of_word_suffix") or "\0"
-        vocabulary = spec["model"]["vocab"]
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.other = re.compile("[^\0-\u017f]").search
         kinds = {k: "".join(re.escape(chr(c)) for c in range(0x180) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         others = rf"[^\t-\r \x85\xa0{kinds['L']}{kinds['N']}]+"
         self.cut = re.compile(rf"[{kinds['L']}]+|'(?:s|t|re|ve|m|ll|d)|[{kinds['N']}]|{others}").findall
 
+    @staticmethod
+    def prepare(definition: str) -> tuple[str, np.ndarray, list[str]]:
+        """What workers need of a definition (JSON text): itself, which ids end words, and the special strings."""
+        spec = json.loads(definition)
+        suffix = spec["model"].get("end_of_word_suffix") or "\0"
+        vocabulary = spec["model"]["vocab"]
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        return definition, ends, [t["content"] for t in spec.get("added_tokens", [])]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         split: list[tuple[dict, list[str]]] = []
@@ -101,7 +107,7 @@ def tokenized_pieces(
     spark = docs.sparkSession
     ship(spark)
     definition = Path(tokenizer_path).read_text(encoding="utf-8")  # a few MB, whatever the input
-    key, shared = hashlib.sha256(definition.encode()).hexdigest(), spark.sparkContext.broadcast(definition)
+    key, shared = hashlib.sha256(definition.encode()).hexdigest(), spark.sparkContext.broadcast(WordEncoder.prepare(definition))
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -35,24 +35,14 @@ def byte_letters() -> dict[str, int]:
 
 
 class PairCounter:
-    """Counts the tokens of texts under the pair ranks of a tokenizer's definition (JSON text)."""
+    """Counts the tokens of texts under the pair ranks of a tokenizer."""
 
-    def __init__(self, definition: str, most: int = CACHE_ENTRIES):
+    def __init__(self, prepared: dict, most: int = CACHE_ENTRIES):
         import regex
 
-        spec = json.loads(definition)
-        vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
-        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
-        size = self.size = max(vocabulary.values()) + 1
-        keys = np.array([vocabulary[a] * size + vocabulary[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.ranks = keys[order], order.astype(np.int64)
-        self.made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)  # by rank
-        self.first = np.zeros(256, np.int64)
-        for letter, byte in byte_letters().items():
-            self.first[byte] = vocabulary[letter]
-        special = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
-        self.special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.size, self.keys, self.ranks, self.made, self.first = (prepared[k] for k in ("size", "keys", "ranks", "made", "first"))
+        special = sorted(prepared["special"], key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.split = regex.compile(PATTERN).findall
         # the same pattern for texts of characters below U+0180, without the slower module
         of = {k: "".join(re.escape(chr(c)) for c in range(0x180) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
@@ -64,6 +54,22 @@ class PairCounter:
         self.cache: dict[str, int] = {}
         self.most = most
 
+    @staticmethod
+    def prepare(definition: str) -> dict:
+        """Arrays of a definition (JSON text): keys of pairs in order with their ranks, the symbol that each rank makes, and each byte's symbol."""
+        spec = json.loads(definition)
+        vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        size = max(vocabulary.values()) + 1
+        keys = np.array([vocabulary[a] * size + vocabulary[b] for a, b in pairs], np.int64)
+        order = np.argsort(keys)
+        first = np.zeros(256, np.int64)
+        for letter, byte in byte_letters().items():
+            first[byte] = vocabulary[letter]
+        made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
+        special = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
+        return {"size": size, "keys": keys[order], "ranks": order.astype(np.int64), "made": made, "first": first, "special": special}
+
     def _ranks(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
         after = np.minimum(at + 1, len(symbols) - 1)
         key = symbols[at] * self.size + symbols[after]
@@ -133,8 +139,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
     """
     spark = docs.sparkSession
     ship(spark)
-    definition = Path(tokenizer_path).read_text(encoding="utf-8")  # a few MB, whatever the input
-    key, shared = hashlib.sha256(definition.encode()).hexdigest(), spark.sparkContext.broadcast(definition)
+    definition = Path(tokenizer_path).read_text(encoding="utf-8")  # what is broadcast of it is 1 MB, whatever the input
+    key, shared = hashlib.sha256(definition.encode()).hexdigest(), spark.sparkContext.broadcast(PairCounter.prepare(definition))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = _counter(key, shared)

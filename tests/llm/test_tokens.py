@@ -21,7 +21,7 @@ def texts(n=600, seed=1):
 
 
 def test_counts_equal_the_library():
-    library, counter = Tokenizer.from_file(BYTES), token_counts.PairCounter(open(BYTES, encoding="utf-8").read(), most=50)
+    library, counter = Tokenizer.from_file(BYTES), token_counts.PairCounter(token_counts.PairCounter.prepare(open(BYTES, encoding="utf-8").read()), most=50)
     every = [*texts(), *(t.encode("ascii", "ignore").decode() + c for t in texts() for c in ("", "É", " ª² ŉ")), *(f"{chr(c)}a {chr(c)}1" for c in range(0x250))]
     for at in range(0, len(every), 7):
         for t, n in zip(every[at : at + 7], counter.count(every[at : at + 7]), strict=True):
@@ -29,7 +29,7 @@ def test_counts_equal_the_library():
 
 
 def test_word_encoder_equals_the_library():
-    library, encoder = Tokenizer.from_file(WORDS), packing.WordEncoder(open(WORDS, encoding="utf-8").read(), most=50)
+    library, encoder = Tokenizer.from_file(WORDS), packing.WordEncoder(packing.WordEncoder.prepare(open(WORDS, encoding="utf-8").read()), most=50)
     every = [*texts(), *(t.encode("ascii", "ignore").decode() + c for t in texts() for c in ("", "É", "ª²ǅ"))]
     every += [chr(c) + "A" + chr(c) for c in range(0x250)]
     for at in range(0, len(every), 7):
