@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from corvane.llm.common import FILTER_BYTES, id_and_text, may_match, whole_row
 from corvane.shared import fresh_path, written
 
+#: Runs of an append or a level have so many files for each core at most; small input splits share a memtable.
+MEMTABLES_PER_CORE = 4
+
 
 class DigestIndex:
     """A log-structured merge index from a text digest to the identifier that stays and the number of rows.
 
-    Each input task is a memtable: append() sorts its digests and flushes them as one sorted run (a Parquet file whose footer
-    has the key range and whose Bloom filter answers point lookups). compact() merges all runs into the next level, keeping one
-    entry a digest: the identifier that stays and the count. Only digests and identifiers are ever dealt out, and each task adds
+    Each task is a memtable, a few for each core whatever the number of input splits: append() sorts its digests and flushes them
+    as one sorted run (a Parquet file whose footer has the key range and whose Bloom filter answers point lookups). compact()
+    merges all runs into the next level, keeping one entry a digest: the identifier that stays and the count. Only digests and identifiers are ever dealt out, and each task adds
     up its own entries of a digest first, so a digest that a third of all rows share costs one row a task.
     """
 
@@ -22,13 +25,14 @@ class DigestIndex:
         if keep not in ("max", "min"):
             raise ValueError("keep is 'max' or 'min'")
         self.spark, self.keep, self.runs = spark, keep, []
+        self.most_files = MEMTABLES_PER_CORE * spark.sparkContext.defaultParallelism
 
     def append(self, entries: DataFrame) -> None:
         """entries: digest binary, doc_id long."""
         path = fresh_path(self.spark, "run")
         run = entries.select("digest", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("n"))
         (
-            run.sortWithinPartitions("digest").write.option("parquet.bloom.filter.enabled#digest", "true")
+            run.coalesce(self.most_files).sortWithinPartitions("digest").write.option("parquet.bloom.filter.enabled#digest", "true")
             .option("parquet.bloom.filter.max.bytes", str(1 << 20)).parquet(path)
         )
         self.runs.append(path)
@@ -37,7 +41,7 @@ class DigestIndex:
         path = fresh_path(self.spark, "level")
         best = F.max("keep_id") if self.keep == "max" else F.min("keep_id")
         merged = self._read().groupBy("digest").agg(best.alias("keep_id"), F.sum("n").alias("n"))
-        merged.sortWithinPartitions("digest").write.option("parquet.bloom.filter.enabled#digest", "true").option(
+        merged.coalesce(self.most_files).sortWithinPartitions("digest").write.option("parquet.bloom.filter.enabled#digest", "true").option(
             "parquet.bloom.filter.max.bytes", str(1 << 20)
         ).parquet(path)
         self.runs = [path]
