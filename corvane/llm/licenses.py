@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -53,6 +55,16 @@ def blocks_of(raw: bytes, block_words: int) -> Iterator[tuple[int, list[bytes]]]
         at += len(words)
 
 
+def wrapped_blocks_of(raw: bytes, block_words: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(place of the first word, words) of each window over the whole text that holds words of several lines."""
+    lines = [words_of(line) for line in raw.split(b"\n")]
+    ends = list(accumulate(len(words) for words in lines))
+    every = [w for words in lines for w in words]
+    for lo in range(0, max(1, len(every) - block_words // 2) if every else 0, block_words // 2):
+        if ends[bisect_right(ends, lo)] < min(lo + block_words, len(every)):
+            yield lo, every[lo : lo + block_words]
+
+
 @dataclass
 class TemplateIndex:
     """Templates as token sets in one global order, rarest first, and an inverted index of their prefixes.
@@ -117,14 +129,18 @@ def license_scan(
     docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, Sequence[str]] = TEMPLATES,
     threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches of every row.
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches, whole_labels, whole_score, wrapped of every row.
 
     Base labels come from phrases whose words stand one after the other. The method adds the labels of all templates that some
     text block holds to the threshold (share of the template's distinct words); tokens are ordered by the number of rows of docs
     that hold them, counted over all rows first. score is 1 with a base label, else the best containment found, else 0. matches
     lists (label, first_word, containment) of the blocks.
 
-    Null and empty texts have no words, no labels (empty strings), null places and score 0. Rows are judged one by one, so null
+    labels, score and matches judge lines, as the SQL beside the query does, so a notice wrapped over lines isn't in them. wrapped
+    lists the same of windows over the whole text that hold words of several lines; every run of block_words / 2 words lies in one.
+    whole_labels and whole_score count both.
+
+    Null and empty texts have no words, no labels (empty strings), null places and scores of 0. Rows are judged one by one, so null
     or repeated identifiers don't matter. An empty table gives no rows.
     """
     spark = docs.sparkSession
@@ -153,23 +169,29 @@ def license_scan(
                 raw = text.encode().lower()
                 words = words_of(raw)
                 base = _phrases(words, wanted) if any(w in raw for w in rare) else []
-                matches = []
+                matches, wrapped = [], []
                 if not index.prefix.keys().isdisjoint(words):
                     for at, block in blocks_of(raw, block_words):
                         matches += [(index.labels[t], at, c) for t, c in index.search(block)]
+                    for at, block in wrapped_blocks_of(raw, block_words):
+                        wrapped += [(index.labels[t], at, c) for t, c in index.search(block)]
                 own = {label for _, label in base}
                 out.append((
                     len(words), len(base), min((k for k, _ in base), default=None), max((k for k, _ in base), default=None),
                     ",".join(sorted(own)), ",".join(sorted(own | {m[0] for m in matches})),
                     1.0 if base else max((m[2] for m in matches), default=0.0),
                     [{"label": a, "first_word": b, "containment": c} for a, b, c in matches],
+                    ",".join(sorted(own | {m[0] for m in matches + wrapped})),
+                    1.0 if base else max((m[2] for m in matches + wrapped), default=0.0),
+                    [{"label": a, "first_word": b, "containment": c} for a, b, c in wrapped],
                 ))
-            got = pd.DataFrame(out, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"])
+            got = pd.DataFrame(out, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches", "whole_labels", "whole_score", "wrapped"])
             got.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
             yield got.astype({"first_word": "Int64", "last_word": "Int64"})
 
     return rows.mapInPandas(
         scan,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
-        "matches array<struct<label: string, first_word: long, containment: double>>",
+        "matches array<struct<label: string, first_word: long, containment: double>>, whole_labels string, whole_score double, "
+        "wrapped array<struct<label: string, first_word: long, containment: double>>",
     )

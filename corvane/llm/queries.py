@@ -42,7 +42,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _licenses.license_scan(_table(spark, sf_dir, "documents")).drop("matches")
+    return _licenses.license_scan(_table(spark, sf_dir, "documents")).drop("matches", "whole_labels", "whole_score", "wrapped")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,3 +81,30 @@ def test_null_ids_and_empty(spark):
     docs = spark.createDataFrame([(None, "cc by nc"), (1, "cc by nc"), (1, "cc by nc")], "doc_id long, text string")
     assert [r.base_labels for r in L.license_scan(docs).collect()] == ["cc-by-nc"] * 3
     assert L.license_scan(docs.limit(0)).count() == 0
+
+
+NOTICES = {
+    "mit": "Copyright (c) 2020 X\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal",
+    "gpl-3": "# This program is free software: you can redistribute it\n# and/or modify it under the terms of the GNU General\n# Public License as published by the Free Software\n# Foundation, either version 3",
+    "bsd": " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:",
+}
+
+
+def test_wrapped_notices(spark):
+    rows = [(k, t) for n in (0, 17, 31, 32, 50) for k, t in ((k, "word " * n + "\n" + t + "\n" + "more words\n" * n) for k, t in NOTICES.items())]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in L.license_scan(docs).collect()}
+    for i, (label, text) in enumerate(rows):
+        assert got[i].whole_labels.split(",") == [label] and got[i].whole_score >= 0.8
+        assert {m.label for m in got[i].wrapped} == {label} and tuple(got[i])[1:8] == plain(text, L.BLOCK_WORDS)
+
+
+def test_wrapped_against_brute_force(spark):
+    rows = list(enumerate(texts(seed=1, n=150)))
+    got = {r.doc_id: r for r in L.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    more = 0
+    for i, t in rows:
+        lines, flat = plain(t, L.BLOCK_WORDS), plain((t or "").replace("\n", " "), L.BLOCK_WORDS)
+        assert got[i].whole_labels == ",".join(sorted({*lines[5].split(","), *flat[5].split(",")} - {""})) and got[i].whole_score == max(lines[6], flat[6])
+        more += got[i].whole_labels != got[i].labels
+    assert more
