@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from corvane.functions import text as T
@@ -71,6 +73,33 @@ def test_fuzzy_matches(spark):
     assert {(1, 10), (1, 11), (1, 12)} == set(map(tuple, loose))
 
 
+@pytest.mark.parametrize("least", [75.0, 40.0])
+def test_names_of_stop_terms_only_lose_no_pair(spark, least):
+    r = random.Random(int(least))
+    frequent, rare = ["the", "corp", "first", "inc", "group"], ["acme", "zeta", "delta"]
+    some = lambda n, ws: sorted({" ".join(r.choices(ws, k=r.randrange(1, 6))) for _ in range(n)})
+    a_names, b_names = ["The Corp", "", "corp corp corp first", *some(40, frequent), *some(20, frequent + rare)], ["the corp", "", *some(80, frequent + rare)]
+    left = spark.createDataFrame(list(enumerate(a_names)), "id int, name string")
+    right = spark.createDataFrame(list(enumerate(b_names)), "id int, name string")
+    both = left.unionByName(right)
+    ww, bw = relational.token_counts(both, T.words(F.col("name")), "word"), relational.token_counts(both, T.bigrams(F.col("name")), "bigram")
+    stop = spark.createDataFrame([(w,) for w in frequent], "word string")
+    two = lambda ws: [f"{x} {y}" for x, y in zip(ws, ws[1:], strict=False)]
+    want = {}
+    for kind, table, of in (("term", ww, list), ("bigram", bw, two)):
+        w = {x[0]: x.weight for x in table.collect()}
+        for i, a in enumerate(a_names):
+            a = a.lower().split()
+            for j, b in enumerate(b_names):
+                b = b.split()
+                score = 100 if a == b else 100 * overlap(of(a), of(b), w)
+                if score > least and (set(a) <= set(frequent) or set(a) & set(b) & set(rare)):
+                    want[i, j, kind] = score
+    got = fuzzy.fuzzy_matches(left, right, ww, bw, stop, least, stop_only=True).collect()
+    assert len(got) == len(want) and {(x.a_id, x.b_id, x.match_type): x.score for x in got} == pytest.approx(want)
+    assert want[0, 0, "term"] == want[1, 1, "bigram"] == 100
+
+
 def test_keyed_tables(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "x"), (3, "z"), (3, "c"), (None, "n")], "k int, v string")
