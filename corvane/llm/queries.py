@@ -62,7 +62,7 @@ def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _secrets.scan_secrets(_table(spark, sf_dir, "documents")).drop("found")
+    return _secrets.scan_secrets(_table(spark, sf_dir, "documents")).drop("found", "beside")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

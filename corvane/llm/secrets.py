@@ -27,6 +27,11 @@ ALLOWED = (
     r"(.)\1{7}",
     r"(?i)abcdefghij|0123456789",
 )
+# What is left of a candidate beside the allowed runs and words: literals of ALLOWED may overlap each other and a run, so a run is
+# replaced by its first and last character around a mark, then every character of a literal goes, then what remains at the mark.
+ALLOWED_RUN, MARK = r"(.)\1{7,}", r"[^\n]?\r[^\n]?"
+_LITERALS = [w for p in ALLOWED if p.startswith("(?i)") for w in p.removeprefix("(?i)").split("|")]
+ALLOWED_LITERAL = "(?i)" + "|".join(f"(?<={w[:i]}){w[i]}(?={w[i + 1 :]})" for w in _LITERALS for i in range(len(w)))
 BLOCK = 256
 
 
@@ -104,12 +109,20 @@ def _excess(string: Column) -> Column:
     return F.aggregate(codes, start, step)["best"]
 
 
+def _beside_allowed(string: Column) -> Column:
+    """The pieces of string between what the unanchored patterns of ALLOWED match; a window in a piece overlaps no match."""
+    marked = F.regexp_replace(string, ALLOWED_RUN, "$1\r$1")
+    return F.split(F.regexp_replace(F.regexp_replace(marked, ALLOWED_LITERAL, "\n"), MARK, "\n"), "\n+")
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, found of every row; found has (start, end, kind, string).
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, found, beside of every row; found and beside have (start, end, kind, string).
 
     Base kinds are matched leftmost and without overlaps: assign (matches whose value has under 6 characters are dropped after
     matching), access and hex. Candidates of 20 or more characters with letters and digits that lie in no base span, and that no
     allow-list pattern finds, are added as kind entropy if any window of 20 characters has the entropy that its class needs.
+    spans and found judge candidates whole, as the SQL beside the query does. beside has the candidates that the allow-list keeps from
+    them (but not UUIDs) although a window that overlaps nothing the allow-list matches has the entropy.
 
     Places count code points from 0, ends are exclusive. Null and empty texts have no spans (base_sha256 is that of the empty
     string). Rows are judged one by one, so null or repeated identifiers and ties don't matter. An empty table gives no rows.
@@ -127,12 +140,26 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn("s0", F.filter("s0", lambda x: F.length(x["v"]) >= 6))
     rows = rows.withColumn("base", F.array_sort(F.concat("s0", "s1", "s2")))
 
+    def apart(x: Column) -> Column:
+        return ~F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
+
     def candidate(x: Column) -> Column:
         fits = x["s"].rlike("[0-9]") & x["s"].rlike("[A-Za-z]")
         for pattern in ALLOWED:
             fits = fits & ~x["s"].rlike(pattern)
-        return fits & ~F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
+        return fits & apart(x)
 
+    def hidden(x: Column) -> Column:
+        fits, some = x["s"].rlike("[0-9]") & x["s"].rlike("[A-Za-z]"), F.lit(False)
+        for pattern in ALLOWED:
+            if pattern.startswith("^"):
+                fits = fits & ~x["s"].rlike(pattern)
+            else:
+                some = some | x["s"].rlike(pattern)
+        return fits & some & apart(x)
+
+    rows = rows.withColumn("s4", F.filter("s3", hidden))
+    rows = rows.withColumn("s4", F.filter("s4", lambda x: F.exists(_beside_allowed(x["s"]), lambda p: (F.length(p) >= WINDOW) & (_excess(p) >= 0))))
     rows = rows.withColumn("s3", F.filter("s3", candidate))
     rows = rows.withColumn("s3", F.filter("s3", lambda x: _excess(x["s"]) >= 0))
     rows = rows.withColumn("every", F.array_sort(F.concat("base", "s3")))
@@ -141,10 +168,13 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def listed(spans: str) -> Column:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.element_at(names, x["k"] + 1), x["start"], x["end"])), ",")
 
+    def described(spans: str) -> Column:
+        return F.transform(spans, lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), F.element_at(names, x["k"] + 1).alias("kind"), x["s"].alias("string"),
+        ))
+
     return rows.select(
         "doc_id", *[F.size(f"s{k}").cast("long").alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(listed("base"), 256).alias("base_sha256"), listed("every").alias("spans"),
-        F.transform("every", lambda x: F.struct(
-            x["start"].alias("start"), x["end"].alias("end"), F.element_at(names, x["k"] + 1).alias("kind"), x["s"].alias("string"),
-        )).alias("found"),
+        described("every").alias("found"), described("s4").alias("beside"),
     )

@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import math
 import random
@@ -62,3 +63,42 @@ def test_repeats_nulls_and_empty(spark):
     docs = spark.createDataFrame([(None, "token=abcdefgh"), (1, "token=abcdefgh"), (1, "token=abcdefgh")], "doc_id long, text string")
     assert [r.n_assign for r in S.scan_secrets(docs).collect()] == [1, 1, 1]
     assert S.scan_secrets(docs.limit(0)).count() == 0
+
+
+def plain_beside(text):
+    base = [(m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    base += [(m.start(), m.end()) for m in re.finditer("AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}", text)]
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        s = m[0]
+        if not re.search("[0-9]", s) or not re.search("[A-Za-z]", s) or re.search(S.ALLOWED[0], s) or any(m.start() < e and b < m.end() for b, e in base):
+            continue
+        covered = {i for p in S.ALLOWED[1:] for k in range(len(s)) if (x := re.compile(p).match(s, k)) for i in range(*x.span())}
+        for i in range(len(s) - S.WINDOW + 1 if covered else 0):
+            w = s[i : i + S.WINDOW]
+            bits = -sum(c / S.WINDOW * math.log2(c / S.WINDOW) for c in Counter(w).values())
+            if covered.isdisjoint(range(i, i + S.WINDOW)) and bits >= (S.HEX_BITS if re.fullmatch("[0-9a-fA-F]+", w) else S.OTHER_BITS) - 1e-12:
+                out.append((m.start(), m.end()))
+                break
+    return out
+
+
+def test_keys_beside_what_is_allowed(spark):
+    r = random.Random(3)
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    public = field(b"ssh-ed25519") + field(r.randbytes(32))
+    private = r.randbytes(4) * 2 + public + field(r.randbytes(64)) + field(b"")
+    private += bytes(range(1, 1 + -len(private) % 8))
+    blob = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field(b"") + (1).to_bytes(4, "big") + field(public) + field(private)
+    key = base64.b64encode(blob).decode()
+    path = "a/sample/q7RzT2vLx9WmK4pYb8NcJ3"
+    texts = [key, "see " + path + " there", "550e8400-e29b-41d4-a716-446655440000", "sample/0123456789abcdefghij1", *(t for t in TEXTS if t)]
+    parts = ["example", "Sample", "mple", "e" * 8, "j" * 9, "0" * 8, "123456789", "abcdefghij", "0123456789", "dummy", "dddddddd", "x7"]
+    for _ in range(300):
+        some = [r.choice(parts) if r.random() < 0.6 else "".join(r.choices(S.ALPHABET, k=r.randrange(15, 24))) for _ in range(r.randrange(1, 6))]
+        texts.append("".join(some))
+    got = {x.doc_id: x for x in S.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert "AAAAAAAAA" in key and got[0].spans == got[1].spans == ""
+    assert [b.string for b in got[0].beside] == [key] and [b.string for b in got[1].beside] == [path] and not got[2].beside and not got[3].beside
+    assert {i: [(b.start, b.end) for b in x.beside] for i, x in got.items()} == {i: plain_beside(t) for i, t in enumerate(texts)}
+    assert sum(bool(x.beside) for x in got.values()) > 50
