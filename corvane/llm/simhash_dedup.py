@@ -214,15 +214,27 @@ def simhash_dedup(
     )
 
 
-def representative_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+def representative_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, seed: int = 42, **how
+) -> DataFrame:
     """The rows of docs that simhash_dedup() keeps: one document of each component.
 
-    Rows without an identifier can't be told apart, so they all stay. Rows that a filter of the dropped identifiers clears pass
-    without being dealt out.
+    Rows that share an identifier are told apart by their fingerprints: one may stay for its own component where another goes. Rows
+    without an identifier all stay. Rows that a filter of the dropped identifiers clears pass without being dealt out; only the others'
+    fingerprints are made again.
     """
-    dropped = written(simhash_dedup(docs, id_col=id_col, text_col=text_col, **how).filter("not kept").select("doc_id").distinct(), "dropped")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_row(docs))
+    judged = simhash_dedup(docs, words=words, seed=seed, id_col=id_col, text_col=text_col, **how)
+    dropped = written(judged.filter("not kept and doc_id is not null").select("doc_id", "fingerprint").distinct(), "dropped")
+
+    @F.pandas_udf("long")
+    def prints(texts: pd.Series) -> pd.Series:
+        parts = [fingerprints(texts.iloc[at : at + 256].tolist(), words, seed) for at in range(0, len(texts), 256)]
+        return pd.Series(np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64))
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), whole_row(docs))
     rows = may_match(rows, dropped, ["doc_id"], dropped.count())
+    maybe = rows.filter("_may").withColumn("fingerprint", F.lower(F.lpad(F.hex(prints("text")), 16, "0")))
+    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fp"))
     # an outer join, since the optimizer moves an anti join below the filter, where all rows would be dealt out
-    left = rows.filter("_may").join(dropped.select(F.col("doc_id").alias("_id")), F.col("doc_id") == F.col("_id"), "left").filter("_id is null")
+    left = maybe.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("fingerprint") == F.col("_fp")), "left").filter("_id is null")
     return rows.filter("not _may").select("_row.*").unionByName(left.select("_row.*"))
