@@ -42,9 +42,29 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df after they were written to the shared folder: lineage ends there, and lost executors cost nothing."""
+#: Rows of one file, where the number of rows is known.
+FILE_ROWS = 500_000
+
+
+def written(df: DataFrame, name: str, most_rows: int | None = None) -> DataFrame:
+    """The rows of df after they were written to the shared folder: lineage ends there, and lost executors cost nothing.
+
+    most_rows, where the caller knows a bound, keeps a small table from becoming as many files as a shuffle has partitions.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
+    if most_rows is not None:
+        df = df.coalesce(max(1, -(-most_rows // FILE_ROWS)))
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._corvane_path = path
+    return out
+
+
+def removed(df: DataFrame) -> None:
+    """Deletes a table that written() made and that nothing reads any more."""
+    path = getattr(df, "_corvane_path", None)
+    if path is not None:
+        sc = df.sparkSession.sparkContext
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
