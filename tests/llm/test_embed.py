@@ -19,9 +19,13 @@ def plain(rows, threshold):
             if l1 == l2 and len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
                 n[i] += 1
                 n[j] += 1
-                links.append((rows[i][0], rows[j][0]))
-    comp = classes(sorted({r[0] for r in rows if r[0] is not None}), links)
-    return sorted((str(r[0]), n[k], str(comp.get(r[0]))) for k, r in enumerate(rows))
+                links.append((i, j))
+    comp = classes(range(len(rows)), links)
+    least = {}
+    for k, r in enumerate(rows):
+        if r[0] is not None:
+            least[comp[k]] = min(least.get(comp[k], r[0]), r[0])
+    return sorted((str(r[0]), n[k], str(least.get(comp[k]))) for k, r in enumerate(rows))
 
 
 def sample_rows(n=600, dim=8, seed=0):
@@ -35,10 +39,11 @@ def sample_rows(n=600, dim=8, seed=0):
     return rows + [(n + 9, [float("inf")] * dim, 1), (n + 10, [], 1)]
 
 
-@pytest.mark.parametrize("block,sample", [(4096, 8192), (40, 300), (40, 2)])
+@pytest.mark.parametrize("block,sample", [(4096, 8), (40, 8), (10, 1)])
 def test_embedding_dedup(spark, block, sample):
     rows = sample_rows()
-    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumnsRenamed({})
+    clash = "node long, weight string, component_id int, grp string, n_links int"
+    vectors = spark.createDataFrame([(*r, 1, "x", 2, "y", 3) for r in rows], f"vec_id long, embedding array<float>, label int, {clash}")
     got = E.embedding_dedup(vectors, 0.98, block_rows=block, sample=sample).collect()
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == plain(rows, 0.98)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
@@ -50,6 +55,25 @@ def test_empty_and_repeated(spark):
     assert E.embedding_dedup(v.limit(0)).count() == 0
 
 
+def test_one_identifier_with_several_vectors_and_labels(spark):
+    two = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 1), (4, [1.0, 0.02], 1)]
+    labels = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 2), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 2)]
+    for rows in (two, labels):
+        got = E.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+        assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in got) == plain(rows, 0.98)
+    assert sorted((r.vec_id, r.n_links) for r in got) == [(1, 0), (1, 1), (2, 1), (3, 0)]
+
+
+def test_tight_groups_need_no_comparisons(spark):
+    """A group whose radius proves all links is cut into blocks that are linked by their sums."""
+    r = np.random.default_rng(2)
+    rows = [(i, [1.0, *(0.01 * r.normal(size=5)).tolist()], 1) for i in range(500)] + [(1000 + i, [-1.0, *(0.01 * r.normal(size=5)).tolist()], 1) for i in range(90)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = E.embedding_dedup(vectors, block_rows=30).collect()
+    assert sorted((str(x.vec_id), x.n_links, str(x.component_id)) for x in got) == plain(rows, 0.98)
+    assert {x.n_links for x in got} == {499, 89}
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_dual_traversal(seed):
     r = np.random.default_rng(seed)
