@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
-from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,20 +20,30 @@ TEMPLATES = {
     "mit": (
         "released under the MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
+    ),
+    "apache-2": (
+        "Licensed under the Apache License, Version 2.0",
+        "You may obtain a copy of the License at apache.org/licenses/LICENSE-2.0",
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ),
-    "apache-2": ("Licensed under the Apache License, Version 2.0", "You may obtain a copy of the License at apache.org/licenses/LICENSE-2.0"),
     "gpl-3": (
         "licensed under the GNU General Public License, version 3",
         "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
+        "You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>",
     ),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     "cc-by-sa": ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",),
-    "bsd": ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",),
-    "mpl-2": ("subject to the terms of the Mozilla Public License, v. 2.0",),
+    "bsd": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software",
+    ),
+    "mpl-2": ("subject to the terms of the Mozilla Public License, v. 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     "all-rights-reserved": ("All rights reserved",),
 }
 THRESHOLD = 0.8
-#: A text block is a line; longer lines are cut into windows of so many words, each half covered by the next.
+#: A text block is a window of so many words of the whole text, line ends or not; each half is covered by the next, so that every
+#: run of 33 words lies in one block. No template is longer.
 BLOCK_WORDS = 64
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -45,24 +53,10 @@ def words_of(raw: bytes) -> list[bytes]:
     return _WORDS.findall(raw)
 
 
-def blocks_of(raw: bytes, block_words: int) -> Iterator[tuple[int, list[bytes]]]:
+def blocks_of(words: list[bytes], block_words: int) -> Iterator[tuple[int, list[bytes]]]:
     """(place of the first word, words) of each text block."""
-    at = 0
-    for line in raw.split(b"\n"):
-        words = words_of(line)
-        for lo in range(0, max(1, len(words) - block_words // 2), block_words // 2):
-            yield at + lo, words[lo : lo + block_words]
-        at += len(words)
-
-
-def wrapped_blocks_of(raw: bytes, block_words: int) -> Iterator[tuple[int, list[bytes]]]:
-    """(place of the first word, words) of each window over the whole text that holds words of several lines."""
-    lines = [words_of(line) for line in raw.split(b"\n")]
-    ends = list(accumulate(len(words) for words in lines))
-    every = [w for words in lines for w in words]
-    for lo in range(0, max(1, len(every) - block_words // 2) if every else 0, block_words // 2):
-        if ends[bisect_right(ends, lo)] < min(lo + block_words, len(every)):
-            yield lo, every[lo : lo + block_words]
+    for lo in range(0, max(1, len(words) - block_words // 2), block_words // 2):
+        yield lo, words[lo : lo + block_words]
 
 
 @dataclass
@@ -118,9 +112,11 @@ def _phrases(words: list[bytes], phrases: Mapping[str, bytes]) -> list[tuple[int
     line = b" " + b" ".join(words) + b" "
     found = []
     for label, phrase in phrases.items():
-        at = line.find(phrase)
+        at, seen, place = line.find(phrase), 0, 0
         while at >= 0:
-            found.append((line.count(b" ", 0, at), label))
+            place += line.count(b" ", seen, at)  # from the hit before, so that many hits cost no more than the text's length
+            seen = at
+            found.append((place, label))
             at = line.find(phrase, at + 1)
     return found
 
@@ -129,19 +125,17 @@ def license_scan(
     docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, Sequence[str]] = TEMPLATES,
     threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches, whole_labels, whole_score, wrapped of every row.
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches of every row.
 
     Base labels come from phrases whose words stand one after the other. The method adds the labels of all templates that some
     text block holds to the threshold (share of the template's distinct words); tokens are ordered by the number of rows of docs
-    that hold them, counted over all rows first. score is 1 with a base label, else the best containment found, else 0. matches
-    lists (label, first_word, containment) of the blocks.
-
-    labels, score and matches judge lines, as the SQL beside the query does, so a notice wrapped over lines isn't in them. wrapped
-    lists the same of windows over the whole text that hold words of several lines; every run of block_words / 2 words lies in one.
-    whole_labels and whole_score count both.
+    that hold them, counted over all rows first. Blocks are windows over the words of the whole text, so a notice wrapped over lines
+    is found. score is 1 with a base label, else the best containment found, else 0. matches lists (label, first_word, containment)
+    of the blocks.
 
-    Null and empty texts have no words, no labels (empty strings), null places and scores of 0. Rows are judged one by one, so null
-    or repeated identifiers don't matter. An empty table gives no rows.
+    Null and empty texts have no words, no labels (empty strings), null places and a score of 0. Rows are judged one by one, so null
+    or repeated identifiers don't matter. Other columns aren't read, whatever their names. The time for a text is in proportion to
+    its length, however often a phrase stands in it. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -169,29 +163,23 @@ def license_scan(
                 raw = text.encode().lower()
                 words = words_of(raw)
                 base = _phrases(words, wanted) if any(w in raw for w in rare) else []
-                matches, wrapped = [], []
+                matches = []
                 if not index.prefix.keys().isdisjoint(words):
-                    for at, block in blocks_of(raw, block_words):
+                    for at, block in blocks_of(words, block_words):
                         matches += [(index.labels[t], at, c) for t, c in index.search(block)]
-                    for at, block in wrapped_blocks_of(raw, block_words):
-                        wrapped += [(index.labels[t], at, c) for t, c in index.search(block)]
                 own = {label for _, label in base}
                 out.append((
                     len(words), len(base), min((k for k, _ in base), default=None), max((k for k, _ in base), default=None),
                     ",".join(sorted(own)), ",".join(sorted(own | {m[0] for m in matches})),
                     1.0 if base else max((m[2] for m in matches), default=0.0),
                     [{"label": a, "first_word": b, "containment": c} for a, b, c in matches],
-                    ",".join(sorted(own | {m[0] for m in matches + wrapped})),
-                    1.0 if base else max((m[2] for m in matches + wrapped), default=0.0),
-                    [{"label": a, "first_word": b, "containment": c} for a, b, c in wrapped],
                 ))
-            got = pd.DataFrame(out, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches", "whole_labels", "whole_score", "wrapped"])
+            got = pd.DataFrame(out, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"])
             got.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
             yield got.astype({"first_word": "Int64", "last_word": "Int64"})
 
     return rows.mapInPandas(
         scan,
         "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
-        "matches array<struct<label: string, first_word: long, containment: double>>, whole_labels string, whole_score double, "
-        "wrapped array<struct<label: string, first_word: long, containment: double>>",
+        "matches array<struct<label: string, first_word: long, containment: double>>",
     )

@@ -78,7 +78,7 @@ def _listed(items) -> str:
 
 
 def license_sql() -> str:
-    """Phrases by comparing slices of words; templates by intersecting the words of every block with those of every template."""
+    """Phrases by comparing slices of words; templates by intersecting the words of every window with those of every template."""
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     cut = lambda x: f"list_filter(string_split_regex({x}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
     phrases = ", ".join(f"('{label}', {_listed(p.split())})" for label, p in licenses.PHRASES.items())
@@ -88,8 +88,7 @@ def license_sql() -> str:
 WITH d AS (SELECT doc_id, {lower} AS t FROM documents), w AS (SELECT doc_id, {cut("t")} AS ws, t FROM d),
 p(label, ps) AS (VALUES {phrases}), q(label, ts) AS (VALUES {templates}),
 base AS (SELECT doc_id, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1:i + len(ps)] = ps)) AS place FROM w, p),
-lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d), lw AS (SELECT doc_id, {cut("line")} AS ws FROM lines),
-blocks AS (SELECT doc_id, list_distinct(ws[lo + 1:lo + {size}]) AS b FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {size // 2}), {size // 2})) AS lo FROM lw)),
+blocks AS (SELECT doc_id, list_distinct(ws[lo + 1:lo + {size}]) AS b FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {size // 2}), {size // 2})) AS lo FROM w)),
 found AS (SELECT doc_id, label, max(len(list_intersect(b, ts)) / len(ts)) AS c FROM blocks, q WHERE len(list_intersect(b, ts)) >= ceil({licenses.THRESHOLD}::DOUBLE * len(ts)) GROUP BY 1, 2),
 bl AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list_sort(list_distinct(list(label))) AS labels FROM base GROUP BY 1),
 fl AS (SELECT doc_id, list(label) AS labels, max(c) AS c FROM found GROUP BY 1)
@@ -104,7 +103,7 @@ def secret_sql() -> str:
     quoted = lambda p: p.replace("'", "''")
     patterns = [secrets.ASSIGN, secrets.ACCESS, r"[0-9a-f]{24,}", r"[A-Za-z0-9+/_=-]{20,}"]
     same = "|".join(f"{c if c.isalnum() else chr(92) + c}{{8}}" for c in secrets.ALPHABET)
-    allowed = " OR ".join(f"regexp_matches(x.s, '{quoted(same if p.startswith('(.)') else p)}')" for p in secrets.ALLOWED)
+    allowed = " OR ".join(f"regexp_matches(x.s, '{quoted(p)}')" for p in secrets.ALLOWED if p.startswith("^"))
     spans = ", ".join(
         f"""list_transform(range(1, len(m{k}) + 1), lambda i: {{'a': (list_sum(list_transform(g{k}[:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m{k}[:i - 1], lambda y: length(y))), 0))::BIGINT,
       'k': {k}, 's': m{k}[i], 'v': v{k}[i]}}) AS r{k}"""
@@ -114,9 +113,13 @@ def secret_sql() -> str:
         f"regexp_extract_all(t, '{quoted(p)}') AS m{k}, string_split_regex(t, '{quoted(p)}') AS g{k}, regexp_extract_all(t, '{quoted(p)}', {2 if k == 0 else 0}) AS v{k}" for k, p in enumerate(patterns)
     )
     size = secrets.WINDOW
-    windows = f"list_transform(range(1, length(x.s) - {size - 2}), lambda j: x.s[j:j + {size - 1}])"
-    bits = "list_entropy(string_split(u, ''))"
-    high = f"list_bool_or(list_transform({windows}, lambda u: {bits} >= CASE WHEN regexp_full_match(u, '[0-9a-fA-F]+') THEN {secrets.HEX_BITS} ELSE {secrets.OTHER_BITS} END))"
+    # a match of length n touches a window if the window with n - 1 characters more on either side holds it
+    literals = [w for p in secrets.ALLOWED if p.startswith("(?i)") for w in p.removeprefix("(?i)").split("|")]
+    wider = lambda n: f"x.s[greatest(1, j - {n - 1}):j + {size + n - 2}]"
+    clear = " AND ".join([f"NOT regexp_matches({wider(8)}, '{quoted(same)}')", *(f"NOT contains(lower({wider(len(w))}), '{w}')" for w in literals)])
+    u = f"x.s[j:j + {size - 1}]"
+    enough = f"list_entropy(string_split({u}, '')) >= CASE WHEN regexp_full_match({u}, '[0-9a-fA-F]+') THEN {secrets.HEX_BITS} ELSE {secrets.OTHER_BITS} END"
+    high = f"list_bool_or(list_transform(range(1, length(x.s) - {size - 2}), lambda j: {enough} AND {clear}))"
     show = lambda xs: f"array_to_string(list_transform({xs}, lambda x: {_listed(secrets.KINDS)}[x.k + 1] || ':' || x.a || ':' || (x.a + length(x.s))), ',')"
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), p AS (SELECT doc_id, {parts} FROM d), r AS (SELECT doc_id, {spans} FROM p),

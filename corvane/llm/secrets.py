@@ -20,7 +20,8 @@ ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_=-"
 HEX_CHARS = 22  # the first of ALPHABET
 #: Windows have so many characters; one of hexadecimal digits alone needs the first entropy in bits, any other the second.
 WINDOW, HEX_BITS, OTHER_BITS = 20, 2.8, 3.8
-#: A candidate that one of these finds isn't reported: UUIDs, documentation samples, runs of one character or of the alphabet.
+#: A candidate that the anchored one finds isn't reported: UUIDs. Windows that touch what the others find don't count: documentation
+#: samples, runs of one character or of the alphabet.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)example|sample|placeholder|dummy",
@@ -116,16 +117,16 @@ def _beside_allowed(string: Column) -> Column:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, found, beside of every row; found and beside have (start, end, kind, string).
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, found of every row; found has (start, end, kind, string).
 
     Base kinds are matched leftmost and without overlaps: assign (matches whose value has under 6 characters are dropped after
-    matching), access and hex. Candidates of 20 or more characters with letters and digits that lie in no base span, and that no
-    allow-list pattern finds, are added as kind entropy if any window of 20 characters has the entropy that its class needs.
-    spans and found judge candidates whole, as the SQL beside the query does. beside has the candidates that the allow-list keeps from
-    them (but not UUIDs) although a window that overlaps nothing the allow-list matches has the entropy.
+    matching), access and hex. Candidates of 20 or more characters with letters and digits that lie in no base span are added as kind
+    entropy if any window of 20 characters that touches nothing the allow-list matches has the entropy that its class needs. UUIDs
+    are allowed whole.
 
     Places count code points from 0, ends are exclusive. Null and empty texts have no spans (base_sha256 is that of the empty
-    string). Rows are judged one by one, so null or repeated identifiers and ties don't matter. An empty table gives no rows.
+    string). Rows are judged one by one, so null or repeated identifiers and ties don't matter. Other columns aren't read, whatever
+    their names. An empty table gives no rows.
     """
     text = F.col("text")
     rows = id_and_text(docs, id_col, text_col)
@@ -143,25 +144,24 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def apart(x: Column) -> Column:
         return ~F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
 
+    whole = [p for p in ALLOWED if p.startswith("^")]
+    parts = [p for p in ALLOWED if not p.startswith("^")]
+
     def candidate(x: Column) -> Column:
         fits = x["s"].rlike("[0-9]") & x["s"].rlike("[A-Za-z]")
-        for pattern in ALLOWED:
+        for pattern in whole:
             fits = fits & ~x["s"].rlike(pattern)
         return fits & apart(x)
 
-    def hidden(x: Column) -> Column:
-        fits, some = x["s"].rlike("[0-9]") & x["s"].rlike("[A-Za-z]"), F.lit(False)
-        for pattern in ALLOWED:
-            if pattern.startswith("^"):
-                fits = fits & ~x["s"].rlike(pattern)
-            else:
-                some = some | x["s"].rlike(pattern)
-        return fits & some & apart(x)
-
-    rows = rows.withColumn("s4", F.filter("s3", hidden))
-    rows = rows.withColumn("s4", F.filter("s4", lambda x: F.exists(_beside_allowed(x["s"]), lambda p: (F.length(p) >= WINDOW) & (_excess(p) >= 0))))
+    def dense(x: Column) -> Column:
+        touched = F.lit(False)
+        for pattern in parts:
+            touched = touched | x["s"].rlike(pattern)
+        some = F.exists(_beside_allowed(x["s"]), lambda p: (F.length(p) >= WINDOW) & (_excess(p) >= 0))
+        return F.when(touched, some).otherwise(_excess(x["s"]) >= 0)
+
     rows = rows.withColumn("s3", F.filter("s3", candidate))
-    rows = rows.withColumn("s3", F.filter("s3", lambda x: _excess(x["s"]) >= 0))
+    rows = rows.withColumn("s3", F.filter("s3", dense))
     rows = rows.withColumn("every", F.array_sort(F.concat("base", "s3")))
     names = F.array(*[F.lit(x) for x in KINDS])
 
@@ -176,5 +176,5 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.select(
         "doc_id", *[F.size(f"s{k}").cast("long").alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(listed("base"), 256).alias("base_sha256"), listed("every").alias("spans"),
-        described("every").alias("found"), described("s4").alias("beside"),
+        described("every").alias("found"),
     )
