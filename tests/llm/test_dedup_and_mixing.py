@@ -33,7 +33,12 @@ def test_index_merges_runs(spark):
         index.append(spark.createDataFrame([(bytearray(d), i) for d, i in part], "digest binary, doc_id long"))
     assert len(index.runs) == 3
     assert sorted((bytes(r.digest), r.keep_id, r.n) for r in index.entries().collect()) == [(b"a", 9, 3), (b"b", 2, 1)]
-    assert len(index.runs) == 1 and index.lookup(b"b").first().keep_id == 2 and index.lookup(b"c").count() == 0
+    assert not index.runs and index.lookup(b"b").first().keep_id == 2 and index.lookup(b"c").count() == 0
+    index.append(spark.createDataFrame([(bytearray(b"b"), 7), (bytearray(b"c"), 1)], "digest binary, doc_id long"))  # merges with the level
+    assert sorted((bytes(r.digest), r.keep_id, r.n) for r in index.entries().collect()) == [(b"a", 9, 3), (b"b", 7, 2), (b"c", 1, 1)]
+    digests = spark.createDataFrame([(bytearray(str(i).encode()),) for i in range(2000)] + [(bytearray(b"a"),), (bytearray(b"c"),)], "digest binary")
+    passed = {bytes(r.digest) for r in index.probe(digests).collect()}
+    assert b"a" in passed and b"c" not in passed and len(passed) < 20
 
 
 def test_empty(spark):
