@@ -3,19 +3,43 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.shared import written
+from corvane.shared import removed, written
+
+
+#: An Arrow batch that goes to a Python worker holds so many bytes unless the session sets its own: a batch is held several times
+#: over, on both sides. Rows alone don't bound it, since texts may be long.
+BATCH_BYTES, SPARK_BATCH_BYTES = 4 << 20, 64 << 20
+_RESIDENT: dict[tuple, Any] = {}
+
+
+def resident(key: tuple, make: Callable[[], Any]) -> Any:
+    """What make() gives, kept in this Python worker for later tasks with the same key.
+
+    A worker keeps one such thing: workers outlive the operator that they were started for, and a tokenizer's cache would sit there
+    while the next operator runs.
+    """
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package's sources to the executors, once for each application."""
+    """Sends this package's sources to the executors, once for each application, and bounds the bytes of an Arrow batch."""
     sc = spark.sparkContext
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if re.sub(r"\D", "", spark.conf.get(setting, f"{SPARK_BATCH_BYTES}b")) == str(SPARK_BATCH_BYTES):
+        spark.conf.set(setting, f"{BATCH_BYTES}b")
     if getattr(sc, "_corvane_shipped", False):
         return
     root = Path(__file__).resolve().parents[1]
@@ -32,8 +56,9 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-#: A bitmap filter of keys is broadcast up to this size; beyond it, joins deal all rows out by key.
-FILTER_BYTES = 8 << 20
+#: A bitmap filter of keys is broadcast and holds so many bytes at most. With 16 bits a key 6 % of other rows pass it, too; from
+#: 17 million keys on there are fewer bits a key, and more of the others pass. What passes is joined, so results are the same.
+FILTER_BYTES = 32 << 20
 BITS_PER_KEY = 16
 BITMAP_BITS = 32768  # of one row that bitmap_construct_agg makes
 
@@ -41,11 +66,9 @@ BITMAP_BITS = 32768  # of one row that bitmap_construct_agg makes
 def may_match(rows: DataFrame, wanted: DataFrame, keys: list[str], n_wanted: int, limit: int = FILTER_BYTES) -> DataFrame:
     """rows with a column _may: false only where the keys are surely not among those of wanted, which has n_wanted rows.
 
-    The filter is a bitmap with 16 bits a key, made by aggregation and broadcast if that fits the limit; otherwise _may is true.
+    The filter is a bitmap of 16 bits a key, fewer where the limit asks for it, made by aggregation and broadcast.
     """
-    buckets = max(1, -(-n_wanted * BITS_PER_KEY // BITMAP_BITS))
-    if buckets * BITMAP_BITS // 8 > limit:
-        return rows.withColumn("_may", F.lit(True))
+    buckets = max(1, min(-(-n_wanted * BITS_PER_KEY // BITMAP_BITS), limit * 8 // BITMAP_BITS))
     slot = F.pmod(F.xxhash64(*keys), F.lit(buckets * BITMAP_BITS))
     maps = (
         wanted.select(slot.alias("s")).groupBy(F.expr("s div 32768").alias("_bucket"))
@@ -68,14 +91,14 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Alternates two steps until no edge changes (Kiveris et al., "Connected Components in MapReduce and Beyond", 2014): each node
     links its larger neighbours to its smallest neighbour, then its smaller neighbours to the smallest one. The rounds grow
-    with the logarithm of the longest path. Every round's edges are written to the shared folder. Minima are aggregated before
-    the shuffle, and the joins may be split by the adaptive planner where a node has very many edges.
+    with the logarithm of the longest path. Every round's edges are written to the shared folder, to as many files as they need,
+    and the round's before are removed. Minima are aggregated before the shuffle, and the joins may be split by the adaptive
+    planner where a node has very many edges.
     """
-    spark = edges.sparkSession
     now = written(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-edges"
     )
-    before = None
+    n, before = now.count(), None
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m"))
@@ -87,8 +110,10 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
         small = large.join(low, F.col("a") == F.col("u"))
         moved = small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        now = written(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "cc-edges")
+        last, now = now, written(moved.unionByName(small.select("a", F.col("m").alias("b"))).distinct(), "cc-edges", most_rows=n)
+        removed(last)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        n = mark[0]
         if tuple(mark) == before:
             break
         before = tuple(mark)

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import id_and_text, ship
+from corvane.llm.common import id_and_text, resident, ship
 from corvane.shared import written
 
 #: Pieces that one task packs, about; with sequences several pieces long, a task's last sequences cost well under 0.1 %.
@@ -25,7 +25,6 @@ SHARD_PIECES = 16384
 CACHE_ENTRIES = 400_000
 #: Texts whose words are looked up together.
 TOGETHER = 64
-_OPEN: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
@@ -81,8 +80,10 @@ class WordEncoder:
         got = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.concatenate([np.empty(0, "<u4"), *(np.array(x.ids, "<u4") for x in got)])
         stops = (4 * np.r_[0, np.flatnonzero(self.ends[ids]) + 1]).tolist()
-        if len(stops) != len(new) + 1:
-            raise ValueError("the tokenizer doesn't mark the ends of words")
+        if len(stops) != len(new) + 1:  # the tokenizer doesn't mark the end of each of these words
+            for word, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                self.words[word] = np.asarray(got.ids, "<u4").tobytes()
+            return
         flat = ids.astype("<u4").tobytes()
         for word, i, j in zip(new, stops[:-1], stops[1:], strict=True):
             self.words[word] = flat[i:j]
@@ -92,13 +93,6 @@ class WordEncoder:
             self.parts[part] = np.asarray(got.ids, "<u4").tobytes()
 
 
-def _encoder(key: str, shared) -> WordEncoder:
-    if key not in _OPEN:
-        _OPEN.clear()
-        _OPEN[key] = WordEncoder(shared.value)
-    return _OPEN[key]
-
-
 def tokenized_pieces(
     docs: DataFrame, tokenizer_path: str, length: int = 4096, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
     with_ids: bool = False,
@@ -114,7 +108,7 @@ def tokenized_pieces(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _encoder(key, shared)
+        encoder = resident(("words", key), lambda: WordEncoder(shared.value))
         for batch in batches:
             rows = []
             texts = batch["text"].tolist()

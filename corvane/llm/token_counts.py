@@ -14,17 +14,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import id_and_text, ship
+from corvane.llm.common import id_and_text, resident, ship
 
-# The white space that the tokenizer's pattern knows, and the pattern itself with that white space spelt out.
-SPACE = r"\t-\r \x85\xa0  -     　"
-PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 #: Entries that a worker's cache of counted pre-tokens holds (some 60 MB at most).
 CACHE_ENTRIES = 400_000
 #: Texts whose pre-tokens are merged together.
 TOGETHER = 64
 NEVER = np.int64(1 << 40)
-_OPEN: dict[str, PairCounter] = {}
 
 
 def byte_letters() -> dict[str, int]:
@@ -35,16 +31,19 @@ def byte_letters() -> dict[str, int]:
 
 
 class PairCounter:
-    """Counts the tokens of texts under the pair ranks of a tokenizer."""
+    """Counts the tokens of texts under the pair ranks of a tokenizer.
+
+    Texts of characters below U+0180 are cut into pre-tokens by a pattern here, all others by the tokenizer's own pre-tokenizer, since
+    Unicode tables of different versions disagree on what a letter is.
+    """
 
     def __init__(self, prepared: dict, most: int = CACHE_ENTRIES):
-        import regex
+        from tokenizers import Tokenizer
 
         self.size, self.keys, self.ranks, self.made, self.first = (prepared[k] for k in ("size", "keys", "ranks", "made", "first"))
         special = sorted(prepared["special"], key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.split = regex.compile(PATTERN).findall
-        # the same pattern for texts of characters below U+0180, without the slower module
+        self.cutter = Tokenizer.from_str(prepared["cutter"]).pre_tokenizer
         of = {k: "".join(re.escape(chr(c)) for c in range(0x180) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
         white = r"\t-\r \x85\xa0"
         self.split_latin = re.compile(
@@ -54,6 +53,10 @@ class PairCounter:
         self.cache: dict[str, int] = {}
         self.most = most
 
+    def split(self, text: str) -> list[str]:
+        """The pre-tokens of any text, by the tokenizer's own rules."""
+        return [text[a:b] for _, (a, b) in self.cutter.pre_tokenize_str(text)]
+
     @staticmethod
     def prepare(definition: str) -> dict:
         """Arrays of a definition (JSON text): keys of pairs in order with their ranks, the symbol that each rank makes, and each byte's symbol."""
@@ -68,7 +71,8 @@ class PairCounter:
             first[byte] = vocabulary[letter]
         made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
         special = [t["content"] for t in spec.get("added_tokens", []) if t.get("special")]
-        return {"size": size, "keys": keys[order], "ranks": order.astype(np.int64), "made": made, "first": first, "special": special}
+        cutter = json.dumps(spec | {"added_tokens": [], "model": spec["model"] | {"vocab": {}, "merges": []}})
+        return {"size": size, "keys": keys[order], "ranks": order.astype(np.int64), "made": made, "first": first, "special": special, "cutter": cutter}
 
     def _ranks(self, symbols: np.ndarray, owner: np.ndarray, at: np.ndarray) -> np.ndarray:
         after = np.minimum(at + 1, len(symbols) - 1)
@@ -124,18 +128,12 @@ class PairCounter:
         return [n + sum(map(self.cache.__getitem__, words)) for n, words in zip(extra, split, strict=True)]
 
 
-def _counter(key: str, shared) -> PairCounter:
-    if key not in _OPEN:
-        _OPEN.clear()
-        _OPEN[key] = PairCounter(shared.value)
-    return _OPEN[key]
-
-
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (more than limit tokens) of every row, over whole texts.
 
-    Null and empty texts have 0 tokens. Rows are counted one by one, so null or repeated identifiers don't matter. An empty
-    table gives no rows.
+    Null and empty texts have 0 tokens. Rows are counted one by one, so null or repeated identifiers don't matter. Other columns
+    aren't read, whatever their names. Very long texts are counted whole; a single pre-token costs its length times the number of
+    its different pair ranks. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -143,7 +141,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 512, id_col:
     key, shared = hashlib.sha256(definition.encode()).hexdigest(), spark.sparkContext.broadcast(PairCounter.prepare(definition))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = _counter(key, shared)
+        counter = resident(("pairs", key), lambda: PairCounter(shared.value))
         for batch in batches:
             texts = batch["text"].tolist()
             counts = [n for at in range(0, len(texts), TOGETHER) for n in counter.count(texts[at : at + TOGETHER])]

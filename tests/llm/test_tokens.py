@@ -85,3 +85,33 @@ def test_pack_documents(spark):
         assert g["offset"].tolist() == [0, *g["length"].cumsum()[:-1]] and g["length"].sum() <= 32
     assert got["sequence_id"].nunique() <= np.ceil(got["length"].sum() / 32) * 1.05 + 1
     assert packing.pack_documents(docs.limit(0), WORDS).count() == 0
+
+
+def test_every_code_point_before_contractions_letters_digits_and_spaces():
+    """Unicode tables differ between libraries; the counts must follow the tokenizer's."""
+    library, counter = Tokenizer.from_file(BYTES), token_counts.PairCounter(token_counts.PairCounter.prepare(open(BYTES, encoding="utf-8").read()))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 64):
+        every = [f"a{c}'s {c}a 1{c}1  {c}" for c in points[at : at + 64]]
+        assert counter.count(every) == [len(x.ids) for x in library.encode_batch_fast(every, add_special_tokens=False)], hex(at)
+
+
+def test_very_long_texts(spark):
+    r = random.Random(4)
+    texts_ = [" ".join(r.choice(["alpha", "Beta", "é", "日本", "x1y2", "\n"]) for _ in range(200_000)), "word " * 300_000, "z" * 20_000]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts_)], "doc_id long, text string, piece string")
+    library = Tokenizer.from_file(BYTES)
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs, BYTES).collect()} == {i: len(library.encode(t).ids) for i, t in enumerate(texts_)}
+    library = Tokenizer.from_file(WORDS)
+    got = packing.pack_documents(docs, WORDS).toPandas()
+    for i, t in enumerate(texts_):
+        ids = [*library.encode(t, add_special_tokens=False).ids, 1]
+        mine = got[got["doc_id"] == i].sort_values("piece")
+        assert mine["start"].tolist() == list(range(0, len(ids), 4096)) and mine["length"].sum() == len(ids)
+        assert mine["ids_crc32"].tolist() == [zlib.crc32(np.array(ids[k : k + 4096], "<u4").tobytes()) for k in range(0, len(ids), 4096)]
+
+
+def test_words_whose_ends_the_tokenizer_does_not_mark():
+    definition, ends, special = packing.WordEncoder.prepare(open(WORDS, encoding="utf-8").read())
+    encoder, library = packing.WordEncoder((definition, np.zeros_like(ends), special)), Tokenizer.from_file(WORDS)
+    assert np.frombuffer(encoder.encode(["one two three"])[0], "<u4").tolist() == library.encode("one two three", add_special_tokens=False).ids
