@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvane.llm.common import id_and_text, ship, whole_row
+from corvane.llm.common import id_and_text, ship
 from corvane.llm.labelled import held_out, training_rows
 
 #: The model is fitted on at most so many labelled rows.
@@ -225,5 +225,4 @@ def good_documents(
 ) -> DataFrame:
     """The rows of docs whose score is at least the threshold; no row is dealt out or joined for that."""
     model = quality_model(docs, labels, id_col=id_col, text_col=text_col, **how)
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), whole_row(docs))
-    return rows.withColumn("score", _scorer(model)("text")).filter(F.col("score") >= threshold).select("_row.*")
+    return docs.filter(_scorer(model)(F.coalesce(F.col(text_col), F.lit(""))) >= threshold)

@@ -231,9 +231,10 @@ def representative_documents(
         parts = [fingerprints(texts.iloc[at : at + 256].tolist(), words, seed) for at in range(0, len(texts), 256)]
         return pd.Series(np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64))
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), whole_row(docs))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_row(docs))
     rows = may_match(rows, dropped, ["doc_id"], dropped.count())
-    maybe = rows.filter("_may").withColumn("fingerprint", F.lower(F.lpad(F.hex(prints("text")), 16, "0")))
+    text = F.coalesce(F.col("_row").getField(text_col), F.lit(""))
+    maybe = rows.filter("_may").withColumn("fingerprint", F.lower(F.lpad(F.hex(prints(text)), 16, "0")))
     gone = dropped.select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fp"))
     # an outer join, since the optimizer moves an anti join below the filter, where all rows would be dealt out
     left = maybe.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("fingerprint") == F.col("_fp")), "left").filter("_id is null")
