@@ -8,24 +8,25 @@ from pyspark.sql import functions as F
 from corvane.functions.text import apply_steps, strip_junk
 from corvane.operators.relational import small
 
-# What is stripped from a place before it's looked up, in order. Text in parentheses is dropped.
+# What is stripped from a place before it's looked up, in order.
 PLACE_STEPS = (
-    (r"(?i)^incorporated in (?:(?:the )?state of )?", ""),
-    (r"(?i)^.*(?:incorporated|amalgamated|organized) under the laws of (?:the )?", ""),
-    (r"\([0-9]{4}\)$", ""),
-    (r"(?i)(?: (?:llc|statutory trust|general part(?:nership)?|private|banking|special|closed))+$", ""),
-    (r"(?i)^(?:incorporation|formed in)*:? ", ""),
-    (r"[0-9.,]+%(?:-NV)? ?", ""),
-    (r"^([^,]+?) ?- ?([^,]+)$", "$1, $2"),
-    (r"(?i)(?:corporation|company|organization|(?:general )?partnership|corp)$", ""),
-    (r"\(([^)]+)\)", ", "),
+    (r"(?i)(an? )([^\(]+?) (corporation|company|(general )?partnership|corp)\)?.*", "$2"),
+    (r"(?i)^incorporated in ((the )?state of )?(.*)$", "$3"),
+    (r"(?i)^.*(incorporated|amalgamated|organized) under the laws of (the )?(.*)$", "$3"),
+    (r"\(\d{4}\)$", ""),
+    (r"(?i) (LLC|Statutory Trust|General Part(nership)?|private|banking|special|closed)*$", ""),
+    (r"(?i)^(incorporation|formed in)*:? ", ""),
+    (r"[\d\.,]+%(-NV)? ?", ""),
+    (r"^([^,]+) ?- ?([^,]+)$", "$1, $2"),
+    (r"(?i)(corporation|company|organization|(general )?partnership|corp)$", ""),
+    # only the first pair of parentheses, whose text is dropped; Java replaces all unless what is before is matched, too
+    (r"(?s)^(.*?)\(([^\)]+)\)", "$1, "),
 )
-_OF_KIND = r"(?i)an? ([^(]+?) (?:corporation|company|(?:general )?partnership|corp)\)?.*"
 
 
 def clean_place(text: Column) -> Column:
     """The place in a phrase such as "a Delaware corporation" or "organized under the laws of Ireland"."""
-    return strip_junk(apply_steps(F.regexp_replace(strip_junk(text), _OF_KIND, "$1"), PLACE_STEPS))
+    return strip_junk(apply_steps(strip_junk(text), PLACE_STEPS))
 
 
 def _key(c: str | Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.operators import fuzzy, graph, locate, relational
-from corvane.plans.registry import Tables, duck_steps, query
+from corvane.plans.registry import Tables, query
 from corvane.shared import fresh_path
 from corvane.sources import exhibits, filings
 
@@ -35,19 +35,38 @@ _VARIANT_SQL = f"""SELECT p_partkey, {_duck_list(PREFIXES)}[(p_partkey % {len(PR
   || CASE WHEN p_partkey % 6 = 2 THEN '"' ELSE '' END || {_duck_list(SUFFIXES)}[(p_partkey % {len(SUFFIXES)} + 1)::INT] AS name FROM part"""
 
 
-@query(f"SELECT {duck_steps('name', T.MATCH_KEY_STEPS)} AS match_name, count(*) AS n, min(p_partkey) AS least FROM ({_VARIANT_SQL}) GROUP BY 1")
+# What the key of each variant must be, written down by hand: what stands before and after the part's name.
+_KEY_PREFIXES = ("", "", "", "", "", "O")
+_KEY_SUFFIXES = (
+    " Corp", " Co", " LLC", "", " Inc", " Inc", " Ltd", " Limited Partnership", " & Sons Ltd", "", "", " Sr", " L.P. Holding", "", " X SA", "",
+)
+
+
+@query(f"""SELECT {_duck_list(_KEY_PREFIXES)}[(p_partkey % {len(PREFIXES)} + 1)::INT] || p_name || CASE WHEN p_partkey % 6 = 2 THEN ' LLC' ELSE '' END
+  || {_duck_list(_KEY_SUFFIXES)}[(p_partkey % {len(SUFFIXES)} + 1)::INT] AS match_name, count(*) AS n, min(p_partkey) AS least FROM part GROUP BY 1""")
 def name_normalize(spark: SparkSession, t: Tables) -> DataFrame:
     named = _variant(t.part).withColumn("match_name", T.match_key(F.col("name")))
     return named.groupBy("match_name").agg(F.count("*").alias("n"), F.min("p_partkey").alias("least"))
 
 
-JUNK = (" &nbsp;", " (wholly owned)", ", a wholly-owned subsidiary of X", " 51%", " - ", " (inactive)", " holds interest in Y", "  (LLC)", "..", " dba Other")
+# (before, after, what is left before, what is left after) a name, written down by hand.
+_JUNK = (
+    ("", " &nbsp;", "", ""), ("", " (wholly owned)", "", ""), ("", ", a wholly-owned subsidiary of X", "", ","), ("", " 51%", "", ""), ("", " - ", "", ""),
+    ("", " (inactive)", "", ""), ("", " holds interest in Y", "", ""), ("", "  (LLC)", "", ""), ("", "..", "", "/"), ("", " dba Other", "", ""),
+    ("State of ", "", "", ""), ("Limited State of ", "", "State of ", ""), ("• ", " (f/k/a X (Y) Z)", "", ""), ("the Republic of ", "", "the Republic of ", ""),
+    ("Republic of ", ", U.S.A.", "", ""), ("U.S.-", " (5%-NV)", "", ""), ("** ", " — X", "", " - X"), ("a|b ", " a subsidiary of X", "ab ", " a"), ("filed in ", " L.L.C.", "", " L.L.C."),
+    ("List of Subsidiaries", " and its subsidiaries:", "", ""), ("51.5% ", "\\ ", "", ""),
+)
+
+
+def _of_junk(k: int) -> str:
+    return f"{_duck_list([j[k] for j in _JUNK])}[(p_partkey % {len(_JUNK)} + 1)::INT]"
 
 
-@query(f"""SELECT {duck_steps("p_name || " + _duck_list(JUNK) + f"[(p_partkey % {len(JUNK)} + 1)::INT]", T.JUNK_STEPS)} AS cleaned, count(*) AS n
-FROM part GROUP BY 1""")
+@query(f"SELECT {_of_junk(2)} || p_name || {_of_junk(3)} AS cleaned, count(*) AS n FROM part GROUP BY 1")
 def strip_junk(spark: SparkSession, t: Tables) -> DataFrame:
-    return t.part.select(T.strip_junk(F.concat("p_name", _pick(JUNK, "p_partkey"))).alias("cleaned")).groupBy("cleaned").agg(F.count("*").alias("n"))
+    text = F.concat(_pick([j[0] for j in _JUNK], "p_partkey"), "p_name", _pick([j[1] for j in _JUNK], "p_partkey"))
+    return t.part.select(T.strip_junk(text).alias("cleaned")).groupBy("cleaned").agg(F.count("*").alias("n"))
 
 
 _WORDS_SQL = "list_filter(string_split_regex(lower({0}), '[ /]'), lambda w: w <> '')"
@@ -450,32 +469,29 @@ def api_children(spark: SparkSession, t: Tables) -> DataFrame:
     return Directory(relational.with_year_range(info, "cw_id", "year"), edges).children(4).select("cw_id", "year")
 
 
+# (text, number of the first pattern that matches, company, place, patterns that match); {p} is a part's name, {w} its second word.
 _SENTENCES = (
-    "{p} Holdings, a NATION corporation", "{p} Ltd, is incorporated in NATION and more", "{p} Trust organized under the laws of the NATION", "{p} was formed in NATION",
-    "{p} Services (NATION)", "{p} Services (NATION) Two", "{p} jurisdiction of organization: NATION", "{p} - NATION", "{p}    NATION", "{p} NATION Ltd", "NOTHING",
+    ("{p} Holdings, a NATION corporation", 1, "{p} Holdings", "NATION", 1), ("{p} Ltd, is incorporated in NATION and more", 0, "{p} Ltd, ", "NATION", 2),
+    ("{p} Trust organized under the laws of the NATION", 3, "{p} Trust", " the NATION", 1), ("{p} was formed in NATION", 3, "{p} was", "NATION", 1),
+    ("{p} Services (NATION)", 4, "{p} Services", "NATION", 1), ("{p} Services (NATION) Two", 4, "{p} Services (NATION) Two", "NATION", 1),
+    ("{p} jurisdiction of organization: NATION", 5, "{p} ", "NATION", 1), ("{p} - NATION", 6, "{p}", "NATION", 1), ("{p}    NATION", 7, "{p}", "NATION", 2),
+    ("{p} NATION Ltd", 9, "{p} NATION Ltd", "{w} NATION", 1), ("NOTHING", None, None, None, 0), ("{p} NATION S.A.S?", 9, "{p} NATION S.A.S?", "{w} NATION", 1),
+    ("{p}, organized and existing under the laws of NATION", 2, "{p}", "NATION", 1), ("{p}  x  NATION", 8, "{p}", "NATION", 1),
 )
 
 
 def _sentence(t: Tables) -> DataFrame:
-    text = F.replace(_pick(_SENTENCES, "p_partkey"), F.lit("{p}"), F.col("p_name"))
+    text = F.replace(_pick([x[0] for x in _SENTENCES], "p_partkey"), F.lit("{p}"), F.col("p_name"))
     return t.part.select("p_partkey", text.alias("text"))
 
 
 def _single_sql() -> str:
-    cases = []
-    for n, (pattern, company, place) in enumerate(exhibits.SINGLE_PATTERNS):
-        p = pattern.replace("'", "''")
-        of = "regexp_replace(text, '\\s\\s+', ' ', 'g')" if n == exhibits.WHOLE_ALWAYS else "text"
-        name = f"regexp_extract({of}, '{p}', {company})"
-        if n == exhibits.WHOLE_IF_MORE:
-            name = f"CASE WHEN regexp_extract(text, '{p}', 3) <> '' THEN text ELSE {name} END"
-        elif n == exhibits.WHOLE_ALWAYS:
-            name = of
-        cases.append(f"SELECT p_partkey, {n} AS sub, {name} AS company, regexp_extract({of}, '{p}', {place}) AS place FROM s WHERE regexp_matches({of}, '{p}')")
+    rows = ", ".join(f"({k}, {x[1]}, '{x[2]}', '{x[3]}', {x[4]})" for k, x in enumerate(_SENTENCES) if x[1] is not None)
+    full = lambda c: f"replace(replace({c}, '{{p}}', p_name), '{{w}}', split_part(p_name, ' ', 2))"
     return (
-        f"WITH s AS (SELECT p_partkey, replace({_duck_list(_SENTENCES)}[(p_partkey % {len(_SENTENCES)} + 1)::INT], '{{p}}', p_name) AS text FROM part), c AS ("
-        + " UNION ALL ".join(cases) + ") SELECT p_partkey, min(sub)::INT AS sub, arg_min(company, sub) AS company, arg_min(place, sub) AS place, count(*) AS candidates FROM c GROUP BY 1"
-    )
+        f"WITH x(k, sub, company, place, n) AS (VALUES {rows}) SELECT p_partkey, sub::INT AS sub, {full('company')} AS company, {full('place')} AS place, "
+        f"n::BIGINT AS candidates FROM part JOIN x ON p_partkey % {len(_SENTENCES)} = k"
+    )
 
 
 @query(_single_sql())
@@ -502,7 +518,7 @@ def text_mode_split(spark: SparkSession, t: Tables) -> DataFrame:
 
 
 @query(r"""SELECT page_id, length(regexp_replace(html, '<[^>]+>', ' ', 'g')) AS n_text, len(regexp_extract_all(html, '(?i)<br ?/?>')) AS n_breaks, len(regexp_extract_all(html, '(?i)<a [^>]*href="([^"]*)"', 1)) AS n_links,
-  md5(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&#39;', ''''), '&#150;', '-'), '&#151;', '-'), '&#160;', ' '), '&amp;', '&')) AS text_md5 FROM pages""")
+  md5(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')) AS text_md5 FROM pages""")
 def html_text(spark: SparkSession, t: Tables) -> DataFrame:
     plain = T.strip_tags(F.col("html"))
     return t.pages.select(

@@ -30,18 +30,3 @@ def query(sql: str | None = None):
         return f
 
     return add
-
-
-def duck_steps(column: str, steps) -> str:
-    """Steps of (pattern, replacement) as nested regexp_replace calls of DuckDB, whose patterns have no lookahead."""
-    out = column
-    for pattern, replacement in steps:
-        if "(?! partnership)" in pattern:
-            out = f"regexp_replace({out}, '(?i) limited partnership', chr(1), 'g')"
-            out = f"regexp_replace({out}, '(?i) limited(?:\\b|$)', ' Ltd', 'g')"
-            out = f"replace({out}, chr(1), ' Limited Partnership')"
-            continue
-        p = pattern.replace("'", "''")
-        r = replacement.replace("$1", "\\1").replace("$2", "\\2").replace("'", "''")
-        out = f"regexp_replace({out}, '{p}', '{r}', 'g')"
-    return out

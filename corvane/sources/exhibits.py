@@ -7,7 +7,7 @@ follows is DataFrame work: units become candidates, candidates are validated in
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,57 +19,73 @@ from corvane.operators.relational import small
 
 # How one string names a company and its place, in order of trust: (pattern, group of the company, group of the place).
 SINGLE_PATTERNS = (
-    (r"(?is)(.+?)(?:,|is|was) (?:an? |our )?(?:wholly-owned |private |s.p.a. )?(?:subsidiary |foreign sales corporation |company )?(?:incorporated|located|chartered) in (?:the )?(.+?)(?: and|\s\s+| \(.+|$)", 1, 2),
-    (r"(?is)(.+?)(?:, | \(|  )an? ([^(]+?) (?:corporation|company|partnership|statutory trust|state[- ]chartered (?:commercial )?bank|business trust)\)?", 1, 2),
-    (r"(?is)(.+?)(?:, | \(|is )(?:a (?:corporation|national banking (?:association|organization)) )?(?:organized|incorporated) (?:and existing )?under the laws of (?:the )?([^(]+)", 1, 2),
-    (r"(?is)(.+?)(?: is|, )? (?:formed|registered|incorporated|organized) (?:in|under) (?:the (?:laws of))?(.+?)(?:$| and|\s\s+)", 1, 2),
-    (r"(?is)(\w.+?) ?[(\[](.[^)\]]+)[\])](.+)?", 1, 2),
+    (r"(?is)(.+?)(,|is|was) (an? |our )?(wholly-owned |private |s.p.a. )?(subsidiary |foreign sales corporation |company )?(incorporated|located|chartered) in (the )?(.+?)( and|\s\s+| \(.+|$)", 1, 8),
+    (r"(?is)(.+?)(, | \(|  )an? ([^\(]+?) (corporation|company|partnership|statutory trust|state[- ]chartered (commercial )?bank|business trust)\)?", 1, 3),
+    (r"(?is)(.+?)(, | \(|is )(a (corporation|national banking (association|organization)) )?(organized|incorporated) (and existing )?under the laws of (the )?([^\(]+)", 1, 9),
+    (r"(?is)(.+?)( is|, )? (formed|registered|incorporated|organized) (in|under) (the (laws of))?(.+?)($| and|\s\s+)", 1, 7),
+    (r"(?is)(\w.+?) ?[\(\[](.[^\)\]]+)[\]\)](.+)?", 1, 2),
     (r"(?i)^\s*(\w.+) *jurisdiction of organization: ?(\w.+)$", 1, 2),
-    (r"^\s*(\w.+?)\s*(?:–|&#15[01];|-)\s*(\w.+)$", 1, 2),
+    (r"^\s*(\w.+?)\s*(–|–|&#15[01];|-)\s*(\w.+)$", 1, 3),
     (r"^\s*(\w.+?)\s\s\s+(\w.+)$", 1, 2),
     (r"^\s*(\w.+?)  .*  (\w.+)$", 1, 2),
-    (r"(?i)(\w.+?) \(?(.+?)\)?(?:\.|,| )+(?:\.|,| |ltd|company|co|S\.?(?:A\.?)?(?:R\.?L\.?)?|limited|inc|incorporated|corp|pty|private|gmbh|L\.?P\.?|B\.?V\.?|SAE|AG|partnership)+$", 1, 2),
+    (r"(?i)(\w.+?) \(?(.+?)\)?(\.|,| )+(\.|,| |ltd|company|co|S\.?(A\.?)?(R\.?L\.?)?|limited|inc|incorporated|corp|pty|private|gmbh|L\.?P\.?|B\.?V\.?|SAE|S\.?A\.?S\?|AG|partnership)+$", 1, 2),
 )
 WHOLE_IF_MORE, WHOLE_ALWAYS = 4, 9  # of these the name is the whole text, if anything follows or always
 MOST_RAW, MOST_CLEAN = 300, 120
 
 # Cells that are captions rather than companies.
-CAPTIONS = r"(?i)^\(?(?:names? of (?:subsidiar|compan|entit)(?:y|ies)|names?|subsidiar(?:y|ies)|[0-9.]+|corporation|entity|jurisdiction|incorporated state|partners|shareholders?|managers?|members?|country of organization|doing business as|organizedunderlaws of|[a-z]{2}|(?:corporation|company|subsidiary|entity|legal) names?|company|.):?\.?%?\)?$"
+CAPTIONS = r"(?i)^\(?(Names? of (Subsidiar|Compan|Entit)(y|ies)|Name|Subsidiar(y|ies)|[\d\.]+|Corporation|Entity|Jurisdiction|Incorporated State|Partners|Shareholders?|Managers?|Members?|Country of Organization|Doing Business As|Names?|Organizedunderlaws of|[a-z]{2}|(Corporation|Company|Subsidiary|Entity|Legal) Names?|Company|.):?\.?%?\)?$"
 # What is cut from a company's name, in order.
 COMPANY_STEPS = (
     (r"\s\s+", " "),
-    (r"^[*\s•·-]+", ""),
-    (r"[;,\s*]+$", ""),
-    (r"(?i)\([0-9.%*]+ ?(?:owned|interest)?\)$", ""),
+    (r"^[\*\s\-•·•]+", ""),
+    (r"[;,\s\*]+$", ""),
+    (r"(?i)\([\d\.\%\*]+ ?(owned|interest)?\)$", ""),
     (r"\(\w\)$", ""),
-    (r"[;,\s*]+$", ""),
-    (r"(?i)^exhibit [0-9.]+(?:(?: list of)? subsidiaries(?: of(?: the)? (?:(?:registrant|company) )?)?)?", ""),
-    (r"(?i) is a (?:substantially )?wholly-owned.*$", ""),
-    (r"(?i)[,\s]*(?:and its subsidiar(?:y|ies)|general partner of):?\s*$", ""),
+    (r"[;,\s\*]+$", ""),
+    (r"(?i)^Exhibit [\d\.]+(( list of)? Subsidiaries( of( the)? ((registrant|company) )?)?)?", ""),
+    (r"(?i) is a (substantially )?wholly-owned.*$", ""),
+    (r"(?i)[,\s]*(and its subsidiar(y|ies)|general partner of):?\s*$", ""),
 )
 # Numbering and stray marks around a cell's text, in order.
-CELL_STEPS = ((r"^\(([^)]+)\)", "$1"), (r"^\(?[0-9]+\.[)0-9%]* ", ""), ("^o ", ""), (",$", ""), (r"^([^.]+)\.$", "$1"))
+CELL_STEPS = ((r"^\(([^\)]+)\)", "$1"), (r"^\(?\d+\.[\)\d%]* ", ""), (r"^o ", ""), (r",$", ""), (r"^([^\.]+)\.$", "$1"))
 # Captions of the company and the place column.
 COMPANY_CAPTION = r"(?i)investment|subsidiar|entity|name|company|[^n]corporat"
 PLACE_CAPTION = r"(?i)organiz|juris|incorporat|location|state|domicile|formatio|country|laws of"
 
 
+def _groups(text: Column, pattern: str, groups: Sequence[int]) -> Column:
+    """The groups of the first match, as the one array of an array, which is empty without a match; one pass over the text.
+
+    The pattern is extended over the whole text, so that replacing it leaves the groups alone. Patterns that begin with any run, or
+    with a run from a word character, match first where the first such run begins if they match at all; trying no other place keeps
+    the time in proportion to the text.
+    """
+    flags, body = re.match(r"(\(\?\w+\))?(.*)", pattern, re.S).groups(default="")
+    start = r"\A" if body.startswith("(.+?)") and "s" in flags else r"\A\W*" if body.startswith(r"(\w") and "s" in flags else "" if body.startswith("^") else r"\A[\s\S]*?"
+    made = F.regexp_replace(text, f"{flags}{start}{body}[\\s\\S]*", "\x01".join(["", *(f"${g}" for g in groups), ""]))
+    # bound to a variable by a transform, so that the pattern runs once
+    return F.transform(F.filter(F.array(made), lambda m: m.startswith("\x01")), lambda m: F.slice(F.split(m, "\x01"), 2, len(groups)))
+
+
 def single_candidates(text: Column) -> Column:
     """The candidates (sub, company, place) of one string, the pattern's number as sub; empty for long or wordless texts."""
-    found = []
+    text = F.translate(text, "\x01", " ")
     squeezed = F.regexp_replace(text, r"\s\s+", " ")
-    for n, (pattern, company, place) in enumerate(SINGLE_PATTERNS):
+
+    def candidates(n: int, pattern: str, company: int, place: int) -> Column:
         of = squeezed if n == WHOLE_ALWAYS else text
-        name = F.regexp_extract(of, pattern, company)
-        if n == WHOLE_IF_MORE:
-            name = F.when(F.regexp_extract(of, pattern, 3) != "", of).otherwise(name)
-        elif n == WHOLE_ALWAYS:
-            name = of
-        made = F.struct(F.lit(n).alias("sub"), name.alias("company"), F.regexp_extract(of, pattern, place).alias("place"))
-        found.append(F.when(of.rlike(pattern), made))
-    every = F.filter(F.array(*found), lambda x: x.isNotNull())
+        hit = _groups(of, pattern, (company, place, 3) if n == WHOLE_IF_MORE else (company, place))
+
+        def made(g: Column) -> Column:
+            name = of if n == WHOLE_ALWAYS else F.when(g[2] != "", of).otherwise(g[0]) if n == WHOLE_IF_MORE else g[0]
+            return F.struct(F.lit(n).alias("sub"), name.alias("company"), g[1].alias("place"))
+
+        return F.transform(hit, made)
+
+    found = [candidates(n, *p) for n, p in enumerate(SINGLE_PATTERNS)]
     usable = (F.length(text) < MOST_RAW) & text.rlike(r"\w")
-    return F.when(usable, every).otherwise(F.array().cast("array<struct<sub:int,company:string,place:string>>"))
+    return F.when(usable, F.concat(*found)).otherwise(F.array().cast("array<struct<sub:int,company:string,place:string>>"))
 
 
 def validate(candidates: DataFrame, company: str, place: str, places: Places, stop_terms: DataFrame) -> DataFrame:
