@@ -14,9 +14,14 @@ from corvane.llm.common import connected_components, id_and_text, may_match, shi
 from corvane.llm.forest import Forest
 from corvane.shared import written
 
-#: The upper tree is fitted on so many fingerprints, those with the smallest hashes; every fingerprint is indexed.
-SAMPLE = 16384
-SHARD_ROWS = 16384
+#: The upper tree is fitted on a sample of so many fingerprints, or of so many for each shard if that's more; all are indexed.
+SAMPLE, SAMPLE_OF_SHARD = 16384, 64
+#: A shard has about so many fingerprints with its guests, or this factor times the square root of all if that's more: each level of
+#: the tree adds guests, so shards grow along with their number.
+SHARD_ROWS, SHARD_ROOT = 16384, 16
+#: Vantage points that are tried for a split, the quantiles that they split at, and what a split must leave: less than this part of
+#: the points and guests on either side.
+TRIES, CUTS, HEADWAY = 6, (0.3, 0.5, 0.7), 0.9
 LEAF_ROWS = 512
 _SPREAD = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
 
@@ -67,25 +72,37 @@ class Node:
     far: Node | int
 
 
-def upper_tree(sample: np.ndarray, depth: int) -> Node | int:
-    """A vantage-point tree with up to 2**depth shards, which are numbered from 0; splits are at the sample's median distance."""
-    taken = iter(range(1 << (depth + 1)))
+def upper_tree(sample: np.ndarray, scale: float, most: int, radius: int) -> Node | int:
+    """A vantage-point tree whose shards are numbered from 0; each point of the sample stands for `scale` fingerprints.
 
-    def grow(points: np.ndarray, depth: int) -> Node | int:
-        if depth == 0 or len(points) < 2:
+    A node is split until it would hold `most` fingerprints and guests or fewer. Of some vantage points and distances the split with
+    the fewest guests for its balance is taken. A node that no split makes much smaller on both sides stays a shard.
+    """
+    taken = iter(range(1 << 62))
+
+    def grow(own: np.ndarray, guests: np.ndarray) -> Node | int:
+        whole = len(own) + len(guests)
+        best = None
+        if whole * scale > most and len(own) > 1:
+            for vantage in own[np.linspace(0, len(own) - 1, min(TRIES, len(own))).astype(int)]:
+                d = np.bitwise_count(own ^ vantage).astype(np.int64)
+                g = np.bitwise_count(guests ^ vantage).astype(np.int64)
+                for middle in sorted({int(np.quantile(d, q)) for q in CUTS} | {int(d.max()) - 1}):
+                    near = int((d <= middle).sum())
+                    left = near + int((g - radius <= middle).sum())
+                    right = len(own) - near + int((g + radius > middle).sum()) + int(((d <= middle) & (d + radius > middle)).sum())
+                    if 0 < near < len(own) and max(left, right) < HEADWAY * whole:
+                        cost = left * left + right * right
+                        if best is None or cost < best[0]:
+                            best = cost, vantage, middle, d, g
+        if best is None:
             return next(taken)
-        vantage = points[0]
-        d = np.bitwise_count(points ^ vantage)
-        middle = int(np.median(d))
+        _, vantage, middle, d, g = best
         near = d <= middle
-        if near.all():
-            middle -= 1
-            near = d <= middle
-            if middle < 0 or not near.any():
-                return next(taken)
-        return Node(int(vantage), middle, grow(points[near], depth - 1), grow(points[~near], depth - 1))
+        first = grow(own[near], guests[g - radius <= middle])
+        return Node(int(vantage), middle, first, grow(own[~near], np.r_[guests[g + radius > middle], own[near & (d + radius > middle)]]))
 
-    return grow(sample, depth)
+    return grow(sample, np.empty(0, np.uint64))
 
 
 def route(tree: Node | int, prints: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -147,11 +164,13 @@ def linked(own: np.ndarray, guests: np.ndarray, radius: int, leaf: int = LEAF_RO
 
 def near_duplicate_prints(distinct: DataFrame, radius: int = 3, shard_rows: int = SHARD_ROWS, sample: int = SAMPLE) -> DataFrame:
     """(node, component) of the fingerprints in distinct (column fp, long) that are within the radius of another."""
-    spark = distinct.sparkSession
     n = distinct.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, n / shard_rows)))))
-    rows = distinct.orderBy(F.xxhash64("fp")).limit(sample).collect() if depth else []
-    tree = upper_tree(np.array([r.fp for r in rows], np.int64).view(np.uint64), depth)
+    most = max(shard_rows, int(SHARD_ROOT * np.sqrt(n)) if shard_rows >= SHARD_ROWS else 0)
+    want = max(sample, SAMPLE_OF_SHARD * n // most)
+    chosen = F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < F.lit(float(1 << 30)) * min(1.0, want / max(1, n))
+    points = np.sort(distinct.filter(chosen).toPandas()["fp"].to_numpy(np.int64)) if n > most else np.empty(0, np.int64)
+    points = np.random.default_rng(0).permutation(points).view(np.uint64)
+    tree = upper_tree(points, n / max(1, len(points)), most, radius)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -183,7 +202,7 @@ def simhash_dedup(
     Texts whose fingerprints differ in at most radius bits link; a component is all that links reach, named by its smallest
     doc_id, the one that's kept. Equal fingerprints are collapsed first. The distinct ones are dealt to shards by an upper
     vantage-point tree, with guests where a ball crosses a boundary, and each shard's tree finds the exact pairs; only a spanning
-    forest of a shard's links leaves its task.
+    forest of a shard's links leaves its task. Texts of any length are read whole.
 
     Null texts count as empty; texts without words have fingerprint zero and link like any other. Null identifiers belong to a
     component but never name one unless it has no other (component_id is null then, and they're kept). Rows that repeat the kept

@@ -50,9 +50,9 @@ def test_fingerprints():
     assert [int(x) for x in S.fingerprints(texts, 3, 42)] == [plain_print(t) for t in texts]
 
 
-@pytest.mark.parametrize("depth", [0, 1, 4])
-def test_trees_find_every_pair(depth):
-    r = np.random.default_rng(depth)
+@pytest.mark.parametrize("most", [10**9, 2500, 300, 1])
+def test_trees_find_every_pair(most):
+    r = np.random.default_rng(most)
     centres = r.integers(0, 1 << 63, 300, dtype=np.uint64)
     flips = np.zeros(3000, np.uint64)
     for _ in range(4):
@@ -61,7 +61,9 @@ def test_trees_find_every_pair(depth):
     want = [(i, j) for i in range(len(prints)) for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints[i + 1 :]) <= 3) + i + 1]
     found = []
     seen = 0
-    for _, own, guests in S.route(S.upper_tree(prints[::7], depth), prints, 3):
+    tree = S.upper_tree(prints[::7], len(prints) / len(prints[::7]), most, 3)
+    assert isinstance(tree, S.Node) == (most < len(prints))
+    for _, own, guests in S.route(tree, prints, 3):
         seen += len(own)
         at = np.r_[own, guests]
         root = S.linked(prints[own], prints[guests], 3, leaf=16)
@@ -84,6 +86,24 @@ def test_simhash_dedup(spark, rows, repeats):
     assert len(set(want.values())) < 300
 
 
+def test_shards_stay_near_their_size_and_guests_few():
+    """Clustered fingerprints: the largest shard is near what was asked for, and copies of rows don't run away."""
+    r = np.random.default_rng(3)
+    centres = r.integers(0, 1 << 63, 2000, dtype=np.uint64)
+    prints = np.unique(r.choice(centres, 60_000) ^ (np.uint64(1) << r.integers(0, 64, 60_000).astype(np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 60_000).astype(np.uint64)))
+    tree = S.upper_tree(prints[:: max(1, len(prints) // 4096)], len(prints) / len(prints[:: max(1, len(prints) // 4096)]), 8192, 3)
+    sizes = [len(own) + len(guests) for _, own, guests in S.route(tree, prints, 3)]
+    assert len(sizes) > 8 and max(sizes) < 1.5 * 8192 and sum(sizes) < 8 * len(prints)
+
+
+def test_very_long_texts(spark):
+    r = random.Random(6)
+    words = [r.choice("abcdefghijklmnop") + str(r.randrange(50)) for _ in range(200_000)]
+    texts = [" ".join(words), " ".join([*words[:-1], "X"]), " ".join(words[::-1])]
+    got = {x.doc_id: x for x in S.simhash_dedup(spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, component_id string")).collect()}
+    assert [int(got[i].fingerprint, 16) for i in range(3)] == [plain_print(t) for t in texts] and [got[i].component_id for i in range(3)] == [0, 0, 2]
+
+
 def test_null_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "q w e r"), (None, None), (5, "q w e r"), (5, "q w e r")], "doc_id long, text string")
     got = S.simhash_dedup(docs)
