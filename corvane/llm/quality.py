@@ -12,16 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.common import id_and_text, ship
-from corvane.llm.labelled import held_out, training_rows
+from corvane.llm.labelled import held_out, one_of_each, training_rows
 
 #: The model is fitted on at most so many labelled rows.
 FIT_ROWS = 30_000
 FEATURES = (
-    "log_words", "word_length", "longest_word", "distinct_words", "top_word", "short_words", "symbols", "marked_words", "bars",
+    "log_words", "word_length", "longest_word", "distinct_words", "top_word", "short_words", "symbols", "symbol_ends", "top_symbol",
     "stops_commas", "digits", "capitals", "log_line", "repeated_lines", "other_bytes", "entropy",
 )
+_SYMBOL_SIGNS = "#$%&*+/<=>@[\\]^_`{|}~"
 _SYMBOLS = np.zeros(256, bool)
-_SYMBOLS[[ord(c) for c in "#$%&*+/<=>@[\\]^_`{}~"]] = True
+_SYMBOLS[[ord(c) for c in _SYMBOL_SIGNS]] = True
 
 
 def features(text: str) -> list[float]:
@@ -38,11 +39,11 @@ def features(text: str) -> list[float]:
     if len(lines) > 1:
         line_counts = Counter(lines)
         repeated = sum(len(x) * (c - 1) for x, c in line_counts.items() if c > 1)
-    marked = sum(c for w, c in counts.items() if w[-1] in "#$%&*")
+    ends = sum(c for w, c in counts.items() if w[-1] in _SYMBOL_SIGNS)
     p = seen[seen > 0] / n
     return [
         np.log1p(len(words)), lengths.mean() if len(words) else 0.0, float(lengths.max(initial=0)), len(counts) / k,
-        max(counts.values(), default=0) / k, (lengths <= 2).sum() / k, seen[_SYMBOLS].sum() / n, marked / k, seen[124] / k,
+        max(counts.values(), default=0) / k, (lengths <= 2).sum() / k, seen[_SYMBOLS].sum() / n, ends / k, seen[_SYMBOLS].max() / k,
         (seen[44] + seen[46]) / k, seen[48:58].sum() / n, seen[65:91].sum() / n, np.log1p(n / max(1, len(lines))), repeated / n,
         seen[128:].sum() / n, float(-(p * np.log2(p)).sum()),
     ]
@@ -184,12 +185,13 @@ def quality_model(
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = pd.DataFrame([features(t) for t in batch["text"].tolist()], columns=list(FEATURES), dtype=float)
-            out.insert(0, "y", batch["y"].array)
+            out.insert(0, "doc_id", batch["doc_id"].array)
+            out.insert(1, "y", batch["y"].array)
             yield out
 
     known = training_rows(id_and_text(docs, id_col, text_col), labels, label_col, fit_rows, id_col)
-    schema = "y int, " + ", ".join(f"{f} double" for f in FEATURES)
-    rows = known.select("text", "y").mapInPandas(measure, schema).limit(2 * fit_rows).toPandas()
+    schema = "doc_id long, y int, " + ", ".join(f"{f} double" for f in FEATURES)
+    rows = one_of_each(known.select("doc_id", "text", "y").mapInPandas(measure, schema)).toPandas()
     rows = rows.sort_values([*FEATURES, "y"])
     return fit(rows[list(FEATURES)].to_numpy(float), rows["y"].to_numpy(float))
 

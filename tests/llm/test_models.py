@@ -1,3 +1,4 @@
+import math
 import random
 from zlib import crc32
 
@@ -77,7 +78,7 @@ def test_training_rows_are_outside_the_held_out_fifth(tables):
 def test_long_texts_pool_like_short_ones(monkeypatch):
     r = random.Random(1)
     texts = [" ".join(r.choice(COMMON) for _ in range(r.choice([0, 1, 2, 50, 400]))) for _ in range(60)]
-    model = toxicity.fit(texts, np.array([i % 2 for i in range(60)], float), epochs=1)
+    model = toxicity.train(texts, np.array([i % 2 for i in range(60)], float), epochs=1)
     whole = model.scores(texts)
     monkeypatch.setattr(toxicity, "SEGMENT", 7)
     assert np.allclose(whole, model.scores(texts), atol=1e-6)
@@ -89,3 +90,54 @@ def test_pairs_learn_what_single_features_cannot():
     y = ((x[:, 0] > 0.2) != (x[:, 2] > 0.1)).astype(float)
     model = quality.fit(x[:3000], y[:3000])
     assert (0, 2) in model.pairs and ((model.score(x[3000:]) > 0.5) == y[3000:]).mean() > 0.9
+
+
+def plain_pool(model, words):
+    """The forward pass of one text, window by window: embeddings averaged over a word's buckets, then every filter at every place."""
+    vectors = [np.mean([model.embed[b] for b in toxicity.word_hashes(w)], axis=0) for w in words] or [np.zeros(toxicity.DIM)]
+    hidden = []
+    for j, width in enumerate(toxicity.WIDTHS):
+        for k in range(toxicity.FILTERS):
+            best = max(
+                sum(float(vectors[i + d] @ model.filters[j][d][:, k]) for d in range(width) if i + d < len(vectors)) for i in range(len(vectors))
+            )
+            hidden.append(max(0.0, best + float(model.bias[j * toxicity.FILTERS + k])))
+    z = float(np.dot(hidden, model.out)) + model.out_bias
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_equal_a_plain_forward_pass():
+    rows, labels = corpus(300, seed=4)
+    toxic = {i: t for i, _, t in labels}
+    texts = [t for i, t, *_ in rows[:300]]
+    model = toxicity.train(texts, np.array([toxic[i] for i in range(300)], float), epochs=1)
+    some = [*texts[:25], "", "one", "two words", "wörd É 12 grumpela"]
+    assert np.allclose(model.scores(some), [plain_pool(model, toxicity.WORD(t.lower())) for t in some], atol=1e-5)
+
+
+def test_quality_scores_equal_sums_of_table_entries():
+    r = np.random.default_rng(1)
+    x = r.uniform(-1, 1, (800, 4))
+    model = quality.fit(x, ((x[:, 0] > 0) ^ (x[:, 1] > 0.3)).astype(float), rounds=10, pair_rounds=10, most_pairs=3)
+    some = np.vstack([x[:40], [[9, 9, 9, 9], [-9, -9, -9, -9]]])
+    for row, score in zip(some, model.score(some), strict=True):
+        z = model.base
+        for f, (edges, table) in enumerate(zip(model.edges, model.tables, strict=True)):
+            z += table[sum(row[f] >= e for e in edges)]
+        for (a, b), table in zip(model.pairs, model.pair_tables, strict=True):
+            z += table[sum(row[a] >= e for e in model.pair_edges[a]), sum(row[b] >= e for e in model.pair_edges[b])]
+        assert score == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_features_by_hand():
+    got = dict(zip(quality.FEATURES, quality.features("Aa bb# bb#, 12|\n\nAa bb# bb#, 12|"), strict=True))
+    assert got["log_words"] == pytest.approx(math.log(9)) and got["distinct_words"] == 0.5 and got["top_word"] == 0.25 and got["longest_word"] == 4
+    assert got["symbol_ends"] == 0.5 and got["top_symbol"] == 0.5 and got["stops_commas"] == 0.25 and got["digits"] == pytest.approx(4 / 32) and got["capitals"] == pytest.approx(2 / 32)
+    assert got["repeated_lines"] == pytest.approx(15 / 32) and got["short_words"] == 0.25
+
+
+def test_the_bytes_that_a_model_learns_from_are_bounded(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * (100_000 if i == 3 else 5), "en") for i in range(40)] + [(4, "another row", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    a, b = (sorted((r.doc_id, r.score) for r in toxicity.toxicity_scores(docs.repartition(n), labels, fit_bytes=1000).collect()) for n in (1, 5))
+    assert a == b and len(a) == 41
