@@ -11,8 +11,10 @@ from corvane.llm.common import whole_row
 from corvane.shared import written
 
 WORDS = r"[^\x20\x09-\x0D]+"
-#: Rows of each source are counted in so many bins of their rank before any are sorted.
-BINS = 4096
+#: Rows of each source are counted in so many bins of their rank; the bin that the end falls in is counted in as many again, until it
+#: has so few rows that they are sorted.
+BINS, BIN_ROWS = 4096, 4096
+_PLACES = 1 << 52  # whole numbers that stand for ranks
 #: The table of sources is broadcast up to so many rows (under 100 bytes each); beyond, it's joined by a shuffle.
 MOST_SOURCES = 200_000
 
@@ -23,6 +25,21 @@ def _uniform(seed: int, key: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def _running(rows: DataFrame, order: Sequence[str], sums: dict[str, str]) -> DataFrame:
+    """rows with, for each (name: column) of sums, the sum of the column over this row and those before it in the order.
+
+    Rows are dealt to ranges of the order; a range adds up its own rows, and the totals of the ranges before are added. No task sees
+    all rows, and the driver none.
+    """
+    dealt = written(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranges")
+    totals = dealt.groupBy("_p").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    parts = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # over as many rows as there are ranges
+    before = totals.select(F.col("_p").alias("_q"), *[F.coalesce(F.sum(n).over(parts), F.lit(0.0)).alias(f"_b{n}") for n in sums])
+    within = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = dealt.join(F.broadcast(before), F.col("_p") == F.col("_q"))
+    return out.withColumns({n: F.sum(c).over(within) + F.col(f"_b{n}") for n, c in sums.items()}).drop("_p", "_q", *[f"_b{n}" for n in sums])
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """source, source_size, target: share times all sizes, dealt by weight, but no more than most times a source's size.
 
@@ -31,21 +48,21 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     because the capped sum is the least of those straight lines.
     """
     per = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    per = per.withColumn("w", w).withColumn("cap", F.col("source_size") * float(most))
-    by_cap = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    left = F.sum("source_size").over(everything) * float(share) - F.coalesce(F.sum("cap").over(by_cap), F.lit(0.0))
-    after = F.sum("w").over(everything) - F.coalesce(F.sum("w").over(by_cap), F.lit(0.0))
-    per = per.withColumn("line", left / after)
-    per = per.withColumn("level", F.max("line").over(everything))
-    return per.select("source", "source_size", F.least("cap", F.greatest(F.lit(0.0), F.col("level") * F.col("w"))).alias("target"))
+    per = _running(per.withColumn("last", F.col("source").isNull()).withColumn("one", F.lit(1.0)), ["last", "source"], {"nth": "one"})
+    w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("nth").cast("long") - 1) % len(weights) + 1).cast("int"))
+    per = per.withColumn("w", w).withColumn("cap", F.col("source_size") * float(most)).withColumn("turn", F.col("cap") / F.col("w"))
+    per = written(_running(per.drop("one", "nth"), ["turn", "last", "source"], {"caps": "cap", "ws": "w"}), "sources")
+    whole = per.agg(F.sum("source_size"), F.sum("w")).first()
+    left = F.lit(float(whole[0] or 0)) * float(share) - (F.col("caps") - F.col("cap"))
+    after = F.lit(float(whole[1] or 0)) - (F.col("ws") - F.col("w"))
+    level = F.lit(per.agg(F.max(left / after)).first()[0] or 0.0)
+    return per.select("source", "source_size", F.least("cap", F.greatest(F.lit(0.0), level * F.col("w"))).alias("target"))
 
 
 def mix(
     docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 7,
-    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bins: int = BINS, keep_columns: bool = False,
+    id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", bins: int = BINS, bin_rows: int = BIN_ROWS,
+    keep_columns: bool = False,
 ) -> DataFrame:
     """doc_id, size, source_size, target, copies, taken of every row: how often the mix takes it, whole.
 
@@ -56,8 +73,8 @@ def mix(
     words: a second pass in the same order fills what a long document at the end left open with those not longer than that, and
     then the document outside whose size is nearest to the words still open joins, if that comes nearer to r.
 
-    No source is sorted as a whole: its rows are counted in bins of the rank; only the bin that the end falls in is sorted. The same
-    rows and seed give the same mix whatever the partitions are. keep_columns adds all columns of docs (as a struct, _row).
+    No source is sorted as a whole: its rows are counted in bins of the rank, the bin that the end falls in is counted in finer bins,
+    and only a last bin of about bin_rows rows is sorted. The same rows and seed give the same mix whatever the partitions are. keep_columns adds all columns of docs (as a struct, _row).
 
     Null or empty texts have size 0 and take no words (copies: the whole ones). Null sources are one source, the last. Null
     identifiers hash alike. Repeated rows rank side by side and count each. Copies are whole, so a source whose words lie mostly
@@ -86,22 +103,37 @@ def mix(
         out = out.withColumn("p", (F.col("ratio") - F.col("whole")) * long).withColumn("u", _uniform(seed, F.col("doc_id")))
         odds = F.col("u") * (1 - F.col("p")) / ((1 - F.col("u")) * F.col("p"))
         out = out.withColumn("q", F.when((F.col("p") > 0) & (F.col("size") > 0), odds))
-        return out.withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * bins))
+        return out.withColumn("place", F.floor(F.col("q") / (1 + F.col("q")) * float(_PLACES)))
 
     key = F.struct("q", "doc_id", "size", "tie")
 
     def filled(rows: DataFrame, budgets: DataFrame, n: int) -> DataFrame:
-        """budgets (source, rest{n}) with the last row in order that fits and the words taken up to it: cut{n}, last{n}, rest{n+1}."""
+        """budgets (source, rest{n}) with the last row in order that fits and the words taken up to it: lo{n}, hi{n}, last{n}, rest{n+1}.
+
+        lo to hi is the range of places that the end falls in; both are null where all rows fit.
+        """
         rest = f"rest{n}"
-        per_bin = with_source(rows.groupBy("source", "bin").agg(F.sum("size").alias("words")), budgets.select("source", rest))
-        up_to = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        per_bin = per_bin.withColumn("upto", F.sum("words").over(up_to))
-        first = F.min(F.when(F.col("upto") > F.col(rest), F.struct("bin", (F.col("upto") - F.col("words")).alias("before"))))
-        cut = per_bin.groupBy("source").agg(first.alias("c"), F.sum("words").alias("all"))
-        cut = written(cut.select("source", F.col("c.bin").alias(f"cut{n}"), F.coalesce("c.before", "all").alias("before")), "cut")
-        at_cut = with_source(with_source(rows.select("source", "bin", "q", "doc_id", "size", "tie"), cut), budgets.select("source", rest))
+        able = rows.select("source", "place", "q", "doc_id", "size", "tie")
+        cut = budgets.select("source", rest, F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("before"))
+        width = _PLACES + 1  # the last place is that of odds too large for a double's quotient
+        while True:
+            step = -(-width // bins)
+            here = with_source(able, cut).filter((F.col("place") >= F.col("lo")) & (F.col("place") < F.col("lo") + F.lit(width)))
+            per_bin = here.groupBy("source", "lo", "before", rest, F.expr(f"(place - lo) div {step}").alias("bin")).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+            up_to = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)  # over at most `bins` rows a source
+            per_bin = per_bin.withColumn("upto", F.col("before") + F.sum("words").over(up_to))
+            first = F.min(F.when(F.col("upto") > F.col(rest), F.struct("bin", (F.col("upto") - F.col("words")).alias("before"), "n")))
+            now = per_bin.groupBy("source", "lo", rest).agg(first.alias("c"), F.max("upto").alias("all"))
+            now = now.select("source", rest, (F.col("lo") + F.col("c.bin") * step).alias("lo"), F.coalesce("c.before", "all").alias("before"), F.col("c.n").alias("n"))
+            now, width = written(now, "cut"), step
+            # sources whose rows all fit have no range to look into
+            cut = now.unionByName(cut.filter("lo is null")) if "n" in cut.columns else now
+            if width == 1 or (now.agg(F.max("n")).first()[0] or 0) <= bin_rows:
+                break
+        cut = cut.select("source", F.col("lo").alias(f"lo{n}"), (F.col("lo") + F.lit(width)).alias(f"hi{n}"), "before")
+        at_cut = with_source(with_source(able, cut), budgets.select("source", rest))
         in_order = Window.partitionBy("source").orderBy("q", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
-        at_cut = at_cut.filter(F.col("bin") == F.col(f"cut{n}")).withColumn("upto", F.col("before") + F.sum("size").over(in_order))
+        at_cut = at_cut.filter((F.col("place") >= F.col(f"lo{n}")) & (F.col("place") < F.col(f"hi{n}"))).withColumn("upto", F.col("before") + F.sum("size").over(in_order))
         last = at_cut.filter(F.col("upto") <= F.col(rest)).groupBy("source").agg(F.max(F.struct("upto", "q", "doc_id", "size", "tie")).alias(f"last{n}"))
         out = with_source(with_source(budgets, cut, "left"), last, "left")
         used = F.coalesce(F.col(f"last{n}.upto"), F.col("before"), F.lit(0))
@@ -110,9 +142,10 @@ def mix(
         return written(out, "filled")
 
     def inside(n: int):
-        cut, last = F.col(f"cut{n}"), f"last{n}"
-        upto = (F.col("bin") == cut) & F.col(last).isNotNull() & (key <= F.struct(*[f"{last}.{c}" for c in ("q", "doc_id", "size", "tie")]))
-        return ~F.col(f"none{n}") & F.coalesce(cut.isNull() | (F.col("bin") < cut) | upto, F.lit(False))
+        lo, hi, last = F.col(f"lo{n}"), F.col(f"hi{n}"), f"last{n}"
+        among = (F.col("place") >= lo) & (F.col("place") < hi) & F.col(last).isNotNull()
+        upto = among & (key <= F.struct(*[f"{last}.{c}" for c in ("q", "doc_id", "size", "tie")]))
+        return ~F.col(f"none{n}") & F.coalesce(lo.isNull() | (F.col("place") < lo) | upto, F.lit(False))
 
     able = drawn(sized).filter("q is not null")
     plan = filled(able, targets.select("source", F.col("rest").alias("rest1")), 1)

@@ -60,8 +60,8 @@ def targets(sizes, weights, share, most):
         full |= above
 
 
-@pytest.mark.parametrize("bins", [4096, 3])
-def test_mixing(spark, bins):
+@pytest.mark.parametrize("bins,bin_rows", [(4096, 4096), (3, 20)])
+def test_mixing(spark, bins, bin_rows):
     r = random.Random(8)
     rows = []
     for i in range(3000):
@@ -69,7 +69,7 @@ def test_mixing(spark, bins):
         rows.append((i, None if i % 97 == 0 else " ".join(["w"] * int(r.paretovariate(1.1))), source, "c"))
     rows += [(10**6, "\t \n", "empty only", "c"), (None, "one two", "a", "c"), (10**6 + 1, "w " * 900, "b", "c")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
-    got = mixing.mix(docs, bins=bins).collect()
+    got = mixing.mix(docs, bins=bins, bin_rows=bin_rows).collect()
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
     per, taken, longest = Counter(), Counter(), Counter()
     of = {i: s for i, _, s, _ in rows}
@@ -84,10 +84,10 @@ def test_mixing(spark, bins):
     assert len(got) == len(rows) and sum(want.values()) == pytest.approx(1.5 * sum(per.values()))
     for s in per:
         assert abs(taken[s] - want[s]) <= max(0.01 * want[s], 2, longest[s] / 2), (s, taken[s], want[s])
-    again = mixing.mix(docs.repartition(7), bins=bins).collect()
+    again = mixing.mix(docs.repartition(7), bins=4096).collect()
     key = lambda x: (str(x.doc_id), x.taken)
     assert sorted(map(key, got)) == sorted(map(key, again))
-    mixed = mixing.mixed_documents(docs, bins=bins)
+    mixed = mixing.mixed_documents(docs, bins=bins, bin_rows=bin_rows)
     assert mixed.columns == docs.columns
     copies = Counter(str(x.doc_id) for x in mixed.collect())
     assert copies == Counter({str(x.doc_id): x.copies for x in got if x.copies})
@@ -99,3 +99,25 @@ def test_odds_order_the_sample(spark):
     got = mixing.mix(docs, weights=(1, 3), share=0.5).collect()
     share = sum(x.copies for x in got if x.doc_id < 4000) / 4000
     assert share == pytest.approx(0.25, abs=0.002)
+
+
+def test_many_sources(spark):
+    """Targets of thousands of sources, dealt to ranges, equal the plain resharing."""
+    r = random.Random(5)
+    rows = [(i, "w " * r.randrange(1, 9), None if i % 1999 == 0 else f"s{r.randrange(1500)}") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    per = Counter()
+    for _, t, s in rows:
+        per[s] += len(t.split())
+    sizes = docs.selectExpr("source", "size(split(trim(text), ' ')) as size")
+    got = {x.source: x.target for x in mixing.source_targets(sizes, (5, 2, 1), 1.5, 2.0).collect()}
+    want = targets(dict(per), (5, 2, 1), 1.5, 2.0)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s]) for s in want)
+
+
+def test_very_long_texts(spark):
+    docs = spark.createDataFrame([(1, "w " * 400_000, "a", 1), (2, "w " * 400_000, "a", 1), (3, "x" * 2_000_000, "b", 1)], "doc_id long, text string, source string, bin int")
+    got = {x.doc_id: x for x in mixing.mix(docs).collect()}
+    assert (got[1].size, got[3].size) == (400_000, 1) and got[1].taken + got[2].taken in (800_000, 1_200_000, 1_600_000)
+    kept = {x.doc_id: x.keep_id for x in exact_dedup.exact_dedup(docs).collect()}
+    assert kept == {1: 2, 2: 2, 3: 3}
