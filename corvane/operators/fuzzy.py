@@ -1,9 +1,7 @@
-"""Fuzzy matching of names: candidate blocks by shared tokens, weighted overlap scores."""
+"""Fuzzy matching of names: candidates by the rare tokens that a score needs, weighted overlap scores."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,43 +12,23 @@ UNKNOWN_WEIGHT = 0.2
 LEAST_SCORE = 75.0
 
 
-def candidate_pairs(left: DataFrame, right: DataFrame, stop: DataFrame, substring: bool = False) -> DataFrame:
-    """Distinct (a_id, b_id) of names that share a token outside the stop list.
+def scoring_pairs(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(a_id, b_id) of all names that can score above least, and of others that share a rare token.
 
-    left and right have (id, name); stop has (word). Tokens are exploded and joined by equality, so the frequent ones that would
-    make a join explode are gone before it. substring also accepts a left token inside a right name; that needs a nested loop over
-    the left tokens and is for small lists.
+    a and b have weighted tokens (a_id, a_tw), (b_id, b_tw); weights are 0 or more. A score over least takes shared tokens of more
+    than least / 200 of a name's weight. So a name's tokens are joined from the one that the fewest right names have on, until those
+    left over weigh no more than that; its frequent tokens, which would pair very many names, are hardly ever reached. Right names
+    too heavy for the score are left out. No pair is lost.
     """
-    a = left.select(F.col("id").alias("a_id"), F.explode(F.array_distinct(words(F.col("name")))).alias("word"))
-    a = a.join(small(stop), "word", "left_anti")
-    if substring:
-        b = right.select(F.col("id").alias("b_id"), F.lower("name").alias("b_name"))
-        return a.join(b, F.col("b_name").contains(F.col("word"))).select("a_id", "b_id").distinct()
-    b = right.select(F.col("id").alias("b_id"), F.explode(F.array_distinct(words(F.col("name")))).alias("word"))
-    return a.join(b, "word").select("a_id", "b_id").distinct()
-
-
-def stop_only_pairs(left: DataFrame, right: DataFrame, stop: DataFrame, sides: Sequence[tuple[DataFrame, DataFrame]], least: float) -> DataFrame:
-    """Distinct (a_id, b_id) of left names without a word outside the stop list: equal names and all that can score above least.
-
-    sides has the weighted tokens (a_id, a_tw), (b_id, b_tw) of each kind of score; weights are 0 or more. A score over least takes
-    shared tokens of more than least / 200 of a name's weight. So the tokens that the fewest right names have are joined until those
-    left over weigh no more than that; right names too heavy for the score are left out. No pair is lost.
-    """
-    token = left.select("id", F.explode(words(F.col("name"))).alias("word"))
-    rest = left.join(token.join(small(stop), "word", "left_anti").select("id"), "id", "left_anti")
-    pairs = rest.select(F.col("id").alias("a_id"), "name").join(right.select(F.col("id").alias("b_id"), "name"), "name").select("a_id", "b_id")
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x["w"])
-    for a, b in sides:
-        mine = a.join(rest.select(F.col("id").alias("a_id")), "a_id").select("a_id", total("a_tw").alias("a_w"), F.explode("a_tw").alias("x"))
-        mine = mine.groupBy("a_id", "a_w", F.col("x.t").alias("t")).agg(F.sum("x.w").alias("w"))
-        theirs = b.select("b_id", total("b_tw").alias("b_w"), F.explode(F.array_distinct(F.transform("b_tw", lambda x: x["t"]))).alias("t"))
-        mine = mine.join(theirs.groupBy("t").agg(F.count("*").alias("n")), "t")
-        onward = Window.partitionBy("a_id").orderBy("n", "t").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-        mine = mine.withColumn("left_over", F.sum("w").over(onward)).filter(200 * F.col("left_over") > least * F.col("a_w") * (1 - 1e-9))
-        heavy = least * (F.col("a_w") + F.col("b_w")) > 200 * F.col("a_w") * (1 + 1e-9)
-        pairs = pairs.unionByName(mine.join(theirs, "t").filter(~heavy).select("a_id", "b_id"))
-    return pairs.distinct()
+    mine = a.select("a_id", total("a_tw").alias("a_w"), F.explode("a_tw").alias("x"))
+    mine = mine.groupBy("a_id", "a_w", F.col("x.t").alias("t")).agg(F.sum("x.w").alias("w"))
+    theirs = b.select("b_id", total("b_tw").alias("b_w"), F.explode(F.array_distinct(F.transform("b_tw", lambda x: x["t"]))).alias("t"))
+    mine = mine.join(theirs.groupBy("t").agg(F.count("*").alias("n")), "t")
+    onward = Window.partitionBy("a_id").orderBy("n", "t").rowsBetween(Window.currentRow, Window.unboundedFollowing)  # over a name's tokens
+    mine = mine.withColumn("left_over", F.sum("w").over(onward)).filter(200 * F.col("left_over") > least * F.col("a_w") * (1 - 1e-9))
+    heavy = least * (F.col("a_w") + F.col("b_w")) > 200 * F.col("a_w") * (1 + 1e-9)
+    return mine.join(theirs, "t").filter(~heavy).select("a_id", "b_id")
 
 
 def weighted_tokens(names: DataFrame, weights: DataFrame, tokens: Column, token_col: str) -> DataFrame:
@@ -82,29 +60,30 @@ def location_score(cc_a: Column, sc_a: Column, cc_b: Column, sc_b: Column, w_cou
 
 def fuzzy_matches(
     left: DataFrame, right: DataFrame, word_weights: DataFrame, bigram_weights: DataFrame, stop: DataFrame,
-    least: float = LEAST_SCORE, substring: bool = False, stop_only: bool = False,
+    least: float = LEAST_SCORE, substring: bool = False,
 ) -> DataFrame:
     """(a_id, b_id, match_type, score) of pairs scoring above least; equal names score 100.
 
-    left and right have (id, name), compared in lower case. Each pair is scored by words and by bigrams and may give two rows.
-    Left names made of stop terms only have no pairs unless stop_only is set; then they're compared with all right names in effect.
+    left and right have (id, name), compared in lower case; stop has (word). Each pair is scored by words and by bigrams and may give
+    two rows. A right name is a candidate if it has a word of the left name outside the stop list, or, with substring, if such a word
+    stands anywhere in it; for a left name made of stop terms only all right names are. Candidates are found by the rare tokens that
+    a score over least needs, in either mode, so there's no loop over pairs of names.
     """
     low = lambda d: d.select("id", F.lower("name").alias("name"))
     left, right = low(left), low(right)
-    sides = {}
+    rare = left.select("id", F.explode(F.array_distinct(words(F.col("name")))).alias("word")).join(small(stop), "word", "left_anti")
+    a_names = left.join(rare.groupBy("id").agg(F.collect_list("word").alias("a_rare")), "id", "left").withColumnsRenamed({"id": "a_id", "name": "a_name"})
+    b_names = right.select(F.col("id").alias("b_id"), F.col("name").alias("b_name"), words(F.col("name")).alias("b_words"))
+    equal = a_names.select("a_id", "a_name").join(b_names, F.col("a_name") == F.col("b_name")).select("a_id", "b_id")
+    shared = F.exists("a_rare", lambda w: F.contains(F.col("b_name"), w)) if substring else F.arrays_overlap("a_rare", "b_words")
+    out = None
     for kind, weights, token, of in (("term", word_weights, "word", words), ("bigram", bigram_weights, "bigram", bigrams)):
         a = weighted_tokens(left, weights, of(F.col("name")), token).select(F.col("id").alias("a_id"), F.col("tw").alias("a_tw"))
         b = weighted_tokens(right, weights, of(F.col("name")), token).select(F.col("id").alias("b_id"), F.col("tw").alias("b_tw"))
-        sides[kind] = a, b
-    pairs = candidate_pairs(left, right, stop, substring)
-    if stop_only:
-        pairs = pairs.unionByName(stop_only_pairs(left, right, stop, list(sides.values()), least))
-    out = None
-    for kind, (a, b) in sides.items():
-        names = pairs.join(left.select(F.col("id").alias("a_id"), F.col("name").alias("a_name")), "a_id")
-        names = names.join(right.select(F.col("id").alias("b_id"), F.col("name").alias("b_name")), "b_id")
+        pairs = scoring_pairs(a, b, least).unionByName(equal).distinct()
+        named = pairs.join(a_names, "a_id").join(b_names, "b_id").filter(F.col("a_rare").isNull() | shared)
         score = F.when(F.col("a_name") == F.col("b_name"), F.lit(100.0)).otherwise(100 * overlap(F.col("a_tw"), F.col("b_tw")))
-        scored = names.join(a, "a_id").join(b, "b_id").select("a_id", "b_id", F.lit(kind).alias("match_type"), score.alias("score"))
+        scored = named.join(a, "a_id").join(b, "b_id").select("a_id", "b_id", F.lit(kind).alias("match_type"), score.alias("score"))
         scored = scored.filter(F.col("score") > least)
         out = scored if out is None else out.unionByName(scored)
     return out

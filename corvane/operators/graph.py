@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from corvane.shared import written
 
-_STACK = "struct<parents: array<struct<h: double, id: bigint>>, level: int, out: array<struct<id: bigint, parent: bigint, level: int>>>"
+_OUT = "array<struct<id: bigint, parent: bigint, level: int>>"
+_STACK = f"struct<parents: array<struct<h: double, id: bigint>>, level: int, out: {_OUT}>"
+#: Rows of a group are folded in blocks, whose results are put together at the end: a fold copies what it has gathered for each row.
+BLOCK = 256
 
 
 def _indent_fold(rows: Column) -> Column:
@@ -17,9 +20,6 @@ def _indent_fold(rows: Column) -> Column:
     stack's entry is deeper. The row then takes its level's place, and its parent is the entry above.
     """
     root = F.struct(F.lit(0.0).alias("h"), F.lit(0).cast("bigint").alias("id"))
-    start = F.struct(
-        F.array(root).alias("parents"), F.lit(0).alias("level"), F.array().cast("array<struct<id: bigint, parent: bigint, level: int>>").alias("out")
-    ).cast(_STACK)
 
     def step(acc: Column, row: Column) -> Column:
         h, level, parents = row["h"], acc["level"], acc["parents"]
@@ -34,7 +34,16 @@ def _indent_fold(rows: Column) -> Column:
         found = F.struct(row["id"].alias("id"), parent.alias("parent"), new.cast("int").alias("level"))
         return F.struct(stack.alias("parents"), new.cast("int").alias("level"), F.concat(acc["out"], F.array(found)).alias("out")).cast(_STACK)
 
-    return F.aggregate(rows, start, step)["out"]
+    def block(acc: Column, part: Column) -> Column:
+        start = F.struct(acc["parents"].alias("parents"), acc["level"].alias("level"), F.array().cast(_OUT).alias("out")).cast(_STACK)
+        # bound to a variable, or the block would be folded once for each field
+        return F.transform(F.array(F.aggregate(part, start, step)), lambda x: F.struct(
+            x["parents"].alias("parents"), x["level"].alias("level"), F.concat(acc["outs"], F.array(x["out"])).alias("outs"),
+        ))[0]
+
+    first = F.struct(F.array(root).alias("parents"), F.lit(0).alias("level"), F.array().cast(f"array<{_OUT}>").alias("outs"))
+    blocks = F.transform(F.array(rows), lambda xs: F.transform(F.sequence(F.lit(0), F.ceil(F.size(xs) / BLOCK).cast("int") - 1), lambda b: F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))[0]
+    return F.flatten(F.aggregate(blocks, first, block)["outs"])
 
 
 def _indents(rows: DataFrame, group: str, order: str, entity: str, indent: str) -> DataFrame:

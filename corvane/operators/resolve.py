@@ -124,14 +124,20 @@ def suppressed_filers(filers: DataFrame, registry: DataFrame) -> DataFrame:
     f = filers.filter("cik is not null").join(known, "cik", "left").select(
         "filer_id", "cik", "year", "reg", F.col("sec_21").alias("exhibit"), name_key(F.col("match_name")).alias("k"), "incorp_country_code", "incorp_subdiv_code"
     )
-    a, b = f.alias("a"), f.alias("b")
-    same = (F.col("a.k") == F.col("b.k")) & (F.col("a.year") == F.col("b.year")) & (F.col("a.cik") != F.col("b.cik"))
-    for c in ("incorp_country_code", "incorp_subdiv_code"):
-        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
-    pairs = a.join(b, same & ~F.col("b.exhibit"))
-    first = F.col("a.reg").isNotNull() & (F.col("b.reg").isNull() | (F.col("b.reg") > F.col("a.reg")))
-    code = F.when(first, F.when(F.col("a.exhibit"), 1).otherwise(2)).when(F.col("a.cik") > F.col("b.cik"), F.when(F.col("a.exhibit"), 3).otherwise(4))
-    return pairs.select(F.col("b.filer_id").alias("filer_id"), code.alias("code")).filter("code is not null").groupBy("filer_id").agg(F.min("code").alias("code"))
+    # what decides for a whole group of equal name, year and place: the smallest registered identifier and the largest cik, each
+    # with and without an exhibit; the identifier belongs to the cik, so no filer is hidden by its own
+    key = ["k", "year", "incorp_country_code", "incorp_subdiv_code"]
+    of = lambda f_, c, with_: f_(F.when(F.col("exhibit") == with_, F.col(c)))
+    group = f.filter("k is not null and year is not null").groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(
+        of(F.min, "reg", True).alias("reg1"), of(F.min, "reg", False).alias("reg2"), of(F.max, "cik", True).alias("cik3"), of(F.max, "cik", False).alias("cik4"),
+    )
+    same = F.lit(True)
+    for c in key:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    wins = lambda c: F.col(c).isNotNull() & (F.col("reg").isNull() | (F.col("reg") > F.col(c)))
+    code = F.when(wins("reg1"), 1).when(wins("reg2"), 2).when(F.col("cik3") > F.col("cik"), 3).when(F.col("cik4") > F.col("cik"), 4)
+    hidden = f.filter(~F.col("exhibit")).join(group, same).select("filer_id", code.alias("code")).filter("code is not null")
+    return hidden.groupBy("filer_id").agg(F.min("code").alias("code"))
 
 
 def hide_suppressed(filers: DataFrame, registry: DataFrame, filings: DataFrame) -> DataFrame:

@@ -97,8 +97,9 @@ _FUZZY_SQL = """WITH l AS (SELECT row_number() OVER (ORDER BY name) AS id, name
 lt AS (SELECT id, name, {tok} AS tok, {words} AS wrd FROM l), rt AS (SELECT id, name, {tok} AS tok, {words} AS wrd FROM r),
 every AS (SELECT unnest(tok) AS tk FROM lt UNION ALL SELECT unnest(tok) FROM rt), wt AS (SELECT tk, 1 / (ln(count(*)) + 1) AS w FROM every GROUP BY tk),
 wc AS (SELECT wd, count(*) AS n FROM (SELECT unnest(wrd) AS wd FROM lt UNION ALL SELECT unnest(wrd) FROM rt) GROUP BY wd),
-stop AS (SELECT wd FROM wc ORDER BY n DESC, wd LIMIT 8),
-pairs AS (SELECT DISTINCT a.id AS a_id, b.id AS b_id FROM (SELECT id, unnest(wrd) AS wd FROM lt) a JOIN (SELECT id, unnest(wrd) AS wd FROM rt) b USING (wd) WHERE wd NOT IN (SELECT wd FROM stop)),
+stop AS (SELECT wd FROM wc ORDER BY n DESC, wd LIMIT 8), stops AS (SELECT list(wd) AS s FROM stop),
+pairs AS (SELECT DISTINCT a.id AS a_id, b.id AS b_id FROM (SELECT id, unnest(wrd) AS wd FROM lt) a JOIN (SELECT id, unnest(wrd) AS wd FROM rt) b USING (wd) WHERE wd NOT IN (SELECT wd FROM stop)
+  UNION SELECT lt.id, rt.id FROM lt, rt, stops WHERE len(list_filter(lt.wrd, lambda x: NOT list_contains(s, x))) = 0),
 lw AS (SELECT id, tk, w FROM (SELECT id, unnest(tok) AS tk FROM lt) JOIN wt USING (tk)), rw AS (SELECT id, tk, w FROM (SELECT id, unnest(tok) AS tk FROM rt) JOIN wt USING (tk)),
 ls AS (SELECT id, sum(w) AS s FROM lw GROUP BY id), rs AS (SELECT id, sum(w) AS s FROM rw GROUP BY id),
 hit AS (SELECT p.a_id, p.b_id, sum(lw.w) AS s FROM pairs p JOIN lw ON lw.id = p.a_id WHERE EXISTS (SELECT 1 FROM rw WHERE rw.id = p.b_id AND rw.tk = lw.tk) GROUP BY ALL)
@@ -145,11 +146,11 @@ def location_score(spark: SparkSession, t: Tables) -> DataFrame:
 ON a.c_mktsegment = b.c_mktsegment AND a.c_nationkey = b.c_nationkey AND nullif(a.c_custkey % 7, 0) IS NOT DISTINCT FROM nullif(b.c_custkey % 7, 0) AND a.c_custkey > b.c_custkey
 GROUP BY 1""")
 def null_safe_self_join(spark: SparkSession, t: Tables) -> DataFrame:
+    """How many rows of the same group have a smaller key, and which is the smallest: the join's answer without its pairs."""
     c = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey", F.nullif(F.col("c_custkey") % 7, F.lit(0)).alias("k"))
-    a, b = c.alias("a"), c.alias("b")
-    same = (F.col("a.c_mktsegment") == F.col("b.c_mktsegment")) & (F.col("a.c_nationkey") == F.col("b.c_nationkey")) & F.col("a.k").eqNullSafe(F.col("b.k"))
-    joined = a.join(b, same & (F.col("a.c_custkey") > F.col("b.c_custkey")))
-    return joined.groupBy(F.col("a.c_custkey").alias("keep_key")).agg(F.count("*").alias("n"), F.min("b.c_custkey").alias("least"))
+    same = Window.partitionBy("c_mktsegment", "c_nationkey", "k").orderBy("c_custkey")
+    ranked = c.select(F.col("c_custkey").alias("keep_key"), (F.row_number().over(same) - 1).cast("long").alias("n"), F.first("c_custkey").over(same).alias("least"))
+    return ranked.filter("n > 0")
 
 
 @query("""SELECT o_custkey, year(o_orderdate) AS year, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1, 2""")

@@ -68,15 +68,23 @@ def test_fuzzy_matches(spark):
     stop = spark.createDataFrame([("corp",), ("the",)], "word string")
     got = {(r.a_id, r.b_id, r.match_type): r.score for r in fuzzy.fuzzy_matches(left, right, ww, bw, stop).collect()}
     assert got[1, 10, "term"] == got[1, 10, "bigram"] == 100 and (1, 12, "term") not in got  # intl is rare and weighs much
-    assert not any(a == 2 for a, _, _ in got)  # all its words are stop terms
-    loose = fuzzy.candidate_pairs(left, right, stop, substring=True).collect()
-    assert {(1, 10), (1, 11), (1, 12)} == set(map(tuple, loose))
+    assert got[2, 13, "term"] == 100  # all its words are stop terms, so all right names are candidates
 
 
-@pytest.mark.parametrize("least", [75.0, 40.0])
-def test_names_of_stop_terms_only_lose_no_pair(spark, least):
+def test_frequent_tokens_make_no_pairs(spark):
+    """A token that very many names share is joined for none of those that have a rarer one."""
+    left = spark.createDataFrame([(i, f"holding name{i}") for i in range(300)], "id int, name string")
+    both = left.unionByName(left)
+    weights = relational.token_counts(both, T.words(F.col("name")), "word")
+    tw = fuzzy.weighted_tokens(left, weights, T.words(F.col("name")), "word")
+    pairs = fuzzy.scoring_pairs(tw.selectExpr("id a_id", "tw a_tw"), tw.selectExpr("id b_id", "tw b_tw"), 75.0)
+    assert pairs.count() == 300
+
+
+@pytest.mark.parametrize("least,substring", [(75.0, False), (40.0, False), (75.0, True), (40.0, True)])
+def test_no_pair_is_lost(spark, least, substring):
     r = random.Random(int(least))
-    frequent, rare = ["the", "corp", "first", "inc", "group"], ["acme", "zeta", "delta"]
+    frequent, rare = ["the", "corp", "first", "inc", "group"], ["acme", "acm", "delta", "xdeltax"]
     some = lambda n, ws: sorted({" ".join(r.choices(ws, k=r.randrange(1, 6))) for _ in range(n)})
     a_names, b_names = ["The Corp", "", "corp corp corp first", *some(40, frequent), *some(20, frequent + rare)], ["the corp", "", *some(80, frequent + rare)]
     left = spark.createDataFrame(list(enumerate(a_names)), "id int, name string")
@@ -93,9 +101,10 @@ def test_names_of_stop_terms_only_lose_no_pair(spark, least):
             for j, b in enumerate(b_names):
                 b = b.split()
                 score = 100 if a == b else 100 * overlap(of(a), of(b), w)
-                if score > least and (set(a) <= set(frequent) or set(a) & set(b) & set(rare)):
+                own = set(a) - set(frequent)
+                if score > least and (not own or (any(x in " ".join(b) for x in own) if substring else own & set(b))):
                     want[i, j, kind] = score
-    got = fuzzy.fuzzy_matches(left, right, ww, bw, stop, least, stop_only=True).collect()
+    got = fuzzy.fuzzy_matches(left, right, ww, bw, stop, least, substring).collect()
     assert len(got) == len(want) and {(x.a_id, x.b_id, x.match_type): x.score for x in got} == pytest.approx(want)
     assert want[0, 0, "term"] == want[1, 1, "bigram"] == 100
 

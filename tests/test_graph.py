@@ -1,3 +1,5 @@
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -35,6 +37,14 @@ def test_last_row_of_a_repeated_entity_wins(spark):
     assert [(r.id, r.parent) for r in got] == [(20, 30)]
 
 
+def test_indents_of_long_groups(spark):
+    """Groups of several blocks, one of them far deeper than the others."""
+    r = random.Random(1)
+    groups = {1: [r.randrange(6) for _ in range(3 * graph.BLOCK + 7)], 2: [r.randrange(3) for _ in range(graph.BLOCK)], 3: list(range(40))}
+    got = {(x.g, x.pos): x.level for x in graph.indent_levels(frame(spark, groups), "g", "o", "id", "h").collect()}
+    assert got == {(g, n): level for g, hs in groups.items() for n, (_, level) in enumerate(stack(hs))}
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 5), min_size=1, max_size=12), min_size=1, max_size=6))
 def test_indents_against_a_stack(spark, groups):
