@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.functions.text import name_key, words
+from corvane.functions.text import name_key, to_plain, words
 
 #: The most rows of one page.
 PAGE = 5000
@@ -40,6 +40,30 @@ def matches_text(column: str, text: str, substring: bool = False) -> Column:
     return F.forall(F.array(*[name_key(F.lit(w)) for w in wanted]), lambda w: F.array_contains(have, w)) if wanted else F.lit(True)
 
 
+@dataclass
+class TextIndex:
+    """A stored index from words to identifiers: rows (word, id), sorted by word, so that a search reads the files of its words only."""
+
+    spark: SparkSession
+    path: str
+
+    @classmethod
+    def build(cls, rows: DataFrame, id_col: str, column: str, path: str) -> TextIndex:
+        """Writes the index of a column; words are compared without case and accents."""
+        found = rows.select(F.explode(F.array_distinct(words(name_key(F.col(column))))).alias("word"), F.col(id_col).alias(id_col)).distinct()
+        # ranges of both columns, so that a word in a third of all rows is spread over several files
+        found.repartitionByRange("word", id_col).sortWithinPartitions("word", id_col).write.mode("overwrite").parquet(path)
+        return cls(rows.sparkSession, path)
+
+    def search(self, text: str) -> DataFrame:
+        """The identifiers of rows that have every word of text; none for a text without words."""
+        table = self.spark.read.parquet(self.path)
+        (id_col,) = [c for c in table.columns if c != "word"]
+        wanted = sorted({w for w in to_plain(text).replace("/", " ").split(" ") if w})
+        hits = table.filter(F.col("word").isin(wanted) if wanted else F.lit(False))
+        return hits.groupBy(id_col).agg(F.count("*").alias("_n")).filter(F.col("_n") == len(wanted)).drop("_n")
+
+
 def meta(rows: DataFrame, **parameters) -> dict:
     """What describes a result: its size, the parameters that counted, and a status; an empty result has one, too."""
     return {"total_results": rows.count(), "parameters": {k: v for k, v in parameters.items() if v not in (None, "")}, "status_string": "OK"}

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from corvane.functions.text import match_key
 from corvane.operators import facts, graph, locate, relational, resolve
 from corvane.shared import written
+from corvane.sources import exhibits
+from corvane.sources import filings as sources
 
 INPUTS = ("filings", "filers", "relationships", "registry", "master_names", "region_codes", "sic_codes", "sic_sectors")
 
@@ -55,6 +57,48 @@ def company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str
     }
 
 
+def from_documents(spark: SparkSession, source: str, lookups: dict[str, DataFrame], years: list[int], base_url: str = "https://example.org/") -> dict[str, DataFrame]:
+    """The tables of company_graph() from downloaded files below a folder.
+
+    index/{year}/{quarter}/* are index files, submissions/{year}/{quarter}/{filing_id}.txt and headers/{year}/{quarter}/{filing_id}.html
+    the documents of their annual reports, names/* the name list. Identifiers of filings are their places in the index, in order of
+    (cik, filename, type, year), as file_ids() gives them. lookups has countries, aliases, subdivisions, stop_terms, region_codes,
+    sic_codes, sic_sectors and, from the build before, registry. Every step is a table function or a join; no document is collected.
+    """
+    index = file_ids(sources.read_index(spark, f"{source}/index"))
+    annual = written(index.filter(sources.is_annual(F.col("type"))), "annual")
+    submissions = sources.read_documents(spark, f"{source}/submissions", ".txt").select("filing_id", "content")
+    submissions = annual.select("filing_id", "filename").join(submissions, "filing_id", "left")
+    found = written(sources.with_exhibits(submissions, base_url).select("filing_id", "exhibit", "has_sec21", "sec_21_url"), "exhibits")
+    filings = annual.join(found.drop("exhibit"), "filing_id")
+
+    pages = sources.read_documents(spark, f"{source}/headers", ".html").select("filing_id", "content").join(annual.select("filing_id", "cik", "year"), "filing_id")
+    states = [r.code for r in lookups["region_codes"].select("code").distinct().collect()]  # a few hundred
+    filers = sources.typed_filers(sources.header_rows(pages, states)).join(annual.select("filing_id", "year"), "filing_id")
+    none = F.lit(None).cast("string")
+    filers = filers.withColumns({"filer_id": F.col("filing_id"), "incorp_country_code": none, "incorp_subdiv_code": none, "bad_cik": F.lit(0).cast("byte")})
+
+    places = locate.Places(lookups["countries"], lookups["aliases"], lookups["subdivisions"])
+    rows, bad = exhibits.extract_subsidiaries(found.filter("has_sec21").select("filing_id", F.col("exhibit").alias("content")), places, lookups["stop_terms"])
+    rows = written(rows, "subsidiaries")
+    rows = relational.surrogate_ids(rows, ["filing_id", "table_num", "row_num", "seq"], "relationship_id")
+    accounting = exhibits.parse_accounting(found.filter("has_sec21").select("filing_id", F.col("exhibit").alias("content")), rows)
+    filings = filings.join(accounting, "filing_id", "left")
+    registry = lookups.get("registry")
+    tables = {
+        "filings": written(filings, "filings"), "filers": written(filers, "filers"), "relationships": written(rows, "relationships"),
+        "registry": registry if registry is not None else spark.createDataFrame([], resolve.REGISTRY), "master_names": relational.surrogate_ids(sources.read_names(spark, f"{source}/names").distinct(), ["cik", "name"], "row_id"),
+        **{k: lookups[k] for k in ("region_codes", "sic_codes", "sic_sectors")},
+    }
+    return company_graph(tables, years, base_url) | {"filings": tables["filings"], "filers": tables["filers"], "bad_locations": bad}
+
+
+def file_ids(index: DataFrame) -> DataFrame:
+    """Index rows with filing_id, numbered in the order of (cik, filename, type, year); rows that repeat these count once."""
+    keys = ["cik", "filename", "type", "year"]
+    return relational.surrogate_ids(index.dropDuplicates(keys), keys, "filing_id")
+
+
 def run(spark: SparkSession, source: str, target: str, years: list[int]) -> None:
     """Reads the INPUTS from a folder of Parquet tables and writes the published ones to another."""
     made = company_graph({name: spark.read.parquet(f"{source}/{name}") for name in INPUTS}, years)

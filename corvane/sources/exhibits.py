@@ -322,11 +322,12 @@ def extract_subsidiaries(exhibits: DataFrame, places: Places, stop_terms: DataFr
 
 
 def parse_accounting(exhibits: DataFrame, relationships: DataFrame) -> DataFrame:
-    """(filing_id, has_html, num_tables, tables_parsed, rows_parsed, bad_sec21) of each exhibit."""
+    """(filing_id, has_html, num_tables, tables_parsed, rows_parsed, bad_sec21) of each exhibit; plain text has no tables."""
     html = F.col("content").rlike(r"(?i)<(?:html|table|body|div|p|br|font|pre)\b")
     base = exhibits.select("filing_id", F.coalesce(html, F.lit(False)).alias("has_html"), F.coalesce(F.regexp_count("content", F.lit(r"(?i)<table\b")), F.lit(0)).alias("num_tables"))
     per = relationships.groupBy("filing_id").agg(
-        F.count_distinct(F.when(F.col("table_num") >= 0, F.col("table_num"))).cast("int").alias("tables_parsed"), F.count("*").alias("rows_parsed")
+        F.count_distinct(F.when((F.col("table_num") >= 0) & ~F.startswith("parse_method", F.lit("text, ")), F.col("table_num"))).cast("int").alias("tables_parsed"),
+        F.count("*").alias("rows_parsed"),
     )
     out = base.join(per, "filing_id", "left").fillna(0, ["tables_parsed", "rows_parsed"])
     return out.withColumn("bad_sec21", F.col("rows_parsed") == 0)

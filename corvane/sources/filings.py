@@ -85,6 +85,11 @@ def new_index_rows(index: DataFrame, known: DataFrame) -> DataFrame:
     return unseen(index.dropDuplicates(keys), known, keys=keys)
 
 
+def latest_loaded(rows: DataFrame) -> DataFrame:
+    """(year, quarter): the last quarter that rows (year, quarter) are loaded of; one aggregate, nulls for an empty table."""
+    return rows.agg(F.max(F.struct("year", "quarter")).alias("_m")).select("_m.year", "_m.quarter")
+
+
 def is_annual(type_: Column) -> Column:
     return type_.rlike(ANNUAL_FORM)
 

@@ -30,6 +30,11 @@ def append_missing(spark: SparkSession, df: DataFrame, path: str, keys: Sequence
     insert_ignore(table.limit(0), df.join(table.select(*keys), list(keys), "left_anti"), keys, order).write.mode("append").parquet(path)
 
 
+def stamped(df: DataFrame, column: str = "loaded_at") -> DataFrame:
+    """df with the time of its load, the same for all its rows."""
+    return df.withColumn(column, F.current_timestamp())
+
+
 def split_rejects(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows with a country code, rows to keep as bad locations)."""
     return df.filter("country_code is not null"), df.filter("country_code is null")

@@ -35,3 +35,37 @@ def test_build_and_rebuild(spark):
     again = build.company_graph(tables | {"registry": build.next_registry(made["registry"])}, list(range(1995, 2003)))
     key = lambda m: sorted((r.cik or 0, r.company_name, r.cw_id) for r in m["companies"].filter("source_type = 'filers'").collect())
     assert key(made) == key(again)
+
+
+def test_from_documents(spark, tmp_path):
+    """Files in, published tables out."""
+    files = {
+        "index/2004/1/company.idx": "CIK|Company Name|Form Type|Date Filed|Filename\n-----\n700001|ACME CORP|10-K|2004-02-01|d/1.txt\n700002|BETA CORP|10-K|2004-02-03|d/2.txt\n700003|GAMMA|8-K|2004-02-03|d/3.txt\n",
+        "names/list.txt": "ACME CORP:700001:\nBETA CORP:700002:\n",
+        "submissions/2004/1/1.txt": "<DOCUMENT>\n<TYPE>10-K\n<FILENAME>a.htm\n</DOCUMENT>\n<DOCUMENT>\n<TYPE>EX-21\n<FILENAME>ex.htm\n<TEXT><html><table><tr><td>Beta Corporation</td><td>Delaware</td></tr><tr><td>Delta Ltd</td><td>Ireland</td></tr><tr><td>Foo Ltd</td><td>Atlantis</td></tr></table></html></TEXT></DOCUMENT>",
+        "submissions/2004/1/2.txt": "<DOCUMENT>\n<TYPE>10-K\n<FILENAME>b.htm\n</DOCUMENT>",
+    }
+    for k, name in ((1, "ACME CORP"), (2, "BETA CORP")):
+        files[f"headers/2004/1/{k}.html"] = (
+            f'<div id="filerDiv"><div class="mailer">Business Address <span>{k} Main St</span><span>Dover DE 19901</span></div><span class="companyName">{name} (Filer) CIK: 70000{k}</span>'
+            f'<p class="identInfo">IRS No.: 1100{k} | State of Incorp.: DE | Fiscal Year End: 1231<br/>SIC: 1</p></div>'
+        )
+    for name, content in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(content)
+    frame = lambda rows, schema: spark.createDataFrame(rows, schema)
+    lookups = {
+        "countries": frame([("US", "United States"), ("IE", "Ireland")], "country_code string, country_name string"), "aliases": frame([], "country_code string, country_name string, subdiv_code string"),
+        "subdivisions": frame([("US", "DE", "Delaware")], "country_code string, subdivision_code string, subdivision_name string"), "stop_terms": frame([("Total",)], "term string"),
+        "region_codes": frame([("DE", "US", "DE")], "code string, country_code string, subdiv_code string"), "sic_codes": frame([(1, "mining", 2)], "sic_code int, industry_name string, sic_sector int"),
+        "sic_sectors": frame([(2, "earth")], "sic_sector int, sector_name string"),
+    }
+    made = build.from_documents(spark, str(tmp_path), lookups, [2004])
+    named = {r.cw_id: r.company_name for r in made["companies"].collect()}
+    edges = sorted((named[r.source], named[r.target], r.year) for r in made["all_relations"].collect())
+    assert edges == [("ACME CORP", "BETA CORP", 2004), ("ACME CORP", "Delta Ltd", 2004)]  # the filer itself, found by its name and place, and a new company
+    info = {r.company_name: r for r in made["company_info"].collect()}
+    assert info["ACME CORP"].num_children == 2 and info["Delta Ltd"].top_parent_id == info["ACME CORP"].cw_id and info["BETA CORP"].sector_name == "earth"
+    assert [r.company_name for r in made["bad_locations"].collect()] == ["Foo Ltd"]
+    got = {r.filing_id: r for r in made["filings"].collect()}
+    assert (got[1].has_sec21, got[1].rows_parsed, got[1].tables_parsed, got[2].has_sec21, got[2].rows_parsed) == (True, 2, 1, False, None) and len(got) == 2

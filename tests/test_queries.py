@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from corvane.plans import entity_queries, queries, registry  # noqa: F401
+from corvane.plans import entity_queries, queries, registry, source_queries  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
