@@ -238,12 +238,13 @@ def representative_documents(
 ) -> DataFrame:
     """The rows of docs that simhash_dedup() keeps: one document of each component.
 
-    Rows that share an identifier are told apart by their fingerprints: one may stay for its own component where another goes. Rows
-    without an identifier all stay. Rows that a filter of the dropped identifiers clears pass without being dealt out; only the others'
-    fingerprints are made again.
+    Rows that share an identifier (null included) are told apart by their fingerprints: one may stay for its own component where
+    another goes. Rows without an identifier go where their component has one that names it, else all of them stay. Rows that repeat
+    the kept identifier and fingerprint stay. Null texts count as empty; an empty table gives no rows. Rows that a filter of the
+    dropped identifiers clears pass without being dealt out; only the others' fingerprints are made again.
     """
     judged = simhash_dedup(docs, words=words, seed=seed, id_col=id_col, text_col=text_col, **how)
-    dropped = written(judged.filter("not kept and doc_id is not null").select("doc_id", "fingerprint").distinct(), "dropped")
+    dropped = written(judged.filter("not kept").select("doc_id", "fingerprint").distinct(), "dropped")
 
     @F.pandas_udf("long")
     def prints(texts: pd.Series) -> pd.Series:
@@ -256,5 +257,5 @@ def representative_documents(
     maybe = rows.filter("_may").withColumn("fingerprint", F.lower(F.lpad(F.hex(prints(text)), 16, "0")))
     gone = dropped.select(F.col("doc_id").alias("_id"), F.col("fingerprint").alias("_fp"))
     # an outer join, since the optimizer moves an anti join below the filter, where all rows would be dealt out
-    left = maybe.join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("fingerprint") == F.col("_fp")), "left").filter("_id is null")
+    left = maybe.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("fingerprint") == F.col("_fp")), "left").filter("_fp is null")
     return rows.filter("not _may").select("_row.*").unionByName(left.select("_row.*"))

@@ -43,13 +43,32 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert Counter(r.doc_id for r in steps["packing"] if r.piece == 0) == Counter(r.doc_id for r in steps["mixing"])
 
 
+CLASH = "text_sha256 string, kept string, size int, fp long, _may int, _row int, score double, y int, piece string, `a b` int"
+
+
 def test_odd_rows_pass_through(spark):
-    rows = [(1, "a b c d", "s", "x"), (1, "a b c d", "s", "x"), (None, "a b c d", None, "x"), (None, None, "s", "x"), (3, "", "s", None), (4, "tok " * 9, "s", "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, kept string")
+    rows = [(1, "a b c d", "s"), (1, "a b c d", "s"), (None, "a b c d", None), (None, None, "s"), (3, "", "s"), (4, "tok " * 9, "s")]
+    more = ("h", "x", 7, 8, 9, 10, 0.5, 1, "p", 2)
+    docs = spark.createDataFrame([(*r, *more) for r in rows], f"doc_id long, text string, source string, {CLASH}")
     got = corpus_pipeline.exact(spark, docs, SF)
     assert got.columns == docs.columns
     assert sorted((str(r.doc_id), r.text) for r in got.collect()) == [("1", "a b c d"), ("3", ""), ("4", "tok " * 9)]
-    near = corpus_pipeline.near(spark, docs, SF).collect()
-    assert sorted(str(r.doc_id) for r in near) == ["1", "1", "3", "4", "None", "None"]
-    for stage in (corpus_pipeline.quality, corpus_pipeline.exact, corpus_pipeline.near, corpus_pipeline.mixing):
+    near = corpus_pipeline.near(spark, docs, SF)
+    assert near.columns == docs.columns and sorted(str(r.doc_id) for r in near.collect()) == ["1", "1", "3", "4"]
+    for stage in (corpus_pipeline.quality, corpus_pipeline.mixing):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and {tuple(r)[3:] for r in out.collect()} <= {more}
+    packed = corpus_pipeline.packing(spark, docs, SF).collect()
+    assert sorted((str(r.doc_id), r.length) for r in packed if r.length == 1) == [("3", 1), ("None", 1)] and len(packed) == 6
+    for stage in (corpus_pipeline.quality, corpus_pipeline.exact, corpus_pipeline.near, corpus_pipeline.mixing, corpus_pipeline.packing):
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_very_long_texts_go_through_every_stage(spark):
+    long = "word " * 150_000
+    docs = spark.createDataFrame([(1, long, "a"), (2, long, "b"), (3, "short text here", "a")], "doc_id long, text string, source string")
+    assert [r.doc_id for r in corpus_pipeline.exact(spark, docs, SF).filter("doc_id < 3").collect()] == [2]
+    assert sorted(r.doc_id for r in corpus_pipeline.near(spark, docs, SF).collect()) == [1, 3]
+    for stage in (corpus_pipeline.quality, corpus_pipeline.mixing):
+        assert all(len(r.text) in (len(long), 15) for r in stage(spark, docs, SF).collect())
+    assert sum(r.length for r in corpus_pipeline.packing(spark, docs.filter("doc_id = 1"), SF).collect()) == 150_001

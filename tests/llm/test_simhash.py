@@ -116,7 +116,7 @@ def test_null_ids_and_empty_table(spark):
 def test_a_shared_identifier_drops_only_the_row_that_has_a_representative(spark):
     r = random.Random(8)
     x, y = (" ".join(r.choices("abcdefghijklmnop", k=60)) for _ in range(2))
-    rows = [(5, x, "kept"), (5, y, "goes"), (3, y.upper(), "kept"), (7, x, "goes"), (7, y, "goes"), (5, x, "kept"), (9, None, "kept"), (9, x, "goes")]
+    rows = [(5, x, "kept"), (5, y, "goes"), (3, y.upper(), "kept"), (7, x, "goes"), (7, y, "goes"), (5, x, "kept"), (9, None, "kept"), (9, x, "goes"), (None, x, "goes"), (None, "", "goes"), (None, x[::-1], "kept")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string").repartition(3)
     got = S.representative_documents(docs)
     assert got.columns == docs.columns
