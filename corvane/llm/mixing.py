@@ -40,23 +40,33 @@ def _running(rows: DataFrame, order: Sequence[str], sums: dict[str, str]) -> Dat
     return out.withColumns({n: F.sum(c).over(within) + F.col(f"_b{n}") for n, c in sums.items()}).drop("_p", "_q", *[f"_b{n}" for n in sums])
 
 
-def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
-    """source, source_size, target: share times all sizes, dealt by weight, but no more than most times a source's size.
+def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float, most_sources: int = MOST_SOURCES) -> DataFrame:
+    """source, source_size, source_rows, target: share times all sizes, dealt by weight, but no more than most times a source's size.
 
     Weights repeat over the sources by code point, null last. With caps, targets are min(cap, level * weight); the level is the
     largest over all prefixes of the sources ordered by cap / weight of (total - caps in the prefix) / (weights after it),
-    because the capped sum is the least of those straight lines.
+    because the capped sum is the least of those straight lines. Up to most_sources sources are put in order by one task, more by
+    ranges of them.
     """
-    per = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    per = _running(per.withColumn("last", F.col("source").isNull()).withColumn("one", F.lit(1.0)), ["last", "source"], {"nth": "one"})
+    per = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"), F.count("*").alias("source_rows"))
+    per = written(per.withColumn("last", F.col("source").isNull()).withColumn("one", F.lit(1.0)), "sources")
+    whole = per.agg(F.sum("source_size"), F.count("*")).first()
+
+    def running(rows: DataFrame, order: Sequence[str], sums: dict[str, str]) -> DataFrame:
+        if whole[1] > most_sources:
+            return _running(rows, order, sums)
+        upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumns({n: F.sum(c).over(upto) for n, c in sums.items()})
+
+    per = running(per, ["last", "source"], {"nth": "one"})
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.col("nth").cast("long") - 1) % len(weights) + 1).cast("int"))
     per = per.withColumn("w", w).withColumn("cap", F.col("source_size") * float(most)).withColumn("turn", F.col("cap") / F.col("w"))
-    per = written(_running(per.drop("one", "nth"), ["turn", "last", "source"], {"caps": "cap", "ws": "w"}), "sources")
-    whole = per.agg(F.sum("source_size"), F.sum("w")).first()
+    per = running(per, ["turn", "last", "source"], {"caps": "cap", "ws": "w"})
+    weight = sum(weights) * (whole[1] // len(weights)) + sum(weights[: whole[1] % len(weights)])
     left = F.lit(float(whole[0] or 0)) * float(share) - (F.col("caps") - F.col("cap"))
-    after = F.lit(float(whole[1] or 0)) - (F.col("ws") - F.col("w"))
-    level = F.lit(per.agg(F.max(left / after)).first()[0] or 0.0)
-    return per.select("source", "source_size", F.least("cap", F.greatest(F.lit(0.0), level * F.col("w"))).alias("target"))
+    per = written(per.withColumn("line", left / (F.lit(float(weight)) - (F.col("ws") - F.col("w")))), "lines")
+    level = F.lit(per.agg(F.max("line")).first()[0] or 0.0)
+    return per.select("source", "source_size", "source_rows", F.least("cap", F.greatest(F.lit(0.0), level * F.col("w"))).alias("target"))
 
 
 def mix(
@@ -90,7 +100,7 @@ def mix(
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     targets = source_targets(sized, weights, share, most).withColumn("ratio", ratio).withColumn("whole", F.floor("ratio"))
     targets = written(targets.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
-    n_sources = targets.count()
+    n_sources, largest = targets.agg(F.count("*"), F.max("source_rows")).first()
 
     def with_source(rows: DataFrame, per: DataFrame, how: str = "inner") -> DataFrame:
         per = per.withColumnRenamed("source", "_source")
@@ -115,7 +125,7 @@ def mix(
         rest = f"rest{n}"
         able = rows.select("source", "place", "q", "doc_id", "size", "tie")
         cut = budgets.select("source", rest, F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("before"))
-        width = _PLACES + 1  # the last place is that of odds too large for a double's quotient
+        width, rows_in = _PLACES + 1, largest or 0  # the last place is that of odds too large for a double's quotient
         while True:
             step = -(-width // bins)
             here = with_source(able, cut).filter((F.col("place") >= F.col("lo")) & (F.col("place") < F.col("lo") + F.lit(width)))
@@ -125,10 +135,10 @@ def mix(
             first = F.min(F.when(F.col("upto") > F.col(rest), F.struct("bin", (F.col("upto") - F.col("words")).alias("before"), "n")))
             now = per_bin.groupBy("source", "lo", rest).agg(first.alias("c"), F.max("upto").alias("all"))
             now = now.select("source", rest, (F.col("lo") + F.col("c.bin") * step).alias("lo"), F.coalesce("c.before", "all").alias("before"), F.col("c.n").alias("n"))
-            now, width = written(now, "cut"), step
+            now, width, rows_in = written(now, "cut"), step, rows_in / bins
             # sources whose rows all fit have no range to look into
             cut = now.unionByName(cut.filter("lo is null")) if "n" in cut.columns else now
-            if width == 1 or (now.agg(F.max("n")).first()[0] or 0) <= bin_rows:
+            if width == 1 or rows_in <= bin_rows:  # places are spread by a hash, and so are the rows of a source over its bins
                 break
         cut = cut.select("source", F.col("lo").alias(f"lo{n}"), (F.col("lo") + F.lit(width)).alias(f"hi{n}"), "before")
         at_cut = with_source(with_source(able, cut), budgets.select("source", rest))
