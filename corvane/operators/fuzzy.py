@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.text import bigrams, words
 from corvane.operators.relational import small
+from corvane.shared import written
 
 UNKNOWN_WEIGHT = 0.2
 LEAST_SCORE = 75.0
@@ -60,12 +63,12 @@ def location_score(cc_a: Column, sc_a: Column, cc_b: Column, sc_b: Column, w_cou
 
 def fuzzy_matches(
     left: DataFrame, right: DataFrame, word_weights: DataFrame, bigram_weights: DataFrame, stop: DataFrame,
-    least: float = LEAST_SCORE, substring: bool = False,
+    least: float = LEAST_SCORE, substring: bool = False, kinds: Sequence[str] = ("term", "bigram"),
 ) -> DataFrame:
     """(a_id, b_id, match_type, score) of pairs scoring above least; equal names score 100.
 
-    left and right have (id, name), compared in lower case; stop has (word). Each pair is scored by words and by bigrams and may give
-    two rows. A right name is a candidate if it has a word of the left name outside the stop list, or, with substring, if such a word
+    left and right have (id, name), compared in lower case; stop has (word). Each pair is scored by words and by bigrams (kinds) and
+    may give two rows. A right name is a candidate if it has a word of the left name outside the stop list, or, with substring, if such a word
     stands anywhere in it; for a left name made of stop terms only all right names are. Candidates are found by the rare tokens that
     a score over least needs, in either mode, so there's no loop over pairs of names.
     """
@@ -78,8 +81,11 @@ def fuzzy_matches(
     shared = F.exists("a_rare", lambda w: F.contains(F.col("b_name"), w)) if substring else F.arrays_overlap("a_rare", "b_words")
     out = None
     for kind, weights, token, of in (("term", word_weights, "word", words), ("bigram", bigram_weights, "bigram", bigrams)):
-        a = weighted_tokens(left, weights, of(F.col("name")), token).select(F.col("id").alias("a_id"), F.col("tw").alias("a_tw"))
-        b = weighted_tokens(right, weights, of(F.col("name")), token).select(F.col("id").alias("b_id"), F.col("tw").alias("b_tw"))
+        if kind not in kinds:
+            continue
+        # written, since each is read three times
+        a = written(weighted_tokens(left, weights, of(F.col("name")), token).select(F.col("id").alias("a_id"), F.col("tw").alias("a_tw")), "left-tokens")
+        b = written(weighted_tokens(right, weights, of(F.col("name")), token).select(F.col("id").alias("b_id"), F.col("tw").alias("b_tw")), "right-tokens")
         pairs = scoring_pairs(a, b, least).unionByName(equal).distinct()
         named = pairs.join(a_names, "a_id").join(b_names, "b_id").filter(F.col("a_rare").isNull() | shared)
         score = F.when(F.col("a_name") == F.col("b_name"), F.lit(100.0)).otherwise(100 * overlap(F.col("a_tw"), F.col("b_tw")))

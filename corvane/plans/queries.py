@@ -120,7 +120,7 @@ def _scores(t: Tables, kind: str) -> DataFrame:
     word_weights = relational.token_counts(both, T.words(F.col("name")), "word")
     bigram_weights = relational.token_counts(both, T.bigrams(F.col("name")), "bigram")
     stop = relational.stop_terms(word_weights, n=8)
-    found = fuzzy.fuzzy_matches(left, right, word_weights, bigram_weights, stop).filter(F.col("match_type") == kind)
+    found = fuzzy.fuzzy_matches(left, right, word_weights, bigram_weights, stop, kinds=(kind,))
     return found.select("a_id", "b_id", F.round("score", 6).alias("score"))
 
 
