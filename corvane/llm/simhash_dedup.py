@@ -16,11 +16,10 @@ from corvane.shared import written
 
 #: The upper tree is fitted on a sample of so many fingerprints, or of so many for each shard if that's more; all are indexed.
 SAMPLE, SAMPLE_OF_SHARD = 16384, 64
-#: A shard has about so many fingerprints with its guests, or this factor times the square root of all if that's more: each level of
-#: the tree adds guests, so shards grow along with their number.
-SHARD_ROWS, SHARD_ROOT = 16384, 16
-#: Vantage points that are tried for a split, the quantiles that they split at, and what a split must leave: less than this part of
-#: the points and guests on either side.
+#: A shard has about so many fingerprints of its own, or this factor times the square root of all if that's more: each level of the
+#: tree adds guests, so shards grow along with their number.
+SHARD_ROWS, SHARD_ROOT = 16384, 64
+#: Vantage points that are tried for a split, the quantiles that they split at, and the part of the points that neither side may have.
 TRIES, CUTS, HEADWAY = 6, (0.3, 0.5, 0.7), 0.9
 LEAF_ROWS = 512
 _SPREAD = np.array([sum(((b >> k) & 1) << (8 * k) for k in range(8)) for b in range(256)], np.uint64)
@@ -75,15 +74,14 @@ class Node:
 def upper_tree(sample: np.ndarray, scale: float, most: int, radius: int) -> Node | int:
     """A vantage-point tree whose shards are numbered from 0; each point of the sample stands for `scale` fingerprints.
 
-    A node is split until it would hold `most` fingerprints and guests or fewer. Of some vantage points and distances the split with
+    A node is split until it holds `most` fingerprints or fewer, guests aside. Of some vantage points and distances the split with
     the fewest guests for its balance is taken. A node that no split makes much smaller on both sides stays a shard.
     """
     taken = iter(range(1 << 62))
 
     def grow(own: np.ndarray, guests: np.ndarray) -> Node | int:
-        whole = len(own) + len(guests)
         best = None
-        if whole * scale > most and len(own) > 1:
+        if len(own) * scale > most and len(own) > 1:
             for vantage in own[np.linspace(0, len(own) - 1, min(TRIES, len(own))).astype(int)]:
                 d = np.bitwise_count(own ^ vantage).astype(np.int64)
                 g = np.bitwise_count(guests ^ vantage).astype(np.int64)
@@ -91,7 +89,7 @@ def upper_tree(sample: np.ndarray, scale: float, most: int, radius: int) -> Node
                     near = int((d <= middle).sum())
                     left = near + int((g - radius <= middle).sum())
                     right = len(own) - near + int((g + radius > middle).sum()) + int(((d <= middle) & (d + radius > middle)).sum())
-                    if 0 < near < len(own) and max(left, right) < HEADWAY * whole:
+                    if 0 < near < len(own) and max(near, len(own) - near) <= max(HEADWAY * len(own), len(own) - 1 if len(own) < 20 else 0):
                         cost = left * left + right * right
                         if best is None or cost < best[0]:
                             best = cost, vantage, middle, d, g

@@ -92,8 +92,8 @@ def test_shards_stay_near_their_size_and_guests_few():
     centres = r.integers(0, 1 << 63, 2000, dtype=np.uint64)
     prints = np.unique(r.choice(centres, 60_000) ^ (np.uint64(1) << r.integers(0, 64, 60_000).astype(np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 60_000).astype(np.uint64)))
     tree = S.upper_tree(prints[:: max(1, len(prints) // 4096)], len(prints) / len(prints[:: max(1, len(prints) // 4096)]), 8192, 3)
-    sizes = [len(own) + len(guests) for _, own, guests in S.route(tree, prints, 3)]
-    assert len(sizes) > 8 and max(sizes) < 1.5 * 8192 and sum(sizes) < 8 * len(prints)
+    dealt = [(len(own), len(own) + len(guests)) for _, own, guests in S.route(tree, prints, 3)]
+    assert len(dealt) > 7 and max(n for n, _ in dealt) < 1.5 * 8192 and sum(n for _, n in dealt) < 4 * len(prints)
 
 
 def test_very_long_texts(spark):
