@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.text import apply_steps, strip_junk
-from corvane.operators.relational import small
+from corvane.operators.relational import MOST_BROADCAST_ROWS, small
+from corvane.shared import written
 
 # What is stripped from a place before it's looked up, in order.
 PLACE_STEPS = (
@@ -60,21 +61,33 @@ class Places:
         by_code = sub.select("cc", "sc", F.col("code").alias("k"), F.lit(0).alias("p")).unionByName(
             of_alias.select(F.col("country_code").alias("cc"), F.col("subdiv_code").alias("sc"), _key("country_code").alias("k"), F.lit(1).alias("p"))
         )
-        self.country = small(_first(country.unionByName(alias), ["k"], "p", "cc").select("k", "cc"))
-        self.within = small(_first(by_name, ["cc", "k"], "p", "sc").select("cc", "k", "sc"))
-        self.any_name = small(_first(by_name, ["k"], "p", "cc", "sc").select("k", "cc", "sc"))
-        self.any_code = small(_first(by_code, ["k"], "p", "cc", "sc").select("k", "cc", "sc"))
         states = sub.filter("cc = 'US'")
         us = states.select("cc", "sc", F.col("code").alias("k"), F.lit(0).alias("p")).unionByName(states.select("cc", "sc", F.col("name").alias("k"), F.lit(1).alias("p")))
-        self.us = small(_first(us, ["k"], "p", "sc", "cc").select("k", "cc", "sc"))
         coded = country.unionByName(countries.select(_key("country_code").alias("k"), F.lit(1).alias("p"), F.col("country_code").alias("cc")))
-        self.name_or_code = small(_first(coded, ["k"], "p", "cc").select("k", "cc"))
         every_alias = aliases.select(_key("country_name").alias("k"), F.col("country_code").alias("cc"), F.col("subdiv_code").alias("sc"))
-        self.alias = small(_first(every_alias, ["k"], "cc", "sc").select("k", "cc", "sc"))
         whole = sub.select("cc", "sc", F.col("code").alias("k"), F.lit(0).alias("p")).unionByName(
             sub.filter("sc <> 'I'").select("cc", "sc", F.col("name").alias("k"), F.lit(1).alias("p"))
         )
-        self.any_sub = small(_first(whole, ["k"], "p", "cc", "sc").select("k", "cc", "sc"))
+        tables = {
+            "country": _first(country.unionByName(alias), ["k"], "p", "cc").select("k", "cc"),
+            "within": _first(by_name, ["cc", "k"], "p", "sc").select("cc", "k", "sc"),
+            "any_name": _first(by_name, ["k"], "p", "cc", "sc").select("k", "cc", "sc"),
+            "any_code": _first(by_code, ["k"], "p", "cc", "sc").select("k", "cc", "sc"),
+            "us": _first(us, ["k"], "p", "sc", "cc").select("k", "cc", "sc"),
+            "name_or_code": _first(coded, ["k"], "p", "cc").select("k", "cc"),
+            "alias": _first(every_alias, ["k"], "cc", "sc").select("k", "cc", "sc"),
+            "any_sub": _first(whole, ["k"], "p", "cc", "sc").select("k", "cc", "sc"),
+        }
+        # written together, or each lookup would group the inputs again, once for its size and once for its join
+        every = None
+        for name, table in tables.items():
+            rows = table.select(F.lit(name).alias("of"), "k", "cc", "sc" if "sc" in table.columns else F.lit(None).cast("string").alias("sc"))
+            every = rows if every is None else every.unionByName(rows)
+        every = written(every, "places")
+        sizes = {r["of"]: r["count"] for r in every.groupBy("of").count().collect()}  # a row a table
+        for name, table in tables.items():
+            rows = every.filter(F.col("of") == name).select(table.columns)
+            setattr(self, name, F.broadcast(rows) if sizes.get(name, 0) <= MOST_BROADCAST_ROWS else rows)
 
 
 def _lookup(df: DataFrame, table: DataFrame, on: dict[str, str], out: str) -> DataFrame:
