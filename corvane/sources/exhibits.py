@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from corvane.functions.text import apply_steps, clean_contents, fold_signs, strip_junk
 from corvane.operators.locate import Places, resolve_places
 from corvane.operators.relational import small
+from corvane.shared import written
 
 # How one string names a company and its place, in order of trust: (pattern, group of the company, group of the place).
 SINGLE_PATTERNS = (
@@ -299,7 +300,8 @@ def extract_subsidiaries(exhibits: DataFrame, places: Places, stop_terms: DataFr
     junk = units.withColumn("a", strip_junk(F.col("a"))).withColumn("b", strip_junk(F.col("b")))
     one = F.array(F.struct(F.lit(0).alias("sub"), F.col("a").alias("company"), F.col("b").alias("place")))
     found = junk.withColumn("_c", F.explode(F.when(F.col("kind") == "pair", one).otherwise(single_candidates(F.col("a"))))).select(*units.columns, "_c.*")
-    judged = validate(found.drop("a", "b"), "company", "place", places, stop_terms)
+    # written, since what follows reads it eight times, and each would parse the documents and judge their cells again
+    judged = written(validate(found.drop("a", "b"), "company", "place", places, stop_terms), "judged")
     ok = judged.filter("status = 'ok'")
     unit = ["filing_id", "table_num", "row_num", "stage", "rank", "seq"]
     rest = [c for c in ok.columns if c not in unit]
