@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corvane.llm import licenses, secrets
+from corvane.llm import imatch, licenses, secrets
 
 EXACT_DEDUP = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -128,3 +128,79 @@ e AS (SELECT *, list_filter(r3, lambda x: regexp_matches(x.s, '[0-9]') AND regex
   AND len(list_filter(base, lambda y: x.a < y.a + length(y.s) AND y.a < x.a + length(x.s))) = 0 AND {high}) AS s3 FROM b)
 SELECT doc_id, len(s0)::BIGINT AS n_assign, len(s1)::BIGINT AS n_access, len(s2)::BIGINT AS n_hex, sha256({show("base")}) AS base_sha256, {show("list_sort(list_concat(base, s3))")} AS spans FROM e
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned crc32 of a string's UTF-8 bytes, a byte at a time by a table that is made a bit at a time."""
+    table = "(SELECT list(list_reduce(range(0, 8), lambda c, j: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) FROM range(0, 256) t(b))"
+    code = f"list_transform(range(0, octet_length(encode({text}))), lambda i: ('0x' || hex(encode({text}))[2 * i + 1:2 * i + 2])::BIGINT)"
+    return f"(SELECT xor(list_reduce({code}, lambda a, y: xor(a >> 8, tab[xor(a & 255, y) + 1]), 4294967295), 4294967295) FROM (SELECT {table} AS tab))"
+
+
+def fingerprint_sql(rarest: int = imatch.RAREST, commonest: int = imatch.COMMONEST) -> str:
+    """Words, marks and hashes as rows; likenesses are counted from the hashes of the fingerprints."""
+    lower = "translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    n, rates, wide, empty = imatch.SUBSETS, imatch.RATES, imatch.DIGITS, imatch.EMPTY
+    cell = lambda f, r: f"substr({f}, 3 + (greatest(ra, rb) - {r}) * {n * wide} + i * {wide}, {wide})"
+    like = lambda a, b: f"""(SELECT CASE WHEN x.{a} = x.{b} THEN 1.0 WHEN abs(ra - rb) >= {rates} THEN 0.0 WHEN filled = 0 THEN 0.0 ELSE same / filled END::DOUBLE FROM (
+    SELECT any_value(ra) AS ra, any_value(rb) AS rb, count(*) FILTER (p = q AND p <> '{empty}') AS same, count(*) FILTER (p <> '{empty}' OR q <> '{empty}') AS filled FROM (
+      SELECT ra, rb, {cell(f"x.{a}", "ra")} AS p, {cell(f"x.{b}", "rb")} AS q FROM (SELECT substr(x.{a}, 1, 2)::INT AS ra, substr(x.{b}, 1, 2)::INT AS rb, unnest(range(0, {n})) AS i))))"""
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+o AS (SELECT doc_id, t, coalesce(lead(t) OVER w, first_value(t) OVER w) AS nt, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS nid FROM d WINDOW w AS (ORDER BY doc_id DESC)),
+e AS (SELECT doc_id, nid, length(t) AS n_chars, t, substr(t, 1, length(t) - length(t) // 2) || substr(nt, 1, length(t) // 2) AS et FROM o),
+texts AS (SELECT doc_id, 0 AS kind, t FROM e UNION ALL SELECT doc_id, 1, et FROM e),
+words AS MATERIALIZED (SELECT doc_id, kind, unnest(list_distinct(list_filter(string_split_regex({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> ''))) AS w FROM texts),
+lexicon AS (SELECT w FROM words WHERE kind = 0 GROUP BY w HAVING count(*) * {rarest} >= (SELECT count(*) FROM d) AND count(*) * {commonest} <= (SELECT count(*) FROM d)),
+known AS (SELECT words.*, w IN (SELECT w FROM lexicon) AS inside FROM words),
+chosen AS (SELECT doc_id, kind, w FROM (SELECT *, bool_or(inside) OVER (PARTITION BY doc_id, kind) AS found FROM known) WHERE inside OR NOT found),
+marks AS (SELECT w, {_crc32("w")}::HUGEINT * {imatch.FACTOR} % {1 << imatch.BITS} AS v FROM (SELECT DISTINCT w FROM chosen)),
+terms AS (SELECT doc_id, kind, w, v::BIGINT AS v, (v % {n})::INT AS k FROM chosen JOIN marks USING (w)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY v, w) AS nth FROM terms),
+rates AS (SELECT doc_id, kind, coalesce({imatch.BITS + 1} - length(bin(max(CASE WHEN nth = {n + 1} THEN v END))), 0) AS r FROM ranked GROUP BY doc_id, kind),
+hashes AS (SELECT doc_id, kind, i, k, left(md5(string_agg(w, ' ' ORDER BY w)), {wide}) AS h FROM ranked JOIN rates USING (doc_id, kind), (SELECT unnest(range(0, {rates})) AS i)
+  WHERE v < (1::BIGINT << greatest(0, {imatch.BITS} - r - i)) GROUP BY doc_id, kind, i, k),
+prints AS (SELECT doc_id, kind, lpad(coalesce(any_value(r), 0)::VARCHAR, 2, '0') || string_agg(coalesce(h, '{empty}'), '' ORDER BY i, k) AS f
+  FROM (SELECT doc_id, kind, i, k FROM texts, (SELECT unnest(range(0, {rates})) AS i), (SELECT unnest(range(0, {n})) AS k)) LEFT JOIN rates USING (doc_id, kind) LEFT JOIN hashes USING (doc_id, kind, i, k) GROUP BY doc_id, kind),
+x AS (SELECT e.doc_id, n_chars, sha256(et) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint, c.f AS next_fingerprint
+  FROM e JOIN prints a ON a.doc_id = e.doc_id AND a.kind = 0 JOIN prints b ON b.doc_id = e.doc_id AND b.kind = 1 JOIN prints c ON c.doc_id = nid AND c.kind = 0)
+SELECT doc_id, n_chars::BIGINT AS n_chars, edited_sha256, fingerprint, edited_fingerprint, {like("fingerprint", "edited_fingerprint")} AS near_edited, {like("fingerprint", "next_fingerprint")} AS near_next FROM x
+"""
+
+
+def cluster_sql(k: int = 40, rounds: int = 5, salt: str = "2", dims: int = 64, scale: int = 256) -> str:
+    """Each round as tables: distances as sums over all components of all pairs, centroids as floors of sums over counts."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""d{r} AS MATERIALIZED (SELECT i, c, list_sum(list_transform(range(1, {dims + 1}), lambda j: (v[j] - m[j]) * (v[j] - m[j])))::BIGINT AS d FROM x, c{r}),
+a{r} AS MATERIALIZED (SELECT i, min({{'d': d, 'c': c}}) AS best FROM d{r} GROUP BY i)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (SELECT c, j, sum(v[j])::HUGEINT AS s, count(*) AS n FROM (SELECT best.c AS c, v FROM a{r} JOIN x USING (i)), (SELECT unnest(range(1, {dims + 1})) AS j) GROUP BY c, j),
+n{r} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS m FROM s{r} GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(n{r}.m, c{r}.m) AS m FROM c{r} LEFT JOIN n{r} USING (c))""")
+    whole = f"list_transform(embedding, lambda y: floor(y::DOUBLE * {scale})::BIGINT)"
+    return f"""
+WITH x AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, {whole} AS v FROM embeddings WHERE len(embedding) = {dims} AND list_bool_and(list_transform(embedding, lambda y: y IS NOT NULL AND isfinite(y)))),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m FROM (SELECT sha256('{salt}:' || vec_id) AS h, v FROM x ORDER BY h, v LIMIT {k})),
+{", ".join(steps)}
+SELECT vec_id, best.c::INT AS cluster, best.d AS distance, (sum(best.d) OVER (PARTITION BY best.c))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(m, ',')) AS centroid_sha256 FROM a{rounds} JOIN x USING (i) JOIN c{rounds} ON c{rounds}.c = best.c
+"""
+
+
+def spelling_sql(every: int = 97, least_length: int = 5, least_count: int = 3, factor: int = 2) -> str:
+    """Near words by equality of what is left without one place."""
+    return f"""
+WITH runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= {least_length} GROUP BY doc_id, run),
+hashed AS (SELECT run, c, {_crc32("s")} AS h FROM (SELECT *, doc_id || ':' || run AS s FROM counted)),
+cut AS (SELECT CASE WHEN h % {every} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+v AS MATERIALIZED (SELECT word, sum(c)::BIGINT AS n FROM cut WHERE length(word) >= {least_length} GROUP BY word HAVING sum(c) >= {least_count}),
+less AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT *, unnest(range(0, length(word))) AS i FROM v)),
+near AS MATERIALIZED (SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN v b ON b.word = a.rest UNION SELECT b.word, a.word, a.n FROM less a JOIN v b ON b.word = a.rest),
+best AS (SELECT word, count(*) AS n_near, min({{'less': -other_n, 'form': other}}) AS b FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT v.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.less >= {factor} * n THEN b.form END AS form, CASE WHEN -b.less >= {factor} * n THEN -b.less END AS form_n FROM v LEFT JOIN best USING (word)),
+path AS (WITH RECURSIVE p AS (SELECT word, form AS stop FROM forms WHERE form IS NOT NULL UNION ALL SELECT p.word, f.form FROM p JOIN forms f ON f.word = p.stop WHERE f.form IS NOT NULL) SELECT word, stop FROM p)
+SELECT f.word, f.form, coalesce((SELECT stop FROM path JOIN forms g ON g.word = stop WHERE path.word = f.word AND g.form IS NULL), f.word) AS root, f.n, f.n_near, f.form_n FROM forms f
+"""
