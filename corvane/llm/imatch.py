@@ -138,23 +138,18 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).when(F.abs(ra - rb) >= RATES, F.lit(0.0)).otherwise(shared)
 
 
-def neighbours(ids: DataFrame) -> DataFrame:
-    """ids (none, turned, ...), in the order of the first two, with structs prev and next of all columns; the ends are neighbours.
+def with_previous(ids: DataFrame) -> DataFrame:
+    """ids (none, turned, ...), in the order of the first two, with a struct prev of the row before; the first row's is the last.
 
-    Rows are dealt to ranges; each range is worked on by itself, and only its first and last row meet those of the other ranges.
+    Rows are dealt to ranges; each range is worked on by itself, and only its last row meets those of the other ranges.
     """
     own = F.struct(*ids.columns)
     spread = written(ids.repartitionByRange("none", "turned").withColumn("part", F.spark_partition_id()), "identifiers")
-    order = Window.partitionBy("part").orderBy("none", "turned")
-    rows = spread.select("*", F.lag(own).over(order).alias("prev"), F.lead(own).over(order).alias("next"))
-    ends = spread.groupBy("part").agg(F.min(own).alias("first"), F.max(own).alias("last"))  # one row a range
+    rows = spread.withColumn("prev", F.lag(own).over(Window.partitionBy("part").orderBy("none", "turned")))
+    ends = spread.groupBy("part").agg(F.max(own).alias("last"))  # one row a range
     line, whole = Window.orderBy("part"), Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = ends.select(
-        "part", F.coalesce(F.lag("last").over(line), F.last("last").over(whole)).alias("before"),
-        F.coalesce(F.lead("first").over(line), F.first("first").over(whole)).alias("after"),
-    )
-    rows = rows.join(F.broadcast(ends), "part")
-    return rows.withColumns({"prev": F.coalesce("prev", "before"), "next": F.coalesce("next", "after")}).drop("part", "before", "after")
+    ends = ends.select("part", F.coalesce(F.lag("last").over(line), F.last("last").over(whole)).alias("before"))
+    return rows.join(F.broadcast(ends), "part").withColumn("prev", F.coalesce("prev", "before")).drop("part", "before")
 
 
 def document_fingerprints(
@@ -175,27 +170,27 @@ def document_fingerprints(
     texts = id_and_text(docs, id_col, text_col)
     band = Band(lexicon(texts, rarest, commonest), most_terms, most_bytes)
     # ~x falls as x rises, without an overflow
-    rows = texts.select(F.col("doc_id").isNull().alias("none"), F.bitwise_not(F.coalesce("doc_id", F.lit(0))).alias("turned"), "doc_id", "text")
+    rows = texts.select(F.col("doc_id").isNull().alias("none"), F.bitwise_not(F.coalesce("doc_id", F.lit(0))).alias("turned"), "text")
     rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
     printed = band.kept(rows, "text", "terms").select("none", "turned", "text", "digest", fingerprint(F.col("terms")).alias("print"))
     ids = printed.groupBy("none", "turned").agg(F.max(F.expr("length(text) div 2")).alias("half"), F.min(F.struct("digest", "print")).alias("least"), F.count("*").alias("n"))
-    pairs = written(neighbours(ids), "neighbours")
-    facts = pairs.select(
-        F.col("none").alias("_none"), F.col("turned").alias("_turned"), "n", "least", F.col("next.least.print").alias("next_print"),
-        F.col("prev.none").alias("to_none"), F.col("prev.turned").alias("to_turned"), F.col("prev.half").alias("wanted"),
-    )
-    met = rows.join(facts, (F.col("none") == F.col("_none")) & (F.col("turned") == F.col("_turned")))
-    first = met.filter(F.col("digest") == F.col("least.digest"))
-    tails = first.select("to_none", "to_turned", F.expr("substring(text, 1, cast(wanted as int))").alias("tail"))
+    ids = written(ids, "identifiers")
+    before = with_previous(ids.select("none", "turned", "half")).select("none", "turned", "prev")
+    facts = ids.join(before, ["none", "turned"])
+    # no digest of an identifier is under its least one; both uses of met deal the texts out by the same keys, so Spark does it once
+    met = rows.select("none", "turned", "text", "digest").join(facts, ["none", "turned"])
+    first = met.filter(F.col("digest") <= F.col("least.digest"))
+    tails = first.select(F.col("prev.none").alias("to_none"), F.col("prev.turned").alias("to_turned"), F.expr("substring(text, 1, cast(prev.half as int))").alias("tail"), F.col("least.print").alias("next_print"))
     heads = first.withColumn("fingerprint", F.col("least.print"))
-    if not pairs.filter("n > 1").isEmpty():
+    if not ids.filter("n > 1").isEmpty():
         tails = tails.dropDuplicates(["to_none", "to_turned"])
-        others = band.kept(met.filter(F.col("digest") != F.col("least.digest")), "text", "terms").withColumn("fingerprint", fingerprint(F.col("terms")))
+        others = band.kept(met.filter(F.col("digest") > F.col("least.digest")), "text", "terms").withColumn("fingerprint", fingerprint(F.col("terms")))
         heads = heads.unionByName(others.drop("terms"))
-    heads = heads.select("none", "turned", "doc_id", F.length("text").alias("n_chars"), F.expr("substring(text, 1, cast(length(text) - length(text) div 2 as int))").alias("head"), "fingerprint", "next_print")
+    heads = heads.select("none", "turned", F.length("text").alias("n_chars"), F.expr("substring(text, 1, cast(length(text) - length(text) div 2 as int))").alias("head"), "fingerprint")
     both = heads.join(tails, (F.col("none") == F.col("to_none")) & (F.col("turned") == F.col("to_turned")))
     edited = both.withColumn("edited", F.concat("head", F.expr("substring(tail, 1, cast(n_chars div 2 as int))")))
-    edited = edited.select("doc_id", "n_chars", "edited", "fingerprint", "next_print", F.sha2("edited", 256).alias("edited_sha256"))
+    doc_id = F.when(~F.col("none"), F.bitwise_not("turned")).alias("doc_id")
+    edited = edited.select(doc_id, "n_chars", "edited", "fingerprint", "next_print", F.sha2("edited", 256).alias("edited_sha256"))
     edited = band.kept(edited, "edited", "terms").withColumn("edited_fingerprint", fingerprint(F.col("terms")))
     return edited.select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint",
