@@ -58,45 +58,94 @@ def company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str
 
 
 def from_documents(spark: SparkSession, source: str, lookups: dict[str, DataFrame], years: list[int], base_url: str = "https://example.org/") -> dict[str, DataFrame]:
-    """The tables of company_graph() from downloaded files below a folder.
+    """The tables of company_graph() from downloaded files below a folder, and filing_ids.
 
     index/{year}/{quarter}/* are index files, submissions/{year}/{quarter}/{filing_id}.txt and headers/{year}/{quarter}/{filing_id}.html
-    the documents of their annual reports, names/* the name list. Identifiers of filings are their places in the index, in order of
-    (cik, filename, type, year), as file_ids() gives them. lookups has countries, aliases, subdivisions, stop_terms, region_codes,
-    sic_codes, sic_sectors and, from the build before, registry. Every step is a table function or a join; no document is collected.
+    the documents of their annual reports, names/* the name list. Identifiers of filings are those of numbered_files(). lookups has
+    countries, aliases, subdivisions, stop_terms, region_codes, sic_codes, sic_sectors and, from the build before, registry and
+    filing_ids, which later builds need so that filings keep their identifiers. Every step is a table function or a join; no document
+    is collected.
     """
-    index = file_ids(sources.read_index(spark, f"{source}/index"))
-    annual = written(index.filter(sources.is_annual(F.col("type"))), "annual")
+    index = sources.read_index(spark, f"{source}/index")
+    numbers = written(numbered_files(index, lookups.get("filing_ids")), "filing-ids")
+    filings = written(file_rows(index, numbers), "annual")
     submissions = sources.read_documents(spark, f"{source}/submissions", ".txt").select("filing_id", "content")
-    submissions = annual.select("filing_id", "filename").join(submissions, "filing_id", "left")
-    found = written(sources.with_exhibits(submissions, base_url).select("filing_id", "exhibit", "has_sec21", "sec_21_url"), "exhibits")
-    filings = annual.join(found.drop("exhibit"), "filing_id")
+    parsed = parsed_submissions(filings, submissions, lookups, base_url)
+    pages = sources.read_documents(spark, f"{source}/headers", ".html").select("filing_id", "content")
+    names = sources.read_names(spark, f"{source}/names")
+    tables = {"filings": with_documents(filings, parsed["documents"]), "filers": parsed_headers(filings, pages, lookups["region_codes"]), "relationships": parsed["relationships"]}
+    return published(tables, lookups, names, years, base_url) | {"bad_locations": parsed["bad_locations"], "filing_ids": numbers}
 
-    pages = sources.read_documents(spark, f"{source}/headers", ".html").select("filing_id", "content").join(annual.select("filing_id", "cik", "year"), "filing_id")
-    states = [r.code for r in lookups["region_codes"].select("code").distinct().collect()]  # a few hundred
-    filers = sources.typed_filers(sources.header_rows(pages, states)).join(annual.select("filing_id", "year"), "filing_id")
-    none = F.lit(None).cast("string")
-    filers = filers.withColumns({"filer_id": F.col("filing_id"), "incorp_country_code": none, "incorp_subdiv_code": none, "bad_cik": F.lit(0).cast("byte")})
 
+FILE = ("cik", "filename", "type", "year")
+
+
+def numbered_files(index: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(cik, filename, type, year, filing_id) of the known files and of the index rows that aren't among them, each once.
+
+    Files keep the identifiers that they have; new ones go on from the largest, in the order of their columns. Documents are stored
+    under these identifiers, so this table has to be kept from one load to the next.
+    """
+    rows = index.select(*FILE).distinct()
+    if known is None:
+        return relational.surrogate_ids(rows, FILE, "filing_id")
+    known = known.select(*FILE, "filing_id")
+    mine = known.select(*[F.col(c).alias(f"_{c}") for c in FILE], F.lit(True).alias("_known"))
+    new = rows.join(mine, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FILE], "left").filter("_known is null").select(*FILE)
+    last = known.agg(F.coalesce(F.max("filing_id"), F.lit(0))).first()[0]
+    return known.unionByName(relational.surrogate_ids(new, FILE, "filing_id", last))
+
+
+def file_rows(index: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The annual reports among index rows, with the identifiers of their files; of rows that repeat a file's columns one, the least."""
+    rest = [c for c in index.columns if c not in FILE]
+    annual = index.filter(sources.is_annual(F.col("type"))).groupBy(*FILE).agg(F.min(F.struct(*rest)).alias("_r")).select(*FILE, "_r.*")
+    ids = numbers.select(*[F.col(c).alias(f"_{c}") for c in FILE], "filing_id")
+    return annual.join(ids, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in FILE]).select("filing_id", *index.columns)
+
+
+def parsed_submissions(filings: DataFrame, submissions: DataFrame, lookups: dict[str, DataFrame], base_url: str, first_id: int = 0) -> dict[str, DataFrame]:
+    """documents (filing_id, has_sec21, sec_21_url and what parse_accounting() counts), relationships and bad_locations of submissions.
+
+    filings has (filing_id, filename); submissions (filing_id, content), of which those of other filings are left out. Relationships
+    are numbered from first_id + 1.
+    """
+    found = filings.select("filing_id", "filename").join(submissions, "filing_id")
+    found = written(sources.with_exhibits(found, base_url).select("filing_id", F.col("exhibit").alias("content"), "has_sec21", "sec_21_url"), "exhibits")
     places = locate.Places(lookups["countries"], lookups["aliases"], lookups["subdivisions"])
-    rows, bad = exhibits.extract_subsidiaries(found.filter("has_sec21").select("filing_id", F.col("exhibit").alias("content")), places, lookups["stop_terms"])
-    rows = written(rows, "subsidiaries")
-    rows = relational.surrogate_ids(rows, ["filing_id", "table_num", "row_num", "seq"], "relationship_id")
-    accounting = exhibits.parse_accounting(found.filter("has_sec21").select("filing_id", F.col("exhibit").alias("content")), rows)
-    filings = filings.join(accounting, "filing_id", "left")
-    registry = lookups.get("registry")
-    tables = {
-        "filings": written(filings, "filings"), "filers": written(filers, "filers"), "relationships": written(rows, "relationships"),
-        "registry": registry if registry is not None else spark.createDataFrame([], resolve.REGISTRY), "master_names": relational.surrogate_ids(sources.read_names(spark, f"{source}/names").distinct(), ["cik", "name"], "row_id"),
-        **{k: lookups[k] for k in ("region_codes", "sic_codes", "sic_sectors")},
-    }
-    return company_graph(tables, years, base_url) | {"filings": tables["filings"], "filers": tables["filers"], "bad_locations": bad}
+    with_exhibit = found.filter("has_sec21").select("filing_id", "content")
+    rows, bad = exhibits.extract_subsidiaries(with_exhibit, places, lookups["stop_terms"])
+    rows = relational.surrogate_ids(written(rows, "subsidiaries"), ["filing_id", "table_num", "row_num", "seq"], "relationship_id", first_id)
+    rows = written(rows, "relationships")
+    documents = found.drop("content").join(exhibits.parse_accounting(with_exhibit, rows), "filing_id", "left")
+    return {"documents": written(documents, "documents"), "relationships": rows, "bad_locations": bad}
+
+
+def with_documents(filings: DataFrame, documents: DataFrame) -> DataFrame:
+    """filings with what is known of their submissions; one without a submission has no exhibit."""
+    return filings.join(documents, "filing_id", "left").withColumn("has_sec21", F.coalesce("has_sec21", F.lit(False)))
+
+
+def parsed_headers(filings: DataFrame, pages: DataFrame, region_codes: DataFrame) -> DataFrame:
+    """The filers of header pages (filing_id, content)."""
+    pages = pages.join(filings.select("filing_id", "cik"), "filing_id")
+    limit = 100_000  # codes that every task gets
+    states = [r.code for r in region_codes.select("code").distinct().limit(limit + 1).collect()]
+    if len(states) > limit:
+        raise ValueError(f"more than {limit} region codes")
+    filers = sources.typed_filers(sources.header_rows(pages, states)).join(filings.select("filing_id", "year"), "filing_id")
+    none = F.lit(None).cast("string")
+    return written(filers.withColumns({"filer_id": F.col("filing_id"), "incorp_country_code": none, "incorp_subdiv_code": none, "bad_cik": F.lit(0).cast("byte")}), "filers")
 
 
-def file_ids(index: DataFrame) -> DataFrame:
-    """Index rows with filing_id, numbered in the order of (cik, filename, type, year); rows that repeat these count once."""
-    keys = ["cik", "filename", "type", "year"]
-    return relational.surrogate_ids(index.dropDuplicates(keys), keys, "filing_id")
+def published(tables: dict[str, DataFrame], lookups: dict[str, DataFrame], names: DataFrame, years: list[int], base_url: str) -> dict[str, DataFrame]:
+    """company_graph() of parsed filings, filers and relationships, and the former two."""
+    spark, registry = names.sparkSession, lookups.get("registry")
+    tables = tables | {"filings": written(tables["filings"], "filings")} | {
+        "registry": registry if registry is not None else spark.createDataFrame([], resolve.REGISTRY), "master_names": relational.surrogate_ids(names.distinct(), ["cik", "name"], "row_id"),
+        **{k: lookups[k] for k in ("region_codes", "sic_codes", "sic_sectors")},
+    }
+    return company_graph(tables, years, base_url) | {"filings": tables["filings"], "filers": tables["filers"]}
 
 
 def run(spark: SparkSession, source: str, target: str, years: list[int]) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions import text as T
 from corvane.operators import graph, locate, relational, report
-from corvane.plans import api
+from corvane.plans import api, build
 from corvane.plans.registry import Tables, query
 from corvane.shared import fresh_path
 from corvane.sources import exhibits, filings, sinks
@@ -229,11 +229,56 @@ def latest_loaded(spark: SparkSession, t: Tables) -> DataFrame:
     return filings.latest_loaded(rows)
 
 
-@query("SELECT unnest(range(2003, year(current_date)::INT + 1))::INT AS year, true AS stamped")
+@query("""SELECT y AS year, count(*) AS n, y BETWEEN 2003 AND year(current_date) AS available, true AS stamped FROM (SELECT (year(o_orderdate) + 9)::INT AS y FROM orders) GROUP BY y""")
 def years_available(spark: SparkSession, t: Tables) -> DataFrame:
-    years = spark.range(1).select(F.explode(T.years_available()).alias("year"))
+    """Orders by year, against the list of years and with the time of their load."""
+    years = t.orders.groupBy((F.year("o_orderdate") + 9).alias("year")).agg(F.count("*").alias("n"))
     now = F.abs(F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("loaded_at")) < 3600
-    return sinks.stamped(years).select(F.col("year").cast("int").alias("year"), now.alias("stamped"))
+    return sinks.stamped(years).select(F.col("year").cast("int").alias("year"), "n", F.array_contains(T.years_available(), F.col("year")).alias("available"), now.alias("stamped"))
+
+
+_FILES_SQL = "SELECT o_custkey AS cik, 'd/' || o_orderkey || '.txt' AS filename, '10-K' AS type, year(o_orderdate)::INT AS year, quarter(o_orderdate) <= 2 AS first FROM orders"
+
+
+@query(f"""SELECT cik, filename, type, year, row_number() OVER (ORDER BY NOT first, cik, filename, year) AS filing_id FROM ({_FILES_SQL})""")
+def stable_file_ids(spark: SparkSession, t: Tables) -> DataFrame:
+    """Files of half the quarters, then of all: the former keep their identifiers, the others go on from the last."""
+    files = t.orders.select(
+        F.col("o_custkey").alias("cik"), _say("d/{k}.txt", k="o_orderkey").alias("filename"), F.lit("10-K").alias("type"), F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"),
+    )
+    return build.numbered_files(files, build.numbered_files(files.filter("quarter <= 2")))
+
+
+@query("""SELECT page_id, 'https://example.org/p/' || page_id || '/' || page_id || '.htm' AS url, regexp_matches(html, '(?i)<(?:html|table|body|div|p|br|font|pre)\\b') AS has_html,
+  len(regexp_extract_all(html, '(?i)<table\\b'))::INT AS num_tables, true AS parsed FROM pages WHERE page_id % 3 <> 2 UNION ALL SELECT page_id, NULL, NULL, NULL, false FROM pages WHERE page_id % 3 = 2""")
+def incremental_documents(spark: SparkSession, t: Tables) -> DataFrame:
+    """Pages as submissions that arrive in several batches, the first before any index names them, one twice; a third have no exhibit."""
+    from corvane.streaming.documents import FilingStore, each_batch
+    from corvane.streaming.ingest import read_stream
+
+    base = fresh_path(spark, "documents")
+    store = FilingStore(spark, f"{base}/store")
+    p = F.col("page_id")
+    index = t.pages.select(p.alias("cik"), F.lit("a").alias("company_name"), F.lit("10-K").alias("type"), F.lit(None).cast("date").alias("filing_date"), _say("p/{p}.txt", p=p).alias("filename"), F.lit(2004).alias("year"), F.lit(1).alias("quarter"))
+    store.store_index(index.filter("cik % 2 = 0"), 0)
+    store.store_index(index, 1)
+    store.store_index(index, 1)
+    ids = store.table("filings").rows().select("filing_id", F.col("cik").alias("page_id"))
+    kind = F.when(p % 3 == 2, F.lit("10-K")).otherwise(F.lit("EX-21"))
+    wrapped = _say("<DOCUMENT>\n<TYPE>{t}\n<FILENAME>{p}.htm\n<TEXT>{h}</TEXT></DOCUMENT>", t=kind, p=p, h="html")
+    t.pages.repartition(2, "page_id").write.parquet(f"{base}/pages")
+    lookups = {"countries": _lookups(spark).countries, "aliases": _lookups(spark).aliases, "subdivisions": _lookups(spark).subdivisions, "stop_terms": spark.createDataFrame([("Total",)], "term string")}
+
+    def store_batch(rows: DataFrame, n: int) -> None:
+        documents = rows.join(ids, "page_id").select("filing_id", wrapped.alias("content"))
+        store.store_submissions(documents, n, lookups, "https://example.org/")
+        if n == 0:
+            store.store_submissions(documents, n, lookups, "https://example.org/")  # as after a failure
+
+    for _ in range(2):
+        each_batch(read_stream(spark, f"{base}/pages", ["page_id", "html"], files_per_batch=1), store_batch, f"{base}/checkpoint")
+    found = store.table("documents").rows().join(ids, "filing_id")
+    return found.select("page_id", F.col("sec_21_url").alias("url"), "has_html", "num_tables", F.col("has_sec21").alias("parsed"))
 
 
 _DIRECTORY_SQL = """info AS (SELECT c_custkey AS cw_id, y AS year, 'Firm ' || c_custkey || ' ' || c_mktsegment AS company_name, min(y) OVER (PARTITION BY c_custkey) AS min_year,

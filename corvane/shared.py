@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors, once for each application, so that table functions find them there."""
+    sc = spark.sparkContext
+    if getattr(sc, "_corvane_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="corvane-code-"), "corvane_code.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for p in sorted(root.rglob("*.py")):
+            out.write(p, p.relative_to(root.parent))
+    sc.addPyFile(target)
+    sc._corvane_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables that all executors see.
 

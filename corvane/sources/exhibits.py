@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corvane.functions.text import apply_steps, clean_contents, fold_signs, strip_junk
 from corvane.operators.locate import Places, resolve_places
 from corvane.operators.relational import small
-from corvane.shared import written
+from corvane.shared import ship, written
 
 # How one string names a company and its place, in order of trust: (pattern, group of the company, group of the place).
 SINGLE_PATTERNS = (
@@ -281,6 +281,7 @@ def text_units(lines: DataFrame, text: str) -> DataFrame:
 
 def exhibit_units(exhibits: DataFrame) -> DataFrame:
     """UNIT rows of exhibits (filing_id, content), by one Arrow-batched pass over the trees."""
+    ship(exhibits.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.strip().split(" ")[0] for c in UNIT.split(",")]

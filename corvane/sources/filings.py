@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.text import decode_entities, document_url, lenient_date, match_key
 from corvane.operators.relational import latest, unseen
+from corvane.shared import ship
 
 INDEX = "cik long, company_name string, type string, filing_date date, filename string"
 #: Forms whose exhibits are parsed: annual reports, transition reports and their amendments.
@@ -28,8 +29,12 @@ def index_rows(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The index files below a path (gzip or plain), with year and quarter of their folders where these are .../{year}/{quarter}/..."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(path).select("value", F.col("_metadata.file_path").alias("_path"))
-    rows = index_rows(lines)
+    return placed_index(spark.read.option("recursiveFileLookup", "true").text(path))
+
+
+def placed_index(lines: DataFrame) -> DataFrame:
+    """read_index() of lines that come from files, a stream's too."""
+    rows = index_rows(lines.select("value", F.col("_metadata.file_path").alias("_path")))
     place = lambda k: F.try_to_number(F.regexp_extract("_path", r"/([0-9]{4})/(?:QTR)?([1-4])/", k), F.lit("9999")).cast("int")
     return rows.withColumn("year", place(1)).withColumn("quarter", place(2)).drop("_path")
 
@@ -54,8 +59,12 @@ def name_rows(lines: DataFrame, value: str = "value") -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """(filing_id, year, quarter, content) of {year}/{quarter}/{filing_id}{suffix} below a path, a file a row."""
-    d = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").text(path, wholetext=True)
-    d = d.select(F.col("value").alias("content"), F.col("_metadata.file_path").alias("_path"))
+    return placed_documents(spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").text(path, wholetext=True), suffix)
+
+
+def placed_documents(files: DataFrame, suffix: str) -> DataFrame:
+    """read_documents() of whole files, a stream's too."""
+    d = files.select(F.col("value").alias("content"), F.col("_metadata.file_path").alias("_path"))
     name = r"/([0-9]{4})/([1-4])/([0-9]+)" + re.escape(suffix) + "$"
     d = d.filter(F.col("_path").rlike(name))
     at = lambda k, t: F.regexp_extract("_path", name, k).cast(t)
@@ -175,6 +184,7 @@ def header_rows(headers: DataFrame, region_codes: list[str]) -> DataFrame:
     """HEADER rows of header pages (filing_id, cik, content). region_codes is the list of known state codes, a few hundred."""
     codes = {c.upper() for c in region_codes}
     names = [c.strip().split(" ")[0] for c in HEADER.split(",")]
+    ship(headers.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

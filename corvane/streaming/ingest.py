@@ -29,10 +29,12 @@ def ingest_index(spark: SparkSession, source: str, target: str, checkpoint: str)
     append_distinct(index_rows(lines), target, checkpoint, ["cik", "filename", "type"])
 
 
-def read_stream(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, columns: Sequence[str], files_per_batch: int | None = None) -> DataFrame:
     """A stream of a Parquet table's files, with the schema of what is there now. The table is a folder or a single file."""
     schema = spark.read.parquet(path).select(*columns).schema
     reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(target).isFile():
         return reader.option("pathGlobFilter", target.getName()).parquet(target.getParent().toString())
