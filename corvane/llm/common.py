@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
-import zipfile
 from collections.abc import Callable
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.shared import removed, written
+from corvane.shared import ship as send
 
 
 #: An Arrow batch that goes to a Python worker holds so many bytes unless the session sets its own: a batch is held several times
@@ -35,20 +32,14 @@ def resident(key: tuple, make: Callable[[], Any]) -> Any:
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package's sources to the executors, once for each application, and bounds the bytes of an Arrow batch."""
-    sc = spark.sparkContext
+    """Sends this package's sources to the executors, once for each application, and bounds the bytes of an Arrow batch.
+
+    The bound holds for the whole session from then on, unless the session has set its own.
+    """
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
     if re.sub(r"\D", "", spark.conf.get(setting, f"{SPARK_BATCH_BYTES}b")) == str(SPARK_BATCH_BYTES):
         spark.conf.set(setting, f"{BATCH_BYTES}b")
-    if getattr(sc, "_corvane_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = os.path.join(tempfile.mkdtemp(prefix="corvane-code-"), "corvane_code.zip")
-    with zipfile.ZipFile(target, "w") as out:
-        for p in sorted(root.rglob("*.py")):
-            out.write(p, p.relative_to(root.parent))
-    sc.addPyFile(target)
-    sc._corvane_shipped = True
+    send(spark)
 
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
