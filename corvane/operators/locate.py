@@ -45,7 +45,7 @@ class Places:
 
     countries: country_code, country_name. aliases: country_code, country_name, subdiv_code (null: the country itself).
     subdivisions: country_code, subdivision_code, subdivision_name. Comparisons ignore case. Where several rows match, countries come
-    before aliases, then the smallest codes win. The tables are broadcast if they're small enough.
+    before aliases, then the smallest codes win. What a text can mean is one table, broadcast if it's small enough.
     """
 
     def __init__(self, countries: DataFrame, aliases: DataFrame, subdivisions: DataFrame):
@@ -78,64 +78,55 @@ class Places:
             "alias": _first(every_alias, ["k"], "cc", "sc").select("k", "cc", "sc"),
             "any_sub": _first(whole, ["k"], "p", "cc", "sc").select("k", "cc", "sc"),
         }
-        # written together, or each lookup would group the inputs again, once for its size and once for its join
+        # one table of what a text can mean, keyed by the text and written once: a column for each kind of meaning
         every = None
         for name, table in tables.items():
             rows = table.select(F.lit(name).alias("of"), "k", "cc", "sc" if "sc" in table.columns else F.lit(None).cast("string").alias("sc"))
             every = rows if every is None else every.unionByName(rows)
-        every = written(every, "places")
-        sizes = {r["of"]: r["count"] for r in every.groupBy("of").count().collect()}  # a row a table
-        for name, table in tables.items():
-            rows = every.filter(F.col("of") == name).select(table.columns)
-            setattr(self, name, F.broadcast(rows) if sizes.get(name, 0) <= MOST_BROADCAST_ROWS else rows)
-
+        meaning = F.struct("cc", "sc")
+        kinds = [F.first(F.when(F.col("of") == name, meaning), ignorenulls=True).alias(name) for name in tables if name != "within"]
+        within = F.map_from_entries(F.collect_list(F.when(F.col("of") == "within", meaning))).alias("within")
+        made = written(every.groupBy("k").agg(*kinds, within), "places")
+        rows = made.select("k", F.struct(*[c for c in made.columns if c != "k"]).alias("m"))
+        self.meanings = F.broadcast(rows) if made.limit(MOST_BROADCAST_ROWS + 1).count() <= MOST_BROADCAST_ROWS else rows
 
-def _lookup(df: DataFrame, table: DataFrame, on: dict[str, str], out: str) -> DataFrame:
-    """df with a struct column `out` of the table's other columns where the table's keys equal df's columns."""
-    values = [c for c in table.columns if c not in on]
-    hit = table.select(*[F.col(k).alias(f"_k_{k}") for k in on], F.struct(*values).alias(out))
-    condition = F.lit(True)
-    for k, column in on.items():
-        condition = condition & (F.col(f"_k_{k}") == F.col(column))
-    return df.join(hit, condition, "left").drop(*[f"_k_{k}" for k in on])
 
-
-def resolve_places(df: DataFrame, place: str, places: Places, clean: bool = True) -> DataFrame:
-    """df with country_code, subdiv_code and place_clean; null codes where nothing matches.
+def look_up(texts: DataFrame, place: str, places: Places, clean: bool = True) -> DataFrame:
+    """texts with country_code, subdiv_code and place_clean; null codes where nothing matches.
 
     A mention of Delaware decides. "first, second" is tried as subdivision and country in both orders, then as a subdivision of
     any country by name, then by code. What is left, and every text without a comma, is looked up whole: a US state by code or
     name, a country by name or code, an alias, any subdivision.
     """
-    d = df.withColumn("place_clean", clean_place(F.col(place)) if clean else F.col(place))
+    d = texts.withColumn("place_clean", clean_place(F.col(place)) if clean else F.col(place))
     d = d.withColumn("_whole", _key("place_clean"))
     parts = F.split("place_clean", ", ?", 2)
-    d = d.withColumn("_comma", F.col("place_clean").contains(","))
-    d = d.withColumn("_first", F.when(F.col("_comma"), _key(parts[0]))).withColumn("_second", F.when(F.col("_comma"), _key(parts[1])))
+    comma = F.col("place_clean").contains(",")
+    d = d.withColumn("_first", F.when(comma, _key(parts[0]))).withColumn("_second", F.when(comma, _key(parts[1])))
     form = r"^(?:inc|ltd|llc|.|[0-9]+)$"
-    d = d.withColumn("_void", (F.length("place_clean") <= 1) | F.coalesce(F.col("_first").rlike(form) | F.col("_second").rlike(form), F.lit(False)))
-    d = _lookup(d, places.country, {"k": "_second"}, "_c2")
-    d = _lookup(d, places.country, {"k": "_first"}, "_c1")
-    d = d.withColumn("_cc", F.coalesce("_c2.cc", "_c1.cc")).withColumn("_other", F.when(F.col("_c2").isNotNull(), F.col("_first")).otherwise(F.col("_second")))
-    d = _lookup(d, places.within, {"cc": "_cc", "k": "_other"}, "_in")
-    for n, (table, column) in enumerate([(places.any_name, "_first"), (places.any_name, "_second"), (places.any_code, "_first"), (places.any_code, "_second")]):
-        d = _lookup(d, table, {"k": column}, f"_n{n}")
-    either = lambda x, y: F.when(F.col(x).isNull() | (F.col(y) < F.col(x)), F.col(y)).otherwise(F.col(x))
-    pair = F.coalesce(either("_n0", "_n1"), either("_n2", "_n3"))
-    d = d.withColumn("_pair", F.when(F.col("_cc").isNull(), pair))
-    for n, table in enumerate([places.us, places.name_or_code, places.alias, places.any_sub]):
-        d = _lookup(d, table, {"k": "_whole"}, f"_w{n}")
-    whole = F.coalesce(
-        F.col("_w0"), F.when(F.col("_w1").isNotNull(), F.struct(F.col("_w1.cc").alias("cc"), F.lit(None).cast("string").alias("sc"))), F.col("_w2"), F.col("_w3")
-    )
+    void = (F.length("place_clean") <= 1) | F.coalesce(F.col("_first").rlike(form) | F.col("_second").rlike(form), F.lit(False))
+    for c in ("_first", "_second", "_whole"):
+        d = d.join(places.meanings.withColumnsRenamed({"k": f"{c}_k", "m": f"{c}_m"}), F.col(c) == F.col(f"{c}_k"), "left")
+    one, two, whole = F.col("_first_m"), F.col("_second_m"), F.col("_whole_m")
+    country = F.coalesce(two["country"]["cc"], one["country"]["cc"])
+    within = F.when(two["country"].isNotNull(), F.try_element_at(one["within"], country)).otherwise(F.try_element_at(two["within"], country))
+    either = lambda x, y: F.when(x.isNull() | (y < x), y).otherwise(x)
+    pair = F.coalesce(either(one["any_name"], two["any_name"]), either(one["any_code"], two["any_code"]))
+    coded = F.when(whole["name_or_code"].isNotNull(), F.struct(whole["name_or_code"]["cc"].alias("cc"), F.lit(None).cast("string").alias("sc")))
     found = (
         F.when(F.lower("place_clean").contains("delaware"), F.struct(F.lit("US").alias("cc"), F.lit("DE").alias("sc")))
-        .when(F.col("_void"), F.lit(None))
-        .when(F.col("_cc").isNotNull(), F.struct(F.col("_cc").alias("cc"), F.col("_in.sc").alias("sc")))
-        .otherwise(F.coalesce(F.col("_pair"), whole))
+        .when(void, F.lit(None))
+        .when(country.isNotNull(), F.struct(country.alias("cc"), within.alias("sc")))
+        .otherwise(F.coalesce(pair, whole["us"], coded, whole["alias"], whole["any_sub"]))
     )
     d = d.withColumn("_found", found).withColumn("country_code", F.col("_found.cc")).withColumn("subdiv_code", F.col("_found.sc"))
-    return d.select(*df.columns, "place_clean", "country_code", "subdiv_code")
+    return d.select(*texts.columns, "place_clean", "country_code", "subdiv_code")
+
+
+def resolve_places(df: DataFrame, place: str, places: Places, clean: bool = True) -> DataFrame:
+    """df with the columns that look_up() adds. Each distinct text is cleaned and looked up once."""
+    texts = df.select(F.col(place).alias("_text")).filter("_text is not null").distinct()
+    return df.join(look_up(texts, "_text", places, clean), F.col(place) == F.col("_text"), "left").drop("_text")
 
 
 def tag_places(relations: DataFrame, place: str, state_codes: DataFrame, places: Places) -> DataFrame:

@@ -99,11 +99,15 @@ _PLACES = (
 )
 
 
-def _lookups(spark: SparkSession) -> locate.Places:
+def _place_tables(spark: SparkSession) -> dict[str, DataFrame]:
     countries = spark.createDataFrame([("US", "United States"), ("CA", "Canada"), ("IE", "Ireland"), ("GB", "United Kingdom")], "country_code string, country_name string")
     aliases = spark.createDataFrame([("GB", "England", "ENG")], "country_code string, country_name string, subdiv_code string")
     subdivisions = [("US", "DE", "Delaware"), ("US", "NY", "New York"), ("US", "TX", "Texas"), ("CA", "ON", "Ontario")]
-    return locate.Places(countries, aliases, spark.createDataFrame(subdivisions, "country_code string, subdivision_code string, subdivision_name string"))
+    return {"countries": countries, "aliases": aliases, "subdivisions": spark.createDataFrame(subdivisions, "country_code string, subdivision_code string, subdivision_name string")}
+
+
+def _lookups(spark: SparkSession) -> locate.Places:
+    return locate.Places(**_place_tables(spark))
 
 
 @query(f"""SELECT p_partkey AS id, x.cc AS country_code, x.sc AS subdiv_code, x.clean AS place_clean FROM part
@@ -191,6 +195,32 @@ def exhibit_rows(spark: SparkSession, t: Tables) -> DataFrame:
     return _exhibits(spark, t)[1].select("filing_id", "company_name", "location", "country_code", "subdiv_code", "hierarchy")
 
 
+# (exhibit, company, place, the strategy that finds them); by captions only where no row or cell by itself gives anything
+_METHODS = (
+    ("<html><table><tr><td>Firm {k} Ltd<sup>(1)</sup></td><td>Ireland<sub>2</sub></td></tr><tr></tr></table></html>", "Firm {k} Ltd", "Ireland", "row, cells 0 and 1"),
+    ("<table><tr><td>Name of Subsidiary</td><td>Class</td><td>Held</td><td>Jurisdiction</td></tr><tr><td>1.</td><td>Firm {k} Ltd</td><td>common</td><td>fully</td><td>Texas</td></tr></table>", "Firm {k} Ltd", "Texas", "by captions"),
+    ("<table><tr><td>Entity</td><td>a</td><td>Domicile</td></tr><tr><td>Firm {k} Ltd</td><td>class b</td><td></td><td>class c</td><td>Ireland</td></tr></table>", None, None, None),
+    ("<table><tr><td>Entity</td><td>Domicile</td></tr><tr><td>Firm {k} SA</td><td></td><td>Ireland</td></tr></table>", "Firm {k} SA", "Ireland", "row, cells 0 and 1"),
+    ("<table><tr><td>Firm {k} Inc</td><td>100%</td><td>50%</td><td>Canada</td></tr></table>", "Firm {k} Inc", "Canada", "first two cells"),
+    ("<table><tr><td><p>Firm {k} Co - Texas</p><p>more</p></td><td>one</td><td>two</td></tr></table>", "Firm {k} Co", "Texas", "p"),
+    ("<table><tr><td>Firm {k} LLC - Ireland<br>Other words</td></tr></table>", "Firm {k} LLC", "Ireland", "between breaks"),
+    ("Firm {k} Ltd (Ireland)", "Firm {k} Ltd", "Ireland", "text, one field"),
+    ("100%   Ireland   Firm {k} Ltd", "Firm {k} Ltd", "Ireland", "text, fields 2 and 1"),
+    ("<div><div><div>Firm {k} GmbH (Ireland)</div></div></div>", "Firm {k} GmbH", "Ireland", "div"),
+)
+
+
+@query(f"""SELECT c_custkey AS filing_id, replace(company, '{{k}}', c_custkey::VARCHAR) AS company_name, place AS location, method AS parse_method FROM customer
+JOIN ({_values([m[1:] for m in _METHODS])}) x(k, company, place, method) ON c_custkey % {len(_METHODS)} = x.k WHERE company IS NOT NULL""")
+def exhibit_methods(spark: SparkSession, t: Tables) -> DataFrame:
+    """Exhibits that each strategy decides, with its label."""
+    k = F.col("c_custkey")
+    content = F.element_at(F.array(*[F.lit(m[0]) for m in _METHODS]), (k % len(_METHODS) + 1).cast("int"))
+    d = t.customer.select(k.alias("filing_id"), F.replace(content, F.lit("{k}"), k.cast("string")).alias("content"))
+    rows, _ = exhibits.extract_subsidiaries(d, _lookups(spark), spark.createDataFrame([("Total",)], "term string"))
+    return rows.select("filing_id", "company_name", "location", "parse_method")
+
+
 @query(f"""SELECT c_custkey AS filing_id, {[e[0].startswith("<") for e in _EXHIBITS]}[i] AS has_html, {[e[6] for e in _EXHIBITS]}[i]::INT AS num_tables, {[e[7] for e in _EXHIBITS]}[i]::INT AS tables_parsed,
   {[int(e[1] is not None) for e in _EXHIBITS]}[i]::BIGINT AS rows_parsed, {[e[1] is None for e in _EXHIBITS]}[i] AS bad_sec21 FROM (SELECT c_custkey, (c_custkey % {len(_EXHIBITS)} + 1)::INT AS i FROM customer)""")
 def parse_accounting(spark: SparkSession, t: Tables) -> DataFrame:
@@ -252,7 +282,7 @@ def stable_file_ids(spark: SparkSession, t: Tables) -> DataFrame:
 @query("""SELECT page_id, 'https://example.org/p/' || page_id || '/' || page_id || '.htm' AS url, regexp_matches(html, '(?i)<(?:html|table|body|div|p|br|font|pre)\\b') AS has_html,
   len(regexp_extract_all(html, '(?i)<table\\b'))::INT AS num_tables, true AS parsed FROM pages WHERE page_id % 3 <> 2 UNION ALL SELECT page_id, NULL, NULL, NULL, false FROM pages WHERE page_id % 3 = 2""")
 def incremental_documents(spark: SparkSession, t: Tables) -> DataFrame:
-    """Pages as submissions that arrive in several batches, the first before any index names them, one twice; a third have no exhibit."""
+    """Pages as submissions that arrive in several batches, after an index of which a batch was repeated; a third have no exhibit."""
     from corvane.streaming.documents import FilingStore, each_batch
     from corvane.streaming.ingest import read_stream
 
@@ -267,13 +297,11 @@ def incremental_documents(spark: SparkSession, t: Tables) -> DataFrame:
     kind = F.when(p % 3 == 2, F.lit("10-K")).otherwise(F.lit("EX-21"))
     wrapped = _say("<DOCUMENT>\n<TYPE>{t}\n<FILENAME>{p}.htm\n<TEXT>{h}</TEXT></DOCUMENT>", t=kind, p=p, h="html")
     t.pages.repartition(2, "page_id").write.parquet(f"{base}/pages")
-    lookups = {"countries": _lookups(spark).countries, "aliases": _lookups(spark).aliases, "subdivisions": _lookups(spark).subdivisions, "stop_terms": spark.createDataFrame([("Total",)], "term string")}
+    lookups = _place_tables(spark) | {"stop_terms": spark.createDataFrame([("Total",)], "term string")}
 
     def store_batch(rows: DataFrame, n: int) -> None:
         documents = rows.join(ids, "page_id").select("filing_id", wrapped.alias("content"))
         store.store_submissions(documents, n, lookups, "https://example.org/")
-        if n == 0:
-            store.store_submissions(documents, n, lookups, "https://example.org/")  # as after a failure
 
     for _ in range(2):
         each_batch(read_stream(spark, f"{base}/pages", ["page_id", "html"], files_per_batch=1), store_batch, f"{base}/checkpoint")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions.text import apply_steps, clean_contents, fold_signs, strip_junk
-from corvane.operators.locate import Places, resolve_places
+from corvane.operators.locate import Places, look_up
 from corvane.operators.relational import small
 from corvane.shared import ship, written
 
@@ -89,38 +89,51 @@ def single_candidates(text: Column) -> Column:
     return F.when(usable, F.concat(*found)).otherwise(F.array().cast("array<struct<sub:int,company:string,place:string>>"))
 
 
+def judged_cells(cells: DataFrame, places: Places, stop_terms: DataFrame) -> DataFrame:
+    """(cell, company, company_ok, company_at, place, place_ok, place_at) of the distinct strings of cells (cell).
+
+    Every string is cleaned once as a company and once as a place, and all clean strings are looked up among the places once.
+    """
+    d = cells.filter("cell is not null").distinct().withColumn("_0", clean_contents(F.col("cell")))
+    folded = fold_signs(F.col("_0"))
+    fine = (F.length("_0") > 0) & (F.length("_0") < MOST_RAW) & ~folded.rlike(r"^\(?[0-9]+\.[)0-9%]*$")
+    d = d.withColumn("_1", apply_steps(folded, CELL_STEPS)).withColumn("_fine", fine)
+    d = d.withColumn("company", strip_junk(apply_steps(F.col("_1"), COMPANY_STEPS))).withColumn("place", strip_junk(F.col("_1")))
+    terms = small(stop_terms.select(F.lower("term").alias("_term")).distinct())
+    for c in ("company", "place"):
+        x = F.col(c)
+        d = d.join(terms.withColumnRenamed("_term", f"_stop_{c}"), F.lower(x) == F.col(f"_stop_{c}"), "left")
+        ok = F.col("_fine") & x.rlike("[A-Za-z]") & ~x.rlike(r"^\(?[0-9.]+\)?$") & (F.length(x) > 1) & (F.length(x) <= MOST_CLEAN) & F.col(f"_stop_{c}").isNull()
+        if c == "company":
+            ok = ok & ~F.col("_1").rlike(CAPTIONS) & ~F.col("_1").rlike("(?i)^combined ownership of ")
+        d = d.withColumn(f"{c}_ok", F.coalesce(ok, F.lit(False)))
+    d = written(d.select("cell", "company", "company_ok", "place", "place_ok"), "cells")
+    texts = d.select(F.explode(F.array("company", "place")).alias("text")).filter("text is not null").distinct()
+    found = look_up(texts, "text", places).select("text", F.struct(F.col("place_clean").alias("clean"), F.col("country_code").alias("cc"), F.col("subdiv_code").alias("sc")).alias("at"))
+    found = written(found, "cell-places")
+    for c in ("company", "place"):
+        d = d.join(found.withColumnsRenamed({"text": f"_text_{c}", "at": f"{c}_at"}), F.col(c) == F.col(f"_text_{c}"), "left").drop(f"_text_{c}")
+    return d
+
+
 def validate(candidates: DataFrame, company: str, place: str, places: Places, stop_terms: DataFrame) -> DataFrame:
     """candidates with company_clean, place_clean, country_code, subdiv_code and status.
 
     status is ok, bad_location (a plausible company whose place isn't known) or rejected. A company that is itself a place changes
-    sides with the place; if both are places the candidate is rejected.
+    sides with the place; if both are places the candidate is rejected. Strings are judged once each, in a dictionary of the
+    distinct ones, which is joined back for either side.
     """
-    d = candidates.withColumn("v_c0", clean_contents(F.col(company))).withColumn("v_p0", clean_contents(F.col(place)))
-    fine = F.coalesce((F.length("v_c0") > 0) & (F.length("v_p0") > 0) & (F.length("v_c0") < MOST_RAW) & (F.length("v_p0") < MOST_RAW), F.lit(False))
-    for c in ("v_c", "v_p"):
-        folded = fold_signs(F.col(f"{c}0"))
-        fine = fine & ~folded.rlike(r"^\(?[0-9]+\.[)0-9%]*$")
-        d = d.withColumn(f"{c}1", apply_steps(folded, CELL_STEPS))
-    fine = fine & ~F.col("v_c1").rlike(CAPTIONS) & ~F.col("v_c1").rlike("(?i)^combined ownership of ")
-    d = d.withColumn("v_c", strip_junk(apply_steps(F.col("v_c1"), COMPANY_STEPS))).withColumn("v_p", strip_junk(F.col("v_p1")))
-    for c in ("v_c", "v_p"):
-        x = F.col(c)
-        fine = fine & x.rlike("[A-Za-z]") & ~x.rlike(r"^\(?[0-9.]+\)?$") & (F.length(x) > 1) & (F.length(x) <= MOST_CLEAN)
-    terms = small(stop_terms.select(F.lower("term").alias("_term"), F.lit(True).alias("_stop")).distinct())
-    d = d.withColumn("v_fine", fine)
-    for c in ("v_c", "v_p"):
-        d = d.join(terms.withColumnRenamed("_stop", f"stop_{c}"), F.lower(F.col(c)) == F.col("_term"), "left").drop("_term")
-    d = d.withColumn("v_fine", F.col("v_fine") & F.col("stop_v_c").isNull() & F.col("stop_v_p").isNull())
-    own = resolve_places(d, "v_p", places).withColumnsRenamed({"place_clean": "v_pc", "country_code": "v_pcc", "subdiv_code": "v_psc"})
-    both = resolve_places(own, "v_c", places).withColumnsRenamed({"place_clean": "v_cc0", "country_code": "v_ccc", "subdiv_code": "v_csc"})
-    swap = F.col("v_ccc").isNotNull()
-    pick = lambda a, b: F.when(swap, F.col(a)).otherwise(F.col(b))
-    status = (
-        F.when(~F.col("v_fine") | (swap & F.col("v_pcc").isNotNull()), "rejected").when(~swap & F.col("v_pcc").isNull(), "bad_location").otherwise("ok")
-    )
-    return both.select(
-        *candidates.columns, pick("v_p", "v_c").alias("company_clean"), pick("v_cc0", "v_pc").alias("place_clean"), pick("v_ccc", "v_pcc").alias("country_code"),
-        pick("v_csc", "v_psc").alias("subdiv_code"), status.alias("status"),
+    cells = written(judged_cells(candidates.select(F.explode(F.array(company, place)).alias("cell")), places, stop_terms), "judged-cells")
+    own = cells.select(F.col("cell").alias("_c"), F.struct(F.col("company").alias("text"), F.col("company_ok").alias("ok"), F.col("company_at").alias("at")).alias("v_c"))
+    other = cells.select(F.col("cell").alias("_p"), F.struct(F.col("place").alias("text"), F.col("place_ok").alias("ok"), F.col("place_at").alias("at")).alias("v_p"))
+    d = candidates.join(own, F.col(company) == F.col("_c"), "left").join(other, F.col(place) == F.col("_p"), "left")
+    c, p = F.col("v_c"), F.col("v_p")
+    fine, swap, known = F.coalesce(c["ok"] & p["ok"], F.lit(False)), c["at"]["cc"].isNotNull(), p["at"]["cc"].isNotNull()
+    pick = lambda x, y: F.when(swap, x).otherwise(y)
+    status = F.when(~fine | (swap & known), "rejected").when(~swap & ~known, "bad_location").otherwise("ok")
+    return d.select(
+        *candidates.columns, pick(p["text"], c["text"]).alias("company_clean"), pick(c["at"]["clean"], p["at"]["clean"]).alias("place_clean"),
+        pick(c["at"]["cc"], p["at"]["cc"]).alias("country_code"), pick(c["at"]["sc"], p["at"]["sc"]).alias("subdiv_code"), status.alias("status"),
     )
 
 
@@ -146,9 +159,16 @@ def style_indent(style: str) -> float:
     return margin + indent if margin > 0 and margin + indent and margin not in (indent, -indent) else 0.0
 
 
+_SMALL, _SMALL_END = re.compile(r"<su[pb]\b[^>]*>", re.I), re.compile(r"</su[pb]>", re.I)
+
+
 def repaired(html: str) -> str:
-    """Without superscripts and subscripts, and with rows that hold nothing, or only open another, removed."""
-    html = re.sub(r"(?is)<su[pb]\b[^>]*>.*?</su[pb]>", "", html)
+    """Without superscripts and subscripts, and with rows that hold nothing, or only open another, removed; one pass, whatever is open."""
+    kept, at = [], 0
+    while (opened := _SMALL.search(html, at)) and (closed := _SMALL_END.search(html, opened.end())):
+        kept.append(html[at : opened.start()])
+        at = closed.end()
+    html = "".join([*kept, html[at:]])
     html = re.sub(r"(?is)<tr[^>]*>\s*(?=<tr\b)", "", html)
     return re.sub(r"(?is)<tr[^>]*>\s*</tr>", "", html)
 
@@ -178,20 +198,9 @@ def _elements(node, stage: int, base: int) -> Iterator[tuple]:
             yield stage, base + 9, n, "single", part, None, 0, "between breaks"
 
 
-def _tables(root) -> list:
-    return root.find("table")
-
-
 def table_rows(table) -> list[list]:
     """The cells of each row that belong to this table and not to one inside it."""
-
-    def owner(node):
-        while node is not None and node.tag != "table":
-            node = node.parent
-        return node
-
-    rows = [r for r in table.find("tr") if owner(r.parent) is table]
-    return [[c for c in r.find("td", "th") if owner(c.parent) is table] for r in rows]
+    return [[c for c in r.cells if c.table is table] for r in table.rows]
 
 
 def units_of(content: str) -> Iterator[tuple]:
@@ -202,16 +211,15 @@ def units_of(content: str) -> Iterator[tuple]:
     """
     from corvane.sources.tree import parse
 
-    if not re.search(r"(?i)<(?:html|table|body|div|p|br|font|pre)\b", content):
-        yield from _plain_units(content)
-        return
     root = parse(repaired(content))
     columns = (None, None)
-    for t, table in enumerate(_tables(root)):
+    for t, table in enumerate(root.find("table")):
         rows = table_rows(table)
         columns, header = _caption_columns(rows, columns)
-        for r, cells in enumerate(rows):
-            texts = [re.sub(r"[\r\n]", " ", c.text(" ")) for c in cells]
+        said = [[re.sub(r"[\r\n]", " ", c.text(" ")) for c in cells] for cells in rows]
+        for r, company, place in _by_captions(said, columns, header):
+            yield t, r, 1, 0, 0, "pair", company, place, 0, "by captions"
+        for r, (cells, texts) in enumerate(zip(rows, said, strict=True)):
             first = next((x for x in texts if x.strip()), "")
             single = not re.match(r"^\s*(?:\(.+\)|\(?\*+\)?)\s*$", first)
             indent = next((i for i in (style_indent(x.attrs.get("style", "")) for c, s in zip(cells, texts, strict=True) if s for x in c.walk()) if i), 0.0)
@@ -230,15 +238,8 @@ def units_of(content: str) -> Iterator[tuple]:
             for cell in cells:
                 for unit in _elements(cell, 0, 10):
                     yield t, r, *unit
-            if None not in columns and columns[0] != columns[1] and r > header:
-                shift = 1 if texts and re.match(r"^\s*\d+\.?\s*$", texts[min(columns[0], len(texts) - 1)]) else 0
-                i, j = columns[0] + shift, columns[1] + shift
-                while j < len(texts) - 1 and not texts[j].strip():
-                    j += 1
-                if max(i, j) < len(texts):
-                    yield t, r, 1, 0, 0, "pair", texts[i], texts[j], indent, "by captions"
             if len(parts) > 1:
-                yield t, r, 2, 0, 0, "pair", parts[0], parts[1], indent, "first two cells"
+                yield t, r, 2, 0, 0, "first", parts[0], SEPARATOR.join(parts[1:]), indent, "first two cells"
     for n, unit in enumerate(_elements(root, 3, 0)):
         yield -1, n, *unit
 
@@ -258,29 +259,62 @@ def _caption_columns(rows: list[list], known: tuple) -> tuple[tuple, int]:
     return (company if company is not None else known[0], place if place is not None else known[1]), -1
 
 
-def _plain_units(content: str) -> Iterator[tuple]:
-    for n, line in enumerate(content.split("\n")):
-        parts = [x for x in re.split(r"\s{3,}", line.strip()) if x]
-        for rank, (i, j) in enumerate(((0, 1), (2, 1))):
-            if len(parts) > max(i, j):
-                yield 0, n, 0, rank, 0, "pair", parts[i], parts[j], 0, f"text, fields {i} and {j}"
-        yield 0, n, 0, 2, 0, "single", line, None, 0, "text, one field"
-        gap = re.match(r"^(.*?\S)\s\s\s+(\S.*?)(?:\s\s+|$)", line)
-        if gap:
-            yield 0, n, 0, 3, 0, "pair", gap[1], gap[2], 0, "text, wide gap"
+def _by_captions(rows: list[list[str]], columns: tuple, header: int) -> Iterator[tuple[int, str, str]]:
+    """(row, company, place) of the rows below the captions, by their columns.
+
+    Columns move to the right after a cell that says 1, and in the first row where one of the two is blank, and stay moved for the
+    rows below. A row counts as the first until both cells of one say something.
+    """
+    company, place = columns
+    if company is None or place is None or company == place:
+        return
+    first = True
+    for r, texts in enumerate(rows):
+        if r <= header:
+            continue
+        says = lambda k: re.search(r"\w", texts[k]) if k < len(texts) else None  # noqa: B023, E731
+        if company < len(texts) and re.match(r"^\s*1\.?\s*$", texts[company]):
+            company, place = company + 1, place + 1
+            while company < len(texts) and not says(company):
+                company, place = company + 1, place + 1
+        if first and says(company) and not says(place):
+            place = next((k for k in range(place, len(texts)) if says(k)), place)
+        if first and says(place) and not says(company):
+            company = next((k for k in range(company, len(texts)) if says(k)), company)
+        if company == place:
+            company, place = columns
+        if max(company, place) < len(texts) and texts[company].strip() and texts[place].strip():
+            first = False
+            yield r, texts[company], texts[place]
+
+
+#: What plain text lacks.
+MARKUP = r"(?i)<(?:html|table|body|div|p|br|font|pre)\b"
+SEPARATOR = "\x02"
+_TEXT_METHODS = ("text, fields 0 and 1", "text, fields 2 and 1", "text, one field", "text, wide gap")
 
 
 def text_units(lines: DataFrame, text: str) -> DataFrame:
     """The plain-text strategies natively: lines with the array units (rank, kind, a, b) of one line each."""
     parts = F.filter(F.split(F.trim(F.col(text)), r"\s\s\s+"), lambda x: x != "")
     kind = "struct<rank:int,kind:string,a:string,b:string>"
-    pair = lambda rank, i, j: F.when(F.size(parts) > max(i, j), F.struct(F.lit(rank).alias("rank"), F.lit("pair").alias("kind"), parts[i].alias("a"), parts[j].alias("b")).cast(kind))
-    single = F.struct(F.lit(2).alias("rank"), F.lit("single").alias("kind"), F.col(text).alias("a"), F.lit(None).cast("string").alias("b")).cast(kind)
-    return lines.withColumn("units", F.filter(F.array(pair(0, 0, 1), pair(1, 2, 1), single), lambda x: x.isNotNull()))
+
+    def unit(rank: int, name: str, a: Column, b: Column, held: Column) -> Column:
+        return F.when(held, F.struct(F.lit(rank).alias("rank"), F.lit(name).alias("kind"), a.alias("a"), b.alias("b")).cast(kind))
+
+    def of(p: Column) -> Column:
+        gap = r"^(.*?\S)\s\s\s+(\S.*?)(?:\s\s+|$)"
+        wide = lambda k: F.regexp_extract(F.col(text), gap, k)
+        return F.filter(F.array(
+            unit(0, "pair", p[0], p[1], F.size(p) > 1), unit(1, "pair", p[2], p[1], F.size(p) > 2), unit(2, "single", F.col(text), F.lit(None).cast("string"), F.lit(True)),
+            unit(3, "pair", wide(1), wide(2), F.col(text).rlike(gap)),
+        ), lambda x: x.isNotNull())
+
+    return lines.withColumn("units", F.transform(F.array(parts), of)[0])
 
 
 def exhibit_units(exhibits: DataFrame) -> DataFrame:
-    """UNIT rows of exhibits (filing_id, content), by one Arrow-batched pass over the trees."""
+    """UNIT rows of exhibits (filing_id, content): of marked-up ones by one Arrow-batched pass, of plain text by built-in functions."""
     ship(exhibits.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -289,7 +323,15 @@ def exhibit_units(exhibits: DataFrame) -> DataFrame:
             rows = [(f, *u) for f, content in zip(batch["filing_id"], batch["content"], strict=True) for u in units_of(content or "")]
             yield pd.DataFrame(rows, columns=names)
 
-    return exhibits.select("filing_id", "content").mapInPandas(run, UNIT)
+    rows = exhibits.select(F.col("filing_id").cast("long").alias("filing_id"), F.coalesce("content", F.lit("")).alias("content"))
+    marked = rows.filter(F.col("content").rlike(MARKUP)).mapInPandas(run, UNIT)
+    lines = rows.filter(~F.col("content").rlike(MARKUP)).select("filing_id", F.posexplode(F.split("content", "\n")).alias("row_num", "line"))
+    plain = text_units(lines, "line").select("filing_id", "row_num", F.explode("units").alias("u"))
+    plain = plain.select(
+        "filing_id", F.lit(0).alias("table_num"), "row_num", F.lit(0).alias("stage"), "u.rank", F.lit(0).alias("seq"), "u.kind", "u.a", "u.b", F.lit(0).alias("indent"),
+        F.element_at(F.array(*[F.lit(m) for m in _TEXT_METHODS]), F.col("u.rank") + 1).alias("method"),
+    )
+    return marked.unionByName(plain)
 
 
 def extract_subsidiaries(exhibits: DataFrame, places: Places, stop_terms: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -298,15 +340,22 @@ def extract_subsidiaries(exhibits: DataFrame, places: Places, stop_terms: DataFr
     relationships: filing_id, table_num, row_num, seq, company_name, location, country_code, subdiv_code, hierarchy, parse_method.
     """
     units = exhibit_units(exhibits)
-    junk = units.withColumn("a", strip_junk(F.col("a"))).withColumn("b", strip_junk(F.col("b")))
+    # of a row's other cells the first that says something beside junk
+    worded = F.get(F.filter(F.transform(F.split("b", SEPARATOR), strip_junk), lambda x: x.rlike(r"\w")), 0)
+    junk = units.withColumn("a", strip_junk(F.col("a"))).withColumn("b", F.when(F.col("kind") == "first", worded).otherwise(strip_junk(F.col("b"))))
     one = F.array(F.struct(F.lit(0).alias("sub"), F.col("a").alias("company"), F.col("b").alias("place")))
-    found = junk.withColumn("_c", F.explode(F.when(F.col("kind") == "pair", one).otherwise(single_candidates(F.col("a"))))).select(*units.columns, "_c.*")
-    # written, since what follows reads it eight times, and each would parse the documents and judge their cells again
-    judged = written(validate(found.drop("a", "b"), "company", "place", places, stop_terms), "judged")
+    found = junk.withColumn("_c", F.explode(F.when(F.col("kind") == "single", single_candidates(F.col("a"))).otherwise(one))).select(*units.columns, "_c.*")
+    # written, since what follows reads it several times, and each would parse the documents again
+    found = written(found.drop("a", "b"), "candidates")
+    judged = written(validate(found, "company", "place", places, stop_terms), "judged")
     ok = judged.filter("status = 'ok'")
     unit = ["filing_id", "table_num", "row_num", "stage", "rank", "seq"]
     rest = [c for c in ok.columns if c not in unit]
-    best = ok.groupBy(*unit).agg(F.min_by(F.struct(*rest), "sub").alias("_b")).select(*unit, "_b.*")
+    first = written(ok.groupBy(*unit).agg(F.min_by(F.struct(*rest), "sub").alias("_b")).select(*unit, "_b.*"), "first-valid")
+    # the pattern that won in a single string has to hold with the company and the place as they're rewritten, too
+    singles = first.filter("kind = 'single'").drop("company", "place", "country_code", "subdiv_code", "status").withColumnsRenamed({"company_clean": "company", "place_clean": "place"})
+    again = validate(singles, "company", "place", places, stop_terms).filter("status = 'ok'")
+    best = written(first.filter("kind <> 'single'").unionByName(again), "valid")
     # the least stage of each table, then the least rank of each row; the whole document only where no table gave anything
     stages = best.groupBy("filing_id", "table_num").agg(F.min("stage").alias("_stage"))
     any_ = best.filter("stage < 3").select("filing_id").distinct()

@@ -168,7 +168,7 @@ def header_fields(content: str, cik: int, codes: set[str]) -> dict[str, str] | N
         kind = "business" if mailer.trimmed().startswith("Business") else "mail"
         out |= {f"{kind}_{k}": v for k, v in address_fields([s.trimmed() for s in mailer.find("span")], codes).items()}
     for name in block.with_attr("class", "companyName")[:1]:
-        out["conformed_name"] = re.sub(r" \([^)]+\).*$", "", "".join(c for c in name.children if isinstance(c, str)).strip() or name.trimmed())
+        out["conformed_name"] = re.sub(r" \([^)]+\).*$", "", "".join(name.said).strip() or name.trimmed())
     said = " ".join(i.trimmed() for i in block.with_attr("class", "identInfo"))
     for field, pattern in (
         ("irs_number", r"IRS No\.:? ?([0-9]+)"), ("sic_code", r"SIC:? ?([0-9]+)"), ("fiscal_year_end", r"Fiscal Year End:? ?([0-9]+)"),
