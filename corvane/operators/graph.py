@@ -8,18 +8,21 @@ from pyspark.sql import functions as F
 from corvane.shared import written
 
 _OUT = "array<struct<id: bigint, parent: bigint, level: int>>"
-_STACK = f"struct<parents: array<struct<h: double, id: bigint>>, level: int, out: {_OUT}>"
+_ENTRIES = "array<struct<h: double, id: bigint>>"
+_STACK = f"struct<parents: {_ENTRIES}, level: int, out: {_OUT}>"
+_SUMMARY = f"struct<lows: array<double>, tail: {_ENTRIES}>"
 #: Rows of a group are folded in blocks, whose results are put together at the end: a fold copies what it has gathered for each row.
 BLOCK = 256
+#: Rows of a part of a group, about; a larger group has several.
+PART_ROWS = 65_536
 
 
-def _indent_fold(rows: Column) -> Column:
-    """(id, parent, level) of each of the ordered rows (order, id, h).
+def _indent_fold(rows: Column, stack: Column) -> Column:
+    """(id, parent, level) of each of the ordered rows (o, id, h), from a stack of (h, id), one entry a level.
 
-    The stack begins with (0, none). A deeper indent goes down one level, however far it jumps; a smaller one goes up while the
-    stack's entry is deeper. The row then takes its level's place, and its parent is the entry above.
+    A deeper indent goes down one level, however far it jumps; a smaller one goes up while the stack's entry is deeper. The row
+    then takes its level's place, and its parent is the entry above.
     """
-    root = F.struct(F.lit(0.0).alias("h"), F.lit(0).cast("bigint").alias("id"))
 
     def step(acc: Column, row: Column) -> Column:
         h, level, parents = row["h"], acc["level"], acc["parents"]
@@ -41,17 +44,73 @@ def _indent_fold(rows: Column) -> Column:
             x["parents"].alias("parents"), x["level"].alias("level"), F.concat(acc["outs"], F.array(x["out"])).alias("outs"),
         ))[0]
 
-    first = F.struct(F.array(root).alias("parents"), F.lit(0).alias("level"), F.array().cast(f"array<{_OUT}>").alias("outs"))
-    blocks = F.transform(F.array(rows), lambda xs: F.transform(F.sequence(F.lit(0), F.ceil(F.size(xs) / BLOCK).cast("int") - 1), lambda b: F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))[0]
-    return F.flatten(F.aggregate(blocks, first, block)["outs"])
+    first = F.struct(stack.cast(_ENTRIES).alias("parents"), (F.size(stack) - 1).alias("level"), F.array().cast(f"array<{_OUT}>").alias("outs"))
+    return F.flatten(F.aggregate(_blocks(rows), first, block)["outs"])
 
 
-def _indents(rows: DataFrame, group: str, order: str, entity: str, indent: str) -> DataFrame:
-    """(group, pos, id, parent, level) of the rows of groups with more than one indent."""
+def _blocks(rows: Column) -> Column:
+    return F.transform(F.array(rows), lambda xs: F.transform(F.sequence(F.lit(0), F.ceil(F.size(xs) / BLOCK).cast("int") - 1), lambda b: F.slice(xs, b * BLOCK + 1, F.lit(BLOCK))))[0]
+
+
+def _summary(rows: Column) -> Column:
+    """(lows, tail): what ordered rows do to any stack that they begin with.
+
+    Rows under all before them in the run are its lows; each of them takes from the stack what is deeper, and one entry more, whose
+    place it takes. What comes after the last low is the tail, which ends up above what is left. Two such summaries combine to one.
+    """
+
+    def step(acc: Column, row: Column) -> Column:
+        tail, me = acc["tail"], F.array(F.struct(row["h"].alias("h"), row["id"].alias("id")))
+        fits = F.size(F.filter(tail, lambda e: e["h"] <= row["h"]))
+        low = fits == 0
+        deeper = ~low & (F.element_at(tail, F.greatest(F.size(tail), F.lit(1)))["h"] < row["h"])
+        kept = F.when(low, F.array().cast(_ENTRIES)).when(deeper, tail).otherwise(F.slice(tail, F.lit(1), F.greatest(fits - 1, F.lit(0))))
+        return F.struct(F.when(low, F.concat(acc["lows"], F.array(row["h"]))).otherwise(acc["lows"]).alias("lows"), F.concat(kept, me).alias("tail")).cast(_SUMMARY)
+
+    empty = F.struct(F.array().cast("array<double>").alias("lows"), F.array().cast(_ENTRIES).alias("tail")).cast(_SUMMARY)
+    return F.aggregate(rows, empty, step)
+
+
+def _after(stack: Column, summary: Column) -> Column:
+    """The stack that rows of a summary leave of one that they begin with."""
+
+    def low(acc: Column, h: Column) -> Column:
+        top = F.element_at(acc["stack"], F.greatest(F.size(acc["stack"]), F.lit(1)))["h"]
+        pushed = acc["first"] & (F.size(acc["stack"]) > 0) & (top < h)
+        fits = F.filter(acc["stack"], lambda e: e["h"] <= h)
+        return F.struct(F.lit(False).alias("first"), F.when(pushed, acc["stack"]).otherwise(F.slice(fits, F.lit(1), F.greatest(F.size(fits) - 1, F.lit(0)))).alias("stack"))
+
+    begun = F.struct(F.lit(True).alias("first"), stack.alias("stack"))
+    return F.concat(F.aggregate(summary["lows"], begun, low)["stack"], summary["tail"])
+
+
+def _indents(rows: DataFrame, group: str, order: str, entity: str, indent: str, part_rows: int = PART_ROWS) -> DataFrame:
+    """(group, pos, id, parent, level) of the rows of groups with more than one indent.
+
+    Rows are dealt to ranges of (group, order), so that a large group is spread over tasks. The parts of a group are summed up, each
+    by itself; a scan over the summaries gives the stack that each part begins with; then each part is folded. Rows that agree
+    in the order go by entity and indent.
+    """
     item = F.struct(F.col(order).alias("o"), F.col(entity).cast("bigint").alias("id"), F.col(indent).cast("double").alias("h"))
-    per = rows.groupBy(group).agg(F.min(indent).alias("lo"), F.max(indent).alias("hi"), F.array_sort(F.collect_list(item)).alias("items"))
-    per = per.filter("lo <> hi").select(group, _indent_fold(F.col("items")).alias("out"))
-    return per.select(group, F.posexplode("out").alias("pos", "x")).select(group, "pos", "x.id", "x.parent", "x.level")
+    plain = rows.select(F.col(group).alias("g"), item.alias("x"))
+    n = -(-plain.count() // part_rows)
+    spread = written(plain.repartitionByRange(max(1, n), "g", "x").withColumn("part", F.spark_partition_id()), "indents")
+    parts = spread.groupBy("g", "part").agg(F.array_sort(F.collect_list("x")).alias("items"), F.min("x.h").alias("lo"), F.max("x.h").alias("hi"), F.count("*").alias("n"))
+    root = F.array(F.struct(F.lit(0.0).alias("h"), F.lit(0).cast("bigint").alias("id"))).cast(_ENTRIES)
+    summed = F.array_sort(F.collect_list(F.struct("part", "n", F.when(F.col("of") > 1, _summary(F.col("items"))).alias("s"))))
+    facts = parts.groupBy("g").agg(F.min("lo").alias("glo"), F.max("hi").alias("ghi"), F.count("*").alias("of")).filter("not glo <=> ghi")
+    per = parts.join(facts, "g").groupBy("g").agg(summed.alias("parts"))
+
+    def scan(acc: Column, x: Column) -> Column:
+        me = F.struct(x["part"].alias("part"), acc["stack"].alias("stack"), acc["n"].alias("before"))
+        then = F.when(x["s"].isNull(), acc["stack"]).otherwise(_after(acc["stack"], x["s"]))
+        return F.struct(then.alias("stack"), (acc["n"] + x["n"]).alias("n"), F.concat(acc["out"], F.array(me)).alias("out"))
+
+    kind = f"array<struct<part: int, stack: {_ENTRIES}, before: bigint>>"
+    begun = F.struct(root.alias("stack"), F.lit(0).cast("bigint").alias("n"), F.array().cast(kind).alias("out"))
+    starts = per.select("g", F.explode(F.aggregate("parts", begun, scan)["out"]).alias("b")).select("g", "b.*")
+    folded = parts.join(starts, ["g", "part"]).select("g", "before", F.posexplode(_indent_fold(F.col("items"), F.col("stack"))).alias("nth", "x"))
+    return folded.select(F.col("g").alias(group), (F.col("before") + F.col("nth")).cast("int").alias("pos"), "x.id", "x.parent", "x.level")
 
 
 def indent_parents(rows: DataFrame, group: str, order: str, entity: str, indent: str) -> DataFrame:
@@ -81,22 +140,34 @@ def top_parents(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> Dat
 
     Of several parents the one with the smallest id counts, chosen before the join. The steps end when as many rows have a parent
     as in the step before, which is none in a graph without cycles, or after most_steps.
+
+    The steps aren't made one by one. The paths to 1, 2, 4, ... parents ahead come from those of half the length, and a company whose
+    path has reached a top leaves the work. That gives each row's distance to its top, and so the step at which the rule ends: one
+    after the smallest distance that no row has. Rows whose top is within it are done; the others, those of cycles among them, go as
+    many steps as that number's binary digits say.
     """
     up = edges.groupBy("target", "year").agg(F.min("source").alias("parent")).filter("target <> parent")
-    up = written(up.withColumnRenamed("target", "_t").withColumnRenamed("year", "_y"), "parents")
-    now = info.select("cw_id", "year", F.col("cw_id").alias("top_parent_id"))
-    before = None
-    for _ in range(most_steps):
-        joined = now.join(up, (F.col("top_parent_id") == F.col("_t")) & F.col("year").eqNullSafe(F.col("_y")), "left")
-        now = written(
-            joined.select("cw_id", "year", F.coalesce("parent", "top_parent_id").alias("top_parent_id"), F.col("parent").isNotNull().alias("moved")), "tops"
-        )
-        moved = now.filter("moved").count()
-        now = now.drop("moved")
-        if moved in (0, before):
-            break
-        before = moved
-    return now
+    up = written(up.select(F.col("target").alias("t"), F.col("year").alias("y"), F.col("parent").alias("to")), "parents")
+    named = lambda d, **names: d.select(*[F.col(c).alias(n) for c, n in names.items()])
+    more = named(up, t="_t", y="_y").withColumn("open", F.lit(True))
+    at = lambda node, year: (F.col(node) == F.col("_t")) & F.col(year).eqNullSafe(F.col("_y"))
+    now = up.join(more, at("to", "y"), "left").select("t", "y", "to", F.lit(1).alias("n"), F.coalesce("open", F.lit(False)).alias("open"))
+    paths = [written(now, "paths")]
+    while 1 << (len(paths) - 1) < most_steps and not paths[-1].filter("open").isEmpty():
+        ahead = named(paths[-1], t="_t", y="_y", to="_to", n="_n", open="_open")
+        longer = paths[-1].filter("open").join(ahead, at("to", "y")).select("t", "y", F.col("_to").alias("to"), (F.col("n") + F.col("_n")).alias("n"), F.col("_open").alias("open"))
+        paths.append(written(paths[-1].filter("not open").unionByName(longer), "paths"))
+    rows = info.select("cw_id", "year").join(named(paths[-1], t="_t", y="_y", to="_to", n="n", open="open"), at("cw_id", "year"), "left")
+    rows = written(rows.select("cw_id", "year", F.coalesce("_to", "cw_id").alias("top"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("open", F.lit(False)).alias("open")), "tops")
+    distances = {r.n for r in rows.filter(~F.col("open") & (F.col("n") < most_steps)).select("n").distinct().collect()}  # at most most_steps
+    steps = min(next(m for m in range(1, most_steps + 2) if m not in distances) + 1, most_steps)
+    done = ~F.col("open") & (F.col("n") <= steps)
+    left = rows.filter(~done).select("cw_id", "year", F.col("cw_id").alias("top"))
+    if not left.isEmpty():
+        for k, path in enumerate(paths):
+            if steps >> k & 1:
+                left = left.join(named(path, t="_t", y="_y", to="_to"), at("top", "year"), "left").select("cw_id", "year", F.coalesce("_to", "top").alias("top"))
+    return rows.filter(done).select("cw_id", "year", "top").unionByName(left).withColumnRenamed("top", "top_parent_id")
 
 
 def merge_mutual(info: DataFrame) -> DataFrame:
