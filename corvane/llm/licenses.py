@@ -27,11 +27,16 @@ TEMPLATES = {
         "You may obtain a copy of the License at apache.org/licenses/LICENSE-2.0",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     ),
+    "gpl-2": (
+        "licensed under the GNU General Public License, version 2",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License",
+    ),
     "gpl-3": (
         "licensed under the GNU General Public License, version 3",
-        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-        "You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>",
+        "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
     ),
+    "gpl": ("You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>",),
+    "lgpl": ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",),
     "cc-by-nc": ("Licensed under CC BY-NC 4.0", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     "cc-by-sa": ("licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",),
     "bsd": (
@@ -41,6 +46,14 @@ TEMPLATES = {
     "mpl-2": ("subject to the terms of the Mozilla Public License, v. 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     "all-rights-reserved": ("All rights reserved",),
 }
+# What tells a label's templates from notices of other licenses; a block needs those that a template has, word by word.
+DISTINGUISHING = {
+    "mit": ("associated documentation files", "substantial portions"), "apache-2": ("apache org", "license 2 0"), "gpl-2": ("gnu general public license", "version 2"),
+    "gpl-3": ("gnu general public license", "version 3"), "gpl": ("gnu general public license",), "lgpl": ("gnu lesser general public license",),
+    "bsd": ("source and binary forms", "endorse or promote products"), "mpl-2": ("mozilla public license v 2 0",),
+}
+#: Templates of fewer words count only where their words stand one after the other: a share of so few words says little.
+SHORT_WORDS = 12
 THRESHOLD = 0.8
 #: A text block is a window of so many words of the whole text, line ends or not; each half is covered by the next, so that every
 #: run of 33 words lies in one block. No template is longer.
@@ -121,14 +134,41 @@ def _phrases(words: list[bytes], phrases: Mapping[str, bytes]) -> list[tuple[int
     return found
 
 
+def split_templates(templates: Mapping[str, Sequence[str]], short_words: int) -> tuple[dict[str, list[str]], list[tuple[str, bytes]]]:
+    """(templates for the join, (label, phrase) of the short ones)."""
+    long: dict[str, list[str]] = {}
+    short = []
+    for label, ts in templates.items():
+        for t in ts:
+            words = words_of(t.encode().lower())
+            if len(words) < short_words:
+                short.append((label, b" " + b" ".join(words) + b" "))
+            else:
+                long.setdefault(label, []).append(t)
+    return long, short
+
+
+def required_phrases(templates: Mapping[str, Sequence[str]], distinguishing: Mapping[str, Sequence[str]]) -> list[list[bytes]]:
+    """For each template, in order, the distinguishing phrases of its label that it has itself."""
+    out = []
+    for label, ts in templates.items():
+        for t in ts:
+            line = b" " + b" ".join(words_of(t.encode().lower())) + b" "
+            if line.strip():
+                out.append([p for x in distinguishing.get(label, ()) if (p := b" " + b" ".join(words_of(x.encode().lower())) + b" ") in line])
+    return out
+
+
 def license_scan(
     docs: DataFrame, phrases: Mapping[str, str] = PHRASES, templates: Mapping[str, Sequence[str]] = TEMPLATES,
     threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS, id_col: str = "doc_id", text_col: str = "text",
+    distinguishing: Mapping[str, Sequence[str]] = DISTINGUISHING, short_words: int = SHORT_WORDS,
 ) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches of every row.
 
     Base labels come from phrases whose words stand one after the other. The method adds the labels of all templates that some
-    text block holds to the threshold (share of the template's distinct words); tokens are ordered by the number of rows of docs
+    text block holds to the threshold (share of the template's distinct words) together with the distinguishing phrases that the
+    template has; templates of under short_words words are found as phrases only, with a containment of 1. Tokens are ordered by the number of rows of docs
     that hold them, counted over all rows first. Blocks are windows over the words of the whole text, so a notice wrapped over lines
     is found. score is 1 with a base label, else the best containment found, else 0. matches lists (label, first_word, containment)
     of the blocks.
@@ -140,6 +180,7 @@ def license_scan(
     spark = docs.sparkSession
     ship(spark)
     rows = id_and_text(docs, id_col, text_col)
+    templates, short = split_templates(templates, short_words)
     vocabulary = {w for ts in templates.values() for t in ts for w in words_of(t.encode().lower())}
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,8 +194,10 @@ def license_scan(
     counted = rows.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     frequency = {r.word.encode(): r.n for r in written(counted, "license-words").collect()}  # as many rows as the templates have words
     index = TemplateIndex.build(templates, threshold, frequency)
+    required = required_phrases(templates, distinguishing)
     wanted = {label: b" " + b" ".join(words_of(p.encode().lower())) + b" " for label, p in phrases.items()}
     rare = [max(p.split(), key=len) for p in wanted.values()]
+    rare_short = [max(p.split(), key=len) for _, p in short]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -164,9 +207,14 @@ def license_scan(
                 words = words_of(raw)
                 base = _phrases(words, wanted) if any(w in raw for w in rare) else []
                 matches = []
+                for w, (label, phrase) in zip(rare_short, short, strict=True):
+                    if w in raw:
+                        matches += [(label, at, 1.0) for at, _ in _phrases(words, {label: phrase})]
                 if not index.prefix.keys().isdisjoint(words):
                     for at, block in blocks_of(words, block_words):
-                        matches += [(index.labels[t], at, c) for t, c in index.search(block)]
+                        hits = index.search(block)
+                        line = b" " + b" ".join(block) + b" " if hits else b""
+                        matches += [(index.labels[t], at, c) for t, c in hits if all(p in line for p in required[t])]
                 own = {label for _, label in base}
                 out.append((
                     len(words), len(base), min((k for k, _ in base), default=None), max((k for k, _ in base), default=None),

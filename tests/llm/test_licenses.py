@@ -21,10 +21,16 @@ def plain(text, block_words):
     found = {}
     for lo in range(0, max(1, len(words) - block_words // 2), block_words // 2):
         block = set(words[lo : lo + block_words])
+        line = " ".join(["", *words[lo : lo + block_words], ""])
         for label, ts in L.TEMPLATES.items():
             for t in ts:
-                s = set(WORD.findall(lowered(t)))
-                if len(s & block) >= math.ceil(0.8 * len(s)):
+                own = WORD.findall(lowered(t))
+                s = set(own)
+                said = " ".join(["", *own, ""])
+                if len(own) < 12:
+                    if said in " ".join(["", *words, ""]):
+                        found[label] = 1.0
+                elif len(s & block) >= math.ceil(0.8 * len(s)) and all(f" {p} " in line for p in L.DISTINGUISHING.get(label, ()) if f" {p} " in said):
                     found[label] = max(found.get(label, 0), len(s & block) / len(s))
     own = {x for _, x in base}
     return (
@@ -96,6 +102,24 @@ def test_wrapped_notices(spark):
         assert got[i].labels.split(",") == [label] and got[i].score >= 0.8 and {m.label for m in got[i].matches} == {label}
 
 
+OTHERS = {
+    "released under the GPL license": "", "released under the BSD License": "", "The license was released in May. The students under the age of ten": "",
+    "licensed under a Creative Commons Attribution 4.0 International License": "", "Licensed under CC BY 4.0": "", "Licensed under CC BY-SA 4.0": "", "All of the reserved seats and rights": "",
+    "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.": "gpl-2",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License": "lgpl",
+    "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.mozilla.org/MPL/": "",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license": "",
+    "released under the MIT License": "mit", "All rights\nreserved.": "all-rights-reserved", "licensed under the GNU General Public License, version 3": "gpl-3",
+}
+
+
+def test_other_licenses_get_no_false_label(spark):
+    docs = spark.createDataFrame([(i, "word " * (7 * i) + t) for i, t in enumerate(OTHERS)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in L.license_scan(docs).collect()}
+    assert {t: got[i] for i, t in enumerate(OTHERS)} == OTHERS
+
+
 def test_every_template_is_found_wherever_it_stands():
     index = L.TemplateIndex.build(L.TEMPLATES, L.THRESHOLD, {})
     for label, ts in L.TEMPLATES.items():
