@@ -34,6 +34,7 @@ ALLOWED_RUN, MARK = r"(.)\1{7,}", r"[^\n]?\r[^\n]?"
 _LITERALS = [w for p in ALLOWED if p.startswith("(?i)") for w in p.removeprefix("(?i)").split("|")]
 ALLOWED_LITERAL = "(?i)" + "|".join(f"(?<={w[:i]}){w[i]}(?={w[i + 1 :]})" for w in _LITERALS for i in range(len(w)))
 BLOCK = 256
+COUNT_BASE = 65  # the character that says 0
 
 
 def _matches(text: Column, pattern: str, found: Column) -> tuple[Column, Column]:
@@ -81,33 +82,45 @@ def _placed(matches: Column, gaps: Column, values: Column, kind: int) -> Column:
 def _excess(string: Column) -> Column:
     """The largest excess, over all windows of string, of the window's entropy in bits over what its character class needs.
 
-    The counts of the window's characters and the sum of c * log2(c) over them change by one character in and one out a step.
+    The counts of the window's characters, one character each of a string, and the sum of c * log2(c) over them change by one
+    character in and one out a step.
     """
-    weights = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)])
-    codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)
-    start = F.struct(
-        F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.array().cast("array<int>").alias("window"), F.lit(0.0).alias("sum"),
-        F.lit(0).alias("other"), F.lit(-99.0).alias("best"),
-    )
+    weights = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(WINDOW + 2)])
+    none = chr(COUNT_BASE)
 
     def weight(n: Column) -> Column:
-        return F.element_at(weights, (n + 1).cast("int"))
+        return F.element_at(weights, n + 1)
+
+    def count(counts: Column, code: Column) -> Column:
+        return F.ascii(F.substr(counts, code + 1, F.lit(1))) - COUNT_BASE
+
+    def changed(counts: Column, code: Column, n: Column) -> Column:
+        return F.overlay(counts, F.chr(n + COUNT_BASE), code + 1, F.lit(1))
+
+    def of(codes: Column) -> Column:
+        start = F.struct(F.lit(none * len(ALPHABET)).alias("counts"), F.lit(0.0).alias("sum"), F.lit(0).alias("other"), F.lit(-99.0).alias("best"))
+
+        def step(acc: Column, i: Column) -> Column:
+            full = i >= WINDOW
+            new = F.element_at(codes, i + 1)
+            old = F.when(full, F.element_at(codes, F.greatest(F.lit(1), i + 1 - WINDOW))).otherwise(F.lit(0))
+            c_old = F.when(full, count(acc["counts"], old)).otherwise(F.lit(0))
+            less = F.when(full, weight(c_old) - weight(F.greatest(F.lit(0), c_old - 1))).otherwise(F.lit(0.0))
+            counts = F.when(full, changed(acc["counts"], old, c_old - 1)).otherwise(acc["counts"])
+
+            def entered(counts: Column) -> Column:
+                c_new = count(counts, new)
+                total = acc["sum"] - less + weight(c_new + 1) - weight(c_new)
+                other = acc["other"] + F.when(new >= HEX_CHARS, 1).otherwise(0) - F.when(full & (old >= HEX_CHARS), 1).otherwise(0)
+                over = F.lit(math.log2(WINDOW)) - total / WINDOW - F.when(other == 0, F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
+                best = F.when(i >= WINDOW - 1, F.greatest(acc["best"], over)).otherwise(acc["best"])
+                return F.struct(changed(counts, new, c_new + 1).alias("counts"), total.alias("sum"), other.cast("int").alias("other"), best.alias("best"))
 
-    def step(acc: Column, new: Column) -> Column:
-        full = F.size(acc["window"]) == WINDOW
-        old = F.when(full, F.element_at(acc["window"], 1)).otherwise(F.lit(-1))
-        c_old = F.when(full, F.element_at(acc["counts"], F.greatest(F.lit(1), old + 1))).otherwise(F.lit(0))
-        less = F.when(full, weight(c_old) - weight(F.greatest(F.lit(0), c_old - 1))).otherwise(F.lit(0.0))
-        c_new = F.element_at(acc["counts"], new + 1) - F.when(new == old, 1).otherwise(0)
-        total = acc["sum"] - less + weight(c_new + 1) - weight(c_new)
-        counts = F.transform(acc["counts"], lambda c, j: (c + F.when(j == new, 1).otherwise(0) - F.when(j == old, 1).otherwise(0)).cast("int"))
-        window = F.concat(F.when(full, F.slice(acc["window"], 2, WINDOW - 1)).otherwise(acc["window"]), F.array(new))
-        other = acc["other"] + F.when(new >= HEX_CHARS, 1).otherwise(0) - F.when(old >= HEX_CHARS, 1).otherwise(0)
-        over = F.lit(math.log2(WINDOW)) - total / WINDOW - F.when(other == 0, F.lit(HEX_BITS)).otherwise(F.lit(OTHER_BITS))
-        best = F.when(F.size(acc["window"]) >= WINDOW - 1, F.greatest(acc["best"], over)).otherwise(acc["best"])
-        return F.struct(counts.alias("counts"), window.alias("window"), total.alias("sum"), other.cast("int").alias("other"), best.alias("best"))
+            return F.transform(F.array(counts), entered)[0]
 
-    return F.aggregate(codes, start, step)["best"]
+        return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step)["best"]
+
+    return F.transform(F.array(F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c) - 1)), of)[0]
 
 
 def _beside_allowed(string: Column) -> Column:
@@ -116,6 +129,21 @@ def _beside_allowed(string: Column) -> Column:
     return F.split(F.regexp_replace(F.regexp_replace(marked, ALLOWED_LITERAL, "\n"), MARK, "\n"), "\n+")
 
 
+def _overlaps(spans: Column, x: Column) -> Column:
+    """Whether x overlaps one of spans, which are sorted and apart: a binary search finds the first that ends after x begins."""
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.shiftright(at["lo"] + at["hi"], 1)
+        after = F.get(spans, middle)["end"] > x["start"]
+        closed = at["lo"] >= at["hi"]
+        lo = F.when(closed | after, at["lo"]).otherwise(middle + 1)
+        return F.struct(lo.alias("lo"), F.when(~closed & after, middle).otherwise(at["hi"]).alias("hi"))
+
+    begun = F.struct(F.lit(0).alias("lo"), F.size(spans).alias("hi"))
+    first = F.aggregate(F.sequence(F.lit(0), F.length(F.bin(F.size(spans).cast("long")))), begun, halve)["lo"]
+    return F.when(F.size(spans) > 0, F.coalesce(F.get(spans, first)["start"] < x["end"], F.lit(False))).otherwise(F.lit(False))
+
+
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, found of every row; found has (start, end, kind, string).
 
@@ -142,7 +170,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn("base", F.array_sort(F.concat("s0", "s1", "s2")))
 
     def apart(x: Column) -> Column:
-        return ~F.exists("base", lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"]))
+        return ~(_overlaps(F.col("s0"), x) | _overlaps(F.col("s1"), x) | _overlaps(F.col("s2"), x))
 
     whole = [p for p in ALLOWED if p.startswith("^")]
     parts = [p for p in ALLOWED if not p.startswith("^")]

@@ -60,6 +60,29 @@ def test_very_long_candidates_and_many_matches(spark):
     assert (got[1].n_hex, got[1].spans) == (0, plain(long)[4]) and got[2].n_hex == 20_000 and got[2].base_sha256 == plain(many)[3]
 
 
+def test_many_candidates_beside_many_spans_cost_in_proportion(spark):
+    import time
+
+    took = []
+    for n in (8_000, 32_000):
+        r = random.Random(n)
+        lines = (f"{r.randbytes(32).hex()}  dir{k % 7}/q7RzT2vLx9WmK4pYb8NcJ{k}" for k in range(n))
+        text = "\n".join(lines)
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.perf_counter()
+        got = S.scan_secrets(docs).first()
+        took.append(time.perf_counter() - began)
+        assert got.n_hex == n and len(got.found) == 2 * n and got.spans == plain_disjoint(text)
+    assert took[1] < 8 * max(took[0], 2.0)
+
+
+def plain_disjoint(text):
+    """Spans of a text whose candidates are all reported: runs of hexadecimal digits, and long words elsewhere."""
+    both = [(m.start(), "hex", m.end()) for m in re.finditer("[0-9a-f]{24,}", text)]
+    both += [(m.start(), "entropy", m.end()) for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text) if not re.fullmatch("[0-9a-f]{24,}", m[0])]
+    return ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(both))
+
+
 def test_repeats_nulls_and_empty(spark):
     docs = spark.createDataFrame([(None, "token=abcdefgh"), (1, "token=abcdefgh"), (1, "token=abcdefgh")], "doc_id long, text string")
     assert [r.n_assign for r in S.scan_secrets(docs).collect()] == [1, 1, 1]
