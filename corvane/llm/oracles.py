@@ -89,13 +89,13 @@ def license_sql() -> str:
     short = ", ".join(f"('{label}', {_listed(ws)})" for label, ws in every if len(ws) < licenses.SHORT_WORDS)
     size = licenses.BLOCK_WORDS
     return f"""
-WITH d AS (SELECT doc_id, {lower} AS t FROM documents), w AS (SELECT doc_id, {cut("t")} AS ws, t FROM d),
+WITH d AS (SELECT doc_id, {lower} AS t FROM documents), w AS MATERIALIZED (SELECT *, ' ' || array_to_string(ws, ' ') || ' ' AS line FROM (SELECT doc_id, {cut("t")} AS ws, t FROM d)),
 p(label, ps) AS (VALUES {phrases}), q(label, ts, ns) AS (VALUES {templates}), z(label, ps) AS (VALUES {short}),
 base AS (SELECT doc_id, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1:i + len(ps)] = ps)) AS place FROM w, p),
 blocks AS (SELECT doc_id, list_distinct(ws[lo + 1:lo + {size}]) AS b, ' ' || array_to_string(ws[lo + 1:lo + {size}], ' ') || ' ' AS line FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {size // 2}), {size // 2})) AS lo FROM w)),
 found AS (SELECT doc_id, label, max(len(list_intersect(b, ts)) / len(ts)) AS c FROM blocks, q WHERE len(list_intersect(b, ts)) >= ceil({licenses.THRESHOLD}::DOUBLE * len(ts))
   AND len(list_filter(ns, lambda n: NOT contains(line, ' ' || n || ' '))) = 0 GROUP BY 1, 2
-  UNION ALL SELECT doc_id, label, 1.0 FROM w, z WHERE contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || array_to_string(ps, ' ') || ' ')),
+  UNION ALL SELECT doc_id, label, 1.0 FROM w, z WHERE contains(line, ' ' || array_to_string(ps, ' ') || ' ')),
 bl AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list_sort(list_distinct(list(label))) AS labels FROM base GROUP BY 1),
 fl AS (SELECT doc_id, list(label) AS labels, max(c) AS c FROM found GROUP BY 1)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, lo AS first_word, hi AS last_word, coalesce(array_to_string(bl.labels, ','), '') AS base_labels,
