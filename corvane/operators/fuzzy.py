@@ -15,23 +15,33 @@ UNKNOWN_WEIGHT = 0.2
 LEAST_SCORE = 75.0
 
 
+def _onward(tokens: DataFrame, name: str) -> DataFrame:
+    """tokens (name, t, w, n) with left_over, the weight of a name's tokens from this one on, in the order of (n, t)."""
+    onward = Window.partitionBy(name).orderBy("n", "t").rowsBetween(Window.currentRow, Window.unboundedFollowing)  # over a name's tokens
+    return tokens.withColumn("left_over", F.sum("w").over(onward))
+
+
 def scoring_pairs(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     """(a_id, b_id) of all names that can score above least, and of others that share a rare token.
 
     a and b have weighted tokens (a_id, a_tw), (b_id, b_tw); weights are 0 or more. A score over least takes shared tokens of more
-    than least / 200 of a name's weight. So a name's tokens are joined from the one that the fewest right names have on, until those
-    left over weigh no more than that; its frequent tokens, which would pair very many names, are hardly ever reached. Right names
-    too heavy for the score are left out. No pair is lost.
+    than least / 200 of both names' weight. So names are joined by their tokens from the one that the fewest right names have
+    on, until those left over weigh no more than that part of the name: the first token that a pair shares is among them on either
+    side, and frequent tokens, which would pair very many names, are hardly ever reached. A left name's repeats count each time, a
+    right name's tokens once, so left names with repeats meet all tokens of right names. Right names too heavy for the score
+    are left out. No pair is lost.
     """
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x["w"])
+    theirs = b.select("b_id", total("b_tw").alias("b_w"), F.explode("b_tw").alias("x")).groupBy("b_id", "b_w", F.col("x.t").alias("t")).agg(F.max("x.w").alias("w"))
+    theirs = theirs.join(theirs.groupBy("t").agg(F.count("*").alias("n")), "t")
+    theirs = written(_onward(theirs, "b_id").withColumn("rare", 200 * F.col("left_over") > least * F.col("b_w") * (1 - 1e-9)).select("b_id", "b_w", "t", "n", "rare"), "right-prefixes")
     mine = a.select("a_id", total("a_tw").alias("a_w"), F.explode("a_tw").alias("x"))
-    mine = mine.groupBy("a_id", "a_w", F.col("x.t").alias("t")).agg(F.sum("x.w").alias("w"))
-    theirs = b.select("b_id", total("b_tw").alias("b_w"), F.explode(F.array_distinct(F.transform("b_tw", lambda x: x["t"]))).alias("t"))
-    mine = mine.join(theirs.groupBy("t").agg(F.count("*").alias("n")), "t")
-    onward = Window.partitionBy("a_id").orderBy("n", "t").rowsBetween(Window.currentRow, Window.unboundedFollowing)  # over a name's tokens
-    mine = mine.withColumn("left_over", F.sum("w").over(onward)).filter(200 * F.col("left_over") > least * F.col("a_w") * (1 - 1e-9))
+    mine = mine.groupBy("a_id", "a_w", F.col("x.t").alias("t")).agg(F.sum("x.w").alias("w"), F.count("*").alias("times"))
+    mine = mine.withColumn("repeats", F.max("times").over(Window.partitionBy("a_id")) > 1).join(theirs.select("t", "n").distinct(), "t")
+    mine = _onward(mine, "a_id").filter(200 * F.col("left_over") > least * F.col("a_w") * (1 - 1e-9)).select("a_id", "a_w", "t", "repeats")
     heavy = least * (F.col("a_w") + F.col("b_w")) > 200 * F.col("a_w") * (1 + 1e-9)
-    return mine.join(theirs, "t").filter(~heavy).select("a_id", "b_id")
+    pairs = mine.filter("not repeats").join(theirs.filter("rare"), "t").unionByName(mine.filter("repeats").join(theirs, "t"))
+    return pairs.filter(~heavy).select("a_id", "b_id")
 
 
 def weighted_tokens(names: DataFrame, weights: DataFrame, tokens: Column, token_col: str) -> DataFrame:

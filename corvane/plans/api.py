@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions.text import name_key, to_plain, words
+from corvane.shared import written
 
 #: The most rows of one page.
 PAGE = 5000
@@ -40,28 +41,98 @@ def matches_text(column: str, text: str, substring: bool = False) -> Column:
     return F.forall(F.array(*[name_key(F.lit(w)) for w in wanted]), lambda w: F.array_contains(have, w)) if wanted else F.lit(True)
 
 
+@dataclass
+class KeyedPages:
+    """Rows stored in the order of ascending columns that end with a unique one, in parts, with the last key of each part.
+
+    A page is asked for by the last key seen. The parts that hold the rows after it are known from their keys, so that any page
+    reads one or two parts, however far back it stands.
+    """
+
+    spark: SparkSession
+    order: tuple[str, ...]
+    path: str
+
+    @classmethod
+    def build(cls, rows: DataFrame, order: tuple[str, ...], path: str, part_rows: int = 50_000) -> KeyedPages:
+        n = max(1, -(-rows.count() // part_rows))
+        dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).sortWithinPartitions("_part", *order)
+        dealt.write.mode("overwrite").partitionBy("_part").parquet(f"{path}/rows")
+        spark = rows.sparkSession
+        stored = spark.read.schema(dealt.schema).parquet(f"{path}/rows")
+        stored.groupBy("_part").agg(F.max(F.struct(*order)).alias("last"), F.count("*").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
+        return cls(spark, tuple(order), path)
+
+    def after(self, key: tuple | None = None, limit: int = PAGE) -> DataFrame:
+        """The first rows, in order, whose key is larger than key; from the beginning without one."""
+        limit = min(limit, PAGE)
+        parts = self.spark.read.parquet(f"{self.path}/parts")
+        rows = self.spark.read.parquet(f"{self.path}/rows")
+        if key is not None:
+            types = dict(rows.dtypes)
+            wanted = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(self.order, key, strict=True)])
+            parts, rows = parts.filter(F.col("last") > wanted), rows.filter(F.struct(*self.order) > wanted)
+        chosen, held = [], 0
+        for r in parts.orderBy("_part").limit(limit + 1).collect():  # a part has a row at least
+            chosen.append(r["_part"])
+            held += r["n"] if key is None or len(chosen) > 1 else 1  # how much of the first part lies after the key isn't known
+            if held >= limit + (key is not None):
+                break
+        rows = rows.filter(F.col("_part").isin(chosen) if chosen else F.lit(False))
+        return rows.orderBy(*self.order).limit(limit).drop("_part")
+
+
+def _trigrams(key: Column) -> Column:
+    return F.when(F.length(key) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(key) - 2), lambda i: F.substr(key, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+
+
 @dataclass
 class TextIndex:
-    """A stored index from words to identifiers: rows (word, id), sorted by word, so that a search reads the files of its words only."""
+    """A stored index from words, and from three successive characters, to identifiers, and the texts compared with substrings.
+
+    Rows (token, id) are sorted by token, so that a search reads the files of its tokens only. A later build adds its new rows.
+    """
 
     spark: SparkSession
     path: str
 
     @classmethod
     def build(cls, rows: DataFrame, id_col: str, column: str, path: str) -> TextIndex:
-        """Writes the index of a column; words are compared without case and accents."""
-        found = rows.select(F.explode(F.array_distinct(words(name_key(F.col(column))))).alias("word"), F.col(id_col).alias(id_col)).distinct()
-        # ranges of both columns, so that a word in a third of all rows is spread over several files
-        found.repartitionByRange("word", id_col).sortWithinPartitions("word", id_col).write.mode("overwrite").parquet(path)
-        return cls(rows.sparkSession, path)
-
-    def search(self, text: str) -> DataFrame:
-        """The identifiers of rows that have every word of text; none for a text without words."""
-        table = self.spark.read.parquet(self.path)
-        (id_col,) = [c for c in table.columns if c != "word"]
-        wanted = sorted({w for w in to_plain(text).replace("/", " ").split(" ") if w})
-        hits = table.filter(F.col("word").isin(wanted) if wanted else F.lit(False))
-        return hits.groupBy(id_col).agg(F.count("*").alias("_n")).filter(F.col("_n") == len(wanted)).drop("_n")
+        """Writes the index of a column; texts are compared without case and accents. Of rows with one identifier one text counts."""
+        index = cls(rows.sparkSession, path)
+        index._write(rows, id_col, column, "overwrite")
+        return index
+
+    def _write(self, rows: DataFrame, id_col: str, column: str, mode: str) -> None:
+        key = name_key(F.col(column))
+        texts = rows.groupBy(F.col(id_col).alias(id_col)).agg(F.min(key).alias("_key")).filter("_key is not null")
+        for kind, tokens in (("words", F.array_distinct(words(F.col("_key")))), ("trigrams", _trigrams(F.col("_key")))):
+            found = texts.select(F.explode(tokens).alias("_token"), id_col)
+            # ranges of both columns, so that a token in a third of all rows is spread over several files
+            found.repartitionByRange("_token", id_col).sortWithinPartitions("_token", id_col).write.mode(mode).parquet(f"{self.path}/{kind}")
+        texts.repartitionByRange(id_col).sortWithinPartitions(id_col).write.mode(mode).parquet(f"{self.path}/texts")
+
+    def extend(self, rows: DataFrame, id_col: str, column: str) -> None:
+        """Adds the rows whose identifiers the index doesn't have."""
+        known = self.spark.read.parquet(f"{self.path}/texts").select(id_col)
+        self._write(written(rows.join(known, id_col, "left_anti"), "new-texts"), id_col, column, "append")
+
+    def _having(self, kind: str, tokens: list[str]) -> DataFrame:
+        table = self.spark.read.parquet(f"{self.path}/{kind}")
+        (id_col,) = [c for c in table.columns if c != "_token"]
+        hits = table.filter(F.col("_token").isin(tokens) if tokens else F.lit(False))
+        return hits.groupBy(id_col).agg(F.count("*").alias("_n")).filter(F.col("_n") == len(tokens)).drop("_n")
+
+    def search(self, text: str, substring: bool = False) -> DataFrame:
+        """The identifiers of rows that have every word of text, none for a text without words; or that hold it anywhere."""
+        if not substring:
+            return self._having("words", sorted({w for w in to_plain(text).replace("/", " ").split(" ") if w}))
+        (key,) = self.spark.range(1).select(name_key(F.lit(text))).first()
+        texts = self.spark.read.parquet(f"{self.path}/texts")
+        (id_col,) = [c for c in texts.columns if c != "_key"]
+        if len(key) >= 3:  # shorter ones are looked for in all texts
+            texts = texts.join(self._having("trigrams", sorted({key[i : i + 3] for i in range(len(key) - 2)})), id_col, "left_semi")
+        return texts.filter(F.contains("_key", F.lit(key))).select(id_col)
 
 
 def meta(rows: DataFrame, **parameters) -> dict:
@@ -79,6 +150,28 @@ class Directory:
     locations: DataFrame | None = None
     filings: DataFrame | None = None
     filings_lookup: DataFrame | None = None
+    #: For the columns company_name and raw_address: an index of the column's distinct texts, see with_indexes().
+    indexes: dict[str, TextIndex] = field(default_factory=dict)
+
+    def with_indexes(self, path: str) -> Directory:
+        """This directory with indexes, stored below path, of the company names and addresses that its searches look for."""
+        tables = {"company_name": [t for t in (self.info, self.names) if t is not None], "raw_address": [t for t in (self.locations,) if t is not None]}
+        made = {}
+        for column, found in tables.items():
+            texts = [t.select(column) for t in found]
+            if texts:
+                every = texts[0] if len(texts) == 1 else texts[0].unionByName(texts[1])
+                made[column] = TextIndex.build(every.distinct(), column, column, f"{path}/{column}")
+        return replace(self, indexes=made)
+
+    def _said(self, rows: DataFrame, column: str, text: str | None, substring: bool) -> DataFrame:
+        """The rows whose column meets a search text, by the column's index if there is one."""
+        if text is None or text == "":
+            return rows
+        index = self.indexes.get(column)
+        if index is None or not (substring or any(to_plain(text).replace("/", " ").split(" "))):
+            return rows.filter(matches_text(column, text, substring))
+        return rows.join(index.search(text, substring), column, "left_semi").select(*rows.columns)
 
     def _at(self, year: int | None) -> Column:
         return F.col("most_recent") if year is None else F.col("year") == year
@@ -125,20 +218,20 @@ class Directory:
         source_type: str | None = None, top_parent_id: int | None = None, year: int | None = None, substring: bool = False,
     ) -> DataFrame:
         """Companies in a year (default: their most recent one) that meet all given parameters."""
-        return self.info.filter(self._at(year) & conditions(
-            name=given(company_name, lambda v: matches_text("company_name", v, substring)), sic=given(sic_code, lambda v: F.col("sic_code") == v),
+        return self._said(self.info, "company_name", company_name, substring).filter(self._at(year) & conditions(
+            sic=given(sic_code, lambda v: F.col("sic_code") == v),
             low=given(min_year, lambda v: F.col("max_year") >= v), high=given(max_year, lambda v: F.col("min_year") <= v),
             source=given(source_type, lambda v: F.col("source_type") == v), top=given(top_parent_id, lambda v: F.col("top_parent_id") == v),
         ))
 
     def search_names(self, company_name: str | None = None, source: str | None = None, min_year: int | None = None, max_year: int | None = None, substring: bool = False) -> DataFrame:
-        return self.names.filter(conditions(
-            name=given(company_name, lambda v: matches_text("company_name", v, substring)), source=given(source, lambda v: F.col("source") == v),
+        return self._said(self.names, "company_name", company_name, substring).filter(conditions(
+            source=given(source, lambda v: F.col("source") == v),
             low=given(min_year, lambda v: F.col("max_year") >= v), high=given(max_year, lambda v: F.col("min_year") <= v),
         ))
 
     def search_locations(self, address: str | None = None, type_: str | None = None, min_year: int | None = None, max_year: int | None = None, substring: bool = False) -> DataFrame:
-        return self.locations.filter(conditions(
-            address=given(address, lambda v: matches_text("raw_address", v, substring)), kind=given(type_, lambda v: F.col("type") == v),
+        return self._said(self.locations, "raw_address", address, substring).filter(conditions(
+            kind=given(type_, lambda v: F.col("type") == v),
             low=given(min_year, lambda v: F.col("max_year") >= v), high=given(max_year, lambda v: F.col("min_year") <= v),
         ))

@@ -113,14 +113,15 @@ def _numbered(d: DataFrame) -> DataFrame:
     return relational.surrogate_ids(d.distinct(), ["name"], "id")
 
 
-def _scores(t: Tables, kind: str) -> DataFrame:
+def _scores(t: Tables, kind: str, substring: bool = False) -> DataFrame:
     left = _numbered(t.part.select(F.concat_ws(" ", "p_name", F.lower("p_type")).alias("name")))
-    right = _numbered(t.part.select(F.concat_ws(" ", "p_name", F.lower("p_type"), F.lower("p_brand")).alias("name")))
+    first = F.concat(F.lit("x"), "p_name") if substring else F.col("p_name")
+    right = _numbered(t.part.select(F.concat_ws(" ", first, F.lower("p_type"), F.lower("p_brand")).alias("name")))
     both = left.unionByName(right)
     word_weights = relational.token_counts(both, T.words(F.col("name")), "word")
     bigram_weights = relational.token_counts(both, T.bigrams(F.col("name")), "bigram")
     stop = relational.stop_terms(word_weights, n=8)
-    found = fuzzy.fuzzy_matches(left, right, word_weights, bigram_weights, stop, kinds=(kind,))
+    found = fuzzy.fuzzy_matches(left, right, word_weights, bigram_weights, stop, substring=substring, kinds=(kind,))
     return found.select("a_id", "b_id", F.round("score", 6).alias("score"))
 
 
@@ -134,6 +135,16 @@ def bigram_score(spark: SparkSession, t: Tables) -> DataFrame:
     return _scores(t, "bigram")
 
 
+_ANYWHERE = ("(SELECT id, unnest(wrd) AS wd FROM lt) a JOIN (SELECT id, unnest(wrd) AS wd FROM rt) b USING (wd) WHERE wd NOT IN (SELECT wd FROM stop)", """(SELECT id, unnest(wrd) AS wd FROM lt) a
+  JOIN (SELECT wd, rt.id FROM (SELECT DISTINCT unnest(wrd) AS wd FROM lt) JOIN rt ON contains(rt.name, wd) WHERE wd NOT IN (SELECT wd FROM stop)) b USING (wd)""")
+
+
+@query(_FUZZY_SQL.replace(*_ANYWHERE).format(left=_LEFT_SQL, right=_RIGHT_SQL.replace("p_name ||", "'x' || p_name ||"), tok=_WORDS_SQL.format("name"), words=_WORDS_SQL.format("name")))
+def substring_score(spark: SparkSession, t: Tables) -> DataFrame:
+    """Candidates that hold a word of the left name anywhere, be it inside another word, as the first one here."""
+    return _scores(t, "term", substring=True)
+
+
 @query("""SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN 25.0 WHEN p_brand <> 'Brand#' || (p_size % 25) THEN 0.0
   ELSE 100 * (0.5 + CASE WHEN p_type = 'ECONOMY' THEN 0.25 ELSE 0 END) END::DOUBLE AS score FROM part""")
 def location_score(spark: SparkSession, t: Tables) -> DataFrame:
@@ -443,6 +454,22 @@ def api_page(spark: SparkSession, t: Tables) -> DataFrame:
     return page(t.orders.select("o_orderkey", "o_custkey", "o_totalprice").withColumn("k", -F.col("o_totalprice")), "k", "o_orderkey", limit=50, offset=100).drop("k")
 
 
+@query("""SELECT n // 50 + 1 AS page, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1 AS n FROM orders) WHERE n < 150""")
+def api_pages(spark: SparkSession, t: Tables) -> DataFrame:
+    """Three consecutive pages, each from the last key of the one before."""
+    from corvane.plans.api import KeyedPages
+
+    rows = t.orders.select((-F.col("o_totalprice")).alias("k"), "o_orderkey", "o_totalprice")
+    pages, after, out = KeyedPages.build(rows, ("k", "o_orderkey"), fresh_path(spark, "pages"), part_rows=1000), None, None
+    for n in (1, 2, 3):
+        found = pages.after(after, 50)
+        last = found.orderBy(F.desc("k"), F.desc("o_orderkey")).first()
+        after = (last.k, last.o_orderkey)
+        found = found.select(F.lit(n).alias("page"), "o_orderkey", "o_totalprice")
+        out = found if out is None else out.unionByName(found)
+    return out.withColumn("page", F.col("page").cast("long"))
+
+
 @query("""SELECT c_custkey, c_name FROM customer WHERE lower(c_name) LIKE '%#00000001%' AND c_mktsegment = 'BUILDING' AND c_nationkey >= 3""")
 def api_search(spark: SparkSession, t: Tables) -> DataFrame:
     from corvane.plans.api import conditions, given, matches_text

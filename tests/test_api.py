@@ -1,4 +1,7 @@
+import hashlib
+
 import pytest
+from pyspark.sql import functions as F
 
 from corvane.operators import graph, relational, report
 from corvane.plans import api
@@ -46,6 +49,59 @@ def test_searches(directory):
     assert [r.year for r in directory.years().collect()] == [2004, 2005, 2006]
 
 
+def test_indexes_find_what_scans_find(spark, directory, tmp_path):
+    indexed = directory.with_indexes(str(tmp_path / "index"))
+    for text, substring in (("company 7", False), ("COMPANY", False), ("ompan", True), ("7 h", True), ("y", True), ("nobody", True), ("nobody", False), ("old 3", False), ("d 1", True), ("/", False), ("Ó", True)):
+        for f in ("search", "search_names"):
+            assert sorted(getattr(indexed, f)(company_name=text, substring=substring).collect()) == sorted(getattr(directory, f)(company_name=text, substring=substring).collect()), (text, f)
+        assert sorted(indexed.search_locations(text, substring=substring).collect()) == sorted(directory.search_locations(text, substring=substring).collect())
+    assert indexed.search_locations("ain str", substring=True).count() == 29
+
+
+def test_an_index_reads_few_files_and_grows(spark, tmp_path):
+    names = spark.range(40_000).select("id", F.concat(F.lit("Firm "), F.md5(F.col("id").cast("string")), F.lit(" Inc")).alias("name"))
+    index = api.TextIndex.build(names, "id", "name", str(tmp_path / "index"))
+    wanted = hashlib.md5(b"777").hexdigest()
+    for text, substring in ((wanted, False), (wanted[3:20], True)):
+        assert [r.id for r in index.search(text, substring).collect()] == [777]
+    rows = spark.read.parquet(str(tmp_path / "index/words")).filter(F.col("_token") == wanted)
+    files = [m["numOutputRows"] for m in scans(rows)]
+    assert len(files) == 1 and files[0] < 30_000
+    index.extend(spark.createDataFrame([(777, "Changed"), (50_000, "Ünique Words"), (50_001, None)], "id long, name string"), "id", "name")
+    assert [r.id for r in index.search("unique").collect()] == [r.id for r in index.search("QUE WO", True).collect()] == [50_000]
+    assert index.search("changed").count() == 0
+
+
+def scans(df):
+    """The metrics of a plan's scans after it ran."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+    leaves = plan.collectLeaves()
+    for i in range(leaves.size()):
+        metrics = leaves.apply(i).metrics()
+        out.append({k: metrics.apply(k).value() for k in ("numOutputRows", "numFiles") if metrics.contains(k)})
+    return out
+
+
+def test_pages_by_key(spark, tmp_path):
+    rows = spark.range(20_000).select((F.col("id") * 7919 % 500).cast("int").alias("k"), "id", F.when(F.col("id") % 9 == 0, None).otherwise(F.lit("x")).alias("v"))
+    rows = rows.withColumn("k", F.when(F.col("k") < 3, None).otherwise(F.col("k")))
+    pages = api.KeyedPages.build(rows, ("k", "id"), str(tmp_path / "pages"), part_rows=900)
+    want = sorted(((r.k, r.id) for r in rows.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+    after, got = None, []
+    for n in range(9):
+        found = pages.after(after, 1300)
+        if n in (0, 7):
+            assert "offset" not in found._jdf.queryExecution().optimizedPlan().toString().lower().replace("globallimit", "")
+            assert 0 < sum(m.get("numFiles", 0) for m in scans(found)) <= 5
+        page = [(r.k, r.id) for r in found.collect()]
+        got += page
+        after = page[-1]
+    assert got == want[: 9 * 1300]
+    assert pages.after(want[-1]).count() == 0 and [(r.k, r.id) for r in pages.after(want[-4], 10).collect()] == want[-3:]
+    assert api.KeyedPages.build(rows.limit(0), ("k", "id"), str(tmp_path / "none")).after().count() == 0
+
+
 def test_pages_and_meta(directory):
     rows = directory.search()
     first, second = (api.page(rows, "cw_id", limit=5, offset=o).collect() for o in (0, 5))
