@@ -59,6 +59,7 @@ class KeyedPages:
         dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).sortWithinPartitions("_part", *order)
         dealt.write.mode("overwrite").partitionBy("_part").parquet(f"{path}/rows")
         spark = rows.sparkSession
+        rows.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")  # an empty table has no parts that would tell them
         stored = spark.read.schema(dealt.schema).parquet(f"{path}/rows")
         stored.groupBy("_part").agg(F.max(F.struct(*order)).alias("last"), F.count("*").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
         return cls(spark, tuple(order), path)
@@ -67,7 +68,7 @@ class KeyedPages:
         """The first rows, in order, whose key is larger than key; from the beginning without one."""
         limit = min(limit, PAGE)
         parts = self.spark.read.parquet(f"{self.path}/parts")
-        rows = self.spark.read.parquet(f"{self.path}/rows")
+        rows = self.spark.read.schema(self.spark.read.parquet(f"{self.path}/columns").schema.add("_part", "integer")).parquet(f"{self.path}/rows")
         if key is not None:
             types = dict(rows.dtypes)
             wanted = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(self.order, key, strict=True)])
