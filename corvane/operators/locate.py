@@ -138,14 +138,12 @@ def tag_places(relations: DataFrame, place: str, state_codes: DataFrame, places:
     d = relations.withColumn("_k", _key(place)).withColumn("_last", _key(F.substring_index(F.col(place), ",", -1)))
     d = d.withColumn("_city", F.when(F.col(place).rlike(", [A-Za-z]{2}$"), F.lower(F.substring(F.col(place), -2, 2))))
     codes = small(_first(state_codes.select(_key("code").alias("k"), F.col("country_code").alias("cc"), F.col("subdiv_code").alias("sc")), ["k"], "cc", "sc"))
-    provinces = small(places.any_name.filter("cc = 'CA'"))
-    d = _lookup(d, codes, {"k": "_k"}, "_a")
-    d = _lookup(d, places.us, {"k": "_k"}, "_b")
-    d = _lookup(d, places.country, {"k": "_k"}, "_c")
-    d = _lookup(d, places.alias, {"k": "_k"}, "_d")
-    d = _lookup(d, codes, {"k": "_city"}, "_e")
-    d = _lookup(d, provinces, {"k": "_k"}, "_f")
-    d = _lookup(d, places.country, {"k": "_last"}, "_g")
+    for c, out in (("_k", "_a"), ("_city", "_e")):
+        d = d.join(codes.select(F.col("k").alias(f"{c}_code"), F.struct("cc", "sc").alias(out)), F.col(c) == F.col(f"{c}_code"), "left")
+    for c in ("_k", "_last"):
+        d = d.join(places.meanings.withColumnsRenamed({"k": f"{c}_key", "m": f"{c}_m"}), F.col(c) == F.col(f"{c}_key"), "left")
+    own, last = F.col("_k_m"), F.col("_last_m")
+    d = d.withColumns({"_b": own["us"], "_c": own["country"], "_d": own["alias"], "_f": F.when(own["any_name"]["cc"] == "CA", own["any_name"]), "_g": last["country"]})
     pair = lambda x: F.when(F.col(x).isNotNull(), F.struct(F.col(f"{x}.cc").alias("cc"), F.lit(None).cast("string").alias("sc")))
     delaware = F.when(F.col("_k").contains("delaware"), F.struct(F.lit("US").alias("cc"), F.lit("DE").alias("sc")))
     hit = F.coalesce("_a", delaware, "_b", F.when(F.col("_k") != "georgia", pair("_c")), "_d", "_e", "_f", pair("_g"))
