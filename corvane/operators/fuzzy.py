@@ -33,11 +33,11 @@ def scoring_pairs(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
     """
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda s, x: s + x["w"])
     theirs = b.select("b_id", total("b_tw").alias("b_w"), F.explode("b_tw").alias("x")).groupBy("b_id", "b_w", F.col("x.t").alias("t")).agg(F.max("x.w").alias("w"))
-    theirs = theirs.join(theirs.groupBy("t").agg(F.count("*").alias("n")), "t")
-    theirs = written(_onward(theirs, "b_id").withColumn("rare", 200 * F.col("left_over") > least * F.col("b_w") * (1 - 1e-9)).select("b_id", "b_w", "t", "n", "rare"), "right-prefixes")
+    counts = theirs.groupBy("t").agg(F.count("*").alias("n"))
+    theirs = _onward(theirs.join(counts, "t"), "b_id").withColumn("rare", 200 * F.col("left_over") > least * F.col("b_w") * (1 - 1e-9)).select("b_id", "b_w", "t", "rare")
     mine = a.select("a_id", total("a_tw").alias("a_w"), F.explode("a_tw").alias("x"))
     mine = mine.groupBy("a_id", "a_w", F.col("x.t").alias("t")).agg(F.sum("x.w").alias("w"), F.count("*").alias("times"))
-    mine = mine.withColumn("repeats", F.max("times").over(Window.partitionBy("a_id")) > 1).join(theirs.select("t", "n").distinct(), "t")
+    mine = mine.withColumn("repeats", F.max("times").over(Window.partitionBy("a_id")) > 1).join(counts, "t")
     mine = _onward(mine, "a_id").filter(200 * F.col("left_over") > least * F.col("a_w") * (1 - 1e-9)).select("a_id", "a_w", "t", "repeats")
     heavy = least * (F.col("a_w") + F.col("b_w")) > 200 * F.col("a_w") * (1 + 1e-9)
     pairs = mine.filter("not repeats").join(theirs.filter("rare"), "t").unionByName(mine.filter("repeats").join(theirs, "t"))

@@ -18,14 +18,6 @@ def small(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Equality of all keys in which null equals null."""
-    out = F.lit(True)
-    for k in keys:
-        out = out & left[k].eqNullSafe(right[k])
-    return out
-
-
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row of each key with the largest order columns, by partial aggregation rather than a sort of each group."""
     others = [c for c in rows.columns if c not in keys]
@@ -91,10 +83,6 @@ def surrogate_ids(rows: DataFrame, order: Sequence[str], id_col: str, start: Col
     return out.withColumn(id_col, (F.col("_nth") + F.col("_before") + shift).cast("long")).drop("_part", "_nth", "_before")
 
 
-def semi(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return rows.join(other.select(*keys), list(keys), "left_semi")
-
-
 def ratio(part: Column, whole: Column) -> Column:
     """Percentage; null where there is no whole."""
     return part / F.nullif(whole.cast("double"), F.lit(0.0)) * 100
