@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -135,39 +137,73 @@ def distinct_edges(rows: DataFrame, child: str, parent: str, year: str) -> DataF
     return edges.select(F.col(parent).alias("source"), F.col(child).alias("target"), F.col(year).alias("year")).distinct()
 
 
-def top_parents(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> DataFrame:
-    """info (cw_id, year) with top_parent_id: itself, replaced by its parent of the year step by step.
+@dataclass
+class Closure:
+    """The way of each company-year to its top, as closure() finds it."""
 
-    Of several parents the one with the smallest id counts, chosen before the join. The steps end when as many rows have a parent
-    as in the step before, which is none in a graph without cycles, or after most_steps.
+    rows: DataFrame  # cw_id, year, top, n: parents to the top; open: no top within the paths' length, as in a cycle
+    paths: list[DataFrame]  # t, y, to, n, open: 1, 2, 4, ... parents ahead
+    most_steps: int
 
-    The steps aren't made one by one. The paths to 1, 2, 4, ... parents ahead come from those of half the length, and a company whose
-    path has reached a top leaves the work. That gives each row's distance to its top, and so the step at which the rule ends: one
-    after the smallest distance that no row has. Rows whose top is within it are done; the others, those of cycles among them, go as
-    many steps as that number's binary digits say.
+    def distances(self) -> DataFrame:
+        """(year, n, open), each once: at most as many rows a year as there are steps, and one for the rows without a top."""
+        short = F.least("n", F.lit(self.most_steps))
+        return self.rows.select("year", F.when(~F.col("open"), short).alias("n"), "open").distinct()
+
+    def tops(self, steps: int) -> DataFrame:
+        """(cw_id, year, top_parent_id) after so many steps: rows with a nearer top are done, the others go by the digits of steps."""
+        done = ~F.col("open") & (F.col("n") <= steps)
+        left = self.rows.filter(~done).select("cw_id", "year", F.col("cw_id").alias("top"))
+        if not left.isEmpty():
+            for k, path in enumerate(self.paths):
+                if steps >> k & 1:
+                    ahead = path.select(F.col("t").alias("_t"), F.col("y").alias("_y"), F.col("to").alias("_to"))
+                    left = left.join(ahead, _at("top", "year"), "left").select("cw_id", "year", F.coalesce("_to", "top").alias("top"))
+        return self.rows.filter(done).select("cw_id", "year", "top").unionByName(left).withColumnRenamed("top", "top_parent_id")
+
+
+def _at(node: str, year: str) -> Column:
+    return (F.col(node) == F.col("_t")) & F.col(year).eqNullSafe(F.col("_y"))
+
+
+def last_step(distances: set[int], most_steps: int = 100) -> int:
+    """The step at which the rule of top_parents() ends, from the distances of all rows that have a top."""
+    return min(next(m for m in range(1, most_steps + 2) if m not in distances or m >= most_steps) + 1, most_steps)
+
+
+def closure(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> Closure:
+    """Each row's distance to its top: paths to 1, 2, 4, ... parents ahead come from those of half the length.
+
+    A company whose path has reached a top leaves the work. Of several parents the one with the smallest id counts.
     """
     up = edges.groupBy("target", "year").agg(F.min("source").alias("parent")).filter("target <> parent")
     up = written(up.select(F.col("target").alias("t"), F.col("year").alias("y"), F.col("parent").alias("to")), "parents")
     named = lambda d, **names: d.select(*[F.col(c).alias(n) for c, n in names.items()])
     more = named(up, t="_t", y="_y").withColumn("open", F.lit(True))
-    at = lambda node, year: (F.col(node) == F.col("_t")) & F.col(year).eqNullSafe(F.col("_y"))
-    now = up.join(more, at("to", "y"), "left").select("t", "y", "to", F.lit(1).alias("n"), F.coalesce("open", F.lit(False)).alias("open"))
+    now = up.join(more, _at("to", "y"), "left").select("t", "y", "to", F.lit(1).alias("n"), F.coalesce("open", F.lit(False)).alias("open"))
     paths = [written(now, "paths")]
     while 1 << (len(paths) - 1) < most_steps and not paths[-1].filter("open").isEmpty():
         ahead = named(paths[-1], t="_t", y="_y", to="_to", n="_n", open="_open")
-        longer = paths[-1].filter("open").join(ahead, at("to", "y")).select("t", "y", F.col("_to").alias("to"), (F.col("n") + F.col("_n")).alias("n"), F.col("_open").alias("open"))
+        longer = paths[-1].filter("open").join(ahead, _at("to", "y")).select("t", "y", F.col("_to").alias("to"), (F.col("n") + F.col("_n")).alias("n"), F.col("_open").alias("open"))
         paths.append(written(paths[-1].filter("not open").unionByName(longer), "paths"))
-    rows = info.select("cw_id", "year").join(named(paths[-1], t="_t", y="_y", to="_to", n="n", open="open"), at("cw_id", "year"), "left")
-    rows = written(rows.select("cw_id", "year", F.coalesce("_to", "cw_id").alias("top"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("open", F.lit(False)).alias("open")), "tops")
-    distances = {r.n for r in rows.filter(~F.col("open") & (F.col("n") < most_steps)).select("n").distinct().collect()}  # at most most_steps
-    steps = min(next(m for m in range(1, most_steps + 2) if m not in distances) + 1, most_steps)
-    done = ~F.col("open") & (F.col("n") <= steps)
-    left = rows.filter(~done).select("cw_id", "year", F.col("cw_id").alias("top"))
-    if not left.isEmpty():
-        for k, path in enumerate(paths):
-            if steps >> k & 1:
-                left = left.join(named(path, t="_t", y="_y", to="_to"), at("top", "year"), "left").select("cw_id", "year", F.coalesce("_to", "top").alias("top"))
-    return rows.filter(done).select("cw_id", "year", "top").unionByName(left).withColumnRenamed("top", "top_parent_id")
+    rows = info.select("cw_id", "year").join(named(paths[-1], t="_t", y="_y", to="_to", n="n", open="open"), _at("cw_id", "year"), "left")
+    rows = rows.select("cw_id", "year", F.coalesce("_to", "cw_id").alias("top"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("open", F.lit(False)).alias("open"))
+    return Closure(written(rows, "tops"), paths, most_steps)
+
+
+def top_parents(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> DataFrame:
+    """info (cw_id, year) with top_parent_id: itself, replaced by its parent of the year step by step.
+
+    Of several parents the one with the smallest id counts, chosen before the join. The steps end when as many rows have a parent
+    as in the step before, which is none in a graph without cycles, or after most_steps.
+
+    The steps aren't made one by one: closure() gives each row's distance to its top, and so the step at which the rule ends, one
+    after the smallest distance that no row has. Rows whose top is within it are done; the others, those of cycles among them, go as
+    many steps as that number's binary digits say.
+    """
+    found = closure(info, edges, most_steps)
+    distances = {r.n for r in found.distances().filter("not open").select("n").distinct().collect()}  # at most most_steps
+    return found.tops(last_step(distances, most_steps))
 
 
 def merge_mutual(info: DataFrame) -> DataFrame:

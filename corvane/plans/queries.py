@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corvane.functions import text as T
 from corvane.operators import fuzzy, graph, locate, relational
 from corvane.plans.registry import Tables, query
+from corvane.plans.years import YearlyGraph
 from corvane.shared import fresh_path
 from corvane.sources import exhibits, filings
 
@@ -225,6 +226,22 @@ def top_parent(spark: SparkSession, t: Tables) -> DataFrame:
     return graph.top_parents(*_forest(t))
 
 
+@query(f"""WITH RECURSIVE {_FOREST_SQL}, up AS (SELECT target, year, min(source) AS parent FROM edges GROUP BY 1, 2),
+walk AS (SELECT cw_id, year, cw_id AS top, 0 AS d FROM info UNION ALL SELECT w.cw_id, w.year, u.parent, d + 1 FROM walk w JOIN up u ON u.target = w.top AND u.year = w.year)
+SELECT w.cw_id, w.year, arg_max(top, d) AS top_parent_id, (SELECT count(DISTINCT target) FROM edges e WHERE e.source = w.cw_id AND e.year = w.year) AS num_children,
+(SELECT count(DISTINCT source) FROM edges e WHERE e.target = w.cw_id AND e.year = w.year) AS num_parents FROM walk w GROUP BY 1, 2""")
+def year_rebuild(spark: SparkSession, t: Tables) -> DataFrame:
+    """The yearly graph after the last year, first built from half of its rows, was rebuilt alone."""
+    info, edges = _forest(t)
+    relations = edges.select(F.col("target").alias("cw_id"), F.col("source").alias("parent_cw_id"), "year")
+    years = [r.year for r in info.select("year").distinct().orderBy("year").collect()]
+    half = (F.col("year") != years[-1]) | (F.col("cw_id") % 2 == 0)
+    graph_of_years = YearlyGraph(spark, fresh_path(spark, "yearly"))
+    graph_of_years.rebuild(relations.filter(half), info.filter(half), years)
+    graph_of_years.rebuild(relations, info, years[-1:])
+    return graph_of_years.table("company_years")
+
+
 _MUTUAL_SQL = """info AS (SELECT DISTINCT o_custkey AS cw_id, year(o_orderdate) AS year,
   CASE WHEN o_custkey % 5 = 0 THEN o_custkey + 1 WHEN o_custkey % 5 = 1 THEN o_custkey - 1 ELSE o_custkey - o_custkey % 5 END AS top_parent_id FROM orders)"""
 

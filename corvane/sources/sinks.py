@@ -24,6 +24,32 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+def rebuild_partitions(df: DataFrame, path: str, column: str, values: Sequence[int]) -> None:
+    """The partitions of the given values hold the rows that df has of them, and are gone where it has none; others stay untouched.
+
+    df must not read from the path. Repeating the call gives the same table.
+    """
+    spark = df.sparkSession
+    replace_partitions(df.filter(F.col(column).isin(list(values))), path, [column])
+    files = Folder(spark, path)
+    for value in set(values) - {r[0] for r in df.select(column).filter(F.col(column).isin(list(values))).distinct().collect()}:  # at most the values
+        files.remove(f"{column}={value}")
+
+
+class Folder:
+    """A folder of a file system that Spark writes to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._path, self._type = path, spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self._files = self._type(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def has(self, name: str = "") -> bool:
+        return self._files.exists(self._type(f"{self._path}/{name}" if name else self._path))
+
+    def remove(self, name: str) -> None:
+        self._files.delete(self._type(f"{self._path}/{name}"), True)
+
+
 def append_missing(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], order: str) -> None:
     """Appends the rows whose key the table lacks (the first by order), without rewriting what is there."""
     table = spark.read.parquet(path)
@@ -58,7 +84,6 @@ def set_state(spark: SparkSession, path: str, **values: str) -> None:
 
 
 def get_state(spark: SparkSession, path: str) -> dict[str, str]:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if not Folder(spark, path).has():
         return {}
     return {r.key: r.value for r in spark.read.parquet(path).select(F.col("key"), F.col("value")).collect()}
