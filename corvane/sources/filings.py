@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corvane.functions.text import decode_entities, document_url, lenient_date, match_key
 from corvane.operators.relational import latest, unseen
-from corvane.shared import ship
+from corvane.shared import ship, spread
 
 INDEX = "cik long, company_name string, type string, filing_date date, filename string"
 #: Forms whose exhibits are parsed: annual reports, transition reports and their amendments.
@@ -196,7 +196,7 @@ def header_rows(headers: DataFrame, region_codes: list[str]) -> DataFrame:
                     rows.append([got.get(n) for n in names])
             yield pd.DataFrame(rows, columns=names, dtype=object)
 
-    return headers.select("filing_id", "cik", "content").mapInPandas(run, HEADER)
+    return spread(headers.select("filing_id", "cik", "content"), "filing_id").mapInPandas(run, HEADER)
 
 
 def typed_filers(rows: DataFrame) -> DataFrame:
