@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from corvane.functions.text import apply_steps, clean_contents, fold_signs, strip_junk
 from corvane.operators.locate import Places, look_up
 from corvane.operators.relational import small
-from corvane.shared import ship, written
+from corvane.shared import ship, spread, written
 
 # How one string names a company and its place, in order of trust: (pattern, group of the company, group of the place).
 SINGLE_PATTERNS = (
@@ -94,7 +94,7 @@ def judged_cells(cells: DataFrame, places: Places, stop_terms: DataFrame) -> Dat
 
     Every string is cleaned once as a company and once as a place, and all clean strings are looked up among the places once.
     """
-    d = cells.filter("cell is not null").distinct().withColumn("_0", clean_contents(F.col("cell")))
+    d = spread(cells.filter("cell is not null").distinct(), "cell").withColumn("_0", clean_contents(F.col("cell")))
     folded = fold_signs(F.col("_0"))
     fine = (F.length("_0") > 0) & (F.length("_0") < MOST_RAW) & ~folded.rlike(r"^\(?[0-9]+\.[)0-9%]*$")
     d = d.withColumn("_1", apply_steps(folded, CELL_STEPS)).withColumn("_fine", fine)
@@ -108,7 +108,7 @@ def judged_cells(cells: DataFrame, places: Places, stop_terms: DataFrame) -> Dat
             ok = ok & ~F.col("_1").rlike(CAPTIONS) & ~F.col("_1").rlike("(?i)^combined ownership of ")
         d = d.withColumn(f"{c}_ok", F.coalesce(ok, F.lit(False)))
     d = written(d.select("cell", "company", "company_ok", "place", "place_ok"), "cells")
-    texts = d.select(F.explode(F.array("company", "place")).alias("text")).filter("text is not null").distinct()
+    texts = spread(d.select(F.explode(F.array("company", "place")).alias("text")).filter("text is not null").distinct(), "text")
     found = look_up(texts, "text", places).select("text", F.struct(F.col("place_clean").alias("clean"), F.col("country_code").alias("cc"), F.col("subdiv_code").alias("sc")).alias("at"))
     found = written(found, "cell-places")
     for c in ("company", "place"):
@@ -137,6 +137,8 @@ def validate(candidates: DataFrame, company: str, place: str, places: Places, st
     )
 
 
+#: Characters of the units that a Python worker holds before it sends them on; a unit counts so many beside its text.
+OUT_CHARACTERS, _UNIT_CHARACTERS = 2 << 20, 200
 UNIT = "filing_id long, table_num int, row_num int, stage int, rank int, seq int, kind string, a string, b string, indent int, method string"
 
 
@@ -313,18 +315,26 @@ def text_units(lines: DataFrame, text: str) -> DataFrame:
     return lines.withColumn("units", F.transform(F.array(parts), of)[0])
 
 
+def unit_frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """UNIT rows of batches (filing_id, content), cut by their size and not where a batch ends: a document has any number of units."""
+    names, rows, held = [c.strip().split(" ")[0] for c in UNIT.split(",")], [], 0
+    for batch in batches:
+        for f, content in zip(batch["filing_id"], batch["content"], strict=True):
+            for u in units_of(content or ""):
+                rows.append((f, *u))
+                held += _UNIT_CHARACTERS + sum(len(x) for x in u[6:8] if x)
+                if held > OUT_CHARACTERS:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=names)
+
+
 def exhibit_units(exhibits: DataFrame) -> DataFrame:
     """UNIT rows of exhibits (filing_id, content): of marked-up ones by one Arrow-batched pass, of plain text by built-in functions."""
     ship(exhibits.sparkSession)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.strip().split(" ")[0] for c in UNIT.split(",")]
-        for batch in batches:
-            rows = [(f, *u) for f, content in zip(batch["filing_id"], batch["content"], strict=True) for u in units_of(content or "")]
-            yield pd.DataFrame(rows, columns=names)
-
-    rows = exhibits.select(F.col("filing_id").cast("long").alias("filing_id"), F.coalesce("content", F.lit("")).alias("content"))
-    marked = rows.filter(F.col("content").rlike(MARKUP)).mapInPandas(run, UNIT)
+    rows = spread(exhibits.select(F.col("filing_id").cast("long").alias("filing_id"), F.coalesce("content", F.lit("")).alias("content")), "filing_id")
+    marked = rows.filter(F.col("content").rlike(MARKUP)).mapInPandas(unit_frames, UNIT)
     lines = rows.filter(~F.col("content").rlike(MARKUP)).select("filing_id", F.posexplode(F.split("content", "\n")).alias("row_num", "line"))
     plain = text_units(lines, "line").select("filing_id", "row_num", F.explode("units").alias("u"))
     plain = plain.select(

@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,3 +150,25 @@ def test_submissions(spark):
     d = spark.createDataFrame([("data/7/0001-05-9.txt", text), ("data/7/1.txt", "<DOCUMENT>\n<TYPE>10-K\n</DOCUMENT>"), ("x", None)], "filename string, content string")
     got = filings.with_exhibits(d, "https://e.org").collect()
     assert [(r.has_sec21, r.sec_21_url) for r in got] == [(True, "https://e.org/data/7/0001059/ex21.htm"), (False, None), (False, None)] and "body" in got[0].exhibit
+
+
+def test_costly_rows_of_one_file_are_dealt_to_tasks(spark):
+    pages = spark.range(64).coalesce(1).select(F.col("id").alias("filing_id"), F.col("id").alias("cik"), F.lit("<table><tr><td>Firm Ltd</td><td>Ireland</td></tr></table>").alias("content"))
+    headers = pages.withColumn("content", F.format_string("<div id='filerDiv'>%d</div>", "cik"))
+    places = locate.Places(
+        spark.createDataFrame([("IE", "Ireland")], "country_code string, country_name string"), spark.createDataFrame([], "country_code string, country_name string, subdiv_code string"),
+        spark.createDataFrame([], "country_code string, subdivision_code string, subdivision_name string"),
+    )
+    cells = spark.range(64).coalesce(1).select(F.format_string("Firm %d Ltd", "id").alias("cell"))
+    judged = exhibits.judged_cells(cells, places, spark.createDataFrame([], "term string"))
+    tasks = lambda d: d.select(F.spark_partition_id()).distinct().count()
+    assert tasks(exhibits.exhibit_units(pages)) > 4 and tasks(filings.header_rows(headers, [])) > 4
+    assert judged.count() == 64 and exhibits.exhibit_units(pages).select("filing_id").distinct().count() == 64
+
+
+def test_units_leave_a_worker_by_their_size():
+    """A batch of documents of many units isn't held as a whole; what goes out doesn't change."""
+    content = "<table>" + "<tr><td>Firm Ltd</td><td>Ireland</td></tr>" * 12000 + "</table>"
+    made = list(exhibits.unit_frames(iter([pd.DataFrame({"filing_id": [1, 2], "content": [content, "<p>Firm Ltd</p>"]}), pd.DataFrame({"filing_id": [3], "content": [""]})])))
+    want = [(k, *u) for k, c in ((1, content), (2, "<p>Firm Ltd</p>")) for u in exhibits.units_of(c)]
+    assert [tuple(None if x != x else x for x in r) for m in made for r in m.itertuples(index=False)] == want and max(map(len, made)) < len(want) / 1.5
