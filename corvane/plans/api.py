@@ -12,6 +12,8 @@ from corvane.shared import written
 
 #: The most rows of one page.
 PAGE = 5000
+#: Rows that one task puts in order and writes, about, when pages are stored.
+TASK_ROWS = 100_000
 
 
 def conditions(**parameters: Column | None) -> Column:
@@ -43,10 +45,10 @@ def matches_text(column: str, text: str, substring: bool = False) -> Column:
 
 @dataclass
 class KeyedPages:
-    """Rows stored in the order of ascending columns that end with a unique one, in parts, with the last key of each part.
+    """Rows stored in the order of ascending columns that end with a unique one, in parts, some to a file, with each part's last key.
 
     A page is asked for by the last key seen. The parts that hold the rows after it are known from their keys, so that any page
-    reads one or two parts, however far back it stands.
+    reads one or two files, however far back it stands.
     """
 
     spark: SparkSession
@@ -55,32 +57,36 @@ class KeyedPages:
 
     @classmethod
     def build(cls, rows: DataFrame, order: tuple[str, ...], path: str, part_rows: int = 50_000) -> KeyedPages:
-        n = max(1, -(-rows.count() // part_rows))
-        dealt = rows.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).sortWithinPartitions("_part", *order)
-        dealt.write.mode("overwrite").partitionBy("_part").parquet(f"{path}/rows")
+        # a file holds many parts: with a range and a file for each, the driver would get samples, results and listings in their number
+        n = max(1, -(-rows.count() // max(part_rows, TASK_ROWS)))
+        nth = F.monotonically_increasing_id()  # counts within a sorted range, ranges in their order, so no part is in two ranges
+        dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns({"_part": F.call_function("div", nth, F.lit(part_rows)), "_file": F.spark_partition_id()})
+        dealt = dealt.sortWithinPartitions("_file", "_part", *order)
+        dealt.write.mode("overwrite").partitionBy("_file").parquet(f"{path}/rows")
         spark = rows.sparkSession
         rows.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")  # an empty table has no parts that would tell them
         stored = spark.read.schema(dealt.schema).parquet(f"{path}/rows")
-        stored.groupBy("_part").agg(F.max(F.struct(*order)).alias("last"), F.count("*").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
+        stored.groupBy("_part").agg(F.max(F.struct(*order)).alias("last"), F.count("*").alias("n"), F.first("_file").alias("file")).coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
         return cls(spark, tuple(order), path)
 
     def after(self, key: tuple | None = None, limit: int = PAGE) -> DataFrame:
         """The first rows, in order, whose key is larger than key; from the beginning without one."""
         limit = min(limit, PAGE)
         parts = self.spark.read.parquet(f"{self.path}/parts")
-        rows = self.spark.read.schema(self.spark.read.parquet(f"{self.path}/columns").schema.add("_part", "integer")).parquet(f"{self.path}/rows")
+        rows = self.spark.read.schema(self.spark.read.parquet(f"{self.path}/columns").schema.add("_part", "long").add("_file", "integer")).parquet(f"{self.path}/rows")
         if key is not None:
             types = dict(rows.dtypes)
             wanted = F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(self.order, key, strict=True)])
             parts, rows = parts.filter(F.col("last") > wanted), rows.filter(F.struct(*self.order) > wanted)
-        chosen, held = [], 0
+        chosen, files, held = [], set(), 0
         for r in parts.orderBy("_part").limit(limit + 1).collect():  # a part has a row at least
             chosen.append(r["_part"])
+            files.add(r["file"])
             held += r["n"] if key is None or len(chosen) > 1 else 1  # how much of the first part lies after the key isn't known
             if held >= limit + (key is not None):
                 break
-        rows = rows.filter(F.col("_part").isin(chosen) if chosen else F.lit(False))
-        return rows.orderBy(*self.order).limit(limit).drop("_part")
+        rows = rows.filter(F.col("_file").isin(sorted(files)) & F.col("_part").isin(chosen) if chosen else F.lit(False))
+        return rows.orderBy(*self.order).limit(limit).drop("_part", "_file")
 
 
 def _trigrams(key: Column) -> Column:

@@ -113,3 +113,12 @@ def test_pages_and_meta(directory):
 def test_report(spark):
     long = spark.createDataFrame([(2004, "a", 1.0), (2005, "a", 2.0), (2005, "b<", 3.0)], "year int, metric string, value double")
     assert report.as_html(long) == "<table><tr><th>metric</th><th>2004</th><th>2005</th></tr><tr><td>a</td><td>1.0</td><td>2.0</td></tr><tr><td>b&lt;</td><td></td><td>3.0</td></tr></table>"
+
+
+def test_small_parts_share_files(spark, tmp_path):
+    """Tasks and files follow the rows, not the number of parts."""
+    rows = spark.range(3000).select((F.col("id") % 7).alias("k"), "id")
+    pages = api.KeyedPages.build(rows, ("k", "id"), str(tmp_path / "pages"), part_rows=10)
+    assert len(list((tmp_path / "pages" / "rows").glob("_file=*"))) == 1
+    want = sorted((i % 7, i) for i in range(3000))
+    assert [tuple(r) for r in pages.after(want[1234], 25).collect()] == want[1235:1260] and spark.read.parquet(f"{pages.path}/parts").count() == 300
