@@ -9,7 +9,7 @@ from corvane.functions import text as T
 from corvane.operators import fuzzy, graph, locate, relational
 from corvane.plans.registry import Tables, query
 from corvane.plans.years import YearlyGraph
-from corvane.shared import fresh_path
+from corvane.shared import fresh_path, spread
 from corvane.sources import exhibits, filings
 
 SUFFIXES = (
@@ -541,7 +541,8 @@ def _single_sql() -> str:
 
 @query(_single_sql())
 def single_string_cascade(spark: SparkSession, t: Tables) -> DataFrame:
-    c = _sentence(t).select("p_partkey", exhibits.single_candidates(F.col("text")).alias("c")).filter(F.size("c") > 0)
+    # exploded from an array of one, or the filter would run all patterns a second time
+    c = spread(_sentence(t), "p_partkey").select("p_partkey", F.explode(F.array(exhibits.single_candidates(F.col("text")))).alias("c")).filter(F.size("c") > 0)
     return c.select("p_partkey", F.col("c")[0]["sub"].alias("sub"), F.col("c")[0]["company"].alias("company"), F.col("c")[0]["place"].alias("place"), F.size("c").cast("long").alias("candidates"))
 
 

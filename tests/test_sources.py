@@ -3,6 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvane.operators import locate
+from corvane.plans import queries as _queries  # noqa: F401  registers its queries
+from corvane.plans import registry
 from corvane.sources import exhibits, filings, sinks
 from corvane.sources.tree import parse
 from corvane.streaming.ingest import ingest_index
@@ -172,3 +174,9 @@ def test_units_leave_a_worker_by_their_size():
     made = list(exhibits.unit_frames(iter([pd.DataFrame({"filing_id": [1, 2], "content": [content, "<p>Firm Ltd</p>"]}), pd.DataFrame({"filing_id": [3], "content": [""]})])))
     want = [(k, *u) for k, c in ((1, content), (2, "<p>Firm Ltd</p>")) for u in exhibits.units_of(c)]
     assert [tuple(None if x != x else x for x in r) for m in made for r in m.itertuples(index=False)] == want and max(map(len, made)) < len(want) / 1.5
+
+
+def test_cascade_runs_its_patterns_once_and_in_many_tasks(spark):
+    made = registry.QUERIES["single_string_cascade"](spark, "/root/testdata/sf0.001")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("Filter" in line and "regexp_replace" in line for line in plan.splitlines()) and "RepartitionByExpression" in plan
