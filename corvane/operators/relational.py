@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corvane.shared import written
@@ -18,6 +19,24 @@ def small(df: DataFrame, most: int = MOST_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+@contextmanager
+def counted_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """What runs within broadcasts only what small() has counted.
+
+    Spark's own choice goes by bytes of files and shuffles, which hold a hundred times as much where keys and names repeat; the driver
+    has all such tables in memory at once.
+    """
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def latest(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row of each key with the largest order columns, by partial aggregation rather than a sort of each group."""
     others = [c for c in rows.columns if c not in keys]

@@ -17,8 +17,13 @@ INPUTS = ("filings", "filers", "relationships", "registry", "master_names", "reg
 def company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str = "https://example.org/") -> dict[str, DataFrame]:
     """companies, company_info, company_names, company_locations, company_relations, company_filings, filings_lookup and registry.
 
-    tables has the INPUTS. Steps that several tables need are written once, to the shared folder, and read again.
+    tables has the INPUTS. Every table is written to the shared folder, one after another, and read again.
     """
+    with relational.counted_broadcasts(tables["filings"].sparkSession):
+        return _company_graph(tables, years, base_url)
+
+
+def _company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str) -> dict[str, DataFrame]:
     filings, regions = tables["filings"], tables["region_codes"]
     filers = facts.exhibit_flags(tables["filers"], filings)
     codes = relational.small(regions.select(F.col("code").alias("state_of_incorporation"), F.col("country_code").alias("_cc"), F.col("subdiv_code").alias("_sc")))
@@ -38,7 +43,7 @@ def company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str
     info = facts.describe(facts.company_years(edges, filers), filers, relations)
     info = facts.with_sectors(graph.degrees(info, edges), tables["sic_codes"], tables["sic_sectors"])
     info = written(relational.with_year_range(info, "cw_id", "year"), "info")
-    names = facts.flag_recent(facts.company_names(filers, relations, filings, info, tables["master_names"]), info)
+    names = written(facts.flag_recent(facts.company_names(filers, relations, filings, info, tables["master_names"]), info), "names")
     places = facts.company_locations(filers, relations, filings, info, regions)
     numbered = relational.surrogate_ids(places, ["cw_id", "type", "raw_address", "country_code", "subdiv_code"], "location_id")
     places = written(facts.flag_recent(numbered, info), "locations")
@@ -48,11 +53,11 @@ def company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str
     placed = locate.fill_locations(placed, places, 0).withColumnRenamed("location_id", "best_location_id")
     tops = graph.merge_mutual(graph.top_parents(info, edges))
     info = written(info.join(placed, ["cw_id", "year"]).join(tops, ["cw_id", "year"]), "info")
-    lookup = facts.filings_lookup(filers, filings, relations)
+    lookup = written(facts.filings_lookup(filers, filings, relations), "lookup")
     registry = resolve.register(registry, companies, names, places)
     return {
-        "companies": companies, "company_info": info, "company_names": names, "company_locations": places, "company_relations": graph.cut_top_edges(edges, info),
-        "company_filings": facts.published_filings(filings, lookup, base_url), "filings_lookup": lookup, "registry": resolve.orphan_flags(registry, companies),
+        "companies": companies, "company_info": info, "company_names": names, "company_locations": places, "company_relations": written(graph.cut_top_edges(edges, info), "relations"),
+        "company_filings": written(facts.published_filings(filings, lookup, base_url), "published"), "filings_lookup": lookup, "registry": written(resolve.orphan_flags(registry, companies), "registry"),
         "all_relations": edges,
     }
 
