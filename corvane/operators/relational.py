@@ -73,7 +73,12 @@ def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], order
     picked = source.select(*keys, order, *dict.fromkeys(fill.values()))
     wanted = {v: f"_new_{v}" for v in fill.values()}
     best = picked.groupBy(*keys).agg(F.min_by(F.struct(*wanted), F.col(order)).alias("_src"))
-    joined = target.join(best, list(keys), "left")
+    # rows without a key match nothing; they're dealt by their other columns, or all of them would be in one task. What other rows
+    # get is 0, computed so that it stays a part of the join's key
+    none = F.pmod(F.xxhash64(*keys), F.lit(1))
+    lacks = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    dealt = target.withColumn("_deal", F.when(lacks, F.pmod(F.xxhash64(*[c for c, t in target.dtypes if "map<" not in t]), F.lit(1024)) + 1).otherwise(none))
+    joined = dealt.join(best.withColumn("_deal", none), [*keys, "_deal"], "left")
     out = []
     for c in target.columns:
         if c in fill:

@@ -157,3 +157,27 @@ def test_suppression_codes(spark):
     filings = spark.createDataFrame([(i, c) for i, c in ((1, 100), (2, 200), (3, 300), (4, 250))], "filing_id long, cik long")
     hidden = {r.filer_id: (r.bad_cik, r.cik) for r in resolve.hide_suppressed(f, registry, filings).collect()}
     assert hidden == {1: (0, 100), 2: (1, None), 3: (0, 300), 4: (4, None)}
+
+
+def test_rows_without_a_key_are_dealt_to_tasks(spark):
+    target = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("cik"), F.lit(None).cast("long").alias("cw_id"))
+    source = spark.range(0, 4000, 20).select(F.col("id").alias("cik"), (F.col("id") + 1).alias("cw_id")).unionByName(spark.createDataFrame([(None, 7)], "cik long, cw_id long"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = relational.update_from(target, source, ["cik"], "cw_id", {"cw_id": "cw_id"}).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted((r.id, r.cw_id) for r in made) == [(i, i + 1 if i % 20 == 0 else None) for i in range(4000)]
+    per = [sum(r.task == k for r in made) for k in {r.task for r in made}]
+    assert max(per) < 2000
+
+
+def test_only_counted_tables_are_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, one = spark.conf.get(key), spark.range(10)
+    with relational.counted_broadcasts(spark):
+        assert "Broadcast" not in one.join(spark.range(5), "id")._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" in one.join(relational.small(spark.range(5)), "id")._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get(key) == before
