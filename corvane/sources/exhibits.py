@@ -33,6 +33,9 @@ SINGLE_PATTERNS = (
 )
 WHOLE_IF_MORE, WHOLE_ALWAYS = 4, 9  # of these the name is the whole text, if anything follows or always
 MOST_RAW, MOST_CLEAN = 300, 120
+#: What the last pattern's texts end with after a name: a sign, then signs and legal forms. The same strings as that pattern's own end,
+#: each of which this one reads in one way only: a dot that a form may end with is a sign of its own.
+_FORMS = r"[., ](?:[., ]|ltd|company|co|S(?:\.?A)?|S\.?(?:A\.?)?R\.?L|limited|inc|incorporated|corp|pty|private|gmbh|L\.?P|B\.?V|SAE|S\.?A\.?S\?|AG|partnership)+$"
 
 # Cells that are captions rather than companies.
 CAPTIONS = r"(?i)^\(?(Names? of (Subsidiar|Compan|Entit)(y|ies)|Name|Subsidiar(y|ies)|[\d\.]+|Corporation|Entity|Jurisdiction|Incorporated State|Partners|Shareholders?|Managers?|Members?|Country of Organization|Doing Business As|Names?|Organizedunderlaws of|[a-z]{2}|(Corporation|Company|Subsidiary|Entity|Legal) Names?|Company|.):?\.?%?\)?$"
@@ -69,6 +72,14 @@ def _groups(text: Column, pattern: str, groups: Sequence[int]) -> Column:
     return F.transform(F.filter(F.array(made), lambda m: m.startswith("\x01")), lambda m: F.slice(F.split(m, "\x01"), 2, len(groups)))
 
 
+def _before_forms(text: Column) -> Column:
+    """_groups() of the last pattern, as fast as a text allows: that pattern tries every beginning with every space and every end.
+
+    A text that doesn't end with forms is left at once, and only the line that does is tried, since the pattern stays within a line.
+    """
+    return _groups(text, rf"(?i)^(?=[\s\S]*?{_FORMS})[\s\S]*?(?=.*+$)(\w.+?) \(?(.+?)\)?{_FORMS}", (1, 2))
+
+
 def single_candidates(text: Column) -> Column:
     """The candidates (sub, company, place) of one string, the pattern's number as sub; empty for long or wordless texts."""
     text = F.translate(text, "\x01", " ")
@@ -76,7 +87,7 @@ def single_candidates(text: Column) -> Column:
 
     def candidates(n: int, pattern: str, company: int, place: int) -> Column:
         of = squeezed if n == WHOLE_ALWAYS else text
-        hit = _groups(of, pattern, (company, place, 3) if n == WHOLE_IF_MORE else (company, place))
+        hit = _before_forms(of) if n == WHOLE_ALWAYS else _groups(of, pattern, (company, place, 3) if n == WHOLE_IF_MORE else (company, place))
 
         def made(g: Column) -> Column:
             name = of if n == WHOLE_ALWAYS else F.when(g[2] != "", of).otherwise(g[0]) if n == WHOLE_IF_MORE else g[0]

@@ -1,3 +1,6 @@
+import random
+import time
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -180,3 +183,18 @@ def test_cascade_runs_its_patterns_once_and_in_many_tasks(spark):
     made = registry.QUERIES["single_string_cascade"](spark, "/root/testdata/sf0.001")
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert not any("Filter" in line and "regexp_replace" in line for line in plan.splitlines()) and "RepartitionByExpression" in plan
+
+
+def test_last_pattern_gives_its_groups_without_trying_every_place(spark):
+    """Against the pattern as it stands on short texts of its parts; on long ones it took a time that grew with the third power or more."""
+    r = random.Random(5)
+    parts = ["Firm", "x", "b1", " ", " ", " ", "(", ")", ".", ",", "\n", "\r\n", "\u2028", "ltd", "Co", "S", "S.", "A", "A.", "R.L.", "SAS?", "S.A.S?", "sa", "E", "G", "inc", "orporated", "L.P.", "B.V", "GmbH"]
+    texts = ["".join(r.choices(parts, k=r.randrange(1, 10))) + r.choice(["", "", ".", " Ltd", ", S.A.R.L.", " SAG", " Inc\n", "\n co."]) for _ in range(6000)]
+    pattern, *groups = exhibits.SINGLE_PATTERNS[exhibits.WHOLE_ALWAYS]
+    d = spark.createDataFrame([(x,) for x in texts], "t string")
+    got = d.select("t", exhibits._before_forms(F.col("t")).alias("got"), exhibits._groups(F.col("t"), pattern, groups).alias("want")).collect()
+    assert all(x.got == x.want for x in got) and sum(bool(x.got) for x in got) > 300
+    prose = ["word " * 59 + f"{k}" for k in range(3000)] + ["Firm " + "S." * 140 + f" {k} Ltd. " for k in range(9)]
+    began = time.monotonic()
+    long = spark.createDataFrame([(x,) for x in prose], "t string").select(exhibits.single_candidates(F.col("t")).alias("c")).collect()
+    assert time.monotonic() - began < 10 and [any(y["sub"] == exhibits.WHOLE_ALWAYS for y in x.c) for x in long] == [False] * 3000 + [True] * 9
