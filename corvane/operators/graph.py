@@ -150,8 +150,12 @@ class Closure:
         short = F.least("n", F.lit(self.most_steps))
         return self.rows.select("year", F.when(~F.col("open"), short).alias("n"), "open").distinct()
 
-    def tops(self, steps: int) -> DataFrame:
-        """(cw_id, year, top_parent_id) after so many steps: rows with a nearer top are done, the others go by the digits of steps."""
+    def tops(self, steps: int, merge: bool = False) -> DataFrame:
+        """(cw_id, year, top_parent_id) after so many steps: rows with a nearer top are done, the others go by the digits of steps.
+
+        merge gives merge_mutual() of it. Companies that are each other's top have parents, and the tops of rows that are done have
+        none, so only the others are merged, and nothing is joined where there are no others.
+        """
         done = ~F.col("open") & (F.col("n") <= steps)
         left = self.rows.filter(~done).select("cw_id", "year", F.col("cw_id").alias("top"))
         if not left.isEmpty():
@@ -159,6 +163,9 @@ class Closure:
                 if steps >> k & 1:
                     ahead = path.select(F.col("t").alias("_t"), F.col("y").alias("_y"), F.col("to").alias("_to"))
                     left = left.join(ahead, _at("top", "year"), "left").select("cw_id", "year", F.coalesce("_to", "top").alias("top"))
+            if merge:
+                left = written(left.withColumnRenamed("top", "top_parent_id"), "left")
+                left = merge_mutual(left).withColumnRenamed("top_parent_id", "top")
         return self.rows.filter(done).select("cw_id", "year", "top").unionByName(left).withColumnRenamed("top", "top_parent_id")
 
 
@@ -191,7 +198,7 @@ def closure(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> Closure
     return Closure(written(rows, "tops"), paths, most_steps)
 
 
-def top_parents(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> DataFrame:
+def top_parents(info: DataFrame, edges: DataFrame, most_steps: int = 100, merge: bool = False) -> DataFrame:
     """info (cw_id, year) with top_parent_id: itself, replaced by its parent of the year step by step.
 
     Of several parents the one with the smallest id counts, chosen before the join. The steps end when as many rows have a parent
@@ -199,11 +206,11 @@ def top_parents(info: DataFrame, edges: DataFrame, most_steps: int = 100) -> Dat
 
     The steps aren't made one by one: closure() gives each row's distance to its top, and so the step at which the rule ends, one
     after the smallest distance that no row has. Rows whose top is within it are done; the others, those of cycles among them, go as
-    many steps as that number's binary digits say.
+    many steps as that number's binary digits say. merge gives merge_mutual() of the result.
     """
     found = closure(info, edges, most_steps)
     distances = {r.n for r in found.distances().filter("not open").select("n").distinct().collect()}  # at most most_steps
-    return found.tops(last_step(distances, most_steps))
+    return found.tops(last_step(distances, most_steps), merge)
 
 
 def merge_mutual(info: DataFrame) -> DataFrame:
@@ -228,3 +235,12 @@ def degrees(info: DataFrame, edges: DataFrame) -> DataFrame:
     parents = edges.groupBy(F.col("target").alias("cw_id"), "year").agg(F.count_distinct("source").alias("num_parents"))
     out = info.join(children, ["cw_id", "year"], "left").join(parents, ["cw_id", "year"], "left")
     return out.fillna(0, ["num_children", "num_parents"])
+
+
+def tops_with_degrees(tops: DataFrame, edges: DataFrame) -> DataFrame:
+    """degrees() of tops (cw_id, year, top_parent_id), each company-year once, and of edges that are distinct: one shuffle, without joins."""
+    none, no, one = F.lit(None).cast("long"), F.lit(0), F.lit(1)
+    row = lambda d, c, top, child, parent: d.select(F.col(c).cast("long").alias("cw_id"), "year", top.cast("long").alias("top_parent_id"), child.alias("_c"), parent.alias("_p"))
+    rows = row(tops, "cw_id", F.col("top_parent_id"), no, no).unionByName(row(edges, "source", none, one, no)).unionByName(row(edges, "target", none, no, one))
+    found = rows.groupBy("cw_id", "year").agg(F.max("top_parent_id").alias("top_parent_id"), F.sum("_c").alias("num_children"), F.sum("_p").alias("num_parents"))
+    return found.filter("top_parent_id is not null")

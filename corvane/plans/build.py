@@ -51,7 +51,7 @@ def _company_graph(tables: dict[str, DataFrame], years: list[int], base_url: str
     best = locate.best_locations(places, spark.createDataFrame([(y,) for y in years], "year int"))
     placed = info.select("cw_id", "year").join(best, ["cw_id", "year"], "left")
     placed = locate.fill_locations(placed, places, 0).withColumnRenamed("location_id", "best_location_id")
-    tops = graph.merge_mutual(graph.top_parents(info, edges))
+    tops = graph.top_parents(info, edges, merge=True)
     info = written(info.join(placed, ["cw_id", "year"]).join(tops, ["cw_id", "year"]), "info")
     lookup = written(facts.filings_lookup(filers, filings, relations), "lookup")
     registry = resolve.register(registry, companies, names, places)

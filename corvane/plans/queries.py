@@ -9,7 +9,7 @@ from corvane.functions import text as T
 from corvane.operators import fuzzy, graph, locate, relational
 from corvane.plans.registry import Tables, query
 from corvane.plans.years import YearlyGraph
-from corvane.shared import fresh_path, spread
+from corvane.shared import fresh_path, spread, written
 from corvane.sources import exhibits, filings
 
 SUFFIXES = (
@@ -232,7 +232,8 @@ SELECT w.cw_id, w.year, arg_max(top, d) AS top_parent_id, (SELECT count(DISTINCT
 (SELECT count(DISTINCT source) FROM edges e WHERE e.target = w.cw_id AND e.year = w.year) AS num_parents FROM walk w GROUP BY 1, 2""")
 def year_rebuild(spark: SparkSession, t: Tables) -> DataFrame:
     """The yearly graph after the last year, first built from half of its rows, was rebuilt alone."""
-    info, edges = _forest(t)
+    # written, since each rebuild reads them several times
+    info, edges = (written(d, "forest") for d in _forest(t))
     relations = edges.select(F.col("target").alias("cw_id"), F.col("source").alias("parent_cw_id"), "year")
     years = [r.year for r in info.select("year").distinct().orderBy("year").collect()]
     half = (F.col("year") != years[-1]) | (F.col("cw_id") % 2 == 0)

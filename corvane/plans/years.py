@@ -59,8 +59,7 @@ class YearlyGraph:
             if not reached:
                 break
             made = sorted({*made, *reached})  # their distances stay, so the step does, and no more years follow
-        tops = graph.merge_mutual(found.tops(steps))
-        out = written(graph.degrees(info, edges).join(tops, ["cw_id", "year"]), "year-tops")
+        out = written(graph.tops_with_degrees(found.tops(steps, merge=True), edges), "year-tops")
         for name, rows in (("all_relations", edges), ("company_years", out), ("company_relations", written(graph.cut_top_edges(edges, out), "year-cut")), ("distances", written(found.distances(), "distances", 1000))):
             kinds = [c.split() for c in SCHEMAS[name].split(", ")]
             sinks.rebuild_partitions(rows.select(*[F.col(c).cast(k) for c, k in kinds]), f"{self._folder}/{name}", "year", made)

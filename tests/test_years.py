@@ -1,6 +1,7 @@
 import random
 from pathlib import Path
 
+from corvane.operators import graph
 from corvane.plans.years import SCHEMAS, YearlyGraph
 from tests.test_graph import plain_tops
 
@@ -56,3 +57,21 @@ def test_years_without_cycles_stay_untouched_and_empty_years_go(spark, tmp_path)
     assert {(x.cw_id, x.top_parent_id) for x in mine.table("company_years").filter("year = 2").collect()} == {(i, 0) for i in range(1, 7)}
     assert mine.rebuild(*frames(spark, [e for e in edges if e[2] == 1], []), [2, 3]) == [2, 3]
     assert {x.year for name in SCHEMAS for x in mine.table(name).select("year").collect()} == {1}
+
+
+def test_degrees_and_tops_take_one_shuffle_and_the_same_rows(spark):
+    """Mutual tops are sought among the companies without a top only; those of the others and degrees need no join."""
+    r = random.Random(8)
+    for most, cycles in ((100, True), (3, True), (100, False)):
+        pairs = {(r.randrange(30), r.randrange(30), y) for y in (1, 2) for _ in range(24)}
+        edges = spark.createDataFrame([e for e in pairs if (e[0] != e[1] if cycles else e[0] < e[1])], "source long, target long, year int").cache()
+        info = spark.createDataFrame([(i, y) for i in range(0, 40, 3) for y in (1, 2)], "cw_id long, year int").unionByName(edges.selectExpr("target as cw_id", "year")).distinct().cache()
+        found = graph.closure(info, edges, most)
+        steps = graph.last_step({x.n for x in found.distances().filter("not open").collect()}, most)
+        made = graph.tops_with_degrees(found.tops(steps, merge=True), edges)
+        want = graph.degrees(info, edges).join(graph.merge_mutual(found.tops(steps)), ["cw_id", "year"])
+        assert sorted(map(tuple, made.select(want.columns).collect())) == sorted(map(tuple, want.collect())) and made.count() == info.count()
+        assert sorted(graph.top_parents(info, edges, most, merge=True).collect()) == sorted(want.select("cw_id", "year", "top_parent_id").collect())
+        if not cycles:
+            plan = made._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
